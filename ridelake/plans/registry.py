@@ -50,3 +50,202 @@ def q_fct_trips(spark, sf):
 @register("agg_daily", O.with_ctes("fct") + O.DAILY_SELECT)
 def q_agg_daily(spark, sf):
     return M.agg_daily(M.fct_from_raw(raw_trips(spark, sf)))
+
+
+def _fct(spark, sf):
+    return M.fct_from_raw(raw_trips(spark, sf))
+
+
+def _stg(spark, sf):
+    return M.stg_trips(raw_trips(spark, sf))
+
+
+def _stations(spark, sf):
+    # coordinates compared at 1e-6 degrees (~0.1 m): float means differ in
+    # the last bits between engines with summation order
+    return M.stg_stations(raw_trips(spark, sf), coord_decimals=6)
+
+
+def _dim(spark, sf):
+    raw = raw_trips(spark, sf)
+    return M.dim_stations(M.stg_stations(raw, coord_decimals=6), M.stg_trips(raw))
+
+
+@register("stg_stations", O.with_ctes("stations") + "SELECT * FROM stations")
+def q_stg_stations(spark, sf):
+    return _stations(spark, sf)
+
+
+@register("station_roles", O.with_ctes("roles") + "SELECT * FROM roles")
+def q_station_roles(spark, sf):
+    return M.station_roles(_stg(spark, sf))
+
+
+@register("dim_stations", O.with_ctes("dim") + "SELECT * FROM dim")
+def q_dim_stations(spark, sf):
+    return _dim(spark, sf)
+
+
+@register("agg_hourly", O.with_ctes("fct") + O.HOURLY_SELECT)
+def q_agg_hourly(spark, sf):
+    return M.agg_hourly(_fct(spark, sf))
+
+
+@register("ordered_hourly", O.with_ctes("fct") + O.HOURLY_SELECT + "\n  ORDER BY is_weekend, ride_hour")
+def q_ordered_hourly(spark, sf):
+    return M.agg_hourly(_fct(spark, sf)).orderBy("is_weekend", "ride_hour")
+
+
+@register("distinct_approx")
+def q_distinct_approx(spark, sf):
+    """Hourly mart with HyperLogLog++ distinct counts (rows-only check)."""
+    return M.agg_hourly(_fct(spark, sf), approx_rsd=0.01)
+
+
+@register("rollup_member", O.with_ctes("raw") + f"""
+  SELECT member_casual, rideable_type, CAST(started_at AS DATE) AS ride_date,
+    count(*) AS total_rides, avg({O.MINUTES}) AS avg_duration
+  FROM raw GROUP BY member_casual, rideable_type, CAST(started_at AS DATE)""")
+def q_rollup_member(spark, sf):
+    return M.rollup_member(raw_trips(spark, sf))
+
+
+@register("rollup_station_hour", O.with_ctes("raw") + """
+  SELECT start_station_id, CAST(hour(started_at) AS INTEGER) AS hour,
+    isodow(started_at) IN (6, 7) AS is_weekend, count(*) AS ride_count
+  FROM raw GROUP BY 1, 2, 3""")
+def q_rollup_station_hour(spark, sf):
+    return M.rollup_station_hour(raw_trips(spark, sf))
+
+
+# ---- H: scalar functions over every raw trip --------------------------------
+
+@register("minutes_crossed", O.with_ctes("raw") + f"""
+  SELECT ride_id, started_at, ended_at, {O.MINUTES} AS minutes_crossed,
+    date_sub('minute', started_at, ended_at) AS minutes_elapsed
+  FROM raw""")
+def q_minutes_crossed(spark, sf):
+    from ..functions.timefn import minutes_crossed
+    from pyspark.sql import functions as F
+    return raw_trips(spark, sf).select(
+        "ride_id", "started_at", "ended_at",
+        minutes_crossed("started_at", "ended_at").alias("minutes_crossed"),
+        F.timestamp_diff("MINUTE", F.col("started_at"), F.col("ended_at")).alias("minutes_elapsed"))
+
+
+@register("date_parts", O.with_ctes("raw") + """
+  SELECT ride_id, started_at, CAST(started_at AS DATE) AS ride_date,
+    CAST(hour(started_at) AS INTEGER) AS ride_hour,
+    CAST(isodow(started_at) AS INTEGER) AS day_of_week,
+    CAST(month(started_at) AS INTEGER) AS ride_month,
+    CAST(year(started_at) AS INTEGER) AS ride_year,
+    CAST(year(started_at) * 100 + month(started_at) AS INTEGER) AS year_month
+  FROM raw""")
+def q_date_parts(spark, sf):
+    from ..functions.timefn import date_parts, year_month
+    return raw_trips(spark, sf).select(
+        "ride_id", "started_at", *[e.alias(n) for n, e in date_parts("started_at").items()],
+        year_month("started_at").alias("year_month"))
+
+
+@register("geo_distance_km", O.with_ctes("raw") + f"""
+  SELECT ride_id, start_station_id, end_station_id,
+    CASE WHEN {O.VALID4} THEN {O.r(O.haversine())} END AS distance_km,
+    {O.r(O.haversine(), 6)} AS haversine_km
+  FROM raw""")
+def q_geo_distance(spark, sf):
+    from pyspark.sql import functions as F
+    from ..functions.geo import distance_km, haversine_km
+    return raw_trips(spark, sf).select(
+        "ride_id", "start_station_id", "end_station_id", distance_km().alias("distance_km"),
+        F.round(haversine_km("start_lat", "start_lng", "end_lat", "end_lng"), 6).alias("haversine_km"))
+
+
+@register("round_modes", f"""
+  SELECT event_id, value,
+    {O.r("value / CAST(8 AS DOUBLE)")} AS half_up,
+    {O.r_even("value / CAST(8 AS DOUBLE)")} AS half_even
+  FROM events""")
+def q_round_modes(spark, sf):
+    from pyspark.sql import functions as F
+    from ..functions.fmt import round_half_even, round_half_up
+    from ..sources.adapter import read_table
+    x = F.col("value") / F.lit(8.0)
+    return read_table(spark, sf, "events").select(
+        "event_id", "value", round_half_up(x, 2).alias("half_up"), round_half_even(x, 2).alias("half_even"))
+
+
+@register("bucket_daypart", O.with_ctes("stg") + f"""
+  SELECT ride_id, ride_hour, {O.DAYPART} AS time_of_day FROM stg""")
+def q_bucket_daypart(spark, sf):
+    from ..functions.labels import daypart
+    return _stg(spark, sf).select("ride_id", "ride_hour", daypart("ride_hour").alias("time_of_day"))
+
+
+@register("bucket_weekend", O.with_ctes("stg") + f"""
+  SELECT ride_id, day_of_week, {O.WEEKEND} AS is_weekend FROM stg""")
+def q_bucket_weekend(spark, sf):
+    from ..functions.labels import weekend_label
+    return _stg(spark, sf).select("ride_id", "day_of_week", weekend_label("day_of_week").alias("is_weekend"))
+
+
+@register("bucket_length", O.with_ctes("stg") + f"""
+  SELECT ride_id, ride_duration_minutes, {O.LENGTH} AS ride_length_category FROM stg""")
+def q_bucket_length(spark, sf):
+    from ..functions.labels import length_category
+    return _stg(spark, sf).select("ride_id", "ride_duration_minutes",
+                                  length_category("ride_duration_minutes").alias("ride_length_category"))
+
+
+@register("bucket_distance", O.with_ctes("metrics") + f"""
+  SELECT ride_id, distance_km, {O.DISTCAT} AS distance_category FROM metrics""")
+def q_bucket_distance(spark, sf):
+    from ..functions.labels import distance_category
+    return M.trip_metrics(_stg(spark, sf)).select(
+        "ride_id", "distance_km", distance_category("distance_km").alias("distance_category"))
+
+
+def _readable_sql(x: str, base: int, units: list[str]) -> str:
+    def fmt(v):
+        return f"CAST(CAST(round({O.exact(v)}, 2) AS DECIMAL(38,2)) AS VARCHAR)"
+    whens = []
+    for i in range(len(units) - 1, 0, -1):
+        p = f"CAST({float(base) ** i!r} AS DOUBLE)"
+        suffix = f" || ' {units[i]}'" if units[i] else ""
+        whens.append(f"WHEN abs({x}) >= {p} THEN {fmt(f'({x}) / {p}')}{suffix}")
+    tail = f" || ' {units[0]}'" if units[0] else ""
+    return f"CASE WHEN ({x}) IS NULL THEN NULL {' '.join(whens)} ELSE {fmt(x)}{tail} END"
+
+
+@register("human_size", None)
+def q_human_size(spark, sf):
+    from pyspark.sql import functions as F
+    from ..functions.fmt import human_size
+    from ..sources.adapter import read_table
+    x = F.col("l_extendedprice") * F.pow(F.lit(1024.0), F.col("l_linenumber") - 1)
+    return read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", x.alias("size_bytes"), human_size(x).alias("readable_size"))
+
+
+@register("human_quantity", None)
+def q_human_quantity(spark, sf):
+    from pyspark.sql import functions as F
+    from ..functions.fmt import human_quantity
+    from ..sources.adapter import read_table
+    x = F.col("l_orderkey").cast("double") * F.pow(F.lit(1000.0), F.col("l_linenumber") % 5)
+    return read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", x.alias("quantity"), human_quantity(x).alias("readable_quantity"))
+
+
+def _fmt_oracles():
+    from ..functions.fmt import QUANTITY_BASE, QUANTITY_UNITS, SIZE_BASE, SIZE_UNITS
+    xs = "l_extendedprice * power(CAST(1024 AS DOUBLE), l_linenumber - 1)"
+    ORACLES["human_size"] = (f"SELECT l_orderkey, l_linenumber, {xs} AS size_bytes, "
+                             f"{_readable_sql(xs, SIZE_BASE, SIZE_UNITS)} AS readable_size FROM lineitem")
+    xq = "CAST(l_orderkey AS DOUBLE) * power(CAST(1000 AS DOUBLE), l_linenumber % 5)"
+    ORACLES["human_quantity"] = (f"SELECT l_orderkey, l_linenumber, {xq} AS quantity, "
+                                 f"{_readable_sql(xq, QUANTITY_BASE, QUANTITY_UNITS)} AS readable_quantity "
+                                 f"FROM lineitem")
+
+
+_fmt_oracles()

@@ -82,10 +82,11 @@ def _rest_desc(df: DataFrame, keys) -> list[str]:
 
 
 def station_tuples(raw: DataFrame, role_columns=None, empty_as_missing: bool = False) -> DataFrame:
-    """(station_id, station_name, latitude, longitude, loaded_at), one row per
-    role per raw row, produced in a single pass (inline of a 2-struct array)."""
+    """(role, station_id, station_name, latitude, longitude, loaded_at), one row
+    per role per raw row, produced in a single pass (inline of a 2-struct array)."""
     def role(prefix: str) -> Column:
         return F.struct(
+            F.lit(prefix).alias("role"),
             F.col(f"{prefix}_station_id").alias("station_id"),
             F.col(f"{prefix}_station_name").alias("station_name"),
             F.col(f"{prefix}_lat").alias("latitude"),
@@ -103,7 +104,8 @@ def stg_stations(raw: DataFrame, empty_as_missing: bool = False, coord_decimals:
     """One row per station id: name at the latest load, mean coordinates.
 
     Means are over *distinct* (id, name, lat, lng, loaded_at) tuples per role,
-    as in the reference; the distinct runs with map-side partial aggregation.
+    as in the reference; the distinct runs with map-side partial aggregation,
+    so a hot station id collapses to its few distinct tuples before the shuffle.
     """
     t = station_tuples(raw, empty_as_missing=empty_as_missing).distinct()
     latest = F.max(F.struct(F.col("loaded_at"), F.col("station_name"))).getField("station_name")
