@@ -249,3 +249,263 @@ def _fmt_oracles():
 
 
 _fmt_oracles()
+
+
+# ---- C: cleaning over the CSV-text form of every trip ----------------------
+
+def _text(spark, sf):
+    from ..sources.adapter import raw_text_from_events, read_table
+    return raw_text_from_events(read_table(spark, sf, "events"))
+
+
+_CLEAN_CTES = {"typed": O.CLEAN_TYPED}
+_STRING_OUT = ("ride_id, rideable_type, start_station_name, start_station_id, end_station_name, "
+               "end_station_id, member_casual, source_file")
+
+
+@register("clean_strings", O.with_ctes("raw", extra=_CLEAN_CTES) + f"SELECT {_STRING_OUT} FROM typed")
+def q_clean_strings(spark, sf):
+    from ..operators.clean import clean_strings
+    from ..schema import STRING_COLUMNS
+    return clean_strings(_text(spark, sf)).select(*STRING_COLUMNS)
+
+
+@register("clean_types", O.with_ctes("raw", extra=_CLEAN_CTES) + """
+  SELECT ride_id, started_at, ended_at, start_lat, start_lng, end_lat, end_lng FROM typed""")
+def q_clean_types(spark, sf):
+    from ..operators.clean import clean_strings, clean_types
+    return clean_types(clean_strings(_text(spark, sf))).select(
+        "ride_id", "started_at", "ended_at", "start_lat", "start_lng", "end_lat", "end_lng")
+
+
+@register("clean_required", O.with_ctes("raw", extra=_CLEAN_CTES) + """
+  SELECT ride_id, rideable_type, started_at, ended_at, member_casual FROM typed
+  WHERE started_at IS NOT NULL AND ended_at IS NOT NULL""")
+def q_clean_required(spark, sf):
+    from ..operators.clean import clean_required, clean_strings, clean_types
+    return clean_required(clean_types(clean_strings(_text(spark, sf)))).select(
+        "ride_id", "rideable_type", "started_at", "ended_at", "member_casual")
+
+
+@register("clean_bounds", O.with_ctes("raw", extra=_CLEAN_CTES) + f"""
+  SELECT ride_id, started_at, ended_at FROM typed WHERE {O.VALID_BOUNDS}""")
+def q_clean_bounds(spark, sf):
+    from ..operators.clean import clean_bounds, clean_strings, clean_types
+    return clean_bounds(clean_types(clean_strings(_text(spark, sf)))).select("ride_id", "started_at", "ended_at")
+
+
+@register("clean_trips", O.with_ctes("raw", extra=_CLEAN_CTES) + f"""
+  SELECT {O.RAW_COLS} FROM typed WHERE {O.VALID_BOUNDS}""")
+def q_clean_trips(spark, sf):
+    from ..operators.clean import clean_trips
+    from ..schema import RAW_COLUMNS
+    return clean_trips(_text(spark, sf)).select(*RAW_COLUMNS)
+
+
+@register("clean_trips_strict", O.with_ctes("raw", extra=_CLEAN_CTES) + f"""
+  SELECT {O.RAW_COLS} FROM typed WHERE {O.VALID_BOUNDS} AND ride_id <> '' AND rideable_type <> ''
+    AND member_casual <> ''""")
+def q_clean_trips_strict(spark, sf):
+    """Cleaner with empty text treated as missing (the documented intent)."""
+    from ..operators.clean import clean_trips
+    from ..schema import RAW_COLUMNS
+    return clean_trips(_text(spark, sf), empty_as_missing=True).select(*RAW_COLUMNS)
+
+
+@register("clean_drop_report", O.with_ctes("raw", extra=_CLEAN_CTES) + """
+  SELECT count(*) AS input_rows,
+    count(*) FILTER (WHERE started_at IS NULL OR ended_at IS NULL) AS dropped_missing,
+    count(*) FILTER (WHERE started_at IS NOT NULL AND ended_at IS NOT NULL
+                     AND NOT (started_at < ended_at)) AS dropped_order,
+    count(*) FILTER (WHERE started_at IS NOT NULL AND ended_at IS NOT NULL AND started_at < ended_at
+                     AND NOT (epoch_us(ended_at) - epoch_us(started_at) BETWEEN 60000000 AND 86400000000))
+      AS dropped_bounds,
+    count(*) FILTER (WHERE started_at IS NOT NULL AND ended_at IS NOT NULL AND started_at < ended_at
+                     AND epoch_us(ended_at) - epoch_us(started_at) BETWEEN 60000000 AND 86400000000)
+      AS kept_rows
+  FROM typed""")
+def q_clean_drop_report(spark, sf):
+    from ..operators.clean import drop_report
+    return drop_report(_text(spark, sf))
+
+
+@register("col_defaults", O.with_ctes("raw", extra=_CLEAN_CTES) + """
+  SELECT ride_id, coalesce(start_lat, CAST(0 AS DOUBLE)) AS start_lat,
+    coalesce(end_lng, CAST(0 AS DOUBLE)) AS end_lng, source_file,
+    CAST('' AS VARCHAR) AS note
+  FROM typed""")
+def q_col_defaults(spark, sf):
+    """Insert defaults: NULL coordinates -> 0, a missing column -> its default."""
+    from ..operators.clean import clean_strings, clean_types, with_defaults
+    typed = clean_types(clean_strings(_text(spark, sf)))
+    return with_defaults(typed, {"start_lat": 0.0, "end_lng": 0.0, "note": ""}).select(
+        "ride_id", "start_lat", "end_lng", "source_file", "note")
+
+
+@register("quality_report", O.with_ctes("raw", extra=_CLEAN_CTES) + f"""
+  SELECT count(*) AS total_rows, min(started_at) AS min_started_at, max(started_at) AS max_started_at,
+    count(*) FILTER (WHERE ride_id = '') AS empty_ride_id,
+    count(*) FILTER (WHERE started_at IS NULL OR started_at = TIMESTAMP '1970-01-01 00:00:00')
+      AS default_started_at,
+    count(*) FILTER (WHERE start_station_id = '') AS empty_start_station,
+    count(*) FILTER (WHERE end_station_id = '') AS empty_end_station
+  FROM typed""")
+def q_quality_report(spark, sf):
+    """Load report over the typed rows (before the validity filters)."""
+    from ..operators.clean import clean_strings, clean_types
+    from ..operators.quality import quality_report
+    return quality_report(clean_types(clean_strings(_text(spark, sf))))
+
+
+@register("file_summary", O.with_ctes("raw", extra=_CLEAN_CTES) + f"""
+  SELECT source_file, count(*) AS row_count, min(loaded_at) AS first_load
+  FROM typed WHERE {O.VALID_BOUNDS} AND source_file <> '' GROUP BY source_file""")
+def q_file_summary(spark, sf):
+    from ..operators.clean import clean_trips
+    from ..operators.quality import file_summary
+    return file_summary(clean_trips(_text(spark, sf)))
+
+
+@register("smoke_summary", O.with_ctes("raw") + """
+  SELECT count(*) AS total_rides, min(started_at) AS earliest_ride, max(started_at) AS latest_ride,
+    count(DISTINCT member_casual) AS user_types, count(DISTINCT rideable_type) AS bike_types
+  FROM raw""")
+def q_smoke_summary(spark, sf):
+    from ..operators.quality import smoke_summary
+    return smoke_summary(raw_trips(spark, sf))
+
+
+# ---- generic operators on the TPC-H-style tables ---------------------------
+
+_LI_TIE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+           "l_returnflag", "l_linestatus"]
+
+
+@register("dedupe_latest", """
+  SELECT * FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC NULLS LAST, """ + ", ".join(f"{c} DESC NULLS LAST" for c in _LI_TIE) + ") = 1")
+def q_dedupe_latest(spark, sf):
+    """Keep-latest on a native table: newest shipdate per (order, line)."""
+    from ..operators.dedupe import keep_latest
+    from ..sources.adapter import read_table
+    li = read_table(spark, sf, "lineitem")
+    return keep_latest(li, ["l_orderkey", "l_linenumber"], ["-l_shipdate"],
+                       tie_break=["-" + c for c in _LI_TIE])
+
+
+@register("latest_value", """
+  SELECT o_custkey, max({'v': o_orderdate, 'x': o_orderstatus}).x AS latest_status
+  FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY o_custkey""")
+def q_latest_value(spark, sf):
+    """Value at the latest version: each customer's status at its last order."""
+    from ..operators.dedupe import latest_value
+    from ..sources.adapter import read_table
+    return latest_value(read_table(spark, sf, "orders"), ["o_custkey"], "o_orderstatus", "o_orderdate",
+                        alias="latest_status")
+
+
+@register("cond_count", """
+  SELECT l_returnflag, count(*) AS total,
+    count(*) FILTER (WHERE l_linestatus = 'O') AS open_lines,
+    count(*) FILTER (WHERE l_discount > CAST(0.05 AS DOUBLE)) AS discounted,
+    count(*) FILTER (WHERE l_quantity >= 25 AND l_linestatus = 'F') AS big_final
+  FROM lineitem GROUP BY l_returnflag""")
+def q_cond_count(spark, sf):
+    from pyspark.sql import functions as F
+    from ..sources.adapter import read_table
+    li = read_table(spark, sf, "lineitem")
+    return li.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("l_linestatus") == "O").alias("open_lines"),
+        F.count_if(F.col("l_discount") > F.lit(0.05)).alias("discounted"),
+        F.count_if((F.col("l_quantity") >= 25) & (F.col("l_linestatus") == "F")).alias("big_final"))
+
+
+@register("agg_basic", f"""
+  SELECT l_returnflag, l_linestatus, count(*) AS n,
+    {O.r('avg(l_quantity)')} AS avg_qty,
+    {O.r('CAST(sum(CAST(l_extendedprice AS DECIMAL(20,2))) AS DOUBLE)')} AS sum_price,
+    min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price,
+    min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+  FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def q_agg_basic(spark, sf):
+    from pyspark.sql import functions as F
+    from ..sources.adapter import read_table
+    li = read_table(spark, sf, "lineitem")
+    return li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.avg("l_quantity"), 2).alias("avg_qty"),
+        F.round(F.sum(F.col("l_extendedprice").cast("decimal(20,2)")).cast("double"), 2).alias("sum_price"),
+        F.min("l_extendedprice").alias("min_price"), F.max("l_extendedprice").alias("max_price"),
+        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+
+
+@register("agg_median", f"""
+  SELECT l_returnflag, l_linestatus, {O.r('median(l_quantity)')} AS median_qty,
+    {O.r('median(l_extendedprice)')} AS median_price
+  FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def q_agg_median(spark, sf):
+    """Exact (interpolating) median; ``percentile_approx`` is not a substitute."""
+    from pyspark.sql import functions as F
+    from ..sources.adapter import read_table
+    li = read_table(spark, sf, "lineitem")
+    return li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.round(F.median("l_quantity"), 2).alias("median_qty"),
+        F.round(F.median("l_extendedprice"), 2).alias("median_price"))
+
+
+@register("cond_agg", f"""
+  SELECT l_linestatus,
+    {O.r('avg(l_quantity) FILTER (WHERE l_returnflag = ' + "'R'" + ')')} AS avg_qty_returned,
+    min(l_shipdate) FILTER (WHERE l_returnflag = 'R') AS first_returned,
+    max(l_shipdate) FILTER (WHERE l_returnflag = 'R') AS last_returned,
+    max(l_extendedprice) FILTER (WHERE l_returnflag = 'N' AND l_linestatus = 'F') AS max_price_nf
+  FROM lineitem GROUP BY l_linestatus""")
+def q_cond_agg(spark, sf):
+    """Conditional mean / min / max: NULL for a group where no row qualifies."""
+    from pyspark.sql import functions as F
+    from ..sources.adapter import read_table
+    li = read_table(spark, sf, "lineitem")
+    ret = F.col("l_returnflag") == "R"
+    nf = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F")
+    return li.groupBy("l_linestatus").agg(
+        F.round(F.avg(F.when(ret, F.col("l_quantity"))), 2).alias("avg_qty_returned"),
+        F.min(F.when(ret, F.col("l_shipdate"))).alias("first_returned"),
+        F.max(F.when(ret, F.col("l_shipdate"))).alias("last_returned"),
+        F.max(F.when(nf, F.col("l_extendedprice"))).alias("max_price_nf"))
+
+
+@register("distinct_exact", """
+  SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers
+  FROM lineitem GROUP BY l_returnflag""")
+def q_distinct_exact(spark, sf):
+    from pyspark.sql import functions as F
+    from ..sources.adapter import read_table
+    li = read_table(spark, sf, "lineitem")
+    return li.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("parts"),
+                                          F.count_distinct("l_suppkey").alias("suppliers"))
+
+
+@register("customer_order_stats", """
+  WITH st AS (
+    SELECT o_custkey, count(*) AS orders_1995, sum(o_totalprice) AS spend_1995
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-01-01'
+    GROUP BY o_custkey)
+  SELECT c.c_custkey, c.c_name, coalesce(st.orders_1995, 0) AS orders_1995,
+    """ + O.r("st.spend_1995") + """ AS spend_1995
+  FROM customer c LEFT JOIN st ON c.c_custkey = st.o_custkey""")
+def q_customer_order_stats(spark, sf):
+    """Left join of a dimension to aggregated facts: unmatched rows keep 0
+    counts and NULL metrics (the station-dimension join, on native tables)."""
+    from pyspark.sql import functions as F
+    from ..sources.adapter import read_table
+    o = read_table(spark, sf, "orders")
+    st = (o.filter((F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
+                   & (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")))
+          .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders_1995"),
+                                    F.sum("o_totalprice").alias("spend_1995")))
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_name")
+    j = c.join(st, c.c_custkey == st.o_custkey, "left")
+    return j.select("c_custkey", "c_name", F.coalesce("orders_1995", F.lit(0)).alias("orders_1995"),
+                    F.round("spend_1995", 2).alias("spend_1995"))
