@@ -210,10 +210,20 @@ DEPS = {"raw": [], "stg": ["raw"], "metrics": ["stg"], "fct": ["metrics"], "stat
         "roles": ["stg"], "sa": ["roles"], "dim": ["stations", "sa"]}
 
 
-def with_ctes(*names: str, extra: dict[str, str] | None = None) -> str:
+def with_ctes(*names: str, extra: dict[str, str] | None = None, raw_body: str | None = None) -> str:
     """WITH clause for the named model CTEs (plus ``extra`` ones, appended
-    last, which may use any model CTE they name in ``names``)."""
+    last, which may use any model CTE they name in ``names``).
+
+    ``raw_body`` replaces the raw CTE by a query over ``typed`` (the cleaner's
+    typed rows of the CSV text form, itself over ``raw0``, the adapter rows).
+    """
     order: list[str] = []
+    bodies = dict(BODIES)
+    if raw_body is not None:
+        bodies["raw0"] = RAW_SELECT
+        bodies["typed"] = CLEAN_TYPED.replace("FROM raw", "FROM raw0")
+        bodies["raw"] = raw_body
+        order = ["raw0", "typed"]
 
     def add(n):
         for d in DEPS.get(n, []):
@@ -221,9 +231,10 @@ def with_ctes(*names: str, extra: dict[str, str] | None = None) -> str:
         if n not in order:
             order.append(n)
 
+
     for n in names:
         add(n)
-    parts = [f"{n} AS ({BODIES[n]}\n)" for n in order]
+    parts = [f"{n} AS ({bodies[n]}\n)" for n in order]
     parts += [f"{n} AS ({body}\n)" for n, body in (extra or {}).items()]
     return "WITH " + ",\n".join(parts) + "\n"
 

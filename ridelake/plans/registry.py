@@ -509,3 +509,233 @@ def q_customer_order_stats(spark, sf):
     j = c.join(st, c.c_custkey == st.o_custkey, "left")
     return j.select("c_custkey", "c_name", F.coalesce("orders_1995", F.lit(0)).alias("orders_1995"),
                     F.round("spend_1995", 2).alias("spend_1995"))
+
+
+# ---- A/B: files, loads, sinks ------------------------------------------------
+# Inputs are staged from ``events`` as named CSV files (f0.csv, f1.csv, f2.csv
+# -- the adapter's source files) in a fresh folder under the session's shared
+# checkpoint root; each query returns what it reads back.
+
+BATCH1 = "2024-03-01 00:00:00"
+BATCH2 = "2024-03-02 00:00:00"
+
+
+def _stage(spark, sf, label: str, header_order=None, extra_files: dict | None = None):
+    from pyspark.sql import functions as F
+    from ..schema import CSV_COLUMNS
+    from ..session import scratch_dir
+    from ..sources.files import write_named_csv
+    work = scratch_dir(spark, label)
+    text = _text(spark, sf).select(*CSV_COLUMNS, "source_file")
+    paths = write_named_csv(text, f"{work}/in", header_order=header_order)
+    for name, (src, cols) in (extra_files or {}).items():
+        paths += write_named_csv(text.filter(F.col("source_file") == src)
+                                 .withColumn("source_file", F.lit(name)),
+                                 f"{work}/in", header_order={name: cols})
+    return work, sorted(paths)
+
+
+def _batch_loaded_at(new_files=("f2.csv",)) -> str:
+    names = ", ".join(f"'{n}'" for n in new_files)
+    return (f"CASE WHEN source_file IN ({names}) THEN TIMESTAMP '{BATCH2}' "
+            f"ELSE TIMESTAMP '{BATCH1}' END")
+
+
+_RAW_BATCHES = f"SELECT * REPLACE ({_batch_loaded_at()} AS loaded_at) FROM typed WHERE {O.VALID_BOUNDS}"
+_RAW_ONE_BATCH = f"SELECT * REPLACE (TIMESTAMP '{BATCH1}' AS loaded_at) FROM typed WHERE {O.VALID_BOUNDS}"
+
+
+def _raw_cols(df):
+    from ..schema import RAW_COLUMNS
+    return df.select(*RAW_COLUMNS)
+
+
+@register("csv_scan", O.with_ctes("raw", raw_body=f"""
+  SELECT * REPLACE (TIMESTAMP '{BATCH1}' AS loaded_at,
+                    CASE WHEN source_file = 'f2.csv' THEN NULL ELSE end_lat END AS end_lat)
+  FROM typed WHERE {O.VALID_BOUNDS}""") + f"SELECT {O.RAW_COLS} FROM raw")
+def q_csv_scan(spark, sf):
+    """CSV bound by header name: f1.csv has its columns reversed, f2.csv lacks
+    end_lat, and a file without member_casual is rejected, not misread."""
+    from pyspark.sql import functions as F
+    from ..operators.clean import clean_trips
+    from ..schema import CSV_COLUMNS
+    from ..sources.files import read_csv_by_name
+    no_member = [c for c in CSV_COLUMNS if c != "member_casual"]
+    _, paths = _stage(spark, sf, "csv-scan", header_order={
+        "f1.csv": list(reversed(CSV_COLUMNS)),
+        "f2.csv": [c for c in CSV_COLUMNS if c != "end_lat"],
+    }, extra_files={"nomember.csv": ("f0.csv", no_member)})
+    text, rejected = read_csv_by_name(spark, paths)
+    assert [p.rsplit("/", 1)[-1] for p in rejected] == ["nomember.csv"], rejected
+    return _raw_cols(clean_trips(text.withColumn("loaded_at", F.lit(BATCH1).cast("timestamp_ntz"))))
+
+
+@register("dir_scan", O.with_ctes("raw") + "SELECT source_file, count(*) AS rows_read FROM raw GROUP BY source_file")
+def q_dir_scan(spark, sf):
+    """Directory listing by glob (a notes.txt file is skipped), rows per file."""
+    from pyspark.sql import functions as F
+    from ..schema import CSV_COLUMNS
+    from ..sources.files import list_files, read_csv_by_name
+    work, _ = _stage(spark, sf, "dir-scan", extra_files={"notes.txt": ("f0.csv", CSV_COLUMNS[:3])})
+    listing = list_files(spark, f"{work}/in", "*.csv")
+    paths = [r[0] for r in listing.select("path").collect()]  # file names only
+    text, _ = read_csv_by_name(spark, paths)
+    return text.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_read"))
+
+
+@register("raw_append", O.with_ctes("raw", raw_body=f"SELECT * FROM typed WHERE {O.VALID_BOUNDS}")
+          + f"SELECT {O.RAW_COLS} FROM raw")
+def q_raw_append(spark, sf):
+    """Append cleaned rows file by file into the month x file raw table."""
+    from pyspark.sql import functions as F
+    from ..operators.clean import clean_trips
+    from ..operators.sinks import read_raw, write_raw
+    from ..session import scratch_dir
+    root = scratch_dir(spark, "raw-append") + "/raw"
+    rows = clean_trips(_text(spark, sf))
+    for f in ("f0.csv", "f1.csv", "f2.csv"):
+        write_raw(rows.filter(F.col("source_file") == f), root, mode="append")
+    return _raw_cols(read_raw(spark, root))
+
+
+@register("month_partition", O.with_ctes("raw", raw_body=f"SELECT * FROM typed WHERE {O.VALID_BOUNDS}") + """
+  SELECT CAST(year(started_at) * 100 + month(started_at) AS INTEGER) AS year_month, source_file,
+    count(*) AS row_count, min(started_at) AS first_start, max(started_at) AS last_start
+  FROM raw GROUP BY 1, 2""")
+def q_month_partition(spark, sf):
+    """Rows per (year_month, source_file) leaf, read back from the written
+    table (year_month comes back from the folder names)."""
+    from pyspark.sql import functions as F
+    from ..operators.clean import clean_trips
+    from ..operators.sinks import read_raw, write_raw
+    from ..session import scratch_dir
+    root = scratch_dir(spark, "month-partition") + "/raw"
+    write_raw(clean_trips(_text(spark, sf)), root)
+    raw = read_raw(spark, root)
+    return raw.groupBy(F.col("year_month").cast("int").alias("year_month"), "source_file").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("started_at").alias("first_start"),
+        F.max("started_at").alias("last_start"))
+
+
+@register("file_ledger", O.with_ctes("raw", raw_body=_RAW_BATCHES) + f"SELECT {O.RAW_COLS} FROM raw")
+def q_file_ledger(spark, sf):
+    """Exactly-once loads: f0+f1, then f0+f1+f2 (replays skipped by the
+    ledger), then f2 forced again (idempotent leaf rewrite)."""
+    from ..operators.sinks import load_trip_files, read_raw
+    work, paths = _stage(spark, sf, "file-ledger")
+    root = f"{work}/raw"
+    first = [p for p in paths if not p.endswith("f2.csv")]
+    r1 = load_trip_files(spark, first, root, loaded_at=BATCH1)
+    r2 = load_trip_files(spark, paths, root, loaded_at=BATCH2)
+    assert r2["skipped"] == ["f0.csv", "f1.csv"] and r2["loaded"] == ["f2.csv"], (r1, r2)
+    load_trip_files(spark, [p for p in paths if p.endswith("f2.csv")], root, loaded_at=BATCH2,
+                    skip_committed=False)
+    return _raw_cols(read_raw(spark, root))
+
+
+@register("mart_rebuild", O.with_ctes("fct") + "SELECT * FROM fct")
+def q_mart_rebuild(spark, sf):
+    """Full-rebuild fact table (clustered by date, sorted like the
+    reference), written twice: the second overwrite replaces the first."""
+    from ..operators.sinks import write_table
+    from ..session import scratch_dir
+    path = scratch_dir(spark, "mart-rebuild") + "/fct"
+    fct = _fct(spark, sf)
+    for _ in range(2):
+        write_table(fct, path, cluster_by=["ride_date"],
+                    sort_by=["ride_date", "member_casual", "rideable_type", "started_at"])
+    return spark.read.parquet(path)
+
+
+def _daily_sql(where: str = "", ctes=("fct",), raw_body=None, extra=None) -> str:
+    body = O.DAILY_SELECT
+    if where:
+        body = body.replace("  FROM fct\n", f"  FROM fct WHERE {where}\n")
+    return O.with_ctes(*ctes, raw_body=raw_body, extra=extra) + body
+
+
+_TARGET = {"tgt": "SELECT ride_date FROM fct WHERE ride_date < DATE '2024-01-20'"}
+
+
+@register("incr_select_exact", _daily_sql("ride_date IS DISTINCT FROM (SELECT max(ride_date) FROM tgt)",
+                                          extra=_TARGET))
+def q_incr_select_exact(spark, sf):
+    """Incremental selector, reference semantics: recompute every date except
+    the target's newest (target = the mart as built before 2024-01-20)."""
+    from pyspark.sql import functions as F
+    from ..operators.sinks import incr_select
+    fct = _fct(spark, sf)
+    target = M.agg_daily(fct.filter(F.col("ride_date") < F.lit("2024-01-20").cast("date")))
+    return M.agg_daily(incr_select(fct, target, "ride_date", "exact"))
+
+
+@register("incr_select_watermark", _daily_sql("ride_date >= (SELECT max(ride_date) FROM tgt)", extra=_TARGET))
+def q_incr_select_watermark(spark, sf):
+    from pyspark.sql import functions as F
+    from ..operators.sinks import incr_select
+    fct = _fct(spark, sf)
+    target = M.agg_daily(fct.filter(F.col("ride_date") < F.lit("2024-01-20").cast("date")))
+    return M.agg_daily(incr_select(fct, target, "ride_date", "watermark"))
+
+
+_NEW_ROWS = "hour(loaded_at) = 6 AND started_at >= TIMESTAMP '2024-01-25 00:00:00'"
+
+
+@register("incr_select_touched", _daily_sql(
+    "ride_date IN (SELECT CAST(started_at AS DATE) FROM raw WHERE " + _NEW_ROWS +
+    " UNION SELECT CAST(started_at AS DATE) FROM raw WHERE ride_id IN (SELECT ride_id FROM raw WHERE "
+    + _NEW_ROWS + "))"))
+def q_incr_select_touched(spark, sf):
+    """Touched mode: dates of the new rows (the newest load after 01-25) and
+    of earlier versions of the same rides, recomputed from all raw rows."""
+    from pyspark.sql import functions as F
+    from ..operators.sinks import touched_keys
+    from .incremental import daily_for_dates
+    raw = raw_trips(spark, sf)
+    new = raw.filter((F.hour("loaded_at") == 6)
+                     & (F.col("started_at") >= F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")))
+    return daily_for_dates(raw, touched_keys(new, raw, "ride_id", F.to_date("started_at")))
+
+
+@register("incr_daily", _daily_sql(ctes=("fct",), raw_body=_RAW_BATCHES))
+def q_incr_daily(spark, sf):
+    """Daily mart kept by delete+insert on ride_date: built from f0+f1, then
+    refreshed for the dates f2 touches; equals a full rebuild."""
+    from ..operators.sinks import load_trip_files, read_raw
+    from .incremental import build_daily, read_daily, refresh_from_raw_table
+    work, paths = _stage(spark, sf, "incr-daily")
+    root, mart = f"{work}/raw", f"{work}/daily"
+    load_trip_files(spark, [p for p in paths if not p.endswith("f2.csv")], root, loaded_at=BATCH1)
+    build_daily(read_raw(spark, root), mart)
+    load_trip_files(spark, paths, root, loaded_at=BATCH2)
+    refresh_from_raw_table(spark, root, mart, ["f2.csv"])
+    return read_daily(spark, mart)
+
+
+# ---- I: streaming --------------------------------------------------------------
+
+@register("stream_ingest", O.with_ctes("raw", raw_body=_RAW_ONE_BATCH) + f"SELECT {O.RAW_COLS} FROM raw")
+def q_stream_ingest(spark, sf):
+    """Exactly-once streaming ingestion: one file per micro-batch; a second
+    run on the same checkpoint adds nothing."""
+    from ..operators.sinks import read_raw
+    from ..streaming.ingest import start_ingest
+    work, _ = _stage(spark, sf, "stream-ingest")
+    for _ in range(2):
+        q = start_ingest(spark, f"{work}/in", f"{work}/raw", f"{work}/_chk", loaded_at=BATCH1,
+                         max_files_per_trigger=1)
+        q.awaitTermination()
+    return _raw_cols(read_raw(spark, f"{work}/raw"))
+
+
+@register("stream_daily", _daily_sql(ctes=("fct",), raw_body=_RAW_ONE_BATCH))
+def q_stream_daily(spark, sf):
+    """Daily mart maintained from arriving files (touched dates per batch)."""
+    from ..streaming.ingest import start_daily
+    from .incremental import read_daily
+    work, _ = _stage(spark, sf, "stream-daily")
+    q = start_daily(spark, f"{work}/in", f"{work}/raw", f"{work}/daily", f"{work}/_chk",
+                    loaded_at=BATCH1, max_files_per_trigger=1)
+    q.awaitTermination()
+    return read_daily(spark, f"{work}/daily")
