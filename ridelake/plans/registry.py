@@ -739,3 +739,118 @@ def q_stream_daily(spark, sf):
                     loaded_at=BATCH1, max_files_per_trigger=1)
     q.awaitTermination()
     return read_daily(spark, f"{work}/daily")
+
+
+# ---- K: data quality ------------------------------------------------------------
+
+@register("dq_not_null", O.with_ctes("raw", extra=_CLEAN_CTES) + """
+  SELECT ride_id, source_file, ended_at FROM typed WHERE started_at IS NULL""")
+def q_dq_not_null(spark, sf):
+    """Failing rows of not_null(started_at) on the typed load."""
+    from ..operators.clean import clean_strings, clean_types
+    from ..operators.quality import not_null_failures
+    typed = clean_types(clean_strings(_text(spark, sf)))
+    return not_null_failures(typed, "started_at").select("ride_id", "source_file", "ended_at")
+
+
+@register("dq_unique", O.with_ctes("raw") + """
+  SELECT ride_id, count(*) AS n_records FROM raw WHERE ride_id IS NOT NULL
+  GROUP BY ride_id HAVING count(*) > 1""")
+def q_dq_unique(spark, sf):
+    """Failing values of unique(ride_id) on the raw trips (re-loaded rides)."""
+    from ..operators.quality import unique_failures
+    return unique_failures(raw_trips(spark, sf), "ride_id")
+
+
+@register("dq_accepted", O.with_ctes("raw", extra=_CLEAN_CTES) + """
+  SELECT ride_id, member_casual FROM typed
+  WHERE member_casual IS NOT NULL AND member_casual NOT IN ('member', 'casual')""")
+def q_dq_accepted(spark, sf):
+    """Failing rows of accepted_values(member_casual, [member, casual])."""
+    from ..operators.clean import clean_strings, clean_types
+    from ..operators.quality import accepted_failures
+    from ..schema import MEMBER_VALUES
+    typed = clean_types(clean_strings(_text(spark, sf)))
+    return accepted_failures(typed, "member_casual", MEMBER_VALUES).select("ride_id", "member_casual")
+
+
+# --- Fixed values: the declared checks of the trip models --------------------
+# (table, not_null columns, unique columns, accepted {column: values})
+DQ_SPEC = [
+    ("raw_rides", ["ride_id", "started_at", "ended_at"], [], {"member_casual": ["member", "casual"]}),
+    ("stg_rides", ["ride_id", "rideable_type", "started_at", "ended_at", "member_casual"], [],
+     {"member_casual": ["member", "casual"]}),
+    ("stg_stations", ["station_id", "station_name"], ["station_id"], {}),
+    ("fct_rides", ["ride_id", "ride_duration_minutes"], ["ride_id"], {}),
+    ("dim_stations", ["station_id", "station_name"], ["station_id"], {}),
+    ("agg_daily_rides", ["ride_date", "total_rides"], ["ride_date"], {}),
+    ("agg_hourly_patterns", ["ride_hour"], [], {}),
+]
+_DQ_CTE = {"raw_rides": "raw", "stg_rides": "stg", "stg_stations": "stations", "fct_rides": "fct",
+           "dim_stations": "dim", "agg_daily_rides": "daily", "agg_hourly_patterns": "hourly"}
+
+
+def _dq_suite_sql() -> str:
+    parts = []
+    for table, nn, uq, acc in DQ_SPEC:
+        cte = _DQ_CTE[table]
+        for c in nn:
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'not_null' AS check_name, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS failures FROM {cte}")
+        for c, vals in acc.items():
+            lst = ", ".join(f"'{v}'" for v in vals)
+            parts.append(f"SELECT '{table}', '{c}', 'accepted_values', "
+                         f"count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({lst})) FROM {cte}")
+        for c in uq:
+            parts.append(f"SELECT '{table}', '{c}', 'unique', count(*) FROM "
+                         f"(SELECT {c} FROM {cte} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) u")
+    extra = {"daily": O.DAILY_SELECT, "hourly": O.HOURLY_SELECT}
+    return O.with_ctes("fct", "dim", extra=extra) + "\nUNION ALL\n".join(parts)
+
+
+@register("dq_suite", _dq_suite_sql())
+def q_dq_suite(spark, sf):
+    """Every declared check of every model: one row per check with its
+    failure count (not_null + accepted fold into one aggregate per table)."""
+    from ..operators.quality import TableChecks, suite
+    raw = raw_trips(spark, sf)
+    stg = M.stg_trips(raw)
+    stations = M.stg_stations(raw, coord_decimals=6)
+    fct = M.fct_trips(M.trip_metrics(stg))
+    frames = {"raw_rides": raw, "stg_rides": stg, "stg_stations": stations, "fct_rides": fct,
+              "dim_stations": M.dim_stations(stations, stg), "agg_daily_rides": M.agg_daily(fct),
+              "agg_hourly_patterns": M.agg_hourly(fct)}
+    return suite(TableChecks(t, frames[t], nn, uq, acc) for t, nn, uq, acc in DQ_SPEC)
+
+
+@register("table_counts", O.with_ctes("fct", "dim", extra={"daily": O.DAILY_SELECT, "hourly": O.HOURLY_SELECT})
+          + """
+  SELECT 'fct_rides' AS table_name, count(*) AS row_count FROM fct
+  UNION ALL SELECT 'dim_stations', count(*) FROM dim
+  UNION ALL SELECT 'agg_daily_rides', count(*) FROM daily
+  UNION ALL SELECT 'agg_hourly_patterns', count(*) FROM hourly""")
+def q_table_counts(spark, sf):
+    """Labelled row counts of the four marts (one union of four aggregates)."""
+    from ..operators.reports import labelled_counts
+    raw = raw_trips(spark, sf)
+    stg = M.stg_trips(raw)
+    fct = M.fct_trips(M.trip_metrics(stg))
+    return labelled_counts({
+        "fct_rides": fct, "dim_stations": M.dim_stations(M.stg_stations(raw), stg),
+        "agg_daily_rides": M.agg_daily(fct), "agg_hourly_patterns": M.agg_hourly(fct)})
+
+
+@register("slow_topk", """
+  SELECT substring(props, 1, 100) AS query_preview, event_id, user_id, value
+  FROM events
+  WHERE ts > TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 1 DAY AND event_type = 'error'
+    AND props NOT LIKE '%system.%' AND value > 100
+  ORDER BY value DESC, event_id LIMIT 10""")
+def q_slow_topk(spark, sf):
+    """Top 10 slowest 'error' entries of the last day before 2024-01-30 in the
+    event log (value as the duration), excluding texts like '%system.%'."""
+    from ..operators.reports import slow_topk
+    from ..sources.adapter import read_table
+    return slow_topk(read_table(spark, sf, "events"), ts="ts", duration="value", text="props",
+                     key="event_id", as_of="2024-01-30 00:00:00", min_duration=100,
+                     kind_col="event_type", kind="error", extra=["user_id"])
