@@ -57,4 +57,12 @@ def file_report(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
     return (per_file.groupBy(*partition_cols)
             .agg(F.count(F.lit(1)).alias("files_count"), F.sum("rows").alias("total_rows"),
                  F.sum("bytes").alias("bytes_on_disk"))
-            .withColumn("size_on_disk", human_size("bytes_on_disk")))
+            .withColumn("size_on_disk", human_size("bytes_on_disk"))
+            .withColumn("bytes_per_row", ratio("bytes_on_disk", "total_rows")))
+
+
+def ratio(num, den, decimals: int = 2) -> Column:
+    """round(num / den, decimals); NULL when the denominator is 0 or NULL."""
+    d = F.col(den) if isinstance(den, str) else den
+    n = F.col(num) if isinstance(num, str) else num
+    return F.when(d != 0, F.round(n.cast("double") / d.cast("double"), decimals))

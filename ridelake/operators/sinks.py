@@ -188,3 +188,13 @@ def touched_keys(new_rows: DataFrame, all_rows: DataFrame, id_col: str, key_expr
 
 def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMA)
+
+
+def ensure_raw_table(spark: SparkSession, root: str) -> DataFrame:
+    """Create-if-absent: an empty raw table with the declared schema (and
+    its partition columns) when ``root`` holds none; returns the table."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        with_month(empty_raw(spark)).write.partitionBy(*RAW_PARTITIONS).parquet(root)
+    return spark.read.parquet(root)

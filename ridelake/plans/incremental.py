@@ -38,7 +38,11 @@ def daily_for_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
 
 def build_daily(raw: DataFrame, mart_path: str) -> None:
     """First run / full refresh: every date."""
-    overwrite_keys(M.agg_daily(M.fct_from_raw(raw)), mart_path, MART_KEY)
+    build_daily_from_fct(M.fct_from_raw(raw), mart_path)
+
+
+def build_daily_from_fct(fct: DataFrame, mart_path: str) -> None:
+    overwrite_keys(M.agg_daily(fct), mart_path, MART_KEY)
 
 
 def refresh_daily(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, mart_path: str) -> list:

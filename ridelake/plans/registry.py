@@ -790,7 +790,7 @@ _DQ_CTE = {"raw_rides": "raw", "stg_rides": "stg", "stg_stations": "stations", "
            "dim_stations": "dim", "agg_daily_rides": "daily", "agg_hourly_patterns": "hourly"}
 
 
-def _dq_suite_sql() -> str:
+def _dq_union_sql() -> str:
     parts = []
     for table, nn, uq, acc in DQ_SPEC:
         cte = _DQ_CTE[table]
@@ -804,8 +804,12 @@ def _dq_suite_sql() -> str:
         for c in uq:
             parts.append(f"SELECT '{table}', '{c}', 'unique', count(*) FROM "
                          f"(SELECT {c} FROM {cte} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) u")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _dq_suite_sql() -> str:
     extra = {"daily": O.DAILY_SELECT, "hourly": O.HOURLY_SELECT}
-    return O.with_ctes("fct", "dim", extra=extra) + "\nUNION ALL\n".join(parts)
+    return O.with_ctes("fct", "dim", extra=extra) + _dq_union_sql()
 
 
 @register("dq_suite", _dq_suite_sql())
@@ -854,3 +858,57 @@ def q_slow_topk(spark, sf):
     return slow_topk(read_table(spark, sf, "events"), ts="ts", duration="value", text="props",
                      key="event_id", as_of="2024-01-30 00:00:00", min_duration=100,
                      kind_col="event_type", kind="error", extra=["user_id"])
+
+
+# ---- L10: the whole run ---------------------------------------------------------
+
+_MARTS_CTES = {"daily": O.DAILY_SELECT, "hourly": O.HOURLY_SELECT}
+
+
+@register("pipeline_run", O.with_ctes("fct", "dim", raw_body=_RAW_BATCHES, extra=_MARTS_CTES) + """
+  SELECT 'fct_rides' AS table_name, count(*) AS row_count FROM fct
+  UNION ALL SELECT 'dim_stations', count(*) FROM dim
+  UNION ALL SELECT 'agg_daily_rides', count(*) FROM daily
+  UNION ALL SELECT 'agg_hourly_patterns', count(*) FROM hourly
+  UNION ALL SELECT 'failed_checks', count(*) FROM (""" + _dq_union_sql() + """) c WHERE failures > 0""")
+def q_pipeline_run(spark, sf):
+    """Load f0+f1, run everything; load f2, run again; report mart row
+    counts read back from the written tables plus the failed-check count."""
+    from pyspark.sql import functions as F
+    from ..operators.quality import failed
+    from ..operators.reports import labelled_counts
+    from .pipeline import Warehouse, run_pipeline
+    work, paths = _stage(spark, sf, "pipeline")
+    run_pipeline(spark, [p for p in paths if not p.endswith("f2.csv")], f"{work}/wh", loaded_at=BATCH1)
+    _, checks = run_pipeline(spark, paths, f"{work}/wh", loaded_at=BATCH2)
+    wh = Warehouse(f"{work}/wh")
+    counts = labelled_counts({n: spark.read.parquet(wh.table(n)) for n in
+                              ("fct_rides", "dim_stations", "agg_daily_rides", "agg_hourly_patterns")})
+    # missing member_casual text becomes '' and fails accepted_values (raw, staged)
+    nfail = failed(checks).agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.unionByName(nfail.select(F.lit("failed_checks").alias("table_name"), "row_count"))
+
+
+@register("data_summary", O.with_ctes("fct", "dim") + f"""
+  SELECT 'Raw Rides' AS metric, {{q_raw}} AS value FROM (SELECT count(*) AS n FROM raw)
+  UNION ALL SELECT 'Transformed Rides', {{q_n}} FROM (SELECT count(*) AS n FROM fct)
+  UNION ALL SELECT 'Unique Stations', {{q_n}} FROM (SELECT count(*) AS n FROM dim)""")
+def q_data_summary(spark, sf):
+    """Labelled counts rendered with thousand / million units."""
+    from pyspark.sql import functions as F
+    from ..functions.fmt import human_quantity
+    from ..operators.reports import labelled_counts
+    raw = raw_trips(spark, sf)
+    stg = M.stg_trips(raw)
+    counts = labelled_counts({"Raw Rides": raw, "Transformed Rides": M.fct_trips(M.trip_metrics(stg)),
+                              "Unique Stations": M.dim_stations(M.stg_stations(raw), stg)})
+    return counts.select(F.col("table_name").alias("metric"), human_quantity("row_count").alias("value"))
+
+
+def _data_summary_oracle():
+    from ..functions.fmt import QUANTITY_BASE, QUANTITY_UNITS
+    q = _readable_sql("CAST(n AS DOUBLE)", QUANTITY_BASE, QUANTITY_UNITS)
+    ORACLES["data_summary"] = ORACLES["data_summary"].replace("{q_raw}", q).replace("{q_n}", q)
+
+
+_data_summary_oracle()
