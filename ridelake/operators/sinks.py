@@ -116,8 +116,9 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
 def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] = (), sort_by: Sequence[str] = (),
                 partition_by: Sequence[str] = ()) -> None:
     """Full rebuild (overwrite).  ``cluster_by`` range-partitions on the
-    leading sort keys (one shuffle, AQE-coalesced) so files hold disjoint
-    key ranges; ``sort_by`` orders rows inside each file."""
+    given keys (one sampled shuffle) so files hold disjoint key ranges; give
+    enough keys that no single value is a partition by itself (a hot date
+    is split by the keys after it).  ``sort_by`` orders rows in each file."""
     out = df
     if cluster_by:
         out = out.repartitionByRange(*cluster_by)
@@ -177,13 +178,25 @@ def incr_select(new: DataFrame, target: DataFrame | None, key: str, mode: str =
     raise ValueError(f"mode must be 'exact' or 'watermark', got {mode!r}")
 
 
-def touched_keys(new_rows: DataFrame, all_rows: DataFrame, id_col: str, key_expr: Column) -> DataFrame:
+def touched_keys(new_rows: DataFrame, all_rows: DataFrame, id_col: str, key_expr: Column,
+                 prune_col: str | None = None) -> DataFrame:
     """Keys affected by ``new_rows``: their own keys plus the keys of earlier
-    versions of the same ids (a corrected row can move between keys)."""
+    versions of the same ids (a corrected row can move between keys).
+
+    The id lookup is a semi join: AQE broadcasts the new ids when their
+    measured size allows, else both sides shuffle on the id.  ``prune_col``
+    (e.g. ``year_month``) is the caller's assertion that earlier versions
+    share that partition value with the new row: the lookup then reads only
+    those partitions (dynamic partition pruning from the new rows' values).
+    """
     own = new_rows.select(key_expr.alias("key"))
-    ids = new_rows.select(id_col).distinct()
-    earlier = all_rows.join(ids, id_col, "left_semi").select(key_expr.alias("key"))
-    return own.unionByName(earlier).distinct()
+    if prune_col is None:
+        ids = new_rows.select(id_col).distinct()
+        earlier = all_rows.join(ids, id_col, "left_semi")
+    else:
+        ids = new_rows.select(id_col, prune_col).distinct()
+        earlier = all_rows.join(ids, [id_col, prune_col], "left_semi")
+    return own.unionByName(earlier.select(key_expr.alias("key"))).distinct()
 
 
 def empty_raw(spark: SparkSession) -> DataFrame:

@@ -642,9 +642,9 @@ def q_mart_rebuild(spark, sf):
     from ..session import scratch_dir
     path = scratch_dir(spark, "mart-rebuild") + "/fct"
     fct = _fct(spark, sf)
+    from .pipeline import FACT_ORDER
     for _ in range(2):
-        write_table(fct, path, cluster_by=["ride_date"],
-                    sort_by=["ride_date", "member_casual", "rideable_type", "started_at"])
+        write_table(fct, path, cluster_by=FACT_ORDER, sort_by=FACT_ORDER)
     return spark.read.parquet(path)
 
 
