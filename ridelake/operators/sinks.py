@@ -210,4 +210,12 @@ def ensure_raw_table(spark: SparkSession, root: str) -> DataFrame:
     p = jvm.org.apache.hadoop.fs.Path(root)
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         with_month(empty_raw(spark)).write.partitionBy(*RAW_PARTITIONS).parquet(root)
-    return spark.read.parquet(root)
+    return spark.read.schema(raw_table_schema()).parquet(root)
+
+
+def raw_table_schema():
+    """Schema of the written raw table: data columns, then the partition columns."""
+    from pyspark.sql import types as T
+    data = [f for f in RAW_SCHEMA.fields if f.name not in RAW_PARTITIONS]
+    return T.StructType(data + [T.StructField("year_month", T.IntegerType(), True),
+                                T.StructField("source_file", T.StringType(), True)])
