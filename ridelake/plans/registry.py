@@ -436,7 +436,7 @@ def q_agg_basic(spark, sf):
     return li.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg("l_quantity"), 2).alias("avg_qty"),
-        F.round(F.sum(F.col("l_extendedprice").cast("decimal(20,2)")).cast("double"), 2).alias("sum_price"),
+        F.round(M.sum_2dp("l_extendedprice"), 2).alias("sum_price"),
         F.min("l_extendedprice").alias("min_price"), F.max("l_extendedprice").alias("max_price"),
         F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
 
