@@ -3,7 +3,8 @@
 Checks fold into as few passes as possible: every not_null and
 accepted_values check on one table is a single aggregate; each unique check
 is one grouped aggregate (partial aggregation absorbs hot values).
-Results are small DataFrames (one row per check), never collected here.
+Results are small DataFrames (one row per check); only ``raise_on_failure``
+collects, and then only the failing check rows.
 """
 
 from __future__ import annotations
@@ -73,6 +74,19 @@ def failed(results: DataFrame) -> DataFrame:
     return results.filter(F.col("failures") > 0)
 
 
+class ChecksFailed(Exception):
+    pass
+
+
+def raise_on_failure(results: DataFrame) -> DataFrame:
+    """Suite runner: raise listing every failing check (one row per check
+    reaches the driver), else return the results."""
+    bad = failed(results).collect()
+    if bad:
+        raise ChecksFailed("; ".join(f"{r.table_name}.{r.column_name} {r.check_name}: {r.failures}" for r in bad))
+    return results
+
+
 def quality_report(raw: DataFrame, epoch: str = "1970-01-01 00:00:00") -> DataFrame:
     """Load report: total rows, start-time range, empty / default counts."""
     started = F.col("started_at")

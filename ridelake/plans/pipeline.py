@@ -70,6 +70,14 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     }
 
 
+def register_views(tables: dict[str, DataFrame]) -> list[str]:
+    """Expose models to SQL users as temporary views (lazy, like the
+    reference's view models); returns the view names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return list(tables)
+
+
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return suite(TableChecks(name, tables[name], *CHECKS[name]) for name in CHECKS if name in tables)
 

@@ -912,3 +912,42 @@ def _data_summary_oracle():
 
 
 _data_summary_oracle()
+
+
+@register("sql_view_hourly", O.with_ctes("fct") + O.HOURLY_SELECT)
+def q_sql_view_hourly(spark, sf):
+    """The hourly mart written in Spark SQL over a temporary view of the
+    fact model (views are lazy: the SQL plans through the same models)."""
+    from .pipeline import register_views
+    register_views({"fct_rides_view": _fct(spark, sf)})
+    return spark.sql("""
+      SELECT ride_hour, is_weekend,
+        count(*) AS total_rides,
+        count_if(member_casual = 'member') AS member_rides,
+        count_if(member_casual = 'casual') AS casual_rides,
+        round(avg(ride_duration_minutes), 2) AS avg_ride_duration,
+        round(sum(CAST(rint(distance_km * 100D) AS BIGINT)) / 100D / count(distance_km), 2) AS avg_distance_km,
+        count(DISTINCT start_station_id) AS unique_start_stations,
+        count(DISTINCT end_station_id) AS unique_end_stations
+      FROM fct_rides_view
+      GROUP BY ride_hour, is_weekend""")
+
+
+@register("file_report", O.with_ctes("raw", raw_body=f"SELECT * FROM typed WHERE {O.VALID_BOUNDS}") + """
+  SELECT CAST(year(started_at) * 100 + month(started_at) AS INTEGER) AS year_month, source_file,
+    count(*) AS total_rows, true AS has_bytes
+  FROM raw GROUP BY 1, 2""")
+def q_file_report(spark, sf):
+    """Files / rows / bytes per leaf of the written raw table (from Parquet
+    file metadata); sizes vary by writer, so the check compares rows."""
+    from pyspark.sql import functions as F
+    from ..operators.clean import clean_trips
+    from ..operators.reports import file_report
+    from ..operators.sinks import read_raw, write_raw
+    from ..session import scratch_dir
+    root = scratch_dir(spark, "file-report") + "/raw"
+    write_raw(clean_trips(_text(spark, sf)), root)
+    rep = file_report(read_raw(spark, root), ["year_month", "source_file"])
+    return rep.select(F.col("year_month").cast("int").alias("year_month"), "source_file", "total_rows",
+                      ((F.col("bytes_on_disk") > 0) & (F.col("files_count") > 0)
+                       & F.col("size_on_disk").endswith("B")).alias("has_bytes"))

@@ -78,3 +78,16 @@ def test_mart_properties(spark):
     hourly = M.agg_hourly(fct)
     assert hourly.agg(F.sum("total_rides")).first()[0] == n
     fct.unpersist()
+
+
+def test_suite_runner_raises_on_failures(spark):
+    import pytest
+    from ridelake.operators.quality import ChecksFailed, TableChecks, raise_on_failure, suite
+    df = spark.createDataFrame([("a", "member"), ("a", "x"), (None, "casual")], "k string, m string")
+    res = suite([TableChecks("t", df, not_null=["k"], unique=["k"], accepted={"m": ["member", "casual"]})])
+    got = {(r.column_name, r.check_name): r.failures for r in res.collect()}
+    assert got == {("k", "not_null"): 1, ("m", "accepted_values"): 1, ("k", "unique"): 1}
+    with pytest.raises(ChecksFailed, match="t.k not_null: 1"):
+        raise_on_failure(res)
+    ok = suite([TableChecks("t", df.filter("k IS NOT NULL AND m = 'member'"), not_null=["k"])])
+    assert raise_on_failure(ok).count() == 1
