@@ -7,3 +7,13 @@ from pyspark.sql import functions as F
 def col(c) -> Column:
     """Accept a column name or a Column."""
     return F.col(c) if isinstance(c, str) else c
+
+
+def q(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_str(s: str) -> str:
+    """A string literal for SQL text."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import col
+from ._util import col, q
 
 # --- Fixed values: unit suffixes, smallest first ----------------------------
 SIZE_UNITS = ["B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB", "ZiB", "YiB"]
@@ -24,34 +24,30 @@ def round_half_even(c, decimals: int = 2) -> Column:
     return F.bround(col(c), decimals)
 
 
-def fixed2(c) -> Column:
+def fixed2_sql(x: str) -> str:
     """Round half-up to two decimals and render as text with both digits."""
-    return F.round(col(c).cast("double"), 2).cast("decimal(38,2)").cast("string")
+    return f"CAST(CAST(round(CAST({x} AS DOUBLE), 2) AS DECIMAL(38,2)) AS STRING)"
 
 
-def _readable(c, base: int, units: list[str]) -> Column:
-    x = col(c).cast("double")
-    mag = F.abs(x)
-    scaled = None
-    unit = None
+def fixed2(c: str) -> Column:
+    return F.expr(fixed2_sql(q(c)))
+
+
+def _readable_sql(c: str, base: int, units: list[str]) -> str:
+    x = f"CAST({q(c)} AS DOUBLE)"
+    whens = []
     for i in range(len(units) - 1, 0, -1):
-        cond = mag >= F.lit(float(base) ** i)
-        s = x / F.lit(float(base) ** i)
-        u = F.lit(units[i])
-        scaled = F.when(cond, s) if scaled is None else scaled.when(cond, s)
-        unit = F.when(cond, u) if unit is None else unit.when(cond, u)
-    scaled = scaled.otherwise(x)
-    unit = unit.otherwise(F.lit(units[0]))
-    text = fixed2(scaled)
-    return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(
-        F.when(unit == F.lit(""), text).otherwise(F.concat(text, F.lit(" "), unit)))
-
-
-def human_size(c) -> Column:
+        p = f"{float(base) ** i!r}D"
+        whens.append(f"WHEN abs({x}) >= {p} THEN concat({fixed2_sql(f'{x} / {p}')}, ' {units[i]}')")
+    return f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) {' '.join(whens)} ELSE {fixed2_sql(x)}" + (
+        f" || ' {units[0]}'" if units[0] else "") + " END"
+
+
+def human_size(c: str) -> Column:
     """Bytes with binary units: 1536 -> '1.50 KiB', 1000 -> '1000.00 B'."""
-    return _readable(c, SIZE_BASE, SIZE_UNITS)
+    return F.expr(_readable_sql(c, SIZE_BASE, SIZE_UNITS))
 
 
-def human_quantity(c) -> Column:
+def human_quantity(c: str) -> Column:
     """Counts with word units: 950000 -> '950.00 thousand', 12 -> '12.00'."""
-    return _readable(c, QUANTITY_BASE, QUANTITY_UNITS)
+    return F.expr(_readable_sql(c, QUANTITY_BASE, QUANTITY_UNITS))

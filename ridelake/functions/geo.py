@@ -1,44 +1,53 @@
-"""Great-circle distance and speed as native (codegen'd) expressions."""
+"""Great-circle distance and speed as native (codegen'd) expressions.
+
+Expressions are built as SQL text and parsed once (``F.expr``): the same
+plan as composing Column objects, but one call into the JVM instead of
+dozens per expression.  Arguments are column names.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import col
+from ._util import q
 
 # Fixed value: mean Earth radius in kilometres.
 EARTH_RADIUS_KM = 6371.0088
 
 
-def _rad(c: Column) -> Column:
-    return c * (F.pi() / F.lit(180.0))
+def _rad(c: str) -> str:
+    return f"({q(c)} * (pi() / 180.0D))"
+
+
+def haversine_sql(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
+    s_lat = f"sin(({_rad(lat2)} - {_rad(lat1)}) / 2.0D)"
+    s_lng = f"sin(({_rad(lng2)} - {_rad(lng1)}) / 2.0D)"
+    a = f"{s_lat} * {s_lat} + cos({_rad(lat1)}) * cos({_rad(lat2)}) * {s_lng} * {s_lng}"
+    return f"({2.0 * EARTH_RADIUS_KM!r}D * asin(sqrt({a})))"
 
 
-def haversine_km(lat1, lng1, lat2, lng2) -> Column:
+def haversine_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:
     """Haversine distance in kilometres (NULL if any input is NULL)."""
-    la1, lo1, la2, lo2 = (col(c) for c in (lat1, lng1, lat2, lng2))
-    s_lat = F.sin((_rad(la2) - _rad(la1)) / F.lit(2.0))
-    s_lng = F.sin((_rad(lo2) - _rad(lo1)) / F.lit(2.0))
-    a = s_lat * s_lat + F.cos(_rad(la1)) * F.cos(_rad(la2)) * s_lng * s_lng
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
+    return F.expr(haversine_sql(lat1, lng1, lat2, lng2))
+
+
+def nonzero_sql(*cols: str) -> str:
+    return "(" + " AND ".join(f"({q(c)} IS NOT NULL AND {q(c)} != 0.0D)" for c in cols) + ")"
 
 
-def nonzero_all(*cols) -> Column:
+def nonzero_all(*cols: str) -> Column:
     """True when every value is non-NULL and non-zero (0 is the "missing"
     coordinate sentinel); never NULL."""
-    cond = None
-    for c in cols:
-        term = col(c).isNotNull() & (col(c) != F.lit(0.0))
-        cond = term if cond is None else cond & term
-    return cond
+    return F.expr(nonzero_sql(*cols))
 
 
 def distance_km(start_lat="start_lat", start_lng="start_lng", end_lat="end_lat",
                 end_lng="end_lng", decimals: int = 2) -> Column:
     """Trip distance, rounded; NULL unless all four coordinates are valid."""
-    guard = nonzero_all(start_lat, start_lng, end_lat, end_lng)
-    return F.when(guard, F.round(haversine_km(start_lat, start_lng, end_lat, end_lng), decimals))
+    guard = nonzero_sql(start_lat, start_lng, end_lat, end_lng)
+    km = haversine_sql(start_lat, start_lng, end_lat, end_lng)
+    return F.expr(f"CASE WHEN {guard} THEN round({km}, {int(decimals)}) END")
 
 
 def speed_kmh(minutes="ride_duration_minutes", start_lat="start_lat", start_lng="start_lng",
@@ -49,11 +58,13 @@ def speed_kmh(minutes="ride_duration_minutes", start_lat="start_lat", start_lng=
     only (as the reference model does); ``guard="all"`` also requires valid
     end coordinates, so a missing end point cannot produce a speed.
     """
-    m = col(minutes)
-    ok = (m > 0) & nonzero_all(start_lat, start_lng)
-    if guard == "all":
-        ok = ok & nonzero_all(end_lat, end_lng)
-    elif guard != "exact":
+    if guard == "exact":
+        ok = nonzero_sql(start_lat, start_lng)
+    elif guard == "all":
+        ok = nonzero_sql(start_lat, start_lng, end_lat, end_lng)
+    else:
         raise ValueError(f"guard must be 'exact' or 'all', got {guard!r}")
-    km = haversine_km(start_lat, start_lng, end_lat, end_lng)
-    return F.when(ok, F.round(km / (m.cast("double") / F.lit(60.0)), decimals))
+    km = haversine_sql(start_lat, start_lng, end_lat, end_lng)
+    m = q(minutes)
+    return F.expr(f"CASE WHEN {m} > 0 AND {ok} THEN round({km} / (CAST({m} AS DOUBLE) / 60.0D), "
+                  f"{int(decimals)}) END")

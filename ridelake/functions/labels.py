@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import col
+from ._util import q, sql_str
 
 # --- Fixed values: labels and bucket edges of the trip model ---------------
 DAYPART_BUCKETS = [  # (first hour, last hour, label), inclusive
@@ -35,49 +35,60 @@ DISTANCE_ELSE = "Very Long (10+ km)"
 # ---------------------------------------------------------------------------
 
 
-def upper_bound_label(c, buckets: Sequence[tuple], otherwise: str,
+def _lit(v) -> str:
+    return sql_str(v) if isinstance(v, str) else repr(v)
+
+
+def upper_bound_label_sql(c: str, buckets: Sequence[tuple], otherwise: str,
+                          null_label: str | None = None) -> str:
+    x = q(c)
+    whens = [f"WHEN {x} IS NULL THEN {sql_str(null_label)}"] if null_label is not None else []
+    whens += [f"WHEN {x} <= {_lit(upper)} THEN {sql_str(label)}" for upper, label in buckets]
+    return f"CASE {' '.join(whens)} ELSE {sql_str(otherwise)} END"
+
+
+def upper_bound_label(c: str, buckets: Sequence[tuple], otherwise: str,
                       null_label: str | None = None) -> Column:
     """First bucket whose inclusive upper bound holds ``c``; else ``otherwise``.
 
     With ``null_label`` a NULL input gets that label (tested first);
     without it a NULL falls through to ``otherwise`` like a SQL CASE.
     """
-    x = col(c)
-    expr = None
-    if null_label is not None:
-        expr = F.when(x.isNull(), F.lit(null_label))
-    for upper, label in buckets:
-        cond = x <= F.lit(upper)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(otherwise))
+    return F.expr(upper_bound_label_sql(c, buckets, otherwise, null_label))
 
 
-def range_label(c, buckets: Sequence[tuple], otherwise: str) -> Column:
+def range_label_sql(c: str, buckets: Sequence[tuple], otherwise: str) -> str:
+    x = q(c)
+    whens = [f"WHEN {x} BETWEEN {_lit(lo)} AND {_lit(hi)} THEN {sql_str(label)}" for lo, hi, label in buckets]
+    return f"CASE {' '.join(whens)} ELSE {sql_str(otherwise)} END"
+
+
+def range_label(c: str, buckets: Sequence[tuple], otherwise: str) -> Column:
     """First bucket whose inclusive [low, high] range holds ``c``."""
-    x = col(c)
-    expr = None
-    for low, high, label in buckets:
-        cond = x.between(low, high)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(otherwise))
+    return F.expr(range_label_sql(c, buckets, otherwise))
 
 
-def daypart(hour="ride_hour") -> Column:
+def daypart(hour: str = "ride_hour") -> Column:
     return range_label(hour, DAYPART_BUCKETS, DAYPART_ELSE)
 
 
-def is_weekend_day(iso_dow="day_of_week") -> Column:
+def is_weekend_day_sql(iso_dow: str) -> str:
+    return f"({q(iso_dow)} IN ({', '.join(map(str, WEEKEND_DAYS))}))"
+
+
+def is_weekend_day(iso_dow: str = "day_of_week") -> Column:
     """Boolean: ISO day in (6, 7)."""
-    return col(iso_dow).isin(*WEEKEND_DAYS)
+    return F.expr(is_weekend_day_sql(iso_dow))
 
 
-def weekend_label(iso_dow="day_of_week") -> Column:
-    return F.when(is_weekend_day(iso_dow), F.lit(WEEKEND_LABEL)).otherwise(F.lit(WEEKDAY_LABEL))
+def weekend_label(iso_dow: str = "day_of_week") -> Column:
+    return F.expr(f"CASE WHEN {is_weekend_day_sql(iso_dow)} THEN {sql_str(WEEKEND_LABEL)} "
+                  f"ELSE {sql_str(WEEKDAY_LABEL)} END")
 
 
-def length_category(minutes="ride_duration_minutes") -> Column:
+def length_category(minutes: str = "ride_duration_minutes") -> Column:
     return upper_bound_label(minutes, LENGTH_BUCKETS, LENGTH_ELSE)
 
 
-def distance_category(km="distance_km") -> Column:
+def distance_category(km: str = "distance_km") -> Column:
     return upper_bound_label(km, DISTANCE_BUCKETS, DISTANCE_ELSE, null_label=DISTANCE_NULL)

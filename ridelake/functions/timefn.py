@@ -1,8 +1,9 @@
 """Calendar and duration expressions (built-in Spark expressions only).
 
-All functions take column names or Columns and return Columns, so they stay
-inside whole-stage codegen.  Timestamps are wall-clock (``timestamp_ntz``);
-nothing here depends on the session time zone.
+Functions take column names and return Columns (built from SQL text: one
+parse instead of many JVM calls), so they stay inside whole-stage codegen.
+Timestamps are wall-clock (``timestamp_ntz``); nothing here depends on the
+session time zone.
 """
 
 from __future__ import annotations
@@ -10,65 +11,81 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import col
+from ._util import col, q
 
 
-def minutes_crossed(start, end) -> Column:
+def minutes_crossed_sql(start: str, end: str) -> str:
+    s, e = q(start), q(end)
+    return (f"(CAST(datediff(to_date({e}), to_date({s})) AS BIGINT) * 1440"
+            f" + (hour({e}) - hour({s})) * 60 + (minute({e}) - minute({s})))")
+
+
+def minutes_crossed(start: str, end: str) -> Column:
     """Number of minute boundaries crossed from ``start`` to ``end``.
 
     10:00:59 -> 10:02:01 is 2 (not the 1 whole elapsed minute).  Built from
     date and clock fields, so it is exact for wall-clock timestamps and
     independent of the session zone.
     """
-    s, e = col(start), col(end)
-    return (
-        F.datediff(F.to_date(e), F.to_date(s)).cast("long") * 1440
-        + (F.hour(e) - F.hour(s)) * 60
-        + (F.minute(e) - F.minute(s))
-    ).cast("long")
+    return F.expr(minutes_crossed_sql(start, end))
 
 
-def days_crossed(start, end) -> Column:
+def days_crossed(start: str, end: str) -> Column:
     """Day boundaries crossed between two dates/timestamps."""
-    return F.datediff(F.to_date(col(end)), F.to_date(col(start)))
+    return F.expr(f"datediff(to_date({q(end)}), to_date({q(start)}))")
+
+
+def elapsed_micros_sql(start: str, end: str) -> str:
+    return f"timestampdiff(MICROSECOND, {q(start)}, {q(end)})"
+
+
+def elapsed_micros(start: str, end: str) -> Column:
+    return F.expr(elapsed_micros_sql(start, end))
 
 
-def elapsed_seconds(start, end) -> Column:
+def elapsed_seconds(start: str, end: str) -> Column:
     """Elapsed time in (fractional) seconds, microsecond exact."""
-    return F.timestamp_diff("MICROSECOND", col(start), col(end)) / F.lit(1_000_000.0)
+    return F.expr(f"{elapsed_micros_sql(start, end)} / 1000000.0D")
 
 
-def elapsed_micros(start, end) -> Column:
-    return F.timestamp_diff("MICROSECOND", col(start), col(end))
+def trip_date(ts: str) -> Column:
+    return F.expr(f"to_date({q(ts)})")
 
 
-def trip_date(ts) -> Column:
-    return F.to_date(col(ts))
+def iso_dow_sql(ts: str) -> str:
+    return f"(weekday({q(ts)}) + 1)"
 
 
-def iso_day_of_week(ts) -> Column:
+def iso_day_of_week(ts: str) -> Column:
     """Monday=1 .. Sunday=7 (``dayofweek`` would give Sunday=1)."""
-    return (F.weekday(col(ts)) + 1).cast("int")
+    return F.expr(iso_dow_sql(ts))
 
 
-def year_month(ts) -> Column:
+def year_month_sql(ts: str) -> str:
+    return f"CAST(year({q(ts)}) * 100 + month({q(ts)}) AS INT)"
+
+
+def year_month(ts: str) -> Column:
     """yyyyMM as an integer, e.g. 202401."""
-    c = col(ts)
-    return (F.year(c) * 100 + F.month(c)).cast("int")
+    return F.expr(year_month_sql(ts))
 
 
-def date_parts(ts) -> dict[str, Column]:
-    """The calendar labels the staged trips carry, keyed by output name."""
-    c = col(ts)
+def date_parts_sql(ts: str) -> dict[str, str]:
+    c = q(ts)
     return {
-        "ride_date": F.to_date(c),
-        "ride_hour": F.hour(c).cast("int"),
-        "day_of_week": iso_day_of_week(c),
-        "ride_month": F.month(c).cast("int"),
-        "ride_year": F.year(c).cast("int"),
+        "ride_date": f"to_date({c})",
+        "ride_hour": f"hour({c})",
+        "day_of_week": iso_dow_sql(ts),
+        "ride_month": f"month({c})",
+        "ride_year": f"year({c})",
     }
 
 
+def date_parts(ts: str) -> dict[str, Column]:
+    """The calendar labels the staged trips carry, keyed by output name."""
+    return {k: F.expr(v) for k, v in date_parts_sql(ts).items()}
+
+
 def add_seconds(ts, seconds) -> Column:
     return F.timestamp_add("SECOND", col(seconds), col(ts))
 

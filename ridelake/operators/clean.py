@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefn import elapsed_micros
+from ..functions._util import q, sql_str
+from ..functions.timefn import elapsed_micros_sql
 from ..schema import (COORD_COLUMNS, MAX_SECONDS, MIN_SECONDS, REQUIRED_COLUMNS,
                       STRING_COLUMNS, TIMESTAMP_COLUMNS)
 
@@ -26,24 +27,26 @@ def _replace(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
 
 def clean_strings(df: DataFrame, columns: Sequence[str] = STRING_COLUMNS) -> DataFrame:
     """Missing text becomes ''; values are cast to text; absent columns skipped."""
-    return _replace(df, {c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return _replace(df, {c: F.expr(f"coalesce(CAST({q(c)} AS STRING), '')")
                          for c in columns if c in df.columns})
 
 
-def parse_timestamp(c, formats: Sequence[str] = EXTRA_TIMESTAMP_FORMATS) -> Column:
+def parse_timestamp_sql(c: str, formats: Sequence[str] = EXTRA_TIMESTAMP_FORMATS) -> str:
+    text = f"CAST({q(c)} AS STRING)"
+    attempts = [f"try_cast({text} AS TIMESTAMP_NTZ)"]
+    attempts += [f"CAST(try_to_timestamp({text}, {sql_str(fmt)}) AS TIMESTAMP_NTZ)" for fmt in formats]
+    return f"coalesce({', '.join(attempts)})"
+
+
+def parse_timestamp(c: str, formats: Sequence[str] = EXTRA_TIMESTAMP_FORMATS) -> Column:
     """Lenient wall-clock parse: unparseable text becomes NULL."""
-    x = F.col(c) if isinstance(c, str) else c
-    text = x.cast("string")
-    attempts = [text.try_cast("timestamp_ntz")]
-    for fmt in formats:
-        attempts.append(F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
-    return F.coalesce(*attempts)
+    return F.expr(parse_timestamp_sql(c, formats))
 
 
-def parse_double(c, nan_as_null: bool = True) -> Column:
+def parse_double(c: str, nan_as_null: bool = True) -> Column:
     """Lenient numeric parse: unparseable text becomes NULL; 'NaN' too by default."""
-    x = (F.col(c) if isinstance(c, str) else c).try_cast("double")
-    return F.nanvl(x, F.lit(None).cast("double")) if nan_as_null else x
+    x = f"try_cast({q(c)} AS DOUBLE)"
+    return F.expr(f"nanvl({x}, CAST(NULL AS DOUBLE))" if nan_as_null else x)
 
 
 def clean_types(df: DataFrame, timestamp_columns: Sequence[str] = TIMESTAMP_COLUMNS,
@@ -54,16 +57,21 @@ def clean_types(df: DataFrame, timestamp_columns: Sequence[str] = TIMESTAMP_COLU
     return _replace(df, exprs)
 
 
+def missing_required_sql(columns_present: Sequence[str], columns: Sequence[str] = REQUIRED_COLUMNS,
+                         empty_as_missing: bool = False) -> str:
+    terms = []
+    for c in columns:
+        if c in columns_present:
+            terms.append(f"{q(c)} IS NULL")
+            if empty_as_missing and c in STRING_COLUMNS:
+                terms.append(f"{q(c)} = ''")
+    return "(" + (" OR ".join(terms) or "false") + ")"
+
+
 def missing_required(df: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS,
                      empty_as_missing: bool = False) -> Column:
     """True when any present required column is NULL (or '' if asked)."""
-    cond = F.lit(False)
-    for c in columns:
-        if c in df.columns:
-            cond = cond | F.col(c).isNull()
-            if empty_as_missing and c in STRING_COLUMNS:
-                cond = cond | (F.col(c) == F.lit(""))
-    return cond
+    return F.expr(missing_required_sql(df.columns, columns, empty_as_missing))
 
 
 def clean_required(df: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS,
@@ -71,21 +79,32 @@ def clean_required(df: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS,
     return df.filter(~missing_required(df, columns, empty_as_missing))
 
 
+def in_order_sql(start: str = "started_at", end: str = "ended_at") -> str:
+    return f"({q(start)} < {q(end)})"
+
+
 def in_order(start: str = "started_at", end: str = "ended_at") -> Column:
-    return F.col(start) < F.col(end)
+    return F.expr(in_order_sql(start, end))
+
+
+def in_bounds_sql(start: str = "started_at", end: str = "ended_at",
+                  min_seconds: int = MIN_SECONDS, max_seconds: int = MAX_SECONDS) -> str:
+    return (f"({elapsed_micros_sql(start, end)} BETWEEN {int(min_seconds) * 1_000_000} "
+            f"AND {int(max_seconds) * 1_000_000})")
 
 
 def in_bounds(start: str = "started_at", end: str = "ended_at",
               min_seconds: int = MIN_SECONDS, max_seconds: int = MAX_SECONDS) -> Column:
     """Elapsed seconds within [min, max], inclusive, microsecond exact."""
-    return elapsed_micros(start, end).between(min_seconds * 1_000_000, max_seconds * 1_000_000)
+    return F.expr(in_bounds_sql(start, end, min_seconds, max_seconds))
 
 
 def clean_bounds(df: DataFrame, start: str = "started_at", end: str = "ended_at",
                  min_seconds: int = MIN_SECONDS, max_seconds: int = MAX_SECONDS) -> DataFrame:
     if start not in df.columns or end not in df.columns:
         return df
-    return df.filter(in_order(start, end) & in_bounds(start, end, min_seconds, max_seconds))
+    return df.filter(F.expr(f"{in_order_sql(start, end)} AND "
+                            f"{in_bounds_sql(start, end, min_seconds, max_seconds)}"))
 
 
 def clean_trips(df: DataFrame, empty_as_missing: bool = False, nan_as_null: bool = True) -> DataFrame:
@@ -96,11 +115,10 @@ def clean_trips(df: DataFrame, empty_as_missing: bool = False, nan_as_null: bool
 
 def drop_reason(df: DataFrame, empty_as_missing: bool = False) -> Column:
     """First rule a *typed* row fails ('missing', 'order', 'bounds') or NULL."""
-    has_ts = all(c in df.columns for c in ("started_at", "ended_at"))
-    reason = F.when(missing_required(df, empty_as_missing=empty_as_missing), F.lit("missing"))
-    if has_ts:
-        reason = reason.when(~in_order(), F.lit("order")).when(~in_bounds(), F.lit("bounds"))
-    return reason
+    whens = [f"WHEN {missing_required_sql(df.columns, empty_as_missing=empty_as_missing)} THEN 'missing'"]
+    if all(c in df.columns for c in ("started_at", "ended_at")):
+        whens += [f"WHEN NOT {in_order_sql()} THEN 'order'", f"WHEN NOT {in_bounds_sql()} THEN 'bounds'"]
+    return F.expr(f"CASE {' '.join(whens)} END")
 
 
 def drop_report(text: DataFrame, empty_as_missing: bool = False) -> DataFrame:

@@ -19,9 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import distance_km, nonzero_all, speed_kmh
-from ..functions.labels import (daypart, distance_category, is_weekend_day, length_category,
-                                weekend_label)
-from ..functions.timefn import date_parts, minutes_crossed
+from ..functions.labels import daypart, distance_category, length_category, weekend_label
+from ..functions.timefn import date_parts_sql, minutes_crossed_sql
 from ..operators.dedupe import keep_latest
 from ..schema import MAX_MINUTES, MIN_MINUTES
 
@@ -47,9 +46,9 @@ FACT_COLUMNS = [
 LATEST_ORDER = ["-loaded_at", "-source_file", "-started_at", "-ended_at"]
 
 
-def valid_trip(minutes: Column | None = None) -> Column:
-    m = minutes if minutes is not None else minutes_crossed("started_at", "ended_at")
-    return (F.col("started_at") < F.col("ended_at")) & m.between(MIN_MINUTES, MAX_MINUTES)
+def valid_trip_sql() -> str:
+    m = minutes_crossed_sql("started_at", "ended_at")
+    return f"(started_at < ended_at AND {m} BETWEEN {MIN_MINUTES} AND {MAX_MINUTES})"
 
 
 def stg_trips(raw: DataFrame, dedupe_within_month: bool = False) -> DataFrame:
@@ -60,18 +59,18 @@ def stg_trips(raw: DataFrame, dedupe_within_month: bool = False) -> DataFrame:
     caller's assertion that re-loads only duplicate within a month; it adds
     the month to the window key (smaller, partition-local windows).
     """
-    minutes = minutes_crossed("started_at", "ended_at")
-    valid = raw.filter(valid_trip(minutes))
+    valid = raw.filter(F.expr(valid_trip_sql()))
     keys = ["ride_id"]
     if dedupe_within_month:
-        valid = valid.withColumn("_ym", F.year("started_at") * 100 + F.month("started_at"))
+        valid = valid.withColumn("_ym", F.expr("year(started_at) * 100 + month(started_at)"))
         keys = ["_ym", "ride_id"]
     latest = keep_latest(valid, keys, LATEST_ORDER, tie_break=_rest_desc(valid, keys))
+    parts = date_parts_sql("started_at")
     return latest.select(
-        *[c for c in STG_TRIP_COLUMNS[:4]],
-        minutes.alias("ride_duration_minutes"),
+        *STG_TRIP_COLUMNS[:4],
+        F.expr(minutes_crossed_sql("started_at", "ended_at")).alias("ride_duration_minutes"),
         *STG_TRIP_COLUMNS[5:14],
-        *[e.alias(n) for n, e in date_parts("started_at").items()],
+        *_exprs(parts),
         "loaded_at",
     )
 
@@ -81,23 +80,21 @@ def _rest_desc(df: DataFrame, keys) -> list[str]:
     return ["-" + c for c in df.columns if c not in named and c not in keys]
 
 
-def station_tuples(raw: DataFrame, role_columns=None, empty_as_missing: bool = False) -> DataFrame:
+def _role_struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
+def station_tuples(raw: DataFrame, empty_as_missing: bool = False) -> DataFrame:
     """(role, station_id, station_name, latitude, longitude, loaded_at), one row
     per role per raw row, produced in a single pass (inline of a 2-struct array)."""
-    def role(prefix: str) -> Column:
-        return F.struct(
-            F.lit(prefix).alias("role"),
-            F.col(f"{prefix}_station_id").alias("station_id"),
-            F.col(f"{prefix}_station_name").alias("station_name"),
-            F.col(f"{prefix}_lat").alias("latitude"),
-            F.col(f"{prefix}_lng").alias("longitude"),
-            F.col("loaded_at").alias("loaded_at"),
-        )
-    out = raw.select(F.inline(F.array(role("start"), role("end"))))
-    cond = F.col("station_id").isNotNull() & F.col("station_name").isNotNull()
+    roles = [_role_struct({"role": f"'{p}'", "station_id": f"{p}_station_id",
+                           "station_name": f"{p}_station_name", "latitude": f"{p}_lat",
+                           "longitude": f"{p}_lng", "loaded_at": "loaded_at"}) for p in ("start", "end")]
+    out = raw.select(F.expr(f"inline(array({', '.join(roles)}))"))
+    cond = "station_id IS NOT NULL AND station_name IS NOT NULL"
     if empty_as_missing:
-        cond = cond & (F.col("station_id") != "") & (F.col("station_name") != "")
-    return out.filter(cond)
+        cond += " AND station_id != '' AND station_name != ''"
+    return out.filter(F.expr(cond))
 
 
 def stg_stations(raw: DataFrame, empty_as_missing: bool = False, coord_decimals: int | None = None) -> DataFrame:
@@ -108,12 +105,14 @@ def stg_stations(raw: DataFrame, empty_as_missing: bool = False, coord_decimals:
     so a hot station id collapses to its few distinct tuples before the shuffle.
     """
     t = station_tuples(raw, empty_as_missing=empty_as_missing).distinct()
-    latest = F.max(F.struct(F.col("loaded_at"), F.col("station_name"))).getField("station_name")
-    lat, lng = F.avg("latitude"), F.avg("longitude")
+    lat, lng = "avg(latitude)", "avg(longitude)"
     if coord_decimals is not None:
-        lat, lng = F.round(lat, coord_decimals), F.round(lng, coord_decimals)
-    return t.groupBy("station_id").agg(
-        latest.alias("station_name"), lat.alias("latitude"), lng.alias("longitude"))
+        lat, lng = f"round({lat}, {int(coord_decimals)})", f"round({lng}, {int(coord_decimals)})"
+    return t.groupBy("station_id").agg(*_exprs({
+        "station_name": "max(struct(loaded_at, station_name)).station_name",
+        "latitude": lat,
+        "longitude": lng,
+    }))
 
 
 def trip_metrics(stg: DataFrame, speed_guard: str = "exact") -> DataFrame:
@@ -144,33 +143,32 @@ def fct_from_raw(raw: DataFrame, speed_guard: str = "exact") -> DataFrame:
 def station_roles(stg: DataFrame, empty_as_missing: bool = False) -> DataFrame:
     """Each staged trip as a 'start' row (with its metrics) and an 'end' row
     (NULL metrics), from one read of the input."""
-    start = F.struct(
-        F.col("start_station_id").alias("station_id"), F.lit("start").alias("direction"),
-        F.col("member_casual").alias("member_casual"),
-        F.col("ride_duration_minutes").alias("ride_duration_minutes"),
-        F.col("ride_date").alias("ride_date"))
-    end = F.struct(
-        F.col("end_station_id").alias("station_id"), F.lit("end").alias("direction"),
-        F.lit(None).cast("string").alias("member_casual"),
-        F.lit(None).cast("long").alias("ride_duration_minutes"),
-        F.lit(None).cast("date").alias("ride_date"))
-    out = stg.select(F.inline(F.array(start, end))).filter(F.col("station_id").isNotNull())
-    if empty_as_missing:
-        out = out.filter(F.col("station_id") != "")
-    return out
+    start = _role_struct({"station_id": "start_station_id", "direction": "'start'",
+                          "member_casual": "member_casual", "ride_duration_minutes": "ride_duration_minutes",
+                          "ride_date": "ride_date"})
+    end = _role_struct({"station_id": "end_station_id", "direction": "'end'",
+                        "member_casual": "CAST(NULL AS STRING)", "ride_duration_minutes": "CAST(NULL AS BIGINT)",
+                        "ride_date": "CAST(NULL AS DATE)"})
+    cond = "station_id IS NOT NULL" + (" AND station_id != ''" if empty_as_missing else "")
+    return stg.select(F.expr(f"inline(array({start}, {end}))")).filter(F.expr(cond))
 
 
 def station_stats(roles: DataFrame) -> DataFrame:
-    is_start = F.col("direction") == "start"
-    return roles.groupBy("station_id").agg(
-        F.count_if(is_start).alias("total_starts"),
-        F.count_if(F.col("direction") == "end").alias("total_ends"),
-        F.count_if(is_start & (F.col("member_casual") == "member")).alias("member_starts"),
-        F.count_if(is_start & (F.col("member_casual") == "casual")).alias("casual_starts"),
-        F.avg(F.when(is_start, F.col("ride_duration_minutes"))).alias("avg_ride_duration"),
-        F.min(F.when(is_start, F.col("ride_date"))).alias("first_ride_date"),
-        F.max(F.when(is_start, F.col("ride_date"))).alias("last_ride_date"),
-    )
+    s = "direction = 'start'"
+    return roles.groupBy("station_id").agg(*_exprs({
+        "total_starts": f"count_if({s})",
+        "total_ends": "count_if(direction = 'end')",
+        "member_starts": f"count_if({s} AND member_casual = 'member')",
+        "casual_starts": f"count_if({s} AND member_casual = 'casual')",
+        "avg_ride_duration": f"avg(CASE WHEN {s} THEN ride_duration_minutes END)",
+        "first_ride_date": f"min(CASE WHEN {s} THEN ride_date END)",
+        "last_ride_date": f"max(CASE WHEN {s} THEN ride_date END)",
+    }))
+
+
+def _exprs(named: dict[str, str]) -> list[Column]:
+    """SQL-text expressions, aliased (one JVM parse each)."""
+    return [F.expr(e).alias(n) for n, e in named.items()]
 
 
 def dim_stations(stations: DataFrame, stg: DataFrame, empty_as_missing: bool = False) -> DataFrame:
@@ -193,47 +191,59 @@ def dim_stations(stations: DataFrame, stg: DataFrame, empty_as_missing: bool = F
     )
 
 
+def sum_cents_sql(c: str) -> str:
+    return f"sum(CAST(rint(`{c}` * 100.0D) AS BIGINT))"
+
+
 def sum_cents(c: str) -> Column:
     """Exact sum of two-decimal values as whole cents (a long): order-
     independent, and a plain codegen'd long sum (wide-decimal sums cost
     ~2.5x more per row).  Rounding to cents is exact for 2-dp doubles."""
-    return F.sum(F.rint(F.col(c) * F.lit(100.0)).cast("long"))
+    return F.expr(sum_cents_sql(c))
+
+
+def sum_2dp_sql(c: str) -> str:
+    return f"({sum_cents_sql(c)} / 100.0D)"
 
 
 def sum_2dp(c: str) -> Column:
     """Exact sum of two-decimal values, as the nearest double."""
-    return sum_cents(c) / F.lit(100.0)
+    return F.expr(sum_2dp_sql(c))
+
+
+def mean_2dp_sql(c: str) -> str:
+    return f"({sum_2dp_sql(c)} / count(`{c}`))"
 
 
 def mean_2dp(c: str) -> Column:
     """Mean of two-decimal values: exact sum, then one double division."""
-    return sum_2dp(c) / F.count(c)
+    return F.expr(mean_2dp_sql(c))
 
 
 DAILY_KEYS = ["ride_date", "day_of_week", "is_weekend", "ride_month", "ride_year"]
 
 
 def daily_metrics() -> list[Column]:
-    tod = F.col("time_of_day")
-    return [
-        F.count(F.lit(1)).alias("total_rides"),
-        F.count_if(F.col("member_casual") == "member").alias("member_rides"),
-        F.count_if(F.col("member_casual") == "casual").alias("casual_rides"),
-        F.count_if(F.col("rideable_type") == "electric_bike").alias("electric_bike_rides"),
-        F.count_if(F.col("rideable_type") == "classic_bike").alias("classic_bike_rides"),
-        F.round(F.avg("ride_duration_minutes"), 2).alias("avg_ride_duration"),
-        F.round(F.median("ride_duration_minutes"), 2).alias("median_ride_duration"),
-        F.min("ride_duration_minutes").alias("min_ride_duration"),
-        F.max("ride_duration_minutes").alias("max_ride_duration"),
-        F.round(mean_2dp("distance_km"), 2).alias("avg_distance_km"),
-        F.round(sum_2dp("distance_km"), 2).alias("total_distance_km"),
-        F.round(mean_2dp("avg_speed_kmh"), 2).alias("avg_speed_kmh"),
-        F.count_if(tod == "Morning Rush").alias("morning_rush_rides"),
-        F.count_if(tod == "Midday").alias("midday_rides"),
-        F.count_if(tod == "Evening Rush").alias("evening_rush_rides"),
-        F.count_if(tod == "Evening").alias("evening_rides"),
-        F.count_if(tod == "Night").alias("night_rides"),
-    ]
+    tod = "time_of_day"
+    return _exprs({
+        "total_rides": "count(1)",
+        "member_rides": "count_if(member_casual = 'member')",
+        "casual_rides": "count_if(member_casual = 'casual')",
+        "electric_bike_rides": "count_if(rideable_type = 'electric_bike')",
+        "classic_bike_rides": "count_if(rideable_type = 'classic_bike')",
+        "avg_ride_duration": "round(avg(ride_duration_minutes), 2)",
+        "median_ride_duration": "round(median(ride_duration_minutes), 2)",
+        "min_ride_duration": "min(ride_duration_minutes)",
+        "max_ride_duration": "max(ride_duration_minutes)",
+        "avg_distance_km": f"round({mean_2dp_sql('distance_km')}, 2)",
+        "total_distance_km": f"round({sum_2dp_sql('distance_km')}, 2)",
+        "avg_speed_kmh": f"round({mean_2dp_sql('avg_speed_kmh')}, 2)",
+        "morning_rush_rides": f"count_if({tod} = 'Morning Rush')",
+        "midday_rides": f"count_if({tod} = 'Midday')",
+        "evening_rush_rides": f"count_if({tod} = 'Evening Rush')",
+        "evening_rides": f"count_if({tod} = 'Evening')",
+        "night_rides": f"count_if({tod} = 'Night')",
+    })
 
 
 def agg_daily(fct: DataFrame) -> DataFrame:
@@ -255,20 +265,19 @@ def agg_hourly(fct: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     HyperLogLog++ (fixed-size state) for very large inputs.
     """
     if approx_rsd is None:
-        us = F.count_distinct("start_station_id")
-        ue = F.count_distinct("end_station_id")
+        us, ue = "count(DISTINCT start_station_id)", "count(DISTINCT end_station_id)"
     else:
-        us = F.approx_count_distinct("start_station_id", approx_rsd)
-        ue = F.approx_count_distinct("end_station_id", approx_rsd)
-    return fct.groupBy("ride_hour", "is_weekend").agg(
-        F.count(F.lit(1)).alias("total_rides"),
-        F.count_if(F.col("member_casual") == "member").alias("member_rides"),
-        F.count_if(F.col("member_casual") == "casual").alias("casual_rides"),
-        F.round(F.avg("ride_duration_minutes"), 2).alias("avg_ride_duration"),
-        F.round(mean_2dp("distance_km"), 2).alias("avg_distance_km"),
-        us.alias("unique_start_stations"),
-        ue.alias("unique_end_stations"),
-    )
+        us = f"approx_count_distinct(start_station_id, {float(approx_rsd)!r}D)"
+        ue = f"approx_count_distinct(end_station_id, {float(approx_rsd)!r}D)"
+    return fct.groupBy("ride_hour", "is_weekend").agg(*_exprs({
+        "total_rides": "count(1)",
+        "member_rides": "count_if(member_casual = 'member')",
+        "casual_rides": "count_if(member_casual = 'casual')",
+        "avg_ride_duration": "round(avg(ride_duration_minutes), 2)",
+        "avg_distance_km": f"round({mean_2dp_sql('distance_km')}, 2)",
+        "unique_start_stations": us,
+        "unique_end_stations": ue,
+    }))
 
 
 def rollup_member(raw: DataFrame) -> DataFrame:
@@ -278,15 +287,17 @@ def rollup_member(raw: DataFrame) -> DataFrame:
         "member_casual", "rideable_type", F.to_date("started_at").alias("ride_date")
     ).agg(
         F.count(F.lit(1)).alias("total_rides"),
-        F.avg(minutes_crossed("started_at", "ended_at")).alias("avg_duration"),
+        F.expr(f"avg({minutes_crossed_sql('started_at', 'ended_at')})").alias("avg_duration"),
     )
 
 
 def rollup_station_hour(raw: DataFrame) -> DataFrame:
     """Raw-table rollup: start station x hour x weekend flag -> rides."""
-    from ..functions.timefn import iso_day_of_week
+    from ..functions.labels import WEEKEND_DAYS
+    from ..functions.timefn import iso_dow_sql
+    days = ", ".join(map(str, WEEKEND_DAYS))
     return raw.groupBy(
         "start_station_id",
-        F.hour("started_at").cast("int").alias("hour"),
-        is_weekend_day(iso_day_of_week("started_at")).alias("is_weekend"),
+        F.hour("started_at").alias("hour"),
+        F.expr(f"{iso_dow_sql('started_at')} IN ({days})").alias("is_weekend"),
     ).agg(F.count(F.lit(1)).alias("ride_count"))

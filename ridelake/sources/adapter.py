@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import CSV_COLUMNS, RAW_COLUMNS
+from ..schema import CSV_COLUMNS
 
 LOADED_BASE = "2024-02-01 00:00:00"
 TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -36,37 +36,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_NEW = "CASE WHEN event_id % 7 > 3 THEN ' (new)' ELSE '' END"
+_SNUM = "(user_id % 50)"
+_ENUM = "((user_id * 7 + event_id) % 50)"
+_HAS_START = f"{_SNUM} != 0"
+RAW_EXPRS = {
+    "ride_id": "concat('R', CAST(event_id - CASE WHEN event_id % 10 = 9 THEN 1 ELSE 0 END AS STRING))",
+    "rideable_type": "CASE WHEN event_id % 3 = 0 THEN 'electric_bike' ELSE 'classic_bike' END",
+    "started_at": "ts",
+    "ended_at": "timestampadd(SECOND, floor(value * CASE WHEN event_type = 'error' THEN 600.0D ELSE 60.0D END), ts)",
+    "start_station_name": f"CASE WHEN {_HAS_START} THEN concat('Station ', CAST({_SNUM} AS STRING), {_NEW}) ELSE '' END",
+    "start_station_id": f"CASE WHEN {_HAS_START} THEN concat('S', CAST({_SNUM} AS STRING)) ELSE '' END",
+    "end_station_name": f"concat('Station ', CAST({_ENUM} AS STRING), {_NEW})",
+    "end_station_id": f"concat('S', CAST({_ENUM} AS STRING))",
+    "start_lat": f"CASE WHEN {_HAS_START} THEN 40.7D + CAST({_SNUM} AS DOUBLE) * 0.001D ELSE 0.0D END",
+    "start_lng": f"CASE WHEN {_HAS_START} THEN -74.08D + CAST({_SNUM} AS DOUBLE) * 0.001D ELSE 0.0D END",
+    "end_lat": f"40.7D + CAST({_ENUM} AS DOUBLE) * 0.0013D",
+    "end_lng": f"-74.08D + CAST({_ENUM} AS DOUBLE) * 0.0017D",
+    "member_casual": "CASE WHEN event_type IN ('view', 'click') THEN 'member' ELSE 'casual' END",
+    "source_file": "concat('f', CAST(event_id % 3 AS STRING), '.csv')",
+    "loaded_at": f"timestampadd(HOUR, event_id % 7, TIMESTAMP_NTZ '{LOADED_BASE}')",
+}
+
+
 def raw_trips_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed raw trips (the raw-table schema) from ``events``.
 
     ``keep`` names event columns carried through after the trip columns.
     """
-    eid, uid = F.col("event_id"), F.col("user_id")
-    s_num = uid % 50
-    e_num = (uid * 7 + eid) % 50
-    new = F.when(eid % 7 > 3, F.lit(" (new)")).otherwise(F.lit(""))
-    has_start = s_num != 0
-    secs = F.floor(F.col("value") * F.when(F.col("event_type") == "error", F.lit(600.0))
-                   .otherwise(F.lit(60.0)))
-    return events.select(
-        F.concat(F.lit("R"), (eid - F.when(eid % 10 == 9, 1).otherwise(0)).cast("string")).alias("ride_id"),
-        F.when(eid % 3 == 0, F.lit("electric_bike")).otherwise(F.lit("classic_bike")).alias("rideable_type"),
-        F.col("ts").alias("started_at"),
-        F.timestamp_add("SECOND", secs, F.col("ts")).alias("ended_at"),
-        F.when(has_start, F.concat(F.lit("Station "), s_num.cast("string"), new))
-        .otherwise(F.lit("")).alias("start_station_name"),
-        F.when(has_start, F.concat(F.lit("S"), s_num.cast("string"))).otherwise(F.lit("")).alias("start_station_id"),
-        F.concat(F.lit("Station "), e_num.cast("string"), new).alias("end_station_name"),
-        F.concat(F.lit("S"), e_num.cast("string")).alias("end_station_id"),
-        F.when(has_start, F.lit(40.7) + s_num.cast("double") * F.lit(0.001)).otherwise(F.lit(0.0)).alias("start_lat"),
-        F.when(has_start, F.lit(-74.08) + s_num.cast("double") * F.lit(0.001)).otherwise(F.lit(0.0)).alias("start_lng"),
-        (F.lit(40.7) + e_num.cast("double") * F.lit(0.0013)).alias("end_lat"),
-        (F.lit(-74.08) + e_num.cast("double") * F.lit(0.0017)).alias("end_lng"),
-        F.when(F.col("event_type").isin("view", "click"), F.lit("member")).otherwise(F.lit("casual")).alias("member_casual"),
-        F.concat(F.lit("f"), (eid % 3).cast("string"), F.lit(".csv")).alias("source_file"),
-        F.timestamp_add("HOUR", eid % 7, F.lit(LOADED_BASE).cast("timestamp_ntz")).alias("loaded_at"),
-        *[F.col(c) for c in keep],
-    )
+    return events.select(*[F.expr(e).alias(n) for n, e in RAW_EXPRS.items()], *keep)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,25 +84,23 @@ def raw_text_from_events(events: DataFrame, with_source: bool = True) -> DataFra
     Timestamps are written as ``yyyy-MM-dd HH:mm:ss.SSSSSS``.
     """
     t = raw_trips_from_events(events, keep=("event_id",))
-    e = F.col("event_id")
-    null = F.lit(None).cast("string")
+    fmt = f"'{TS_TEXT_FORMAT}'"
     out = {
-        "ride_id": F.when(e % 101 == 0, null).otherwise(F.col("ride_id")),
-        "rideable_type": F.col("rideable_type"),
-        "started_at": F.when(e % 97 == 0, F.lit("not a time"))
-        .otherwise(F.date_format("started_at", TS_TEXT_FORMAT)),
-        "ended_at": F.date_format("ended_at", TS_TEXT_FORMAT),
-        "start_station_name": F.col("start_station_name"),
-        "start_station_id": F.when(F.col("start_station_id") == "", null).otherwise(F.col("start_station_id")),
-        "end_station_name": F.col("end_station_name"),
-        "end_station_id": F.col("end_station_id"),
-        "start_lat": F.when(e % 89 == 0, F.lit("NaN")).otherwise(F.col("start_lat").cast("string")),
-        "start_lng": F.col("start_lng").cast("string"),
-        "end_lat": F.col("end_lat").cast("string"),
-        "end_lng": F.when(e % 83 == 0, F.lit("x")).otherwise(F.col("end_lng").cast("string")),
-        "member_casual": F.when(e % 79 == 0, null).otherwise(F.col("member_casual")),
+        "ride_id": "CASE WHEN event_id % 101 = 0 THEN NULL ELSE ride_id END",
+        "rideable_type": "rideable_type",
+        "started_at": f"CASE WHEN event_id % 97 = 0 THEN 'not a time' ELSE date_format(started_at, {fmt}) END",
+        "ended_at": f"date_format(ended_at, {fmt})",
+        "start_station_name": "start_station_name",
+        "start_station_id": "CASE WHEN start_station_id = '' THEN NULL ELSE start_station_id END",
+        "end_station_name": "end_station_name",
+        "end_station_id": "end_station_id",
+        "start_lat": "CASE WHEN event_id % 89 = 0 THEN 'NaN' ELSE CAST(start_lat AS STRING) END",
+        "start_lng": "CAST(start_lng AS STRING)",
+        "end_lat": "CAST(end_lat AS STRING)",
+        "end_lng": "CASE WHEN event_id % 83 = 0 THEN 'x' ELSE CAST(end_lng AS STRING) END",
+        "member_casual": "CASE WHEN event_id % 79 = 0 THEN NULL ELSE member_casual END",
     }
-    cols = [out[c].alias(c) for c in CSV_COLUMNS]
+    cols = [F.expr(out[c]).alias(c) for c in CSV_COLUMNS]
     if with_source:
         cols += [F.col("source_file"), F.col("loaded_at")]
     return t.select(*cols)
