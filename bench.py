@@ -29,7 +29,7 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn, repeat: int = 2) -> float:
+def timed(fn, repeat: int = 3) -> float:
     best = float("inf")
     for _ in range(repeat):
         t0 = time.perf_counter()
