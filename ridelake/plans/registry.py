@@ -951,3 +951,19 @@ def q_file_report(spark, sf):
     return rep.select(F.col("year_month").cast("int").alias("year_month"), "source_file", "total_rows",
                       ((F.col("bytes_on_disk") > 0) & (F.col("files_count") > 0)
                        & F.col("size_on_disk").endswith("B")).alias("has_bytes"))
+
+
+@register("file_select", """
+  SELECT DISTINCT 'f' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS name FROM events
+  WHERE 'f' || CAST(event_id % 3 AS VARCHAR) || '.csv' >= 'f1.csv'
+  UNION ALL SELECT 'absent' AS name WHERE false""")
+def q_file_select(spark, sf):
+    """File selection on a staged landing folder: names starting 'f' and
+    ending '.csv', from 'f1.csv' on (a start name that is absent selects
+    nothing); the notes file and the other suffixes are skipped."""
+    from ..schema import CSV_COLUMNS
+    from ..sources.files import list_files, select_files
+    work, _ = _stage(spark, sf, "file-select", extra_files={"notes.txt": ("f0.csv", CSV_COLUMNS[:3])})
+    listing = list_files(spark, f"{work}/in", pattern=None)
+    assert select_files(listing, "f", ".csv", start_from="f9.csv").count() == 0
+    return select_files(listing, "f", ".csv", start_from="f1.csv").select("name")
