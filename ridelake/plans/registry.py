@@ -955,8 +955,7 @@ def q_file_report(spark, sf):
 
 @register("file_select", """
   SELECT DISTINCT 'f' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS name FROM events
-  WHERE 'f' || CAST(event_id % 3 AS VARCHAR) || '.csv' >= 'f1.csv'
-  UNION ALL SELECT 'absent' AS name WHERE false""")
+  WHERE 'f' || CAST(event_id % 3 AS VARCHAR) || '.csv' >= 'f1.csv'""")
 def q_file_select(spark, sf):
     """File selection on a staged landing folder: names starting 'f' and
     ending '.csv', from 'f1.csv' on (a start name that is absent selects
