@@ -966,3 +966,34 @@ def q_file_select(spark, sf):
     listing = list_files(spark, f"{work}/in", pattern=None)
     assert select_files(listing, "f", ".csv", start_from="f9.csv").count() == 0
     return select_files(listing, "f", ".csv", start_from="f1.csv").select("name")
+
+
+_NATIVE_DQ = [
+    ("orders", ["o_orderkey", "o_custkey", "o_orderdate"], ["o_orderkey"], {"o_orderstatus": ["O", "F"]}),
+    ("lineitem", ["l_orderkey", "l_shipdate"], ["l_orderkey"], {"l_returnflag": ["A", "N", "R"]}),
+]
+
+
+def _native_dq_sql() -> str:
+    parts = []
+    for table, nn, uq, acc in _NATIVE_DQ:
+        for c in nn:
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'not_null' AS check_name, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS failures FROM {table}")
+        for c, vals in acc.items():
+            lst = ", ".join(f"'{v}'" for v in vals)
+            parts.append(f"SELECT '{table}', '{c}', 'accepted_values', "
+                         f"count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({lst})) FROM {table}")
+        for c in uq:
+            parts.append(f"SELECT '{table}', '{c}', 'unique', count(*) FROM "
+                         f"(SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) u")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("dq_native", _native_dq_sql())
+def q_dq_native(spark, sf):
+    """The same check suite on native tables: orders (status 'P' is outside
+    the accepted list on purpose) and lineitem (order keys repeat per line)."""
+    from ..operators.quality import TableChecks, suite
+    from ..sources.adapter import read_table
+    return suite(TableChecks(t, read_table(spark, sf, t), nn, uq, acc) for t, nn, uq, acc in _NATIVE_DQ)
