@@ -43,8 +43,11 @@ def write_raw(df: DataFrame, root: str, mode: str = "overwrite") -> None:
 
 
 def read_raw(spark: SparkSession, root: str, months: Sequence[int] | None = None) -> DataFrame:
-    """The raw table; ``months`` prunes partitions (yyyyMM ints)."""
-    df = spark.read.parquet(root)
+    """The raw table; ``months`` prunes partitions (yyyyMM ints).
+
+    Read with the declared schema: no footer sampling for schema inference
+    (costly over many files) and an empty table reads as empty."""
+    df = spark.read.schema(raw_table_schema()).parquet(root)
     if months is not None:
         df = df.filter(F.col("year_month").isin(*months))
     return df
@@ -77,10 +80,14 @@ def commit_files(spark: SparkSession, root: str, names: Sequence[str]) -> None:
     """Append ledger rows for files whose leaves are now written."""
     if not names:
         return
-    counts = (spark.read.parquet(root).filter(F.col("source_file").isin(*names))
-              .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
-              .withColumn("committed_at", F.localtimestamp()))
-    counts.write.mode("append").parquet(f"{root}/{LEDGER_DIR}")
+    counts = (read_raw(spark, root).filter(F.col("source_file").isin(*names))
+              .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
+    # every committed file gets a row, also one whose rows were all rejected
+    files = spark.createDataFrame([(n,) for n in names], "source_file string")
+    (files.join(counts, "source_file", "left")
+     .select("source_file", F.coalesce("rows", F.lit(0)).alias("rows"),
+             F.localtimestamp().alias("committed_at"))
+     .write.mode("append").parquet(f"{root}/{LEDGER_DIR}"))
 
 
 def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded_at: str | None = None,
@@ -210,7 +217,7 @@ def ensure_raw_table(spark: SparkSession, root: str) -> DataFrame:
     p = jvm.org.apache.hadoop.fs.Path(root)
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         with_month(empty_raw(spark)).write.partitionBy(*RAW_PARTITIONS).parquet(root)
-    return spark.read.schema(raw_table_schema()).parquet(root)
+    return read_raw(spark, root)
 
 
 def raw_table_schema():

@@ -55,16 +55,22 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names from one file's header line.
 
     Opens the file through the cluster's Hadoop file system and reads only
-    its first line (no Spark job, no data scan).
+    its first line (no Spark job, no data scan).  Without a JVM handle
+    (Spark Connect) it falls back to a one-row text read, which scans only
+    the start of the first split.
     """
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine() or ""
-    finally:
-        stream.close()
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        first = spark.read.text(path).first()
+        line = first[0] if first else ""
+    else:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine() or ""
+        finally:
+            stream.close()
     return [c.strip().strip('"') for c in line.lstrip("\ufeff").split(",")] if line else []
 
 

@@ -78,3 +78,19 @@ def test_header_groups_and_bom(spark):
     text, rejected = read_csv_by_name(spark, paths)
     got = sorted((r["source_file"], r["ride_id"], r["member_casual"]) for r in text.collect())
     assert rejected == [] and got == [("a.csv", "R1", "casual"), ("b.csv", "R1", "casual")]
+
+
+def test_ledger_commits_file_with_no_valid_rows(spark):
+    from ridelake.operators.sinks import committed_files, load_trip_files
+    d = tempfile.mkdtemp(prefix="ridelake-ledger-")
+    row = {c: "" for c in CSV_COLUMNS}
+    row.update(ride_id="R1", rideable_type="classic_bike", started_at="2024-01-05 10:00:00",
+               ended_at="2024-01-05 10:00:30", member_casual="casual")  # 30 s: rejected
+    path = os.path.join(d, "short.csv")
+    with open(path, "w") as fh:
+        fh.write(",".join(CSV_COLUMNS) + "\n" + ",".join(row[c] for c in CSV_COLUMNS) + "\n")
+    root = d + "/raw"
+    ensure_raw_table(spark, root)
+    assert load_trip_files(spark, [path], root)["loaded"] == ["short.csv"]
+    assert [(r.source_file, r.rows) for r in committed_files(spark, root).collect()] == [("short.csv", 0)]
+    assert load_trip_files(spark, [path], root)["skipped"] == ["short.csv"]
