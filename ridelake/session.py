@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every ridelake job relies on: wall-clock timestamps are read in
-# UTC, AQE re-plans joins and partition counts from runtime sizes.
+# Settings every ridelake job relies on: text timestamps in other layouts
+# are parsed in UTC (no daylight-saving gaps), AQE re-plans joins and
+# partition counts from runtime sizes.  Write options (dynamic partition
+# overwrite, zstd) are passed per write, not set session-wide.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
@@ -64,12 +63,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/ridelake/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-filesystem helpers."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:") and os.path.isabs(local_path(path))
