@@ -997,3 +997,38 @@ def q_dq_native(spark, sf):
     from ..operators.quality import TableChecks, suite
     from ..sources.adapter import read_table
     return suite(TableChecks(t, read_table(spark, sf, t), nn, uq, acc) for t, nn, uq, acc in _NATIVE_DQ)
+
+
+def _incremental_rollups(spark, sf, label):
+    from ..operators.sinks import load_trip_files
+    from .rollups import months_of_files, refresh_rollups
+    work, paths = _stage(spark, sf, label)
+    raw_root, root = f"{work}/raw", f"{work}/rollups"
+    load_trip_files(spark, [p for p in paths if not p.endswith("f2.csv")], raw_root, loaded_at=BATCH1)
+    refresh_rollups(spark, raw_root, root)
+    load_trip_files(spark, paths, raw_root, loaded_at=BATCH2)
+    refresh_rollups(spark, raw_root, root, months=months_of_files(spark, raw_root, ["f2.csv"]))
+    return root
+
+
+_CLEAN_RAW = f"SELECT * FROM typed WHERE {O.VALID_BOUNDS}"
+
+
+@register("rollup_member_incremental", O.with_ctes("raw", raw_body=_CLEAN_RAW) + f"""
+  SELECT member_casual, rideable_type, CAST(started_at AS DATE) AS ride_date,
+    count(*) AS total_rides, avg({O.MINUTES}) AS avg_duration
+  FROM raw GROUP BY member_casual, rideable_type, CAST(started_at AS DATE)""")
+def q_rollup_member_incremental(spark, sf):
+    """Member x bike x date rollup kept per month: built from f0+f1, then the
+    months f2 touches are recomputed; read back it equals a full recompute."""
+    from .rollups import read_member_rollup
+    return read_member_rollup(spark, _incremental_rollups(spark, sf, "rollup-member"))
+
+
+@register("rollup_station_hour_incremental", O.with_ctes("raw", raw_body=_CLEAN_RAW) + """
+  SELECT start_station_id, CAST(hour(started_at) AS INTEGER) AS hour,
+    isodow(started_at) IN (6, 7) AS is_weekend, count(*) AS ride_count
+  FROM raw GROUP BY 1, 2, 3""")
+def q_rollup_station_hour_incremental(spark, sf):
+    from .rollups import read_station_hour_rollup
+    return read_station_hour_rollup(spark, _incremental_rollups(spark, sf, "rollup-station"))

@@ -51,3 +51,25 @@ def test_refresh_moves_corrected_ride_and_drops_empty_date(spark):
     got = {str(r["ride_date"]): r["total_rides"] for r in read_daily(spark, mart).collect()}
     full = {str(r["ride_date"]): r["total_rides"] for r in M.agg_daily(M.fct_from_raw(raw)).collect()}
     assert got == full == {"2024-01-02": 2, "2024-01-03": 1}
+
+
+def test_rollups_refresh_only_touched_months(spark):
+    from ridelake.plans.rollups import (months_of_files, read_member_rollup, read_station_hour_rollup,
+                                        refresh_rollups)
+    work = tempfile.mkdtemp(prefix="ridelake-rollup-")
+    raw_root, root = f"{work}/raw", f"{work}/rollups"
+    write_raw(raw_rows(spark, [
+        dict(ride_id="1", started_at=ts("2024-01-05 10:00:00"), ended_at=ts("2024-01-05 10:20:00"), source_file="a.csv"),
+        dict(ride_id="2", started_at=ts("2024-02-05 10:00:00"), ended_at=ts("2024-02-05 10:40:00"), source_file="a.csv"),
+    ]), raw_root)
+    refresh_rollups(spark, raw_root, root)
+    write_raw(raw_rows(spark, [
+        dict(ride_id="3", started_at=ts("2024-02-05 11:00:00"), ended_at=ts("2024-02-05 11:10:00"), source_file="b.csv"),
+    ]), raw_root)
+    months = months_of_files(spark, raw_root, ["b.csv"])
+    assert months == [202402]
+    refresh_rollups(spark, raw_root, root, months=months)
+    got = {(str(r.ride_date), r.total_rides, r.avg_duration) for r in read_member_rollup(spark, root).collect()}
+    assert got == {("2024-01-05", 1, 20.0), ("2024-02-05", 2, 25.0)}
+    full = M.rollup_station_hour(read_raw(spark, raw_root)).collect()
+    assert sorted(map(tuple, read_station_hour_rollup(spark, root).collect())) == sorted(map(tuple, full))
