@@ -210,12 +210,17 @@ def empty_raw(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_SCHEMA)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the cluster file system."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def ensure_raw_table(spark: SparkSession, root: str) -> DataFrame:
     """Create-if-absent: an empty raw table with the declared schema (and
     its partition columns) when ``root`` holds none; returns the table."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+    if not path_exists(spark, root):
         with_month(empty_raw(spark)).write.partitionBy(*RAW_PARTITIONS).parquet(root)
     return read_raw(spark, root)
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.quality import TableChecks, suite
-from ..operators.sinks import load_trip_files, read_raw, write_table
+from ..operators.sinks import load_trip_files, path_exists, read_raw, write_table
 from . import trips as M
-from .incremental import build_daily_from_fct, read_daily
+from .incremental import build_daily_from_fct, read_daily, refresh_daily
 
 
 @dataclass
@@ -48,8 +49,13 @@ CHECKS = {
 
 
 def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = False,
-                 speed_guard: str = "exact") -> dict[str, DataFrame]:
-    """Rebuild every model from the raw table; returns the written tables."""
+                 speed_guard: str = "exact", new_files: list[str] | None = None) -> dict[str, DataFrame]:
+    """Rebuild every model from the raw table; returns the written tables.
+
+    The daily mart is incremental: when it exists and ``new_files`` names
+    the files just loaded, only the dates they touch are recomputed
+    (delete+insert on ride_date); otherwise it is built in full.
+    """
     raw = read_raw(spark, wh.raw)
     write_table(M.stg_trips(raw), wh.table("stg_rides"))
     stg = spark.read.parquet(wh.table("stg_rides"))
@@ -60,7 +66,12 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     fct = spark.read.parquet(wh.table("fct_rides"))
     write_table(M.dim_stations(stations, stg, empty_as_missing), wh.table("dim_stations"),
                 sort_by=["station_id"])
-    build_daily_from_fct(fct, wh.table("agg_daily_rides"))
+    daily_path = wh.table("agg_daily_rides")
+    if new_files is not None and path_exists(spark, daily_path):
+        if new_files:
+            refresh_daily(spark, raw, raw.filter(F.col("source_file").isin(*new_files)), daily_path)
+    else:
+        build_daily_from_fct(fct, daily_path)
     write_table(M.agg_hourly(fct), wh.table("agg_hourly_patterns"), sort_by=["is_weekend", "ride_hour"])
     return {
         "raw_rides": raw, "stg_rides": stg, "stg_stations": stations, "fct_rides": fct,
@@ -91,5 +102,5 @@ def run_pipeline(spark: SparkSession, files: list[str], warehouse_root: str, loa
     """
     wh = Warehouse(warehouse_root)
     report = load_trip_files(spark, files, wh.raw, loaded_at=loaded_at, empty_as_missing=empty_as_missing)
-    tables = build_models(spark, wh, empty_as_missing)
+    tables = build_models(spark, wh, empty_as_missing, new_files=report["loaded"])
     return report, run_checks(tables)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_trips
-from ..operators.sinks import read_raw, write_raw
+from ..operators.sinks import path_exists, read_raw, write_raw
 from ..plans.incremental import build_daily, refresh_daily
 from ..schema import CSV_SCHEMA
 
@@ -61,7 +61,7 @@ def start_daily(spark: SparkSession, landing: str, raw_root: str, mart_path: str
         write_raw(clean_trips(batch.withColumn("loaded_at", _stamp(loaded_at))), raw_root)
         session = batch.sparkSession
         raw = read_raw(session, raw_root)
-        if _exists(session, mart_path):
+        if path_exists(session, mart_path):
             refresh_daily(session, raw, raw.filter(F.col("source_file").isin(*files)), mart_path)
         else:
             build_daily(raw, mart_path)
@@ -70,9 +70,3 @@ def start_daily(spark: SparkSession, landing: str, raw_root: str, mart_path: str
          .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
