@@ -176,6 +176,11 @@ def read_zipped_csv(spark: SparkSession, root: str, pattern: str = "*.zip",
     """Zipped CSV archives as text columns bound by header name, one task per
     archive; ``source_file`` is the archive name."""
     zips = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root).select("path", "content")
+    # ship the task function by value: executors need not have this package installed
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     lines = zips.mapInPandas(_unzip_lines, "archive string, line_no long, line string")
     lines = lines.persist()
     headers = [r[0] for r in lines.filter(F.col("line_no") == 0).select("line").distinct().collect()]
