@@ -94,3 +94,30 @@ def test_ledger_commits_file_with_no_valid_rows(spark):
     assert load_trip_files(spark, [path], root)["loaded"] == ["short.csv"]
     assert [(r.source_file, r.rows) for r in committed_files(spark, root).collect()] == [("short.csv", 0)]
     assert load_trip_files(spark, [path], root)["skipped"] == ["short.csv"]
+
+
+def test_crash_before_ledger_commit_then_rerun_is_exactly_once(spark):
+    from ridelake.operators.clean import clean_trips
+    from ridelake.operators.sinks import committed_files, load_trip_files
+    from ridelake.sources.files import read_csv_by_name
+    d = tempfile.mkdtemp(prefix="ridelake-crash-")
+    rows = []
+    for i in range(5):
+        r = {c: "" for c in CSV_COLUMNS}
+        r.update(ride_id=f"R{i}", rideable_type="classic_bike", started_at=f"2024-01-0{i + 1} 10:00:00",
+                 ended_at=f"2024-01-0{i + 1} 10:30:00", member_casual="member")
+        rows.append(",".join(r[c] for c in CSV_COLUMNS))
+    path = os.path.join(d, "jan.csv")
+    with open(path, "w") as fh:
+        fh.write(",".join(CSV_COLUMNS) + "\n" + "\n".join(rows) + "\n")
+    root = d + "/raw"
+    # a first attempt wrote the file's leaves, then died before the ledger row
+    text, _ = read_csv_by_name(spark, [path])
+    write_raw(clean_trips(text.withColumn("loaded_at", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))), root)
+    assert committed_files(spark, root).count() == 0
+    # the rerun is not skipped (no ledger row) and rewrites the same leaves
+    rep = load_trip_files(spark, [path], root, loaded_at="2024-02-01 01:00:00")
+    assert rep["loaded"] == ["jan.csv"]
+    raw = read_raw(spark, root)
+    assert raw.count() == 5 and raw.select("ride_id").distinct().count() == 5
+    assert [(r.source_file, r.rows) for r in committed_files(spark, root).collect()] == [("jan.csv", 5)]
