@@ -121,3 +121,22 @@ def test_crash_before_ledger_commit_then_rerun_is_exactly_once(spark):
     raw = read_raw(spark, root)
     assert raw.count() == 5 and raw.select("ride_id").distinct().count() == 5
     assert [(r.source_file, r.rows) for r in committed_files(spark, root).collect()] == [("jan.csv", 5)]
+
+
+def test_command_line_load_run_report(spark, capsys):
+    from ridelake.__main__ import main
+    d = tempfile.mkdtemp(prefix="ridelake-cli-")
+    os.makedirs(os.path.join(d, "in"))
+    r = {c: "" for c in CSV_COLUMNS}
+    r.update(ride_id="R1", rideable_type="classic_bike", started_at="2024-01-05 10:00:00",
+             ended_at="2024-01-05 10:30:00", member_casual="member", start_station_id="S1",
+             start_station_name="One", end_station_id="S2", end_station_name="Two")
+    with open(os.path.join(d, "in", "a.csv"), "w") as fh:
+        fh.write(",".join(CSV_COLUMNS) + "\n" + ",".join(r[c] for c in CSV_COLUMNS) + "\n")
+    wh = os.path.join(d, "wh")
+    assert main(["run", "--warehouse", wh, "--dir", os.path.join(d, "in")]) == 0
+    assert main(["load", "--warehouse", wh, "--dir", os.path.join(d, "in")]) == 0
+    out = capsys.readouterr().out
+    assert '"loaded": ["a.csv"]' in out and '"skipped": ["a.csv"]' in out
+    assert main(["report", "--warehouse", wh]) == 0
+    assert spark.read.parquet(os.path.join(wh, "fct_rides")).count() == 1
