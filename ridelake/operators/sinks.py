@@ -65,10 +65,11 @@ def between_dates(df: DataFrame, lo: str, hi: str, ts: str = "started_at") -> Da
 
 def committed_files(spark: SparkSession, root: str) -> DataFrame:
     """(source_file, rows, committed_at) of every completed load."""
-    try:
-        return spark.read.parquet(f"{root}/{LEDGER_DIR}")
-    except Exception:  # no ledger yet
-        return spark.createDataFrame([], "source_file string, rows long, committed_at timestamp_ntz")
+    schema = "source_file string, rows long, committed_at timestamp_ntz"
+    path = f"{root}/{LEDGER_DIR}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def pending(files: DataFrame, ledger: DataFrame, name_col: str = "name") -> DataFrame:
@@ -94,10 +95,15 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
                     skip_committed: bool = True, empty_as_missing: bool = False) -> dict:
     """Clean-and-load CSV trip files into the raw table, exactly once per file.
 
-    Returns {"loaded": [names], "skipped": [names], "rejected": [paths]}.
+    Returns {"loaded": [names], "skipped": [names], "rejected": [paths],
+    "rows": {input_rows, dropped_missing, dropped_order, dropped_bounds,
+    kept_rows}}; the row counts are observed while the load writes (no
+    extra pass over the data).
     """
+    from pyspark.sql import Observation
+
     from ..sources.files import read_csv_by_name
-    from .clean import clean_trips
+    from .clean import clean_strings, clean_types, drop_reason
 
     names = {p.rsplit("/", 1)[-1]: p for p in paths}
     skipped: list[str] = []
@@ -106,16 +112,22 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
         skipped = sorted(n for n in names if n in done)
     todo = [p for n, p in sorted(names.items()) if n not in skipped]
     if not todo:
-        return {"loaded": [], "skipped": skipped, "rejected": []}
+        return {"loaded": [], "skipped": skipped, "rejected": [], "rows": {}}
     text, rejected = read_csv_by_name(spark, todo)
     if text is None:
-        return {"loaded": [], "skipped": skipped, "rejected": rejected}
+        return {"loaded": [], "skipped": skipped, "rejected": rejected, "rows": {}}
     stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
-    rows = clean_trips(text.withColumn("loaded_at", stamp), empty_as_missing=empty_as_missing)
-    write_raw(rows, root)
+    typed = clean_types(clean_strings(text.withColumn("loaded_at", stamp)))
+    reason = drop_reason(typed, empty_as_missing)
+    obs = Observation("load")
+    observed = typed.withColumn("_reason", reason).observe(
+        obs, F.count(F.lit(1)).alias("input_rows"),
+        *[F.count_if(F.col("_reason") == r).alias(f"dropped_{r}") for r in ("missing", "order", "bounds")],
+        F.count_if(F.col("_reason").isNull()).alias("kept_rows"))
+    write_raw(observed.filter(F.col("_reason").isNull()), root)
     loaded = sorted(p.rsplit("/", 1)[-1] for p in todo if p not in rejected)
     commit_files(spark, root, loaded)
-    return {"loaded": loaded, "skipped": skipped, "rejected": rejected}
+    return {"loaded": loaded, "skipped": skipped, "rejected": rejected, "rows": dict(obs.get)}
 
 
 # --- marts ---------------------------------------------------------------------

@@ -140,3 +140,21 @@ def test_command_line_load_run_report(spark, capsys):
     assert '"loaded": ["a.csv"]' in out and '"skipped": ["a.csv"]' in out
     assert main(["report", "--warehouse", wh]) == 0
     assert spark.read.parquet(os.path.join(wh, "fct_rides")).count() == 1
+
+
+def test_load_reports_observed_drop_counts(spark):
+    from ridelake.operators.sinks import load_trip_files
+    d = tempfile.mkdtemp(prefix="ridelake-obs-")
+    base = {c: "" for c in CSV_COLUMNS}
+    base.update(rideable_type="classic_bike", member_casual="member")
+    rows = [dict(base, ride_id="ok", started_at="2024-01-05 10:00:00", ended_at="2024-01-05 10:30:00"),
+            dict(base, ride_id="bad", started_at="garbage", ended_at="2024-01-05 10:30:00"),
+            dict(base, ride_id="rev", started_at="2024-01-05 11:00:00", ended_at="2024-01-05 10:30:00"),
+            dict(base, ride_id="short", started_at="2024-01-05 10:00:00", ended_at="2024-01-05 10:00:10")]
+    path = os.path.join(d, "mix.csv")
+    with open(path, "w") as fh:
+        fh.write(",".join(CSV_COLUMNS) + "\n" + "\n".join(",".join(r[c] for c in CSV_COLUMNS) for r in rows) + "\n")
+    rep = load_trip_files(spark, [path], d + "/raw")
+    assert rep["rows"] == {"input_rows": 4, "dropped_missing": 1, "dropped_order": 1, "dropped_bounds": 1,
+                           "kept_rows": 1}
+    assert [r.ride_id for r in read_raw(spark, d + "/raw").collect()] == ["ok"]
