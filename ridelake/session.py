@@ -9,13 +9,17 @@ from pyspark.sql import SparkSession
 
 # Settings every ridelake job relies on: text timestamps in other layouts
 # are parsed in UTC (no daylight-saving gaps), AQE re-plans joins and
-# partition counts from runtime sizes.  Write options (dynamic partition
-# overwrite, zstd) are passed per write, not set session-wide.
+# partition counts from runtime sizes.  A join side is broadcast only when
+# AQE has *measured* it (shuffle statistics) below the adaptive threshold;
+# the static planner's size estimates never trigger a broadcast.  Write
+# options (dynamic partition overwrite, zstd) are passed per write.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
 }
 
 

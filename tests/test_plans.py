@@ -44,3 +44,20 @@ def test_no_python_in_models(spark):
     for df in (M.agg_hourly(M.fct_trips(M.trip_metrics(stg))), M.dim_stations(M.stg_stations(raw), stg)):
         p = plan(df)
         assert "Python" not in p and "ArrowEval" not in p and "BatchEval" not in p
+
+
+def test_broadcast_only_from_measured_sizes(spark):
+    from ridelake.session import configure
+    configure(spark)
+    raw = raw_trips(spark, SF_SMOKE)
+    dim = M.dim_stations(M.stg_stations(raw), M.stg_trips(raw))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        static = plan(dim)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastExchange" not in static and "SortMergeJoin" in static, static
+    dim = M.dim_stations(M.stg_stations(raw), M.stg_trips(raw))  # fresh plan, AQE on
+    dim.collect()
+    final = dim._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final, final  # measured: the station statistics are tiny
