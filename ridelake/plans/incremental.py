@@ -45,15 +45,22 @@ def build_daily_from_fct(fct: DataFrame, mart_path: str) -> None:
     overwrite_keys(M.agg_daily(fct), mart_path, MART_KEY)
 
 
-def refresh_daily(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, mart_path: str) -> list:
+def refresh_daily(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, mart_path: str,
+                  fct: DataFrame | None = None) -> list:
     """Recompute the dates touched by ``new_rows`` (already in ``raw``).
 
-    Returns the touched dates that ended with no rides (their partitions are
-    dropped).  The touched-date list is collected: it is bounded by the
-    calendar (days), not by the data.
+    With ``fct`` (an already refreshed fact table) the touched dates are
+    aggregated from it; otherwise they are recomputed from the raw rows of
+    the rides involved.  Returns the touched dates that ended with no rides
+    (their partitions are dropped).  The touched-date list is collected: it
+    is bounded by the calendar (days), not by the data.
     """
     dates = touched_keys(new_rows, raw, "ride_id", F.to_date("started_at")).persist()
-    daily = daily_for_dates(raw, dates).persist()  # one row per touched date
+    if fct is None:
+        daily = daily_for_dates(raw, dates)
+    else:
+        daily = M.agg_daily(fct.join(dates.withColumnRenamed("key", MART_KEY), MART_KEY, "left_semi"))
+    daily = daily.persist()  # one row per touched date
     try:
         overwrite_keys(daily, mart_path, MART_KEY)
         kept = {r[0] for r in daily.select(MART_KEY).collect()}
@@ -75,3 +82,56 @@ def refresh_from_raw_table(spark: SparkSession, raw_root: str, mart_path: str, n
     raw = read_raw(spark, raw_root)
     new_rows = raw.filter(F.col("source_file").isin(*new_files))
     return refresh_daily(spark, raw, new_rows, mart_path)
+
+
+# --- month-partitioned models (staged trips, fact) -----------------------------
+
+MONTH = "year_month"
+
+
+def _month(ts: str = "started_at"):
+    from ..functions.timefn import year_month
+    return year_month(ts)
+
+
+def rides_in_months(raw: DataFrame, months: DataFrame) -> DataFrame:
+    """All versions of every ride with a version in one of ``months``."""
+    on_months = raw.join(months.withColumnRenamed("key", "_m"), _month() == F.col("_m"), "left_semi")
+    return raw.join(on_months.select("ride_id").distinct(), "ride_id", "left_semi")
+
+
+def write_by_month(df: DataFrame, path: str, sort_by=()) -> set:
+    """Write a trip model partitioned by the month of ``started_at``; with
+    dynamic overwrite only the months present in ``df`` are replaced.
+    Returns the months written (observed during the write, no extra pass).
+    ``sort_by`` range-clusters the rows on (month, keys) so each file holds
+    a narrow, sorted key range and a busy month is split across tasks."""
+    from pyspark.sql import Observation
+
+    obs = Observation("months")
+    out = df.withColumn(MONTH, _month()).observe(obs, F.collect_set(MONTH).alias("months"))
+    if sort_by:
+        out = out.repartitionByRange(MONTH, *sort_by).sortWithinPartitions(MONTH, *sort_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd").partitionBy(MONTH).parquet(path))
+    return set(obs.get["months"] or [])
+
+
+def refresh_months(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, path: str,
+                   build, sort_by=()) -> list:
+    """Recompute a month-partitioned trip model for the months ``new_rows``
+    touch (and the months of earlier versions of the same rides), from only
+    the rides involved; touched months left without rows are removed.
+    Returns the recomputed months.  ``build`` maps raw rows to the model
+    (e.g. ``trips.fct_from_raw``): keep-latest over all versions of the
+    involved rides picks the same winners as over the whole table."""
+    months = touched_keys(new_rows, raw, "ride_id", _month()).persist()
+    try:
+        model = build(rides_in_months(raw, months))
+        model = model.join(months.withColumnRenamed("key", "_m"), _month() == F.col("_m"), "left_semi")
+        written = write_by_month(model, path, sort_by)
+        touched = sorted(r[0] for r in months.collect())  # bounded by the calendar
+        drop_keys(spark, path, MONTH, [m for m in touched if m not in written])
+        return touched
+    finally:
+        months.unpersist()

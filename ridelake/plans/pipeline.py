@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import TableChecks, suite
 from ..operators.sinks import load_trip_files, path_exists, read_raw, write_table
 from . import trips as M
-from .incremental import build_daily_from_fct, read_daily, refresh_daily
+from .incremental import build_daily_from_fct, read_daily, refresh_daily, refresh_months, write_by_month
 
 
 @dataclass
@@ -50,33 +50,43 @@ CHECKS = {
 
 def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = False,
                  speed_guard: str = "exact", new_files: list[str] | None = None) -> dict[str, DataFrame]:
-    """Rebuild every model from the raw table; returns the written tables.
-
-    The daily mart is incremental: when it exists and ``new_files`` names
-    the files just loaded, only the dates they touch are recomputed
-    (delete+insert on ride_date); otherwise it is built in full.
+    """Build every model from the raw table; returns the written tables.
+
+    Staged trips and the fact table are stored by month.  With ``new_files``
+    (the files just loaded) and existing tables, only the months those files
+    touch -- plus the months of earlier versions of the same rides -- are
+    recomputed, from only the rides involved, and the daily mart only for
+    the dates they touch; a first run builds everything.  The station
+    dimension and hourly mart aggregate the (written) fact table, whose rows
+    are exactly the staged trips, so no model deduplicates twice.
     """
     raw = read_raw(spark, wh.raw)
-    write_table(M.stg_trips(raw), wh.table("stg_rides"))
-    stg = spark.read.parquet(wh.table("stg_rides"))
+    stg_path, fct_path, daily_path = wh.table("stg_rides"), wh.table("fct_rides"), wh.table("agg_daily_rides")
+    incremental = new_files is not None and path_exists(spark, fct_path) and path_exists(spark, daily_path)
+    if incremental:
+        new_rows = raw.filter(F.col("source_file").isin(*new_files)) if new_files else raw.limit(0)
+        refresh_months(spark, raw, new_rows, stg_path, M.stg_trips)
+        refresh_months(spark, raw, new_rows, fct_path, lambda r: M.fct_from_raw(r, speed_guard), FACT_ORDER)
+    else:
+        write_by_month(M.stg_trips(raw), stg_path)
+        stg_table = spark.read.parquet(stg_path)
+        write_by_month(M.fct_trips(M.trip_metrics(stg_table, speed_guard)), fct_path, FACT_ORDER)
+    stg = spark.read.parquet(stg_path)
+    fct = spark.read.parquet(fct_path)
     write_table(M.stg_stations(raw, empty_as_missing), wh.table("stg_stations"), sort_by=["station_id"])
     stations = spark.read.parquet(wh.table("stg_stations"))
-    write_table(M.fct_trips(M.trip_metrics(stg, speed_guard)), wh.table("fct_rides"),
-                cluster_by=FACT_ORDER, sort_by=FACT_ORDER)
-    fct = spark.read.parquet(wh.table("fct_rides"))
-    write_table(M.dim_stations(stations, stg, empty_as_missing), wh.table("dim_stations"),
+    write_table(M.dim_stations(stations, fct, empty_as_missing), wh.table("dim_stations"),
                 sort_by=["station_id"])
-    daily_path = wh.table("agg_daily_rides")
-    if new_files is not None and path_exists(spark, daily_path):
+    if incremental:
         if new_files:
-            refresh_daily(spark, raw, raw.filter(F.col("source_file").isin(*new_files)), daily_path)
+            refresh_daily(spark, raw, new_rows, daily_path, fct=fct)
     else:
         build_daily_from_fct(fct, daily_path)
     write_table(M.agg_hourly(fct), wh.table("agg_hourly_patterns"), sort_by=["is_weekend", "ride_hour"])
     return {
         "raw_rides": raw, "stg_rides": stg, "stg_stations": stations, "fct_rides": fct,
         "dim_stations": spark.read.parquet(wh.table("dim_stations")),
-        "agg_daily_rides": read_daily(spark, wh.table("agg_daily_rides")),
+        "agg_daily_rides": read_daily(spark, daily_path),
         "agg_hourly_patterns": spark.read.parquet(wh.table("agg_hourly_patterns")),
     }
 
