@@ -17,6 +17,7 @@ from ..operators.quality import TableChecks, suite
 from ..operators.sinks import load_trip_files, path_exists, read_raw, write_table
 from . import trips as M
 from .incremental import build_daily_from_fct, read_daily, refresh_daily, refresh_months, write_by_month
+from .monthly import hourly_from_parts, refresh_parts, station_stats_from_parts
 
 
 @dataclass
@@ -57,32 +58,40 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     touch -- plus the months of earlier versions of the same rides -- are
     recomputed, from only the rides involved, and the daily mart only for
     the dates they touch; a first run builds everything.  The station
-    dimension and hourly mart aggregate the (written) fact table, whose rows
-    are exactly the staged trips, so no model deduplicates twice.
+    dimension and hourly mart combine monthly partial aggregates of the
+    (written) fact table -- whose rows are exactly the staged trips -- and
+    only the touched months' partials are recomputed.
     """
     raw = read_raw(spark, wh.raw)
     stg_path, fct_path, daily_path = wh.table("stg_rides"), wh.table("fct_rides"), wh.table("agg_daily_rides")
     incremental = new_files is not None and path_exists(spark, fct_path) and path_exists(spark, daily_path)
+    parts_root = wh.table("fct_monthly_parts")
     if incremental:
         new_rows = raw.filter(F.col("source_file").isin(*new_files)) if new_files else raw.limit(0)
         refresh_months(spark, raw, new_rows, stg_path, M.stg_trips)
-        refresh_months(spark, raw, new_rows, fct_path, lambda r: M.fct_from_raw(r, speed_guard), FACT_ORDER)
+        months = refresh_months(spark, raw, new_rows, fct_path, lambda r: M.fct_from_raw(r, speed_guard),
+                                FACT_ORDER)
     else:
         write_by_month(M.stg_trips(raw), stg_path)
         stg_table = spark.read.parquet(stg_path)
         write_by_month(M.fct_trips(M.trip_metrics(stg_table, speed_guard)), fct_path, FACT_ORDER)
+        months = None
     stg = spark.read.parquet(stg_path)
     fct = spark.read.parquet(fct_path)
+    # monthly partials of the fact table: only the touched months are rescanned
+    if months is None or months:
+        refresh_parts(spark, fct, parts_root, months, empty_as_missing)
     write_table(M.stg_stations(raw, empty_as_missing), wh.table("stg_stations"), sort_by=["station_id"])
     stations = spark.read.parquet(wh.table("stg_stations"))
-    write_table(M.dim_stations(stations, fct, empty_as_missing), wh.table("dim_stations"),
-                sort_by=["station_id"])
+    write_table(M.dim_from_stats(stations, station_stats_from_parts(spark, parts_root)),
+                wh.table("dim_stations"), sort_by=["station_id"])
     if incremental:
         if new_files:
             refresh_daily(spark, raw, new_rows, daily_path, fct=fct)
     else:
         build_daily_from_fct(fct, daily_path)
-    write_table(M.agg_hourly(fct), wh.table("agg_hourly_patterns"), sort_by=["is_weekend", "ride_hour"])
+    write_table(hourly_from_parts(spark, parts_root), wh.table("agg_hourly_patterns"),
+                sort_by=["is_weekend", "ride_hour"])
     return {
         "raw_rides": raw, "stg_rides": stg, "stg_stations": stations, "fct_rides": fct,
         "dim_stations": spark.read.parquet(wh.table("dim_stations")),

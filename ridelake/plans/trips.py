@@ -174,7 +174,12 @@ def _exprs(named: dict[str, str]) -> list[Column]:
 def dim_stations(stations: DataFrame, stg: DataFrame, empty_as_missing: bool = False) -> DataFrame:
     """Station dimension: every staged station, with ride statistics (0 counts
     and NULL metrics when it has no staged rides)."""
-    stats = station_stats(station_roles(stg, empty_as_missing))
+    return dim_from_stats(stations, station_stats(station_roles(stg, empty_as_missing)))
+
+
+def dim_from_stats(stations: DataFrame, stats: DataFrame) -> DataFrame:
+    """Stations left-joined to their ride statistics (0 counts, NULL metrics
+    for a station without staged rides)."""
     j = stations.join(stats, "station_id", "left")
     starts = F.coalesce(F.col("total_starts"), F.lit(0))
     ends = F.coalesce(F.col("total_ends"), F.lit(0))
