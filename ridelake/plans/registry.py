@@ -776,18 +776,10 @@ def q_dq_accepted(spark, sf):
     return accepted_failures(typed, "member_casual", MEMBER_VALUES).select("ride_id", "member_casual")
 
 
-# --- Fixed values: the declared checks of the trip models --------------------
-# (table, not_null columns, unique columns, accepted {column: values})
-DQ_SPEC = [
-    ("raw_rides", ["ride_id", "started_at", "ended_at"], [], {"member_casual": ["member", "casual"]}),
-    ("stg_rides", ["ride_id", "rideable_type", "started_at", "ended_at", "member_casual"], [],
-     {"member_casual": ["member", "casual"]}),
-    ("stg_stations", ["station_id", "station_name"], ["station_id"], {}),
-    ("fct_rides", ["ride_id", "ride_duration_minutes"], ["ride_id"], {}),
-    ("dim_stations", ["station_id", "station_name"], ["station_id"], {}),
-    ("agg_daily_rides", ["ride_date", "total_rides"], ["ride_date"], {}),
-    ("agg_hourly_patterns", ["ride_hour"], [], {}),
-]
+# The declared checks of the trip models (defined once, in plans.pipeline).
+from .pipeline import CHECKS  # noqa: E402
+
+DQ_SPEC = [(table, nn, uq, acc) for table, (nn, uq, acc) in CHECKS.items()]
 _DQ_CTE = {"raw_rides": "raw", "stg_rides": "stg", "stg_stations": "stations", "fct_rides": "fct",
            "dim_stations": "dim", "agg_daily_rides": "daily", "agg_hourly_patterns": "hourly"}
 
