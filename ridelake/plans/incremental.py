@@ -18,21 +18,27 @@ from . import trips as M
 MART_KEY = "ride_date"
 
 
+def calendar_keys(keys: DataFrame, name: str) -> DataFrame:
+    """A set of dates or months, broadcast: its size is bounded by the
+    calendar span of the data (days or months), not by the data volume, so
+    joins against it never shuffle the big side (nor skew on a hot date)."""
+    return F.broadcast(keys.withColumnRenamed("key", name))
+
+
 def raw_for_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
     """All versions of every ride that has a version on one of ``dates``.
 
     Keep-latest over this subset gives the same winner as over the whole
     table for those rides, while reading only the rides that matter.
     """
-    on_dates = raw.join(dates.withColumnRenamed("key", "_d"),
-                        F.to_date("started_at") == F.col("_d"), "left_semi")
+    on_dates = raw.join(calendar_keys(dates, "_d"), F.to_date("started_at") == F.col("_d"), "left_semi")
     ids = on_dates.select("ride_id").distinct()
     return raw.join(ids, "ride_id", "left_semi")
 
 
 def daily_for_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
     fct = M.fct_from_raw(raw_for_dates(raw, dates))
-    fct = fct.join(dates.withColumnRenamed("key", MART_KEY), MART_KEY, "left_semi")
+    fct = fct.join(calendar_keys(dates, MART_KEY), MART_KEY, "left_semi")
     return M.agg_daily(fct)
 
 
@@ -59,7 +65,7 @@ def refresh_daily(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, mart
     if fct is None:
         daily = daily_for_dates(raw, dates)
     else:
-        daily = M.agg_daily(fct.join(dates.withColumnRenamed("key", MART_KEY), MART_KEY, "left_semi"))
+        daily = M.agg_daily(fct.join(calendar_keys(dates, MART_KEY), MART_KEY, "left_semi"))
     daily = daily.persist()  # one row per touched date
     try:
         overwrite_keys(daily, mart_path, MART_KEY)
@@ -96,7 +102,7 @@ def _month(ts: str = "started_at"):
 
 def rides_in_months(raw: DataFrame, months: DataFrame) -> DataFrame:
     """All versions of every ride with a version in one of ``months``."""
-    on_months = raw.join(months.withColumnRenamed("key", "_m"), _month() == F.col("_m"), "left_semi")
+    on_months = raw.join(calendar_keys(months, "_m"), _month() == F.col("_m"), "left_semi")
     return raw.join(on_months.select("ride_id").distinct(), "ride_id", "left_semi")
 
 
@@ -128,7 +134,7 @@ def refresh_months(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, pat
     months = touched_keys(new_rows, raw, "ride_id", _month()).persist()
     try:
         model = build(rides_in_months(raw, months))
-        model = model.join(months.withColumnRenamed("key", "_m"), _month() == F.col("_m"), "left_semi")
+        model = model.join(calendar_keys(months, "_m"), _month() == F.col("_m"), "left_semi")
         written = write_by_month(model, path, sort_by)
         touched = sorted(r[0] for r in months.collect())  # bounded by the calendar
         drop_keys(spark, path, MONTH, [m for m in touched if m not in written])

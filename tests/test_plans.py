@@ -61,3 +61,21 @@ def test_broadcast_only_from_measured_sizes(spark):
     dim.collect()
     final = dim._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final, final  # measured: the station statistics are tiny
+
+
+def test_calendar_keyed_joins_never_shuffle_the_big_side(spark):
+    from pyspark.sql import functions as F
+    from ridelake.operators.sinks import touched_keys
+    from ridelake.plans.incremental import daily_for_dates
+    from ridelake.session import configure
+    configure(spark)
+    raw = raw_trips(spark, SF_SMOKE)
+    df = daily_for_dates(raw, touched_keys(raw.filter(F.hour("loaded_at") == 6), raw, "ride_id",
+                                           F.to_date("started_at")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Exchange hashpartitioning(cast(started_at" not in p, p
+    assert p.count("BroadcastHashJoin") >= 2, p    # raw and fact joined to the touched dates
