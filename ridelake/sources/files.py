@@ -146,7 +146,8 @@ def write_named_csv(df: DataFrame, out_dir: str, name_col: str = "source_file",
 
 def _unzip_lines(batches):
     """mapInPandas body: each archive -> its first .csv member (not under
-    __MACOSX) as numbered text lines, streamed in bounded batches."""
+    __MACOSX) as data lines tagged with the archive's header line, streamed
+    in bounded batches."""
     import io
     import zipfile
 
@@ -159,16 +160,17 @@ def _unzip_lines(batches):
                 if not members:
                     continue
                 name = path.rsplit("/", 1)[-1]
-                buf_no, buf_line = [], []
                 with z.open(members[0]) as fh:
-                    for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8", newline="")):
-                        buf_no.append(i)
-                        buf_line.append(raw.rstrip("\r\n"))
-                        if len(buf_no) >= 50_000:
-                            yield pd.DataFrame({"archive": name, "line_no": buf_no, "line": buf_line})
-                            buf_no, buf_line = [], []
-                if buf_no:
-                    yield pd.DataFrame({"archive": name, "line_no": buf_no, "line": buf_line})
+                    text = io.TextIOWrapper(fh, encoding="utf-8", newline="")
+                    header = text.readline().rstrip("\r\n").lstrip("\ufeff")
+                    buf = []
+                    for raw in text:
+                        buf.append(raw.rstrip("\r\n"))
+                        if len(buf) >= 50_000:
+                            yield pd.DataFrame({"archive": name, "header": header, "line": buf})
+                            buf = []
+                    if buf:
+                        yield pd.DataFrame({"archive": name, "header": header, "line": buf})
 
 
 def read_zipped_csv(spark: SparkSession, root: str, pattern: str = "*.zip",
@@ -181,16 +183,14 @@ def read_zipped_csv(spark: SparkSession, root: str, pattern: str = "*.zip",
 
     from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    lines = zips.mapInPandas(_unzip_lines, "archive string, line_no long, line string")
-    lines = lines.persist()
-    headers = [r[0] for r in lines.filter(F.col("line_no") == 0).select("line").distinct().collect()]
+    lines = zips.mapInPandas(_unzip_lines, "archive string, header string, line string").persist()
+    headers = [r[0] for r in lines.select("header").distinct().collect()]  # one per header layout
     frames = []
     for h in headers:
-        names = [c.strip() for c in h.split(",")]
+        names = [c.strip().strip('"') for c in h.split(",")]
         ddl = ", ".join(f"`{n}` STRING" for n in names)
-        arch = lines.filter(F.col("line_no") == 0).filter(F.col("line") == h).select("archive")
-        body = lines.filter(F.col("line_no") > 0).join(arch, "archive", "left_semi")
-        parsed = body.select(F.from_csv("line", ddl).alias("r"), F.col("archive").alias("source_file"))
+        parsed = (lines.filter(F.col("header") == h)
+                  .select(F.from_csv("line", ddl).alias("r"), F.col("archive").alias("source_file")))
         frames.append(parsed.select(
             *[F.col(f"r.`{c}`").alias(c) if c in names else F.lit(None).cast("string").alias(c) for c in columns],
             "source_file"))
