@@ -20,6 +20,7 @@ from . import trips as M
 
 MONTH = "year_month"
 HOURLY = "hourly_parts"
+STATION_TUPLES = "station_tuples"
 HOURLY_STATIONS = "hourly_station_presence"
 STATIONS = "station_parts"
 
@@ -121,3 +122,26 @@ def station_stats_from_parts(spark: SparkSession, root: str) -> DataFrame:
         "first_ride_date": "min(first_ride_date)",
         "last_ride_date": "max(last_ride_date)",
     }))
+
+
+def station_tuple_parts(raw: DataFrame, empty_as_missing: bool = False) -> DataFrame:
+    """Distinct station tuples per month of ``started_at`` (partial distinct
+    before the shuffle: a hot station collapses to its few tuples)."""
+    from ..functions.timefn import year_month_sql
+    return M.station_tuples(raw, empty_as_missing, keep=(F.expr(year_month_sql("started_at")).alias(MONTH),)) \
+        .distinct()
+
+
+def refresh_station_tuples(spark: SparkSession, raw: DataFrame, root: str, months: Sequence[int] | None = None,
+                           empty_as_missing: bool = False) -> None:
+    """Recompute the stored tuples of ``months`` (all when None) from the raw
+    rows started in those months (the raw table is pruned by its month)."""
+    sub = raw if months is None else raw.filter(F.col(MONTH).isin(*months))
+    _write(station_tuple_parts(sub, empty_as_missing), f"{root}/{STATION_TUPLES}", dynamic=months is not None)
+
+
+def stations_from_parts(spark: SparkSession, root: str, coord_decimals: int | None = None) -> DataFrame:
+    """Staged stations from the stored tuples; the distinct runs again across
+    months, so a tuple seen in two months counts once (as over raw)."""
+    t = spark.read.parquet(f"{root}/{STATION_TUPLES}").drop(MONTH).distinct()
+    return M.stations_from_tuples(t, coord_decimals)

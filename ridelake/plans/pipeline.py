@@ -17,7 +17,8 @@ from ..operators.quality import TableChecks, suite
 from ..operators.sinks import load_trip_files, path_exists, read_raw, write_table
 from . import trips as M
 from .incremental import build_daily_from_fct, read_daily, refresh_daily, refresh_months, write_by_month
-from .monthly import hourly_from_parts, refresh_parts, station_stats_from_parts
+from .monthly import (hourly_from_parts, refresh_parts, refresh_station_tuples, station_stats_from_parts,
+                      stations_from_parts)
 
 
 @dataclass
@@ -81,7 +82,14 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     # monthly partials of the fact table: only the touched months are rescanned
     if months is None or months:
         refresh_parts(spark, fct, parts_root, months, empty_as_missing)
-    write_table(M.stg_stations(raw, empty_as_missing), wh.table("stg_stations"), sort_by=["station_id"])
+    # station tuples per month of the raw rows: only months with new rows are rescanned
+    if incremental:
+        new_months = sorted(r[0] for r in new_rows.select("year_month").distinct().collect())
+        if new_months:
+            refresh_station_tuples(spark, raw, parts_root, new_months, empty_as_missing)
+    else:
+        refresh_station_tuples(spark, raw, parts_root, None, empty_as_missing)
+    write_table(stations_from_parts(spark, parts_root), wh.table("stg_stations"), sort_by=["station_id"])
     stations = spark.read.parquet(wh.table("stg_stations"))
     write_table(M.dim_from_stats(stations, station_stats_from_parts(spark, parts_root)),
                 wh.table("dim_stations"), sort_by=["station_id"])

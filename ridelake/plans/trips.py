@@ -84,13 +84,14 @@ def _role_struct(fields: dict[str, str]) -> str:
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 
 
-def station_tuples(raw: DataFrame, empty_as_missing: bool = False) -> DataFrame:
+def station_tuples(raw: DataFrame, empty_as_missing: bool = False, keep: tuple = ()) -> DataFrame:
     """(role, station_id, station_name, latitude, longitude, loaded_at), one row
-    per role per raw row, produced in a single pass (inline of a 2-struct array)."""
+    per role per raw row, produced in a single pass (inline of a 2-struct array);
+    ``keep`` carries further columns (or Columns) in front."""
     roles = [_role_struct({"role": f"'{p}'", "station_id": f"{p}_station_id",
                            "station_name": f"{p}_station_name", "latitude": f"{p}_lat",
                            "longitude": f"{p}_lng", "loaded_at": "loaded_at"}) for p in ("start", "end")]
-    out = raw.select(F.expr(f"inline(array({', '.join(roles)}))"))
+    out = raw.select(*keep, F.expr(f"inline(array({', '.join(roles)}))"))
     cond = "station_id IS NOT NULL AND station_name IS NOT NULL"
     if empty_as_missing:
         cond += " AND station_id != '' AND station_name != ''"
@@ -104,7 +105,11 @@ def stg_stations(raw: DataFrame, empty_as_missing: bool = False, coord_decimals:
     as in the reference; the distinct runs with map-side partial aggregation,
     so a hot station id collapses to its few distinct tuples before the shuffle.
     """
-    t = station_tuples(raw, empty_as_missing=empty_as_missing).distinct()
+    return stations_from_tuples(station_tuples(raw, empty_as_missing=empty_as_missing).distinct(), coord_decimals)
+
+
+def stations_from_tuples(t: DataFrame, coord_decimals: int | None = None) -> DataFrame:
+    """Station rows from distinct (role, id, name, lat, lng, loaded_at) tuples."""
     lat, lng = "avg(latitude)", "avg(longitude)"
     if coord_decimals is not None:
         lat, lng = f"round({lat}, {int(coord_decimals)})", f"round({lng}, {int(coord_decimals)})"
