@@ -21,21 +21,21 @@ def _touch(d, names):
 
 def test_file_select(spark):
     d = tempfile.mkdtemp(prefix="ridelake-sel-")
-    _touch(d, ["JC-202401.zip", "JC-202402.zip", "JC-202403.zip", "NY-202401.zip", "JC-202401.csv"])
+    _touch(d, ["TR-202401.zip", "TR-202402.zip", "TR-202403.zip", "XX-202401.zip", "TR-202401.csv"])
     listing = list_files(spark, d, pattern=None)
     names = lambda df: [r[0] for r in df.select("name").collect()]
-    assert names(select_files(listing, "JC", ".zip")) == ["JC-202401.zip", "JC-202402.zip", "JC-202403.zip"]
-    assert names(select_files(listing, "JC", ".zip", start_from="JC-202402.zip")) == ["JC-202402.zip", "JC-202403.zip"]
-    assert names(select_files(listing, "JC", ".zip", start_from="JC-209901.zip")) == []
-    assert names(select_files(listing, "JC", ".zip", limit=2)) == ["JC-202401.zip", "JC-202402.zip"]
-    assert names(select_files(listing, "JC", ".zip", limit=0)) == ["JC-202401.zip", "JC-202402.zip", "JC-202403.zip"]
+    assert names(select_files(listing, "TR", ".zip")) == ["TR-202401.zip", "TR-202402.zip", "TR-202403.zip"]
+    assert names(select_files(listing, "TR", ".zip", start_from="TR-202402.zip")) == ["TR-202402.zip", "TR-202403.zip"]
+    assert names(select_files(listing, "TR", ".zip", start_from="TR-209901.zip")) == []
+    assert names(select_files(listing, "TR", ".zip", limit=2)) == ["TR-202401.zip", "TR-202402.zip"]
+    assert names(select_files(listing, "TR", ".zip", limit=0)) == ["TR-202401.zip", "TR-202402.zip", "TR-202403.zip"]
 
 
 def test_zip_scan_binds_by_header(spark):
     d = tempfile.mkdtemp(prefix="ridelake-zip-")
     rows = [["R1", "classic_bike", "2024-01-05 10:00:00", "2024-01-05 10:10:00", "A", "S1", "B", "S2",
              "40.7", "-74.0", "40.71", "-74.01", "member"]]
-    for name, cols in (("JC-1.zip", CSV_COLUMNS), ("JC-2.zip", list(reversed(CSV_COLUMNS)))):
+    for name, cols in (("TR-1.zip", CSV_COLUMNS), ("TR-2.zip", list(reversed(CSV_COLUMNS)))):
         buf = io.StringIO()
         buf.write(",".join(cols) + "\n")
         for r in rows:
@@ -45,7 +45,7 @@ def test_zip_scan_binds_by_header(spark):
             z.writestr("__MACOSX/._trips.csv", "junk")
             z.writestr("trips.csv", buf.getvalue())
     out = read_zipped_csv(spark, d).orderBy("source_file").collect()
-    assert [r["source_file"] for r in out] == ["JC-1.zip", "JC-2.zip"]
+    assert [r["source_file"] for r in out] == ["TR-1.zip", "TR-2.zip"]
     assert all(r["ride_id"] == "R1" and r["member_casual"] == "member" and r["start_lat"] == "40.7" for r in out)
 
 
