@@ -223,8 +223,16 @@ def empty_raw(spark: SparkSession) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on the cluster file system."""
-    jvm = spark._jvm
+    """Whether ``path`` exists on the cluster file system (falls back to a
+    metadata-only listing when the session has no JVM handle)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        try:
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
+                .select("path").limit(1).collect()
+            return True
+        except Exception:
+            return False
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
