@@ -158,3 +158,16 @@ def test_load_reports_observed_drop_counts(spark):
     assert rep["rows"] == {"input_rows": 4, "dropped_missing": 1, "dropped_order": 1, "dropped_bounds": 1,
                            "kept_rows": 1}
     assert [r.ride_id for r in read_raw(spark, d + "/raw").collect()] == ["ok"]
+
+
+def test_path_exists_without_jvm_handle(spark):
+    from ridelake.operators.sinks import path_exists
+
+    class NoJvm:  # a session exposing only the DataFrame API
+        def __init__(self, s):
+            self.read = s.read
+    d = tempfile.mkdtemp(prefix="ridelake-exists-")
+    spark.range(3).write.parquet(d + "/t")
+    assert path_exists(NoJvm(spark), d + "/t")
+    assert not path_exists(NoJvm(spark), d + "/missing")
+    assert path_exists(spark, d + "/t") and not path_exists(spark, d + "/missing")
