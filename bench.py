@@ -62,6 +62,7 @@ def main() -> None:
     q: dict[str, float] = {}
     q["load_raw"] = timed(lambda: write_raw(raw_trips(spark, sf_dir), raw_root))
     raw = read_raw(spark, raw_root)
+    raw_rows = raw.count()
 
     q["stg_trips"] = timed(lambda: run(M.stg_trips(raw)))
     q["stg_stations"] = timed(lambda: run(M.stg_stations(raw)))
@@ -88,6 +89,7 @@ def main() -> None:
         "unit": "sec",
         "queries": q,
         "sf": float(m.group(1)) if m else sf_dir,
+        "raw_rows": raw_rows,
     }))
     spark.stop()
 

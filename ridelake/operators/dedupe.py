@@ -14,9 +14,9 @@ def _order(cols: Sequence) -> list[Column]:
         if isinstance(c, Column):
             out.append(c)
         elif c.startswith("-"):
-            out.append(F.col(c[1:]).desc_nulls_last())
+            out.append(F.desc_nulls_last(c[1:]))
         else:
-            out.append(F.col(c).asc_nulls_last())
+            out.append(F.asc_nulls_last(c))
     return out
 
 
