@@ -12,7 +12,7 @@ from tools.check import TABLES, digest  # noqa: E402
 
 from conftest import SF_SMOKE  # noqa: E402
 
-NAMES = sorted(E.queries())
+NAMES = sorted(E.QUERIES)
 
 
 @pytest.fixture(scope="module")
