@@ -44,3 +44,8 @@ def words(text: Column) -> Column:
     """White-space separated words of ``text`` (NULL: no words)."""
     parts = F.split(F.coalesce(text, F.lit("")), f"[{WS}]+")
     return F.filter(parts, lambda w: w != "")
+
+
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Arrow batches small enough that a Python task holds few long texts at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
