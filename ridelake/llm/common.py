@@ -49,3 +49,8 @@ def words(text: Column) -> Column:
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches small enough that a Python task holds few long texts at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def strings(batch) -> list:
+    """The texts of a pandas batch, None where missing."""
+    return [t if isinstance(t, str) else None for t in batch]

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, stored, table
+from .common import small_batches, stored, strings, table
 
 SHINGLE = 5
 BANDS, ROWS = 40, 7
@@ -147,7 +147,7 @@ def _sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
     for batch in texts:
         rows = []
-        for text in batch:
+        for text in strings(batch):
             s = shingle_set(text)
             if len(s):
                 sig = signature(s)
@@ -160,7 +160,7 @@ def _sign(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def _sets(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
-        yield pd.Series([shingle_set(t).view(np.int64) for t in batch])
+        yield pd.Series([shingle_set(t).view(np.int64) for t in strings(batch)])
 
 
 @F.pandas_udf(T.BooleanType())
@@ -227,7 +227,7 @@ def _labelled(rows: DataFrame, parts: DataFrame, node: str) -> DataFrame:
 BLOCK_LINKS = "a long, b long"
 
 
-def _link_blocks(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _link_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Links that connect rows of two blocks, or of one, not connected yet."""
     left, right = int(key[1]), int(key[2])
     rows = rows.sort_values(["block", "rep"], kind="stable")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from . import host_rules, mixing, near_dup, sharding
+from . import decontaminate, host_rules, langid, mixing, near_dup, sharding
 
 QUERIES = {
+    "op1_bigru": langid.op1_bigru,
     "op4_virtual_slots": sharding.op4_virtual_slots,
     "op5_host_rules": host_rules.op5_host_rules,
+    "op6_automaton": decontaminate.op6_automaton,
     "op9_mix": mixing.op9_mix,
     "op10_odd_sketch": near_dup.op10_odd_sketch,
 }
 
 ORACLES = {
     "op5_host_rules": host_rules.OP5_SQL,
+    "op6_automaton": decontaminate.OP6_SQL,
     "op9_mix": mixing.OP9_SQL,
     "op10_odd_sketch": near_dup.OP10_SQL,
 }
