@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, host_rules, langid, mixing, near_dup, sharding
+from . import decontaminate, host_rules, html_text, langid, mixing, near_dup, quality_pu, sharding
 
 QUERIES = {
     "op1_bigru": langid.op1_bigru,
+    "op2_pu": quality_pu.op2_pu,
     "op4_virtual_slots": sharding.op4_virtual_slots,
     "op5_host_rules": host_rules.op5_host_rules,
     "op6_automaton": decontaminate.op6_automaton,
+    "op8_tag_paths": html_text.op8_tag_paths,
     "op9_mix": mixing.op9_mix,
     "op10_odd_sketch": near_dup.op10_odd_sketch,
 }
