@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, host_rules, html_text, langid, mixing, near_dup, quality_pu, sharding
+from . import decontaminate, host_rules, html_text, langid, mixing, near_dup, pii, quality_pu, sharding
 
 QUERIES = {
     "op1_bigru": langid.op1_bigru,
     "op2_pu": quality_pu.op2_pu,
+    "op3_boosted_spans": pii.op3_boosted_spans,
     "op4_virtual_slots": sharding.op4_virtual_slots,
     "op5_host_rules": host_rules.op5_host_rules,
     "op6_automaton": decontaminate.op6_automaton,
