@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, host_rules, html_text, langid, mixing, near_dup, pii, quality_pu, sharding
+from . import decontaminate, host_rules, html_text, langid, line_chunks, mixing, near_dup, pii, quality_pu, sharding
 
 QUERIES = {
     "op1_bigru": langid.op1_bigru,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_virtual_slots": sharding.op4_virtual_slots,
     "op5_host_rules": host_rules.op5_host_rules,
     "op6_automaton": decontaminate.op6_automaton,
+    "op7_line_chunks": line_chunks.op7_line_chunks,
     "op8_tag_paths": html_text.op8_tag_paths,
     "op9_mix": mixing.op9_mix,
     "op10_odd_sketch": near_dup.op10_odd_sketch,
@@ -19,6 +20,7 @@ QUERIES = {
 ORACLES = {
     "op5_host_rules": host_rules.OP5_SQL,
     "op6_automaton": decontaminate.OP6_SQL,
+    "op7_line_chunks": line_chunks.OP7_SQL,
     "op9_mix": mixing.OP9_SQL,
     "op10_odd_sketch": near_dup.OP10_SQL,
 }
