@@ -17,7 +17,7 @@ def _files(spark, args) -> list[str]:
         return list(args.files)
     if args.dir:
         from .sources.files import list_files
-        return [r[0] for r in list_files(spark, args.dir, args.pattern).select("path").orderBy("path").collect()]
+        return [r[0] for r in list_files(spark, args.dir, args.pattern, recursive=True).select("path").orderBy("path").collect()]
     return []
 
 
@@ -26,11 +26,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("command", choices=["load", "run", "report"])
     p.add_argument("--warehouse", required=True, help="root folder of the raw table and the models")
     p.add_argument("--files", nargs="*", help="CSV files to load")
-    p.add_argument("--dir", help="folder of CSV files to load")
+    p.add_argument("--dir", help="folder of CSV or zipped CSV files to load; names are paths below it")
     p.add_argument("--pattern", default="*.csv", help="file name glob within --dir")
     p.add_argument("--loaded-at", help="load timestamp (default: now)")
     p.add_argument("--reload", action="store_true", help="load files even if already committed")
     p.add_argument("--strict", action="store_true", help="treat empty text as missing")
+    p.add_argument("--speed-guard", default="exact", choices=["exact", "all"], help="which trips get a speed")
     p.add_argument("--master", help="Spark master (default: from the environment)")
     args = p.parse_args(argv)
 
@@ -47,11 +48,12 @@ def main(argv: list[str] | None = None) -> int:
         file_summary(raw).orderBy("source_file").show(truncate=False)
         return 0
     report = load_trip_files(spark, _files(spark, args), wh.raw, loaded_at=args.loaded_at,
-                             skip_committed=not args.reload, empty_as_missing=args.strict)
+                             skip_committed=not args.reload, empty_as_missing=args.strict,
+                             landing=args.dir)
     print(json.dumps(report))
     if args.command == "load":
         return 0
-    tables = build_models(spark, wh, args.strict, new_files=report["loaded"])
+    tables = build_models(spark, wh, args.strict, args.speed_guard)
     results = run_checks(tables)
     results.show(100, truncate=False)
     try:

@@ -2,10 +2,12 @@
 full-rebuild marts and key-partitioned incremental upserts.
 
 Layout of the raw table:  <root>/year_month=YYYYMM/source_file=<name>/*.parquet
-Every source file owns its own leaves, and writes use dynamic partition
-overwrite, so replaying a file rewrites exactly its leaves: a retry can
-neither lose nor duplicate rows.  A ledger row per file is appended only
-after its data is committed, so a crashed load is simply re-run.
+Every source file owns its own leaves.  A load clears the leaves its files
+have, then writes them anew, so a retry can neither lose nor duplicate rows
+and a reloaded file keeps no row it no longer has.  A ledger row per file is
+appended only after its data is committed, so a crashed load is simply
+re-run; a reload first marks its files as unfinished.  A file is known by its
+decoded path below the landing folder (its base name when none is given).
 """
 
 from __future__ import annotations
@@ -63,71 +65,134 @@ def between_dates(df: DataFrame, lo: str, hi: str, ts: str = "started_at") -> Da
 
 # --- file ledger ----------------------------------------------------------------
 
-def committed_files(spark: SparkSession, root: str) -> DataFrame:
-    """(source_file, rows, committed_at) of every completed load."""
-    schema = "source_file string, rows long, committed_at timestamp_ntz"
+# months: months whose models a reload changes beyond those of the file's rows
+LEDGER_SCHEMA = ("source_file string, path string, rows long, batch string, months array<int>, "
+                 "done boolean, committed_at timestamp_ntz")
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The newest ledger row of every file."""
     path = f"{root}/{LEDGER_DIR}"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    newest = rows.groupBy("source_file").agg(F.max(F.struct("committed_at", "done", "path", "rows", "batch", "months")).alias("r"))
+    return newest.select("source_file", "r.*")
+
+
+def committed_files(spark: SparkSession, root: str) -> DataFrame:
+    """(source_file, rows, committed_at, path, batch, months) of every completed load."""
+    return ledger(spark, root).where("done").select("source_file", "rows", "committed_at", "path", "batch", "months")
 
 
-def pending(files: DataFrame, ledger: DataFrame, name_col: str = "name") -> DataFrame:
+def pending(files: DataFrame, done: DataFrame, name_col: str = "name") -> DataFrame:
     """Files not yet committed (anti join on the file name)."""
-    return files.join(ledger.select(F.col("source_file").alias(name_col)), name_col, "left_anti")
+    return files.join(done.select(F.col("source_file").alias(name_col)), name_col, "left_anti")
+
 
+def _append_ledger(rows: DataFrame, root: str, batch: str, months: Sequence[int], done: bool) -> None:
+    """Add ledger rows; ``rows``: source_file, path, rows."""
+    (rows.select("source_file", "path", "rows", F.lit(batch).alias("batch"),
+                 F.array(*[F.lit(m) for m in months]).cast("array<int>").alias("months"),
+                 F.lit(done).alias("done"), F.localtimestamp().alias("committed_at"))
+     .write.mode("append").parquet(f"{root}/{LEDGER_DIR}"))
 
-def commit_files(spark: SparkSession, root: str, names: Sequence[str]) -> None:
-    """Append ledger rows for files whose leaves are now written."""
-    if not names:
+
+def commit_files(spark: SparkSession, root: str, files: dict[str, str], batch: str = "", months: Sequence[int] = ()) -> None:
+    """Append ledger rows for files (name: path) whose leaves are now written."""
+    if not files:
         return
-    counts = (read_raw(spark, root).filter(F.col("source_file").isin(*names))
+    listed = spark.createDataFrame(sorted(files.items()), "source_file string, path string")
+    counts = (read_raw(spark, root).join(listed.select("source_file"), "source_file", "left_semi")
               .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
     # every committed file gets a row, also one whose rows were all rejected
-    files = spark.createDataFrame([(n,) for n in names], "source_file string")
-    (files.join(counts, "source_file", "left")
-     .select("source_file", F.coalesce("rows", F.lit(0)).alias("rows"),
-             F.localtimestamp().alias("committed_at"))
-     .write.mode("append").parquet(f"{root}/{LEDGER_DIR}"))
+    rows = listed.join(counts, "source_file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    _append_ledger(rows, root, batch, months, True)
+
+
+def _drop_leaves(spark: SparkSession, root: str, leaves: Sequence) -> None:
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for r in leaves:
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/year_month={r.year_month}", escape("source_file", r.source_file))
+        p.getFileSystem(conf).delete(p, True)
+
+
+def _begin_reload(spark: SparkSession, root: str, files: DataFrame, batch: str) -> list[int]:
+    """Clear the leaves that the given files have; returns the months to refresh besides their new rows'.
+
+    The files are marked unfinished first, with the months of all versions of
+    the rides they held, so a crash from here on costs a reload and nothing else.
+    """
+    raw = read_raw(spark, root)
+    leaves = raw.join(files, "source_file", "left_semi").select("year_month", "source_file").distinct().collect()
+    if leaves:  # these folders are deleted one by one
+        ids = raw.join(files, "source_file", "left_semi").select("ride_id").distinct()
+        months = sorted(r[0] for r in raw.join(ids, "ride_id", "left_semi").select("year_month").distinct().collect())
+        held = spark.createDataFrame([(n, None, None) for n in sorted({r.source_file for r in leaves})],
+                                     "source_file string, path string, rows long")
+        _append_ledger(held, root, batch, months, False)
+        _drop_leaves(spark, root, leaves)
+    unfinished = ledger(spark, root).where("NOT done").join(files, "source_file", "left_semi")
+    return sorted(r[0] for r in unfinished.select(F.explode("months")).distinct().collect())  # bounded by the calendar
 
 
 def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded_at: str | None = None,
-                    skip_committed: bool = True, empty_as_missing: bool = False) -> dict:
-    """Clean-and-load CSV trip files into the raw table, exactly once per file.
+                    skip_committed: bool = True, empty_as_missing: bool = False, landing: str | None = None,
+                    multiline: bool = False) -> dict:
+    """Clean-and-load CSV files, plain or zipped, into the raw table, exactly once per file.
 
     Returns {"loaded": [names], "skipped": [names], "rejected": [paths],
-    "rows": {input_rows, dropped_missing, dropped_order, dropped_bounds,
-    kept_rows}}; the row counts are observed while the load writes (no
-    extra pass over the data).
+    "rows": {input_rows, dropped_malformed, dropped_missing, dropped_order,
+    dropped_bounds, kept_rows}}; the row counts are observed while the load
+    writes (no extra pass over the data).  Unreadable files and files that
+    lack a required column are rejected, the rest load.  ``ValueError`` if
+    two paths share a name, or a committed name comes from another path:
+    give ``landing``, so that names are paths below it.
     """
+    import uuid
+
     from pyspark.sql import Observation
 
-    from ..sources.files import read_csv_by_name
+    from ..schema import require_columns
+    from ..sources.files import plain_path, read_trip_files, source_id
     from .clean import clean_strings, clean_types, drop_reason
 
-    names = {p.rsplit("/", 1)[-1]: p for p in paths}
+    names: dict[str, str] = {}
+    for p in paths:
+        n = source_id(p, landing)
+        if plain_path(names.setdefault(n, p)) != plain_path(p):
+            raise ValueError(f"two files named {n!r}: {names[n]!r} and {p!r}")
     skipped: list[str] = []
-    if skip_committed:
-        done = {r[0] for r in committed_files(spark, root).select("source_file").collect()}
-        skipped = sorted(n for n in names if n in done)
-    todo = [p for n, p in sorted(names.items()) if n not in skipped]
-    if not todo:
-        return {"loaded": [], "skipped": skipped, "rejected": [], "rows": {}}
-    text, rejected = read_csv_by_name(spark, todo)
+    if names and skip_committed:
+        listed = spark.createDataFrame([(n, plain_path(p)) for n, p in sorted(names.items())], "name string, path string")
+        known = committed_files(spark, root)
+        was = known.select(F.col("source_file").alias("name"), F.col("path").alias("was"))
+        if (row := listed.join(was, "name").where("path <> was").first()) is not None:
+            raise ValueError(f"file {row['name']!r} was loaded from {row['was']!r}, not from {row['path']!r}")
+        todo = {r[0] for r in pending(listed, known).select("name").collect()}
+        skipped = sorted(n for n in names if n not in todo)
+    todo = {n: p for n, p in sorted(names.items()) if n not in set(skipped)}
+    text, rejected = read_trip_files(spark, list(todo.values()), landing, multiline) if todo else (None, [])
     if text is None:
         return {"loaded": [], "skipped": skipped, "rejected": rejected, "rows": {}}
+    require_columns(text)
+    loading = {n: plain_path(p) for n, p in todo.items() if p not in set(rejected)}
+    batch = uuid.uuid4().hex
+    files = spark.createDataFrame([(n,) for n in loading], "source_file string")
+    months = _begin_reload(spark, root, files, batch) if path_exists(spark, root) else []
     stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
     typed = clean_types(clean_strings(text.withColumn("loaded_at", stamp)))
-    reason = drop_reason(typed, empty_as_missing)
+    reason = F.when(F.col("_malformed"), F.lit("malformed")).otherwise(drop_reason(typed, empty_as_missing))
     obs = Observation("load")
     observed = typed.withColumn("_reason", reason).observe(
         obs, F.count(F.lit(1)).alias("input_rows"),
-        *[F.count_if(F.col("_reason") == r).alias(f"dropped_{r}") for r in ("missing", "order", "bounds")],
+        *[F.count_if(F.col("_reason") == r).alias(f"dropped_{r}") for r in ("malformed", "missing", "order", "bounds")],
         F.count_if(F.col("_reason").isNull()).alias("kept_rows"))
     write_raw(observed.filter(F.col("_reason").isNull()), root)
-    loaded = sorted(p.rsplit("/", 1)[-1] for p in todo if p not in rejected)
-    commit_files(spark, root, loaded)
-    return {"loaded": loaded, "skipped": skipped, "rejected": rejected, "rows": dict(obs.get)}
+    commit_files(spark, root, loading, batch, months)
+    return {"loaded": sorted(loading), "skipped": skipped, "rejected": rejected, "rows": dict(obs.get)}
 
 
 # --- marts ---------------------------------------------------------------------

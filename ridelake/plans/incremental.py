@@ -100,44 +100,54 @@ def _month(ts: str = "started_at"):
     return year_month(ts)
 
 
-def rides_in_months(raw: DataFrame, months: DataFrame) -> DataFrame:
-    """All versions of every ride with a version in one of ``months``."""
-    on_months = raw.join(calendar_keys(months, "_m"), _month() == F.col("_m"), "left_semi")
-    return raw.join(on_months.select("ride_id").distinct(), "ride_id", "left_semi")
+def touched_months(raw: DataFrame, new_rows: DataFrame) -> list[int]:
+    """Months of ``new_rows`` and of earlier versions of the same rides (one
+    narrow scan of ride ids and months; the result is bounded by the calendar)."""
+    return sorted(r[0] for r in touched_keys(new_rows, raw, "ride_id", F.col(MONTH)).collect())
 
 
-def write_by_month(df: DataFrame, path: str, sort_by=()) -> set:
+def rides_in_months(raw: DataFrame, months) -> DataFrame:
+    """All versions of every ride with a version in one of ``months`` (the
+    months themselves are read by partition)."""
+    ids = raw.filter(F.col(MONTH).isin(list(months))).select("ride_id").distinct()
+    return raw.join(ids, "ride_id", "left_semi")
+
+
+def write_by_month(df: DataFrame, path: str, sort_by=(), full: bool = False) -> set:
     """Write a trip model partitioned by the month of ``started_at``; with
-    dynamic overwrite only the months present in ``df`` are replaced.
-    Returns the months written (observed during the write, no extra pass).
-    ``sort_by`` range-clusters the rows on (month, keys) so each file holds
-    a narrow, sorted key range and a busy month is split across tasks."""
+    dynamic overwrite only the months present in ``df`` are replaced (``full``
+    replaces all).  Returns the months written (observed during the write, no
+    extra pass).  ``sort_by`` range-clusters the rows on (month, keys) so each
+    file holds a narrow, sorted key range and a busy month is split across
+    tasks."""
     from pyspark.sql import Observation
 
     obs = Observation("months")
     out = df.withColumn(MONTH, _month()).observe(obs, F.collect_set(MONTH).alias("months"))
     if sort_by:
         out = out.repartitionByRange(MONTH, *sort_by).sortWithinPartitions(MONTH, *sort_by)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static" if full else "dynamic")
      .option("compression", "zstd").partitionBy(MONTH).parquet(path))
     return set(obs.get["months"] or [])
 
 
-def refresh_months(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, path: str,
-                   build, sort_by=()) -> list:
-    """Recompute a month-partitioned trip model for the months ``new_rows``
-    touch (and the months of earlier versions of the same rides), from only
-    the rides involved; touched months left without rows are removed.
-    Returns the recomputed months.  ``build`` maps raw rows to the model
-    (e.g. ``trips.fct_from_raw``): keep-latest over all versions of the
-    involved rides picks the same winners as over the whole table."""
-    months = touched_keys(new_rows, raw, "ride_id", _month()).persist()
-    try:
-        model = build(rides_in_months(raw, months))
-        model = model.join(calendar_keys(months, "_m"), _month() == F.col("_m"), "left_semi")
-        written = write_by_month(model, path, sort_by)
-        touched = sorted(r[0] for r in months.collect())  # bounded by the calendar
-        drop_keys(spark, path, MONTH, [m for m in touched if m not in written])
-        return touched
-    finally:
-        months.unpersist()
+def refresh_months(spark: SparkSession, raw: DataFrame, months, path: str, build, sort_by=()) -> None:
+    """Recompute ``months`` of a month-partitioned trip model from only the
+    rides involved; months left without rows are removed.  ``build`` maps raw
+    rows to the model: keep-latest over all versions of the involved rides
+    picks the same winners as over the whole table."""
+    model = build(rides_in_months(raw, months)).filter(_month().isin(list(months)))
+    written = write_by_month(model, path, sort_by)
+    drop_keys(spark, path, MONTH, [m for m in months if m not in written])
+
+
+def refresh_daily_months(spark: SparkSession, fct: DataFrame, months, mart_path: str) -> list:
+    """Recompute the dates of ``months`` from the fact table's partitions;
+    dates left without rides are dropped and returned."""
+    before = [r[0] for r in spark.read.parquet(mart_path).select(MART_KEY).distinct().collect()]  # bounded by the calendar
+    daily = M.agg_daily(fct.filter(F.col(MONTH).isin(list(months))))
+    overwrite_keys(daily, mart_path, MART_KEY)
+    kept = {r[0] for r in fct.filter(F.col(MONTH).isin(list(months))).select(MART_KEY).distinct().collect()}
+    gone = sorted(d for d in before if d.year * 100 + d.month in set(months) and d not in kept)
+    drop_keys(spark, mart_path, MART_KEY, [d.isoformat() for d in gone])
+    return gone

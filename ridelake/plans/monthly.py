@@ -109,7 +109,9 @@ def hourly_from_parts(spark: SparkSession, root: str) -> DataFrame:
         "unique_start_stations": "count(DISTINCT CASE WHEN role = 'start' THEN station_id END)",
         "unique_end_stations": "count(DISTINCT CASE WHEN role = 'end' THEN station_id END)",
     }))
-    return parts.join(presence, ["ride_hour", "is_weekend"], "left")
+    # a group whose station ids are all NULL has no presence row
+    return parts.join(presence, ["ride_hour", "is_weekend"], "left").fillna(
+        0, ["unique_start_stations", "unique_end_stations"])
 
 
 def station_stats_from_parts(spark: SparkSession, root: str) -> DataFrame:
@@ -137,7 +139,12 @@ def refresh_station_tuples(spark: SparkSession, raw: DataFrame, root: str, month
     """Recompute the stored tuples of ``months`` (all when None) from the raw
     rows started in those months (the raw table is pruned by its month)."""
     sub = raw if months is None else raw.filter(F.col(MONTH).isin(*months))
-    _write(station_tuple_parts(sub, empty_as_missing), f"{root}/{STATION_TUPLES}", dynamic=months is not None)
+    from ..operators.sinks import drop_keys
+    path = f"{root}/{STATION_TUPLES}"
+    if months:  # a month may have lost all its rows
+        present = {r[0] for r in sub.select(MONTH).distinct().collect()}
+        drop_keys(spark, path, MONTH, [m for m in months if m not in present])
+    _write(station_tuple_parts(sub, empty_as_missing), path, dynamic=months is not None)
 
 
 def stations_from_parts(spark: SparkSession, root: str, coord_decimals: int | None = None) -> DataFrame:

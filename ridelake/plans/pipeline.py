@@ -4,6 +4,11 @@ Staged trips are written once and every downstream model reads that table,
 so the one heavy exchange (keep-latest on ride_id) runs once per run, and
 each written table also cuts the lineage (a lost executor recomputes from
 the last written table, not from the raw files).
+
+The models record which loads they have consumed, after all of them are
+written.  A build takes its work from the raw table's ledger less that
+record, so a load that no build followed, or a build that died midway, is
+made up for by the next one.
 """
 
 from __future__ import annotations
@@ -12,13 +17,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.quality import TableChecks, suite
-from ..operators.sinks import load_trip_files, path_exists, read_raw, write_table
+from ..operators.sinks import LEDGER_DIR, committed_files, drop_keys, load_trip_files, path_exists, read_raw, write_table
+from ..session import scratch_dir
 from . import trips as M
-from .incremental import build_daily_from_fct, read_daily, refresh_daily, refresh_months, write_by_month
+from .incremental import (build_daily_from_fct, read_daily, refresh_daily_months, refresh_months, touched_months,
+                          write_by_month)
 from .monthly import (hourly_from_parts, refresh_parts, refresh_station_tuples, station_stats_from_parts,
                       stations_from_parts)
+from .rollups import refresh_rollups
 
 
 @dataclass
@@ -32,11 +41,18 @@ class Warehouse:
     def table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    @property
+    def consumed(self) -> str:
+        return f"{self.root}/_consumed"
+
 
 # Fact layout: range-clustered on the full sort key, so a date holding a
 # third of all rides is still split across many files / tasks.
 FACT_ORDER = ["ride_date", "member_casual", "rideable_type", "started_at"]
 
+# Staged trips: by ride, so that files per month follow its rows, not the number of tasks.
+STG_ORDER = ["ride_id"]
+
 # The declared checks (not_null, unique, accepted) per model.
 CHECKS = {
     "raw_rides": (["ride_id", "started_at", "ended_at"], [], {"member_casual": ["member", "casual"]}),
@@ -50,56 +66,86 @@ CHECKS = {
 }
 
 
+CONSUMED_SCHEMA = "source_file string, batch string, months array<int>"
+
+
+def unconsumed(spark: SparkSession, wh: Warehouse) -> DataFrame | None:
+    """(source_file, batch, months) of the committed loads that the models lack.
+
+    None when the models have consumed nothing yet: everything is to be built.
+    """
+    if not path_exists(spark, wh.consumed):
+        return None
+    done = spark.read.schema(CONSUMED_SCHEMA).parquet(wh.consumed).select("source_file", "batch")
+    loads = committed_files(spark, wh.raw).select("source_file", "batch", "months")
+    return loads.join(done, ["source_file", "batch"], "left_anti")
+
+
 def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = False,
-                 speed_guard: str = "exact", new_files: list[str] | None = None) -> dict[str, DataFrame]:
+                 speed_guard: str = "exact", new_files: list[str] | None = None, full: bool = False) -> dict[str, DataFrame]:
     """Build every model from the raw table; returns the written tables.
 
-    Staged trips and the fact table are stored by month.  With ``new_files``
-    (the files just loaded) and existing tables, only the months those files
-    touch -- plus the months of earlier versions of the same rides -- are
-    recomputed, from only the rides involved, and the daily mart only for
-    the dates they touch; a first run builds everything.  The station
-    dimension and hourly mart combine monthly partial aggregates of the
-    (written) fact table -- whose rows are exactly the staged trips -- and
-    only the touched months' partials are recomputed.
+    Staged trips and the fact table are stored by month.  The first build
+    makes everything; later ones take the loads not consumed yet (or
+    ``new_files``) and recompute only the months these touch: months of
+    their rows, of earlier versions of the same rides, and of rides that a
+    reload moved or removed.  The touched months are found once; staged
+    trips come from the rides of these months, the fact table from the
+    staged months, the daily mart, monthly partials and rollups from months
+    by partition.
     """
     raw = read_raw(spark, wh.raw)
     stg_path, fct_path, daily_path = wh.table("stg_rides"), wh.table("fct_rides"), wh.table("agg_daily_rides")
-    incremental = new_files is not None and path_exists(spark, fct_path) and path_exists(spark, daily_path)
-    parts_root = wh.table("fct_monthly_parts")
-    if incremental:
-        new_rows = raw.filter(F.col("source_file").isin(*new_files)) if new_files else raw.limit(0)
-        refresh_months(spark, raw, new_rows, stg_path, M.stg_trips)
-        months = refresh_months(spark, raw, new_rows, fct_path, lambda r: M.fct_from_raw(r, speed_guard),
-                                FACT_ORDER)
+    parts_root, rollups = wh.table("fct_monthly_parts"), wh.table("rollups")
+    built = all(path_exists(spark, p) for p in (stg_path, fct_path, daily_path, wh.table("agg_hourly_patterns")))
+    work, loads, extra = None, None, []
+    if new_files is not None and built and not full:
+        work = spark.createDataFrame([(n,) for n in new_files], "source_file string")
+    elif path_exists(spark, f"{wh.raw}/{LEDGER_DIR}"):
+        loads = unconsumed(spark, wh) if built and not full else None
+        path = scratch_dir(spark, "loads")  # the loads this build takes, whatever is loaded meanwhile
+        (committed_files(spark, wh.raw).select("source_file", "batch", "months") if loads is None else loads).write.parquet(path)
+        taken = spark.read.schema(CONSUMED_SCHEMA).parquet(path)
+        if loads is not None:
+            work = taken.select("source_file")
+            extra = sorted(r[0] for r in taken.select(F.explode("months")).distinct().collect())  # bounded by the calendar
+        loads = taken
+    if work is not None:
+        new_rows = raw.join(work, "source_file", "left_semi")
+        own = sorted(r[0] for r in new_rows.select("year_month").distinct().collect())
+        months = sorted({*touched_months(raw, new_rows), *extra}) if own else extra
+        raw_months = sorted({*own, *extra})
+        if months:
+            refresh_months(spark, raw, months, stg_path, M.stg_trips, STG_ORDER)
+            stg_months = spark.read.schema(_stored(M.stg_trips(raw))).parquet(stg_path).filter(F.col("year_month").isin(months))
+            written = write_by_month(M.fct_trips(M.trip_metrics(stg_months, speed_guard)), fct_path, FACT_ORDER)
+            drop_keys(spark, fct_path, "year_month", [m for m in months if m not in written])
     else:
-        write_by_month(M.stg_trips(raw), stg_path)
-        stg_table = spark.read.parquet(stg_path)
-        write_by_month(M.fct_trips(M.trip_metrics(stg_table, speed_guard)), fct_path, FACT_ORDER)
-        months = None
-    stg = spark.read.parquet(stg_path)
-    fct = spark.read.parquet(fct_path)
+        months = raw_months = None
+        write_by_month(M.stg_trips(raw), stg_path, STG_ORDER, full=True)
+        stg_table = spark.read.schema(_stored(M.stg_trips(raw))).parquet(stg_path)
+        write_by_month(M.fct_trips(M.trip_metrics(stg_table, speed_guard)), fct_path, FACT_ORDER, full=True)
+    stg = spark.read.schema(_stored(M.stg_trips(raw))).parquet(stg_path)
+    fct = spark.read.schema(_stored(M.fct_from_raw(raw))).parquet(fct_path)
     # monthly partials of the fact table: only the touched months are rescanned
     if months is None or months:
         refresh_parts(spark, fct, parts_root, months, empty_as_missing)
-    # station tuples per month of the raw rows: only months with new rows are rescanned
-    if incremental:
-        new_months = sorted(r[0] for r in new_rows.select("year_month").distinct().collect())
-        if new_months:
-            refresh_station_tuples(spark, raw, parts_root, new_months, empty_as_missing)
-    else:
-        refresh_station_tuples(spark, raw, parts_root, None, empty_as_missing)
+    # station tuples and rollups per month of the raw rows
+    if raw_months is None or raw_months:
+        refresh_station_tuples(spark, raw, parts_root, raw_months, empty_as_missing)
+        refresh_rollups(spark, wh.raw, rollups, raw_months)
     write_table(stations_from_parts(spark, parts_root), wh.table("stg_stations"), sort_by=["station_id"])
     stations = spark.read.parquet(wh.table("stg_stations"))
     write_table(M.dim_from_stats(stations, station_stats_from_parts(spark, parts_root)),
                 wh.table("dim_stations"), sort_by=["station_id"])
-    if incremental:
-        if new_files:
-            refresh_daily(spark, raw, new_rows, daily_path, fct=fct)
-    else:
+    if months is None:
         build_daily_from_fct(fct, daily_path)
+    elif months:
+        refresh_daily_months(spark, fct, months, daily_path)
     write_table(hourly_from_parts(spark, parts_root), wh.table("agg_hourly_patterns"),
                 sort_by=["is_weekend", "ride_hour"])
+    if loads is not None:
+        loads.write.mode("append").parquet(wh.consumed)
     return {
         "raw_rides": raw, "stg_rides": stg, "stg_stations": stations, "fct_rides": fct,
         "dim_stations": spark.read.parquet(wh.table("dim_stations")),
@@ -108,6 +154,11 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     }
 
 
+def _stored(df: DataFrame):
+    """Schema of a trip model as stored: its columns and the month partition."""
+    return T.StructType([f for f in df.schema.fields if f.name != "year_month"] + [T.StructField("year_month", T.IntegerType())])
+
+
 def register_views(tables: dict[str, DataFrame]) -> list[str]:
     """Expose models to SQL users as temporary views (lazy, like the
     reference's view models); returns the view names."""
@@ -121,13 +172,15 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, files: list[str], warehouse_root: str, loaded_at: str | None = None,
-                 empty_as_missing: bool = False) -> tuple[dict, DataFrame]:
-    """Load new files (exactly once), rebuild the models, run the checks.
+                 empty_as_missing: bool = False, speed_guard: str = "exact",
+                 landing: str | None = None, reload: bool = False) -> tuple[dict, DataFrame]:
+    """Load new files (exactly once), bring the models up to date, run the checks.
 
     Returns (load report, check results).  Callers decide whether failures
     (``ridelake.operators.quality.failed``) abort the run.
     """
     wh = Warehouse(warehouse_root)
-    report = load_trip_files(spark, files, wh.raw, loaded_at=loaded_at, empty_as_missing=empty_as_missing)
-    tables = build_models(spark, wh, empty_as_missing, new_files=report["loaded"])
+    report = load_trip_files(spark, files, wh.raw, loaded_at=loaded_at, skip_committed=not reload,
+                             empty_as_missing=empty_as_missing, landing=landing)
+    tables = build_models(spark, wh, empty_as_missing, speed_guard)
     return report, run_checks(tables)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import WEEKEND_DAYS
 from ..functions.timefn import iso_dow_sql, minutes_crossed_sql, year_month_sql
-from ..operators.sinks import read_raw
+from ..operators.sinks import drop_keys, read_raw
 
 MEMBER = "member_by_day"
 STATION_HOUR = "station_hour"
@@ -49,15 +49,19 @@ def _write(df: DataFrame, path: str) -> None:
 
 def refresh_rollups(spark: SparkSession, raw_root: str, root: str,
                     months: Sequence[int] | None = None) -> None:
-    """Recompute the rollups for ``months`` (all months when None)."""
+    """Recompute the rollups for ``months`` (all months when None); months left without rows go."""
     raw = read_raw(spark, raw_root, months=months)
+    if months:
+        present = {r[0] for r in raw.select("year_month").distinct().collect()}  # bounded by the calendar
+        for name in (MEMBER, STATION_HOUR):
+            drop_keys(spark, f"{root}/{name}", "year_month", [m for m in months if m not in present])
     _write(member_rollup_rows(raw), f"{root}/{MEMBER}")
     _write(station_hour_rollup_rows(raw), f"{root}/{STATION_HOUR}")
 
 
 def months_of_files(spark: SparkSession, raw_root: str, files: Sequence[str]) -> list[int]:
-    """Months that the given source files have rows in (partition values
-    only: answered from the file listing, no data read)."""
+    """Months that the given source files have rows in (the scan is pruned to
+    these files and reads no columns)."""
     raw = read_raw(spark, raw_root).filter(F.col("source_file").isin(*files))
     return sorted(r[0] for r in raw.select("year_month").distinct().collect())
 

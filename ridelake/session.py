@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,8 +46,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session; only when the session has none (local tests) is
-    a private temporary folder created and registered.
+    Read from the session; only a local session that has none gets a private
+    temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -55,6 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ridelake-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)

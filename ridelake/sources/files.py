@@ -9,6 +9,7 @@ instead of silently shifting columns.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -20,6 +21,29 @@ from pyspark.sql import types as T
 from ..schema import CSV_COLUMNS, REQUIRED_COLUMNS
 
 
+def plain_path(path: str) -> str:
+    """A path without its scheme."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", path)
+
+
+def source_id(path: str, landing: str | None = None) -> str:
+    """What a file is known by: its path below ``landing``, else its base name."""
+    path = plain_path(path)
+    base = plain_path(landing).rstrip("/") + "/" if landing else None
+    return path[len(base):] if base and path.startswith(base) else path.rsplit("/", 1)[-1]
+
+
+def source_file(landing: str | None = None) -> Column:
+    """``source_id`` of the file a row was read from (the metadata path is URL-encoded)."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    name = F.element_at(F.split(path, "/"), -1)
+    if not landing:
+        return name
+    base = plain_path(landing).rstrip("/") + "/"
+    at = F.locate(base, path)
+    return F.when(at > 0, F.substr(path, at + len(base))).otherwise(name)
+
+
 def file_name(path_col: str = "path") -> Column:
     return F.element_at(F.split(F.col(path_col), "/"), -1)
 
@@ -76,43 +100,76 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 
 def group_by_header(spark: SparkSession, paths: Iterable[str], threads: int = 16) -> dict[tuple[str, ...], list[str]]:
     """Files grouped by header; headers are fetched concurrently (one small
-    read per file), so thousands of files cost seconds, not one job each."""
+    read per file of the batch).  A file that cannot be opened has an empty header."""
     from concurrent.futures import ThreadPoolExecutor
 
+    def header(path: str) -> tuple[str, ...]:
+        try:
+            return tuple(read_header(spark, path))
+        except Exception:  # missing or unreadable: rejected with the files that lack columns
+            return ()
+
     paths = list(paths)
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
-        headers = list(pool.map(lambda p: tuple(read_header(spark, p)), paths))
+        headers = list(pool.map(header, paths))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for h, p in zip(headers, paths):
         groups[h].append(p)
     return dict(groups)
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_csv_by_name(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = CSV_COLUMNS,
                      required: Sequence[str] = REQUIRED_COLUMNS, with_file: bool = True,
+                     landing: str | None = None, multiline: bool = False, with_malformed: bool = False,
                      ) -> tuple[DataFrame | None, list[str]]:
     """Read CSV files as text bound **by header name**.
 
     Returns (frame with ``columns`` [+ ``source_file``], rejected paths).
     Unknown extra columns are dropped; a missing optional column is NULL.
+    Quotes inside quoted fields are doubled.  ``multiline`` allows line
+    breaks in quoted fields, at the price that a file is read by one task;
+    without it such a record is malformed.  ``with_malformed`` adds the flag
+    ``_malformed``: the record has other fields than its header.
     """
     frames, rejected = [], []
     for header, files in group_by_header(spark, paths).items():
         if any(r not in header for r in required):
             rejected.extend(files)
             continue
-        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
+        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in (*header, CORRUPT)])
         df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+              .option("escape", '"').option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT)
               .csv(list(files)))
         cols = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns]
         if with_file:
-            cols.append(F.col("_metadata.file_name").alias("source_file"))
+            cols.append(source_file(landing).alias("source_file"))
+        if with_malformed:
+            cols.append(F.col(CORRUPT).isNotNull().alias("_malformed"))
         frames.append(df.select(*cols))
     if not frames:
         return None, rejected
     return reduce(lambda a, b: a.unionByName(b), frames), rejected
 
 
+def read_trip_files(spark: SparkSession, paths: Sequence[str], landing: str | None = None, multiline: bool = False,
+                    ) -> tuple[DataFrame | None, list[str]]:
+    """Plain and zipped CSV files as one frame: the CSV columns, source_file, _malformed."""
+    zips = [p for p in paths if p.lower().endswith(".zip")]
+    text, rejected = read_csv_by_name(spark, [p for p in paths if p not in set(zips)], landing=landing,
+                                      multiline=multiline, with_malformed=True)
+    if zips:
+        bad = rejected_archives(spark, zips)
+        rejected += bad
+        good = [p for p in zips if p not in set(bad)]
+        if good:
+            more = read_zipped_csv(spark, good, landing=landing)
+            text = more if text is None else text.unionByName(more)
+    return text, rejected
+
+
 def write_named_csv(df: DataFrame, out_dir: str, name_col: str = "source_file",
                     header_order: dict[str, Sequence[str]] | None = None) -> list[str]:
     """Write one CSV file per distinct ``name_col`` value, named by the value
@@ -144,57 +201,87 @@ def write_named_csv(df: DataFrame, out_dir: str, name_col: str = "source_file",
 
 # --- zipped CSV -------------------------------------------------------------
 
-def _unzip_lines(batches):
-    """mapInPandas body: each archive -> its first .csv member (not under
-    __MACOSX) as data lines tagged with the archive's header line, streamed
-    in bounded batches."""
+def _member(content: bytes):
+    """The first .csv member (not under __MACOSX) of an archive as a text stream, or None."""
     import io
     import zipfile
 
-    import pandas as pd
+    try:
+        z = zipfile.ZipFile(io.BytesIO(content))
+    except zipfile.BadZipFile:
+        return None
+    members = [n for n in z.namelist() if n.endswith(".csv") and not n.startswith("__MACOSX")]
+    return io.TextIOWrapper(z.open(members[0]), encoding="utf-8-sig", errors="replace", newline="") if members else None
+
 
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                members = [n for n in z.namelist() if n.endswith(".csv") and not n.startswith("__MACOSX")]
-                if not members:
+def _archive_rows(columns: Sequence[str]):
+    """mapInPandas body: each archive's records bound to ``columns`` by header name, in bounded batches."""
+    def rows(batches):
+        import csv
+
+        import pandas as pd
+
+        names = [*columns, "source_file", "_malformed"]
+        for pdf in batches:
+            for name, content in zip(pdf["source_file"], pdf["content"]):
+                stream = _member(content)
+                if stream is None:
                     continue
-                name = path.rsplit("/", 1)[-1]
-                with z.open(members[0]) as fh:
-                    text = io.TextIOWrapper(fh, encoding="utf-8", newline="")
-                    header = text.readline().rstrip("\r\n").lstrip("\ufeff")
-                    buf = []
-                    for raw in text:
-                        buf.append(raw.rstrip("\r\n"))
-                        if len(buf) >= 50_000:
-                            yield pd.DataFrame({"archive": name, "header": header, "line": buf})
-                            buf = []
-                    if buf:
-                        yield pd.DataFrame({"archive": name, "header": header, "line": buf})
-
-
-def read_zipped_csv(spark: SparkSession, root: str, pattern: str = "*.zip",
-                    columns: Sequence[str] = CSV_COLUMNS) -> DataFrame:
-    """Zipped CSV archives as text columns bound by header name, one task per
-    archive; ``source_file`` is the archive name."""
-    zips = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root).select("path", "content")
-    # ship the task function by value: executors need not have this package installed
+                reader = csv.reader(stream)
+                header = [c.strip() for c in next(reader, [])]
+                at = [header.index(c) if c in header else -1 for c in columns]
+                buf = []
+                for rec in reader:
+                    if not rec:
+                        continue
+                    buf.append([(rec[i] or None) if 0 <= i < len(rec) else None for i in at] + [name, len(rec) != len(header)])
+                    if len(buf) >= 50_000:
+                        yield pd.DataFrame(buf, columns=names)
+                        buf = []
+                if buf:
+                    yield pd.DataFrame(buf, columns=names)
+    return rows
+
+
+def _lacking(required: Sequence[str]):
+    """mapInPandas body: the paths of archives without a CSV member that has the required columns."""
+    def paths(batches):
+        import csv
+
+        import pandas as pd
+
+        for pdf in batches:
+            bad = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                stream = _member(content)
+                header = [c.strip() for c in next(csv.reader(stream), [])] if stream else []
+                if any(c not in header for c in required):
+                    bad.append(path)
+            yield pd.DataFrame({"path": bad}, dtype=object)
+    return paths
+
+
+def _archives(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
+    # ship the task functions by value: executors need not have this package installed
     import sys
 
     from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    lines = zips.mapInPandas(_unzip_lines, "archive string, header string, line string").persist()
-    headers = [r[0] for r in lines.select("header").distinct().collect()]  # one per header layout
-    frames = []
-    for h in headers:
-        names = [c.strip().strip('"') for c in h.split(",")]
-        ddl = ", ".join(f"`{n}` STRING" for n in names)
-        parsed = (lines.filter(F.col("header") == h)
-                  .select(F.from_csv("line", ddl).alias("r"), F.col("archive").alias("source_file")))
-        frames.append(parsed.select(
-            *[F.col(f"r.`{c}`").alias(c) if c in names else F.lit(None).cast("string").alias(c) for c in columns],
-            "source_file"))
-    if not frames:
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                                                      + [T.StructField("source_file", T.StringType())]))
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load([paths] if isinstance(paths, str) else list(paths))
+
+
+def rejected_archives(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = REQUIRED_COLUMNS) -> list[str]:
+    """Those of the given archives that cannot be loaded: unreadable, or without a required column."""
+    bad = _archives(spark, paths, "*").select("path", "content").mapInPandas(_lacking(list(required)), "path string")
+    plain = {plain_path(r[0]) for r in bad.collect()}
+    return [p for p in paths if plain_path(p) in plain]
+
+
+def read_zipped_csv(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.zip",
+                    columns: Sequence[str] = CSV_COLUMNS, landing: str | None = None) -> DataFrame:
+    """Zipped CSV archives (a folder or a list) as text columns bound by header
+    name, one task per archive, read once; plus ``source_file`` and ``_malformed``."""
+    zips = _archives(spark, paths, pattern).select("content", source_file(landing).alias("source_file"))
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in (*columns, "source_file")],
+                           T.StructField("_malformed", T.BooleanType())])
+    return zips.mapInPandas(_archive_rows(list(columns)), schema)

@@ -2,10 +2,11 @@
 
 ``start_ingest`` turns a landing folder of trip CSV files into the raw
 table exactly once per file: the file source's checkpoint records which
-files were consumed, and each micro-batch writes its files' own leaves with
-dynamic overwrite, so a retried batch rewrites the same leaves.
-``start_daily`` additionally refreshes the daily mart for the dates each
-micro-batch touched (late and corrected rows included).
+files were seen, and each micro-batch loads its files through the same
+ledger as a batch load, so neither a retried batch nor a later batch load of
+the folder loads a file twice.  ``start_daily`` additionally refreshes the
+daily mart for the dates each micro-batch touched (late and corrected rows
+included).
 """
 
 from __future__ import annotations
@@ -14,59 +15,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.clean import clean_trips
-from ..operators.sinks import path_exists, read_raw, write_raw
+from ..operators.sinks import load_trip_files, path_exists, read_raw
 from ..plans.incremental import build_daily, refresh_daily
-from ..schema import CSV_SCHEMA
 
 
 def trip_stream(spark: SparkSession, landing: str, pattern: str = "*.csv",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming text rows of the landing folder plus their file name.
 
-    Streams need a fixed schema; ``enforceSchema=false`` makes a file whose
-    header disagrees with it fail loudly instead of shifting columns.
+    The stream only discovers files (its rows are metadata, no content); each
+    micro-batch then loads its files like a batch load, by their headers.
     """
-    reader = (spark.readStream.schema(CSV_SCHEMA).option("header", True)
-              .option("enforceSchema", False).option("pathGlobFilter", pattern))
+    reader = (spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
+              .schema("path string, modificationTime timestamp, length long, content binary"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(landing)
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    return reader.load(landing).select("path")
 
 
-def _stamp(loaded_at: str | None):
-    return F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
+def _start(spark, landing, checkpoint, sink, max_files_per_trigger, available_now) -> StreamingQuery:
+    w = (trip_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
+         .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def _load(batch: DataFrame, landing: str, raw_root: str, loaded_at: str | None) -> dict:
+    paths = [r[0] for r in batch.collect()]  # the files of this micro-batch
+    return load_trip_files(batch.sparkSession, paths, raw_root, loaded_at=loaded_at, landing=landing)
 
 
 def start_ingest(spark: SparkSession, landing: str, raw_root: str, checkpoint: str,
                  loaded_at: str | None = None, max_files_per_trigger: int | None = None,
                  available_now: bool = True) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_raw(clean_trips(batch.withColumn("loaded_at", _stamp(loaded_at))), raw_root)
+        _load(batch, landing, raw_root, loaded_at)
 
-    w = (trip_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
-         .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _start(spark, landing, checkpoint, sink, max_files_per_trigger, available_now)
 
 
 def start_daily(spark: SparkSession, landing: str, raw_root: str, mart_path: str, checkpoint: str,
                 loaded_at: str | None = None, max_files_per_trigger: int | None = None,
                 available_now: bool = True) -> StreamingQuery:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        files = [r[0] for r in batch.select("source_file").distinct().collect()]  # files in this batch
+        report = _load(batch, landing, raw_root, loaded_at)
+        # a replayed micro-batch finds its files loaded: the mart may still lack them
+        files = report["loaded"] + report["skipped"]
         if not files:
             return
-        write_raw(clean_trips(batch.withColumn("loaded_at", _stamp(loaded_at))), raw_root)
         session = batch.sparkSession
         raw = read_raw(session, raw_root)
         if path_exists(session, mart_path):
-            refresh_daily(session, raw, raw.filter(F.col("source_file").isin(*files)), mart_path)
+            new = session.createDataFrame([(n,) for n in files], "source_file string")
+            refresh_daily(session, raw, raw.join(F.broadcast(new), "source_file", "left_semi"), mart_path)
         else:
             build_daily(raw, mart_path)
 
-    w = (trip_stream(spark, landing, max_files_per_trigger=max_files_per_trigger)
-         .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _start(spark, landing, checkpoint, sink, max_files_per_trigger, available_now)

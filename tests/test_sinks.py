@@ -155,7 +155,7 @@ def test_load_reports_observed_drop_counts(spark):
     with open(path, "w") as fh:
         fh.write(",".join(CSV_COLUMNS) + "\n" + "\n".join(",".join(r[c] for c in CSV_COLUMNS) for r in rows) + "\n")
     rep = load_trip_files(spark, [path], d + "/raw")
-    assert rep["rows"] == {"input_rows": 4, "dropped_missing": 1, "dropped_order": 1, "dropped_bounds": 1,
+    assert rep["rows"] == {"input_rows": 4, "dropped_malformed": 0, "dropped_missing": 1, "dropped_order": 1, "dropped_bounds": 1,
                            "kept_rows": 1}
     assert [r.ride_id for r in read_raw(spark, d + "/raw").collect()] == ["ok"]
 
