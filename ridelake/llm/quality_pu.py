@@ -137,9 +137,10 @@ class Net:
                 last = steps.pop()
                 steps[-1] = [a + b for a, b in zip(steps[-1], last)]
         a = np.array(steps)
-        share = a[:, 2] / a[:, 0]
+        # one standard deviation up: a step of few positives does not reject
+        good = a[:, 2] + np.sqrt(a[:, 2] / len(pos))
         self.at = a[:, 1] / a[:, 0]
-        self.posterior = np.minimum(1.0, prior * share / np.maximum(1 - share, 1e-9))
+        self.posterior = np.minimum(1.0, prior * good / np.maximum(a[:, 0] - a[:, 2], 1e-9))
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Posterior of good; a small share of the log-odds orders equal posteriors."""
@@ -154,12 +155,14 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     net.fit(pos[::2], unl[::2], 0.5, steps=STEPS // 2)
     sp, su = np.sort(net.logit(pos[1::2])), np.sort(net.logit(unl[1::2]))
     best = 1.0
-    for q in np.linspace(0.02, 0.9, 60):
+    for q in np.linspace(0.02, 0.5, 40):
         cut = np.quantile(sp, q)
-        above_p = 1 - np.searchsorted(sp, cut) / len(sp)
-        above_u = 1 - np.searchsorted(su, cut) / len(su)
-        slack = 1.0 * (1 / np.sqrt(len(sp)) + 1 / np.sqrt(len(su))) / 2
-        best = min(best, (above_u + slack * np.sqrt(above_u)) / max(above_p, 1e-9))
+        p = 1 - np.searchsorted(sp, cut) / len(sp)
+        u = 1 - np.searchsorted(su, cut) / len(su)
+        # upper ends of the shares' confidence bands: the smallest of many ratios would be too low
+        u += 2 * np.sqrt(u * (1 - u) / len(su))
+        p -= 2 * np.sqrt(p * (1 - p) / len(sp))
+        best = min(best, u / max(p, 1e-9))
     return float(min(max(best, 0.05), 0.98))
 
 
