@@ -24,7 +24,7 @@ def haversine_sql(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
     s_lat = f"sin(({_rad(lat2)} - {_rad(lat1)}) / 2.0D)"
     s_lng = f"sin(({_rad(lng2)} - {_rad(lng1)}) / 2.0D)"
     a = f"{s_lat} * {s_lat} + cos({_rad(lat1)}) * cos({_rad(lat2)}) * {s_lng} * {s_lng}"
-    return f"({2.0 * EARTH_RADIUS_KM!r}D * asin(least(1.0D, sqrt({a}))))"
+    return f"({2.0 * EARTH_RADIUS_KM!r}D * asin(sqrt(if({a} > 1.0D, 1.0D, {a}))))"
 
 
 def haversine_km(lat1: str, lng1: str, lat2: str, lng2: str) -> Column:

@@ -41,9 +41,10 @@ def latest_value(df: DataFrame, keys: Sequence[str], value: str, version: str,
                  alias: str | None = None, skip_nulls: bool = True) -> DataFrame:
     """``value`` at the greatest ``version`` per key (ties: greatest value).
 
-    A hash aggregate with partial (map-side) aggregation: state is one
-    struct per key.  NULL values are skipped first, as argMax does.
+    A keep-latest on (version, value): the partial group limit forwards one
+    row per key and task.  NULL values are skipped first, as argMax does.
     """
     src = df.filter(F.col(value).isNotNull()) if skip_nulls else df
-    best = F.max(F.struct(F.col(version).alias("v"), F.col(value).alias("x")))
-    return src.groupBy(*keys).agg(best.getField("x").alias(alias or value))
+    src = src.select(*keys, F.col(version).alias("_version"), F.col(value).alias("_value"))
+    best = keep_latest(src, keys, ["-_version", "-_value"], tie_break=())
+    return best.select(*keys, F.col("_value").alias(alias or value))

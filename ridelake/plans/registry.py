@@ -448,13 +448,16 @@ def q_agg_basic(spark, sf):
     {O.r('median(l_extendedprice)')} AS median_price
   FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def q_agg_median(spark, sf):
-    """Exact (interpolating) median; ``percentile_approx`` is not a substitute."""
+    """Exact (interpolating) median of few groups with many distinct values:
+    by counts per value, so no task holds a group's values."""
     from pyspark.sql import functions as F
+    from ..operators.medians import median_by_counts
     from ..sources.adapter import read_table
     li = read_table(spark, sf, "lineitem")
-    return li.groupBy("l_returnflag", "l_linestatus").agg(
-        F.round(F.median("l_quantity"), 2).alias("median_qty"),
-        F.round(F.median("l_extendedprice"), 2).alias("median_price"))
+    keys = ["l_returnflag", "l_linestatus"]
+    qty, price = (median_by_counts(li, keys, c, a) for c, a in (("l_quantity", "median_qty"), ("l_extendedprice", "median_price")))
+    return qty.join(price, keys).select(*keys, F.round("median_qty", 2).alias("median_qty"),
+                                        F.round("median_price", 2).alias("median_price"))
 
 
 @register("cond_agg", f"""
@@ -491,26 +494,20 @@ def q_distinct_exact(spark, sf):
 
 @register("customer_order_stats", """
   WITH st AS (
-    SELECT o_custkey, count(*) AS orders_1995, sum(o_totalprice) AS spend_1995
-    FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-01-01'
-    GROUP BY o_custkey)
-  SELECT c.c_custkey, c.c_name, coalesce(st.orders_1995, 0) AS orders_1995,
-    """ + O.r("st.spend_1995") + """ AS spend_1995
-  FROM customer c LEFT JOIN st ON c.c_custkey = st.o_custkey""")
+    SELECT doc_id, count(*) AS n_labels, sum(quality) AS n_good FROM labels GROUP BY doc_id)
+  SELECT d.doc_id, d.source, coalesce(st.n_labels, 0) AS n_labels, st.n_good::BIGINT AS n_good
+  FROM documents d LEFT JOIN st ON d.doc_id = st.doc_id""")
 def q_customer_order_stats(spark, sf):
     """Left join of a dimension to aggregated facts: unmatched rows keep 0
-    counts and NULL metrics (the station-dimension join, on native tables)."""
+    counts and NULL metrics (the station-dimension join, on native tables;
+    only some documents have labels)."""
     from pyspark.sql import functions as F
     from ..sources.adapter import read_table
-    o = read_table(spark, sf, "orders")
-    st = (o.filter((F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
-                   & (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")))
-          .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders_1995"),
-                                    F.sum("o_totalprice").alias("spend_1995")))
-    c = read_table(spark, sf, "customer").select("c_custkey", "c_name")
-    j = c.join(st, c.c_custkey == st.o_custkey, "left")
-    return j.select("c_custkey", "c_name", F.coalesce("orders_1995", F.lit(0)).alias("orders_1995"),
-                    F.round("spend_1995", 2).alias("spend_1995"))
+    st = read_table(spark, sf, "labels").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.count(F.lit(1)).alias("n_labels"), F.sum("quality").alias("n_good"))
+    d = read_table(spark, sf, "documents").select("doc_id", "source")
+    j = d.join(st, d.doc_id == st["_id"], "left")
+    return j.select("doc_id", "source", F.coalesce("n_labels", F.lit(0)).alias("n_labels"), "n_good")
 
 
 # ---- A/B: files, loads, sinks ------------------------------------------------
@@ -522,13 +519,13 @@ BATCH1 = "2024-03-01 00:00:00"
 BATCH2 = "2024-03-02 00:00:00"
 
 
-def _stage(spark, sf, label: str, header_order=None, extra_files: dict | None = None):
+def _stage(spark, sf, label: str, header_order=None, extra_files: dict | None = None, change: dict | None = None):
     from pyspark.sql import functions as F
     from ..schema import CSV_COLUMNS
     from ..session import scratch_dir
     from ..sources.files import write_named_csv
     work = scratch_dir(spark, label)
-    text = _text(spark, sf).select(*CSV_COLUMNS, "source_file")
+    text = _text(spark, sf).select(*CSV_COLUMNS, "source_file").withColumns(change or {})
     paths = write_named_csv(text, f"{work}/in", header_order=header_order)
     for name, (src, cols) in (extra_files or {}).items():
         paths += write_named_csv(text.filter(F.col("source_file") == src)
@@ -554,11 +551,13 @@ def _raw_cols(df):
 
 @register("csv_scan", O.with_ctes("raw", raw_body=f"""
   SELECT * REPLACE (TIMESTAMP '{BATCH1}' AS loaded_at,
-                    CASE WHEN source_file = 'f2.csv' THEN NULL ELSE end_lat END AS end_lat)
+                    CASE WHEN source_file = 'f2.csv' THEN NULL ELSE end_lat END AS end_lat,
+                    'The "' || end_station_name || '", East' AS end_station_name)
   FROM typed WHERE {O.VALID_BOUNDS}""") + f"SELECT {O.RAW_COLS} FROM raw")
 def q_csv_scan(spark, sf):
     """CSV bound by header name: f1.csv has its columns reversed, f2.csv lacks
-    end_lat, and a file without member_casual is rejected, not misread."""
+    end_lat, and a file without member_casual is rejected, not misread; names
+    hold quotes and commas."""
     from pyspark.sql import functions as F
     from ..operators.clean import clean_trips
     from ..schema import CSV_COLUMNS
@@ -567,7 +566,8 @@ def q_csv_scan(spark, sf):
     _, paths = _stage(spark, sf, "csv-scan", header_order={
         "f1.csv": list(reversed(CSV_COLUMNS)),
         "f2.csv": [c for c in CSV_COLUMNS if c != "end_lat"],
-    }, extra_files={"nomember.csv": ("f0.csv", no_member)})
+    }, extra_files={"nomember.csv": ("f0.csv", no_member)}, change={
+        "end_station_name": F.concat(F.lit('The "'), F.col("end_station_name"), F.lit('", East'))})
     text, rejected = read_csv_by_name(spark, paths)
     assert [p.rsplit("/", 1)[-1] for p in rejected] == ["nomember.csv"], rejected
     return _raw_cols(clean_trips(text.withColumn("loaded_at", F.lit(BATCH1).cast("timestamp_ntz"))))
@@ -715,8 +715,69 @@ def q_incr_daily(spark, sf):
     return read_daily(spark, mart)
 
 
+@register("pipeline_recovery", _daily_sql(ctes=("fct",), raw_body=_RAW_BATCHES))
+def q_pipeline_recovery(spark, sf):
+    """Loads that no build followed are made up for: load and build f0; load
+    f1 only; a build that died after the staged table; run again with f2."""
+    from ..operators.sinks import load_trip_files, read_raw
+    from .incremental import read_daily, refresh_months, touched_months
+    from .pipeline import STG_ORDER, Warehouse, run_pipeline
+    work, paths = _stage(spark, sf, "pipeline-recovery")
+    wh = Warehouse(f"{work}/wh")
+    run_pipeline(spark, paths[:1], wh.root, loaded_at=BATCH1)
+    load_trip_files(spark, paths[:2], wh.raw, loaded_at=BATCH1)
+    raw = read_raw(spark, wh.raw)
+    months = touched_months(raw, raw.filter("source_file = 'f1.csv'"))
+    refresh_months(spark, raw, months, wh.table("stg_rides"), M.stg_trips, STG_ORDER)
+    run_pipeline(spark, paths, wh.root, loaded_at=BATCH2)
+    return read_daily(spark, wh.table("agg_daily_rides"))
+
+
+_MOVED = "source_file = 'f2.csv' AND hour(started_at) < 6"
+_GONE = "source_file = 'f2.csv' AND hour(started_at) >= 18"
+
+
+@register("reload_changed_file", _daily_sql(ctes=("fct",), raw_body=f"""
+  SELECT * REPLACE ({_batch_loaded_at()} AS loaded_at,
+    CASE WHEN {_MOVED} THEN started_at + INTERVAL 40 DAY ELSE started_at END AS started_at,
+    CASE WHEN {_MOVED} THEN ended_at + INTERVAL 40 DAY ELSE ended_at END AS ended_at)
+  FROM typed WHERE {O.VALID_BOUNDS} AND NOT coalesce({_GONE}, false)"""))
+def q_reload_changed_file(spark, sf):
+    """A file loaded again with rows moved to other months and rows removed:
+    its old rows leave the raw table and every model."""
+    from pyspark.sql import functions as F
+    from ..schema import CSV_COLUMNS
+    from ..sources.adapter import TS_TEXT_FORMAT
+    from ..sources.files import write_named_csv
+    from .incremental import read_daily
+    from .pipeline import Warehouse, run_pipeline
+    work, paths = _stage(spark, sf, "reload")
+    wh = Warehouse(f"{work}/wh")
+    run_pipeline(spark, paths, wh.root, loaded_at=BATCH1)
+    text = _text(spark, sf).select(*CSV_COLUMNS, "source_file").filter("source_file = 'f2.csv'")
+    start = F.expr("try_cast(started_at AS TIMESTAMP_NTZ)")
+    moved = {c: F.when(F.hour(start) < 6, F.date_format(F.expr(f"try_cast({c} AS TIMESTAMP_NTZ) + INTERVAL 40 DAYS"), TS_TEXT_FORMAT))
+             .otherwise(F.col(c)) for c in ("started_at", "ended_at")}
+    text = text.filter(~F.coalesce(F.hour(start) >= 18, F.lit(False))).withColumns(moved)
+    changed = write_named_csv(text, f"{work}/again")
+    run_pipeline(spark, changed, wh.root, loaded_at=BATCH2, reload=True)
+    return read_daily(spark, wh.table("agg_daily_rides"))
+
+
 # ---- I: streaming --------------------------------------------------------------
 
+@register("stream_then_batch", O.with_ctes("raw", raw_body=_RAW_ONE_BATCH) + f"SELECT {O.RAW_COLS} FROM raw")
+def q_stream_then_batch(spark, sf):
+    """A batch load of a folder that a stream has ingested loads nothing twice."""
+    from ..operators.sinks import load_trip_files, read_raw
+    from ..streaming.ingest import start_ingest
+    work, paths = _stage(spark, sf, "stream-batch")
+    start_ingest(spark, f"{work}/in", f"{work}/raw", f"{work}/_chk", loaded_at=BATCH1).awaitTermination()
+    report = load_trip_files(spark, paths, f"{work}/raw", loaded_at=BATCH2, landing=f"{work}/in")
+    assert report["loaded"] == [] and len(report["skipped"]) == 3, report
+    return _raw_cols(read_raw(spark, f"{work}/raw"))
+
+
 @register("stream_ingest", O.with_ctes("raw", raw_body=_RAW_ONE_BATCH) + f"SELECT {O.RAW_COLS} FROM raw")
 def q_stream_ingest(spark, sf):
     """Exactly-once streaming ingestion: one file per micro-batch; a second
@@ -808,16 +869,16 @@ def _dq_suite_sql() -> str:
 
 @register("dq_suite", _dq_suite_sql())
 def q_dq_suite(spark, sf):
-    """Every declared check of every model: one row per check with its
-    failure count (not_null + accepted fold into one aggregate per table)."""
+    """Every declared check of every model, over the written tables: one row
+    per check with its failure count (not_null + accepted fold into one
+    aggregate per table)."""
     from ..operators.quality import TableChecks, suite
-    raw = raw_trips(spark, sf)
-    stg = M.stg_trips(raw)
-    stations = M.stg_stations(raw, coord_decimals=6)
-    fct = M.fct_trips(M.trip_metrics(stg))
-    frames = {"raw_rides": raw, "stg_rides": stg, "stg_stations": stations, "fct_rides": fct,
-              "dim_stations": M.dim_stations(stations, stg), "agg_daily_rides": M.agg_daily(fct),
-              "agg_hourly_patterns": M.agg_hourly(fct)}
+    from ..operators.sinks import write_raw
+    from ..session import scratch_dir
+    from .pipeline import Warehouse, build_models
+    wh = Warehouse(scratch_dir(spark, "dq-suite"))
+    write_raw(raw_trips(spark, sf), wh.raw)
+    frames = build_models(spark, wh)
     return suite(TableChecks(t, frames[t], nn, uq, acc) for t, nn, uq, acc in DQ_SPEC)
 
 
@@ -864,6 +925,8 @@ _MARTS_CTES = {"daily": O.DAILY_SELECT, "hourly": O.HOURLY_SELECT}
   UNION ALL SELECT 'dim_stations', count(*) FROM dim
   UNION ALL SELECT 'agg_daily_rides', count(*) FROM daily
   UNION ALL SELECT 'agg_hourly_patterns', count(*) FROM hourly
+  UNION ALL SELECT 'rollup_member', count(*) FROM (SELECT DISTINCT member_casual, rideable_type, CAST(started_at AS DATE) FROM raw)
+  UNION ALL SELECT 'rollup_station_hour', count(*) FROM (SELECT DISTINCT start_station_id, hour(started_at), isodow(started_at) IN (6, 7) FROM raw)
   UNION ALL SELECT 'failed_checks', count(*) FROM (""" + _dq_union_sql() + """) c WHERE failures > 0""")
 def q_pipeline_run(spark, sf):
     """Load f0+f1, run everything; load f2, run again; report mart row
@@ -872,12 +935,16 @@ def q_pipeline_run(spark, sf):
     from ..operators.quality import failed
     from ..operators.reports import labelled_counts
     from .pipeline import Warehouse, run_pipeline
+    from .rollups import read_member_rollup, read_station_hour_rollup
     work, paths = _stage(spark, sf, "pipeline")
     run_pipeline(spark, [p for p in paths if not p.endswith("f2.csv")], f"{work}/wh", loaded_at=BATCH1)
     _, checks = run_pipeline(spark, paths, f"{work}/wh", loaded_at=BATCH2)
     wh = Warehouse(f"{work}/wh")
     counts = labelled_counts({n: spark.read.parquet(wh.table(n)) for n in
                               ("fct_rides", "dim_stations", "agg_daily_rides", "agg_hourly_patterns")})
+    rollups = labelled_counts({"rollup_member": read_member_rollup(spark, wh.table("rollups")),
+                               "rollup_station_hour": read_station_hour_rollup(spark, wh.table("rollups"))})
+    counts = counts.unionByName(rollups)
     # missing member_casual text becomes '' and fails accepted_values (raw, staged)
     nfail = failed(checks).agg(F.count(F.lit(1)).alias("row_count"))
     return counts.unionByName(nfail.select(F.lit("failed_checks").alias("table_name"), "row_count"))
@@ -929,22 +996,29 @@ def q_sql_view_hourly(spark, sf):
 
 @register("file_report", O.with_ctes("raw", raw_body=f"SELECT * FROM typed WHERE {O.VALID_BOUNDS}") + """
   SELECT CAST(year(started_at) * 100 + month(started_at) AS INTEGER) AS year_month, source_file,
-    count(*) AS total_rows, true AS has_bytes
+    count(*) AS total_rows, 0::BIGINT AS files_off, 0::BIGINT AS bytes_off, true AS ratio_ok
   FROM raw GROUP BY 1, 2""")
 def q_file_report(spark, sf):
     """Files / rows / bytes per leaf of the written raw table (from Parquet
-    file metadata); sizes vary by writer, so the check compares rows."""
+    file metadata); sizes vary by writer, so files and bytes are compared
+    with the folder listing."""
     from pyspark.sql import functions as F
     from ..operators.clean import clean_trips
     from ..operators.reports import file_report
     from ..operators.sinks import read_raw, write_raw
     from ..session import scratch_dir
+    from ..sources.files import list_files
     root = scratch_dir(spark, "file-report") + "/raw"
     write_raw(clean_trips(_text(spark, sf)), root)
     rep = file_report(read_raw(spark, root), ["year_month", "source_file"])
+    seen = list_files(spark, root, "*.parquet", recursive=True).select(
+        F.regexp_extract("path", "year_month=([0-9]+)", 1).cast("int").alias("_m"),
+        F.regexp_extract("path", "source_file=([^/]+)", 1).alias("_f"), "length")
+    seen = seen.groupBy("_m", "_f").agg(F.count(F.lit(1)).alias("_files"), F.sum("length").alias("_bytes"))
+    rep = rep.join(seen, (rep["year_month"] == seen["_m"]) & (rep["source_file"] == seen["_f"]), "left")
     return rep.select(F.col("year_month").cast("int").alias("year_month"), "source_file", "total_rows",
-                      ((F.col("bytes_on_disk") > 0) & (F.col("files_count") > 0)
-                       & F.col("size_on_disk").endswith("B")).alias("has_bytes"))
+                      (F.col("files_count") - F.col("_files")).alias("files_off"), (F.col("bytes_on_disk") - F.col("_bytes")).alias("bytes_off"),
+                      (F.abs(F.col("bytes_per_row") * F.col("total_rows") - F.col("_bytes")) <= F.col("total_rows") * 0.01).alias("ratio_ok"))
 
 
 @register("file_select", """
@@ -962,6 +1036,16 @@ def q_file_select(spark, sf):
     return select_files(listing, "f", ".csv", start_from="f1.csv").select("name")
 
 
+@register("file_limit", """
+  SELECT DISTINCT 'f' || CAST(event_id % 3 AS VARCHAR) || '.csv' AS name FROM events
+  WHERE event_id % 3 < 2""")
+def q_file_limit(spark, sf):
+    """The first two files of the landing folder, by name."""
+    from ..sources.files import list_files, select_files
+    work, _ = _stage(spark, sf, "file-limit")
+    return select_files(list_files(spark, f"{work}/in"), "f", ".csv", limit=2).select("name")
+
+
 _NATIVE_DQ = [
     ("orders", ["o_orderkey", "o_custkey", "o_orderdate"], ["o_orderkey"], {"o_orderstatus": ["O", "F"]}),
     ("lineitem", ["l_orderkey", "l_shipdate"], ["l_orderkey"], {"l_returnflag": ["A", "N", "R"]}),

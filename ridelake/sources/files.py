@@ -188,7 +188,7 @@ def write_named_csv(df: DataFrame, out_dir: str, name_col: str = "source_file",
         cols = list((header_order or {}).get(name, [c for c in df.columns if c != name_col]))
         tmp = f"{out_dir}/_tmp_{name}"
         (df.filter(F.col(name_col) == name).select(*cols).coalesce(1)
-         .write.mode("overwrite").option("header", True).csv(tmp))
+         .write.mode("overwrite").option("header", True).option("escape", '"').csv(tmp))
         path = jvm.org.apache.hadoop.fs.Path(tmp)
         fs = path.getFileSystem(conf)
         part = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")][0]
