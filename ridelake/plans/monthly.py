@@ -51,25 +51,13 @@ def hourly_station_presence(fct: DataFrame) -> DataFrame:
 
 def station_parts(fct: DataFrame, empty_as_missing: bool = False) -> DataFrame:
     """Per (month, station) start/end statistics (fact rows = staged trips)."""
-    start = M._role_struct({"station_id": "start_station_id", "direction": "'start'",
-                            "member_casual": "member_casual", "minutes": "ride_duration_minutes",
-                            "ride_date": "ride_date"})
-    end = M._role_struct({"station_id": "end_station_id", "direction": "'end'",
-                          "member_casual": "CAST(NULL AS STRING)", "minutes": "CAST(NULL AS BIGINT)",
-                          "ride_date": "CAST(NULL AS DATE)"})
-    cond = "station_id IS NOT NULL" + (" AND station_id != ''" if empty_as_missing else "")
-    roles = fct.select(MONTH, F.expr(f"inline(array({start}, {end}))")).filter(F.expr(cond))
-    s = "direction = 'start'"
-    return roles.groupBy(MONTH, "station_id").agg(*M._exprs({
-        "total_starts": f"count_if({s})",
-        "total_ends": "count_if(direction = 'end')",
-        "member_starts": f"count_if({s} AND member_casual = 'member')",
-        "casual_starts": f"count_if({s} AND member_casual = 'casual')",
-        "dur_sum": f"sum(CASE WHEN {s} THEN minutes END)",
-        "dur_cnt": f"count(CASE WHEN {s} THEN minutes END)",
-        "first_ride_date": f"min(CASE WHEN {s} THEN ride_date END)",
-        "last_ride_date": f"max(CASE WHEN {s} THEN ride_date END)",
-    }))
+    sides = "inline(array({}, {}))".format(
+        M._role_struct({"station_id": "start_station_id", "member_casual": "member_casual",
+                        "ride_duration_minutes": "ride_duration_minutes", "ride_date": "ride_date"}),
+        M._role_struct({"station_id": "end_station_id", "member_casual": "CAST(NULL AS STRING)",
+                        "ride_duration_minutes": "CAST(NULL AS BIGINT)", "ride_date": "CAST(NULL AS DATE)"}))
+    named = "station_id IS NOT NULL" + (" AND station_id != ''" if empty_as_missing else "")
+    return M.station_stats(fct.select(MONTH, F.expr(sides)).filter(F.expr(named)), MONTH)
 
 
 def _write(df: DataFrame, path: str, dynamic: bool) -> None:
@@ -115,15 +103,9 @@ def hourly_from_parts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def station_stats_from_parts(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{STATIONS}").groupBy("station_id").agg(*M._exprs({
-        "total_starts": "sum(total_starts)",
-        "total_ends": "sum(total_ends)",
-        "member_starts": "sum(member_starts)",
-        "casual_starts": "sum(casual_starts)",
-        "avg_ride_duration": "CAST(sum(dur_sum) AS DOUBLE) / sum(dur_cnt)",
-        "first_ride_date": "min(first_ride_date)",
-        "last_ride_date": "max(last_ride_date)",
-    }))
+    merge = {"first_day": "min", "last_day": "max"}
+    return spark.read.parquet(f"{root}/{STATIONS}").groupBy("station_id").agg(
+        *M._exprs({c: f"{merge.get(c, 'sum')}({c})" for c in M.STATION_SUMS}))
 
 
 def station_tuple_parts(raw: DataFrame, empty_as_missing: bool = False) -> DataFrame:

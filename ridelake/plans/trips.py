@@ -158,17 +158,21 @@ def station_roles(stg: DataFrame, empty_as_missing: bool = False) -> DataFrame:
     return stg.select(F.expr(f"inline(array({start}, {end}))")).filter(F.expr(cond))
 
 
-def station_stats(roles: DataFrame) -> DataFrame:
-    s = "direction = 'start'"
-    return roles.groupBy("station_id").agg(*_exprs({
-        "total_starts": f"count_if({s})",
-        "total_ends": "count_if(direction = 'end')",
-        "member_starts": f"count_if({s} AND member_casual = 'member')",
-        "casual_starts": f"count_if({s} AND member_casual = 'casual')",
-        "avg_ride_duration": f"avg(CASE WHEN {s} THEN ride_duration_minutes END)",
-        "first_ride_date": f"min(CASE WHEN {s} THEN ride_date END)",
-        "last_ride_date": f"max(CASE WHEN {s} THEN ride_date END)",
-    }))
+# Only departures carry a date, a rider type and minutes, so their NULLs tell the sides apart.
+STATION_SUMS = {
+    "departures": "count(ride_date)",
+    "arrivals": "count(1) - count(ride_date)",
+    "by_member": "count_if(member_casual = 'member')",
+    "by_casual": "count_if(member_casual = 'casual')",
+    "minutes": "sum(ride_duration_minutes)",
+    "minutes_n": "count(ride_duration_minutes)",
+    "first_day": "min(ride_date)",
+    "last_day": "max(ride_date)",
+}
+
+
+def station_stats(roles: DataFrame, *more_keys: str) -> DataFrame:
+    return roles.groupBy(*more_keys, "station_id").agg(*_exprs(STATION_SUMS))
 
 
 def _exprs(named: dict[str, str]) -> list[Column]:
@@ -186,18 +190,18 @@ def dim_from_stats(stations: DataFrame, stats: DataFrame) -> DataFrame:
     """Stations left-joined to their ride statistics (0 counts, NULL metrics
     for a station without staged rides)."""
     j = stations.join(stats, "station_id", "left")
-    starts = F.coalesce(F.col("total_starts"), F.lit(0))
-    ends = F.coalesce(F.col("total_ends"), F.lit(0))
+    n = {c: F.coalesce(c, F.lit(0)) for c in ("departures", "arrivals", "by_member", "by_casual")}
+    # fixed values: the output names
     return j.select(
         "station_id", "station_name", "latitude", "longitude",
-        starts.alias("total_rides_started"),
-        ends.alias("total_rides_ended"),
-        (starts + ends).alias("total_rides"),
-        F.coalesce(F.col("member_starts"), F.lit(0)).alias("member_rides_started"),
-        F.coalesce(F.col("casual_starts"), F.lit(0)).alias("casual_rides_started"),
-        F.round(F.col("avg_ride_duration"), 2).alias("avg_ride_duration_minutes"),
-        "first_ride_date", "last_ride_date",
-        (F.datediff("last_ride_date", "first_ride_date") + 1).alias("days_active"),
+        n["departures"].alias("total_rides_started"),
+        n["arrivals"].alias("total_rides_ended"),
+        (n["departures"] + n["arrivals"]).alias("total_rides"),
+        n["by_member"].alias("member_rides_started"),
+        n["by_casual"].alias("casual_rides_started"),
+        F.round(F.expr("try_divide(CAST(minutes AS DOUBLE), minutes_n)"), 2).alias("avg_ride_duration_minutes"),
+        F.col("first_day").alias("first_ride_date"), F.col("last_day").alias("last_ride_date"),
+        (F.datediff("last_day", "first_day") + 1).alias("days_active"),
     )
 
 
