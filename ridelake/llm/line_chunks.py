@@ -66,7 +66,7 @@ def summed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(_d, _t, removed): the chunk numbers to remove, per document that has any."""
+    """(_d, _t, _removed): the chunk numbers to remove, per document that has any."""
     texts = summed(docs.select("doc_id", "text").where("text IS NOT NULL"))
     chunks = with_chunks(texts).select("doc_id", "_sum", F.posexplode("_chunks").alias("at", "c"))
     chunks = chunks.where(F.col("c.to") > F.col("c.from")).select("doc_id", "_sum", "at", F.col("c.key").alias("key"))
@@ -82,25 +82,25 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     first = bodies.groupBy("key").agg(F.min(F.struct(place.alias("place"), "body")).alias("first"))
     first = first.select("key", F.col("first.place").alias("place"), F.col("first.body").alias("kept"))
     later = bodies.join(first, "key").where((F.col("body") == F.col("kept")) & ~place.eqNullSafe(F.col("place")))
-    gone = later.groupBy(F.col("doc_id").alias("_d"), F.col("_sum").alias("_t")).agg(F.sort_array(F.collect_set("at")).alias("removed"))
+    gone = later.groupBy(F.col("doc_id").alias("_d"), F.col("_sum").alias("_t")).agg(F.sort_array(F.collect_set("at")).alias("_removed"))
     return stored(gone, "line-removed")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with n_lines, n_removed_lines and ``text`` without repeated chunks."""
     rows = same_doc(summed(docs), repeated_chunks(docs), "left")
-    hit = F.col("removed").isNotNull()
+    hit = F.col("_removed").isNotNull()
     cut = with_chunks(rows.where(hit))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), "removed")
-    gone = F.aggregate(F.transform("removed", lambda i: F.get("_chunks", i)["to"] - F.get("_chunks", i)["from"] + 1),
+    left = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), "_removed")
+    gone = F.aggregate(F.transform("_removed", lambda i: F.get("_chunks", i)["to"] - F.get("_chunks", i)["from"] + 1),
                        F.lit(0), lambda s, x: s + x)
     cut = cut.withColumns({"n_lines": F.size("_lines").cast("long"), "n_removed_lines": gone.cast("long"),
                            "text": F.array_join(F.transform(left, lambda i: lines_of(F.get("_chunks", i))), "\n")})
     none = rows.where(~hit).withColumns({
         "n_lines": F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n"))).cast("long"),
         "n_removed_lines": F.lit(0).cast("long")})
-    cut = cut.drop("_lines", "_chunks", "removed", "_sum")
-    return cut.unionByName(none.drop("removed", "_sum"))
+    cut = cut.drop("_lines", "_chunks", "_removed", "_sum")
+    return cut.unionByName(none.drop("_removed", "_sum"))
 
 
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
