@@ -38,7 +38,7 @@ PER_LANG = 300
 MAX_LANGS = 200
 WINDOW = 400
 STEPS, BATCH, LENGTH = 260, 192, 64
-MIN_SCORE = 0.3  # below: rejected by the filter
+MIN_SCORE = 0.0  # the filter rejects what is below; by default only texts without letters
 
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 _IS_LETTER = np.zeros(256, np.float32)
@@ -252,7 +252,7 @@ def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
 
 
 def recognised(docs: DataFrame, net: BiGru | None, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` in a recognised language: not ``und``, and sure enough."""
+    """The rows of ``docs`` in a recognised language: not ``und``, and at least ``min_score`` sure."""
     whole = docs.select(F.struct(*docs.columns).alias("_row"), "text")
     return identify(whole, net).where((F.col("lang_pred") != UND) & (F.col("score") >= min_score)).select("_row.*")
 
