@@ -54,3 +54,28 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 def strings(batch) -> list:
     """The texts of a pandas batch, None where missing."""
     return [t if isinstance(t, str) else None for t in batch]
+
+
+MARK_BITS = 1 << 24  # 2 MB of bitmaps, whatever the data
+
+
+def marks(keys: DataFrame, *columns: str) -> DataFrame:
+    """A bitmap of the hashed keys: (bucket, bitmap), of ``MARK_BITS`` bits at most."""
+    at = F.pmod(F.xxhash64(*columns), F.lit(MARK_BITS)) + 1
+    bits = keys.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
+    return bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+
+
+def marked(rows: DataFrame, bitmaps: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with ``_marked``: false only where the key is surely none of those marked.
+
+    The bitmaps are of bounded size, so they are broadcast; rows without a
+    mark need not be shuffled to a join with the keys.
+    """
+    at = F.pmod(F.xxhash64(*columns), F.lit(MARK_BITS)) + 1
+    maps = F.broadcast(bitmaps.select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias("_bitmap")))
+    rows = rows.withColumn("_at", at).join(maps, F.bitmap_bucket_number("_at") == F.col("_bucket"), "left")
+    bit = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substr("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (bit % 8).cast("int")) == 1
+    return rows.withColumn("_marked", F.coalesce(hit, F.lit(False))).drop("_at", "_bucket", "_bitmap")

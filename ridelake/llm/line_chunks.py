@@ -6,9 +6,10 @@ fall into place again after an insertion.  Chunks of two lines or more that
 occur elsewhere are compared byte by byte with the first occurrence (by
 doc_id, then text checksum, then position) and removed when equal.
 
-Only chunk checksums of all documents are shuffled; chunk texts are compared
-for repeated checksums alone.  Rows of equal id and text are one document:
-they keep the same chunks.
+Only chunk checksums of all documents are shuffled.  Texts are shuffled where
+a bitmap of bounded size says that the document may hold a repeated chunk;
+chunk texts are compared for repeated checksums alone.  Rows of equal id and
+text are one document: they keep the same chunks.
 
 Edge cases: NULL text stays NULL, empty text stays empty; NULL ids order
 first; a text may lose all its chunks and become empty; an empty table gives
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import marked, marks, stored, table
 
 ROLL = 3
 MEAN_LINES = 4  # a power of two up to 16: the mean length of a chunk in lines
@@ -68,19 +69,23 @@ def summed(docs: DataFrame) -> DataFrame:
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(_d, _t, _removed): the chunk numbers to remove, per document that has any."""
     texts = summed(docs.select("doc_id", "text").where("text IS NOT NULL"))
-    chunks = with_chunks(texts).select("doc_id", "_sum", F.posexplode("_chunks").alias("at", "c"))
+    # outer: the optimizer adds a filter on the array below a plain explode, written
+    # out in full, which would compute the line hashes anew for every chunk
+    chunks = with_chunks(texts).select("doc_id", "_sum", F.posexplode_outer("_chunks").alias("at", "c"))
     chunks = chunks.where(F.col("c.to") > F.col("c.from")).select("doc_id", "_sum", "at", F.col("c.key").alias("key"))
     chunks = stored(chunks, "line-chunks")
     again = chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    again = stored(again, "line-again")  # a table of its own: the join can split a hot chunk
     wanted = chunks.join(again, "key").groupBy(F.col("doc_id").alias("_d"), F.col("_sum").alias("_t")).agg(
         F.sort_array(F.collect_set("at")).alias("_at"))
     wanted = stored(wanted, "line-wanted")
     picked = F.transform("_at", lambda i: F.struct(i.alias("at"), F.get("_chunks", i)["key"].alias("key"), lines_of(F.get("_chunks", i)).alias("body")))
-    bodies = with_chunks(same_doc(texts.distinct(), wanted, "inner")).select("doc_id", "_sum", F.explode(picked).alias("c"))
-    bodies = stored(bodies.select("doc_id", "_sum", "c.at", "c.key", "c.body"), "line-bodies")
+    likely = marked(texts, stored(marks(wanted, "_d", "_t"), "line-marks"), "doc_id", "_sum").where("_marked")
+    bodies = with_chunks(same_doc(likely.drop("_marked"), wanted, "inner")).select("doc_id", "_sum", F.explode_outer(picked).alias("c"))
+    bodies = stored(bodies.where("c.key IS NOT NULL").select("doc_id", "_sum", "c.at", "c.key", "c.body"), "line-bodies")
     place = F.struct("doc_id", "_sum", "at")
     first = bodies.groupBy("key").agg(F.min(F.struct(place.alias("place"), "body")).alias("first"))
-    first = first.select("key", F.col("first.place").alias("place"), F.col("first.body").alias("kept"))
+    first = stored(first.select("key", F.col("first.place").alias("place"), F.col("first.body").alias("kept")), "line-first")
     later = bodies.join(first, "key").where((F.col("body") == F.col("kept")) & ~place.eqNullSafe(F.col("place")))
     gone = later.groupBy(F.col("doc_id").alias("_d"), F.col("_sum").alias("_t")).agg(F.sort_array(F.collect_set("at")).alias("_removed"))
     return stored(gone, "line-removed")
@@ -88,19 +93,19 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with n_lines, n_removed_lines and ``text`` without repeated chunks."""
-    rows = same_doc(summed(docs), repeated_chunks(docs), "left")
+    gone = repeated_chunks(docs)
+    rows = marked(summed(docs), stored(marks(gone, "_d", "_t"), "line-marks"), "doc_id", "_sum")
+    cut = with_chunks(same_doc(rows.where("_marked"), gone, "left"))
     hit = F.col("_removed").isNotNull()
-    cut = with_chunks(rows.where(hit))
     left = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), "_removed")
-    gone = F.aggregate(F.transform("_removed", lambda i: F.get("_chunks", i)["to"] - F.get("_chunks", i)["from"] + 1),
-                       F.lit(0), lambda s, x: s + x)
-    cut = cut.withColumns({"n_lines": F.size("_lines").cast("long"), "n_removed_lines": gone.cast("long"),
-                           "text": F.array_join(F.transform(left, lambda i: lines_of(F.get("_chunks", i))), "\n")})
-    none = rows.where(~hit).withColumns({
-        "n_lines": F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n"))).cast("long"),
-        "n_removed_lines": F.lit(0).cast("long")})
-    cut = cut.drop("_lines", "_chunks", "_removed", "_sum")
-    return cut.unionByName(none.drop("_removed", "_sum"))
+    n_gone = F.aggregate(F.transform("_removed", lambda i: F.get("_chunks", i)["to"] - F.get("_chunks", i)["from"] + 1),
+                         F.lit(0), lambda s, x: s + x)
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n"))).cast("long")
+    cut = cut.withColumns({
+        "n_lines": n_lines, "n_removed_lines": F.when(hit, n_gone).otherwise(F.lit(0)).cast("long"),
+        "text": F.when(hit, F.array_join(F.transform(left, lambda i: lines_of(F.get("_chunks", i))), "\n")).otherwise(F.col("text"))})
+    rest = rows.where("NOT _marked").withColumns({"n_lines": n_lines, "n_removed_lines": F.lit(0).cast("long")})
+    return cut.drop("_lines", "_chunks", "_removed", "_sum", "_marked").unionByName(rest.drop("_sum", "_marked"))
 
 
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
