@@ -57,10 +57,16 @@ def test_broadcast_only_from_measured_sizes(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastExchange" not in static and "SortMergeJoin" in static, static
-    dim = M.dim_stations(M.stg_stations(raw), M.stg_trips(raw))  # fresh plan, AQE on
+    stations = M.stg_stations(raw).select("station_id", "latitude")
+    named = raw.join(stations, raw["start_station_id"] == stations["station_id"])  # fresh plan, AQE on
+    named.collect()
+    final = named._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final, final  # measured: the stations are tiny
+    dim = M.dim_stations(M.stg_stations(raw), M.stg_trips(raw))
     dim.collect()
-    final = dim._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in final, final  # measured: the station statistics are tiny
+    final = dim._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # both sides come grouped by station: the join adds no exchange
+    assert final.count("Exchange hashpartitioning(station_id") <= 3 and "BroadcastExchange" not in final.split("SortMergeJoin")[0], final
 
 
 def test_calendar_keyed_joins_never_shuffle_the_big_side(spark):
