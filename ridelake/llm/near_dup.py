@@ -170,7 +170,7 @@ def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def confirmed(a: np.ndarray, b: np.ndarray) -> bool:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= LEAST * (len(a) + len(b) - both)
+    return both > 0 and 100 * both >= LEAST * (len(a) + len(b) - both)
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
@@ -254,12 +254,12 @@ def _link_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
+def links(signed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links (a, b) between representatives, enough to connect all that are linked.
 
-    ``signed``: doc_id, n_shingles, class, bands, sketch; ``docs``: doc_id, text.
+    ``signed``: doc_id, n_shingles, class, bands, sketch; ``classes``: class,
+    rep; ``docs``: doc_id, text.
     """
-    classes = signed.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("rep"))
     members = signed.select("doc_id", "class", "n_shingles", "bands", "sketch")
     reps = stored(members.join(classes, (members["class"] == classes["class"]) & (members["doc_id"] == classes["rep"]))
                   .select("rep", "n_shingles", members["class"], "bands", "sketch").dropDuplicates(["rep", "class"]), "near-reps")
@@ -280,7 +280,7 @@ def links(signed: DataFrame, docs: DataFrame) -> DataFrame:
     # the sets of rows that share a bucket with another, computed once
     wanted = banded.select("rep").distinct()
     sets = docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi").select(F.col("doc_id").alias("rep"), _sets("text").alias("set"))
-    sets = stored(sets.where(F.size("set") > 0), "near-sets")
+    sets = stored(sets, "near-sets")
     sa, sb = (sets.select(F.col("rep").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
     first = stored(pairs.join(sb, "b").join(sa, "a").where(_linked("set_a", "set_b")).select("a", "b").distinct(), "near-links")
 
@@ -308,9 +308,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     signed = docs.select("doc_id", _sign("text").alias("s")).select("doc_id", "s.*")
     signed = stored(signed, "near-signed")
-    found = links(signed, docs.select("doc_id", "text"))
     alive = signed.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "class")
-    classes = alive.groupBy("class").agg(F.min("doc_id").alias("rep"))
+    # a table of its own: joins with it can split a class of very many copies
+    classes = stored(alive.groupBy("class").agg(F.min("doc_id").alias("rep")), "near-classes")
+    found = links(signed, classes, docs.select("doc_id", "text"))
     # an id with texts of several classes ties them together
     ids = alive.join(classes, "class").groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("far"))
     ids = stored(ids, "near-ids")
