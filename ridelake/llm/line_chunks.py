@@ -57,9 +57,13 @@ def lines_of(chunk: Column) -> Column:
 
 
 def same_doc(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Join on doc_id (NULL equals NULL) and text checksum; ``right`` carries _d and _t."""
+    """Join on doc_id (NULL equals NULL) and text checksum; ``right`` carries _d and _t.
+
+    The lists joined here and below grow with the corpus, so they are merged
+    at every size and never broadcast.
+    """
     on = left["doc_id"].eqNullSafe(right["_d"]) & left["_sum"].eqNullSafe(right["_t"])
-    return left.join(right, on, how).drop("_d", "_t")
+    return left.join(right.hint("merge"), on, how).drop("_d", "_t")
 
 
 def summed(docs: DataFrame) -> DataFrame:
@@ -76,7 +80,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     chunks = stored(chunks, "line-chunks")
     again = chunks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     again = stored(again, "line-again")  # a table of its own: the join can split a hot chunk
-    wanted = chunks.join(again, "key").groupBy(F.col("doc_id").alias("_d"), F.col("_sum").alias("_t")).agg(
+    wanted = chunks.join(again.hint("merge"), "key").groupBy(F.col("doc_id").alias("_d"), F.col("_sum").alias("_t")).agg(
         F.sort_array(F.collect_set("at")).alias("_at"))
     wanted = stored(wanted, "line-wanted")
     picked = F.transform("_at", lambda i: F.struct(i.alias("at"), F.get("_chunks", i)["key"].alias("key"), lines_of(F.get("_chunks", i)).alias("body")))
@@ -86,7 +90,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "_sum", "at")
     first = bodies.groupBy("key").agg(F.min(F.struct(place.alias("place"), "body")).alias("first"))
     first = stored(first.select("key", F.col("first.place").alias("place"), F.col("first.body").alias("kept")), "line-first")
-    later = bodies.join(first, "key").where((F.col("body") == F.col("kept")) & ~place.eqNullSafe(F.col("place")))
+    later = bodies.join(first.hint("merge"), "key").where((F.col("body") == F.col("kept")) & ~place.eqNullSafe(F.col("place")))
     gone = later.groupBy(F.col("doc_id").alias("_d"), F.col("_sum").alias("_t")).agg(F.sort_array(F.collect_set("at")).alias("_removed"))
     return stored(gone, "line-removed")
 
