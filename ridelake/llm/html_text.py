@@ -33,7 +33,8 @@ TOKEN = re.compile(
     r"|<(script|style|textarea|title|noscript|iframe|template|svg)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>",
     re.S | re.I)
-ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# attributes in order, values consumed whole, so that no value is taken for a name
+ATTR = re.compile(r"([^\s/=][^\s/=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?+|'([^']*+)'?+|(\S*+)))?+")
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,6 +48,8 @@ LEAVE_WORDS = frozenset(
     "related recommended recommendations newsletter subscribe subscription signup login search pagination pager toolbar "
     "banner header topbar".split())
 OWN_WORDS = frozenset("article post entry content story main body page".split())
+# elements of text: their ids name a place in the article, not a part of the page
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figure figcaption caption tr td th address summary".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol "
                      "p pre section table ul".split())
 CLOSES = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
@@ -58,13 +61,17 @@ INSIDE = 0.9  # share of the marked text the article element must hold
 def _leave(tag: str, attrs: str) -> bool:
     if tag in LEAVE_TAGS:
         return True
+    seen = set()
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name in seen:  # the first of repeated attributes counts
+            continue
+        seen.add(name)
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "role" and value in LEAVE_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+        if (name == "class" or name == "id" and tag not in TEXT_TAGS) and tag not in ("html", "body", "article", "main"):
             for token in value.split():
                 parts = set(re.split(r"[-_]+", token))
                 hit = parts & LEAVE_WORDS

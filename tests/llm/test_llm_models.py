@@ -273,6 +273,22 @@ def test_odd_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'data-state="hidden"', 'title="The hidden cost"', 'data-id="sidebar-1"', "data-hidden",
+                                   "title='a role=menu b'", "x=y data-class=ad", 'title = "id=sidebar"'])
+def test_values_and_longer_names_leave_nothing_out(attrs):
+    assert html_text.main_text(f"<div {attrs}><p>One, two.</p><p>Three, four.</p></div>") == "One, two. Three, four."
+
+
+@pytest.mark.parametrize("attrs", ["hidden", 'class="x" HIDDEN=""', "id=sidebar", "class='a'id='sidebar-1'", 'role="menu"', 'aria-hidden="true"'])
+def test_attributes_leave_out(attrs):
+    assert html_text.main_text(f"<div><p>One, two.</p><p>Three, four.</p></div><div {attrs}><p>No, no.</p></div>") == "One, two. Three, four."
+
+
+def test_ids_of_headings_and_paragraphs():
+    page = '<div><h2 id="search">Search</h2><p id="comment-on-method">On the method, first.</p><ul><li id="related">Item.</ul></div>'
+    assert html_text.main_text(page) == "Search On the method, first. Item."
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "v", "<p>" + "word " * 50000 + "</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("mine")).withColumn("n_chars", F.lit("x"))
