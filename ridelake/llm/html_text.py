@@ -4,10 +4,11 @@ A page is read once into text blocks, each with its root-to-leaf path of
 block-level tags.  Text length and punctuation are summed per path and
 divided by the path's text nodes; both ratios are smoothed over the paths in
 page order and fused, and the paths above a threshold mark the content.  The
-smallest element that holds most of the marked text is the article: all of
-its blocks are returned in page order, except menus, adverts, notices, forms
-and reader comments, known by element, role or class name, and blocks that
-are mostly links.
+article or main element that holds most of the marked text is the article,
+else the smallest element that holds all of it: all of its blocks are
+returned in page order, except menus, adverts, notices, forms and reader
+comments, known by element, role or class name.  Where only the whole page
+holds the marked text, containers that are mostly links are left out too.
 
 Edge cases: NULL, empty or text-free html gives the empty string; unclosed
 and stray tags follow the usual implied ends; broken character references
@@ -55,7 +56,8 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
 CLOSES = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 SCOPE = frozenset("ul ol dl table div article section main body".split())
 PUNCT = re.compile(r"[.,;:!?…。，、！？；：]")
-INSIDE = 0.9  # share of the marked text the article element must hold
+INSIDE = 0.9  # share of the marked text an article or main element must hold
+PAGE_WIDE = ("", "html", "body")
 
 
 def _leave(tag: str, attrs: str) -> bool:
@@ -92,16 +94,21 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, bool, int]] = []  # tag, left out, element number
     out: list[Block] = []
     parts: list[str] = []
-    nodes = link = links = count = 0
+    linked: list[str] = []  # the parts inside links
+    nodes = links = count = 0
+
+    def plain(pieces):
+        return " ".join(html.unescape("".join(pieces)).split())
 
     def flush():
-        nonlocal nodes, link
+        nonlocal nodes
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = plain(parts)
             if text and not (stack and stack[-1][1]):
-                out.append(Block("/".join(s[0] for s in stack), tuple(s[2] for s in stack), text, nodes, link))
+                out.append(Block("/".join(s[0] for s in stack), tuple(s[2] for s in stack), text, nodes, len(plain(linked))))
             parts.clear()
-        nodes = link = 0
+            linked.clear()
+        nodes = 0
 
     def pop_to(tags, stop):
         for k in range(len(stack) - 1, -1, -1):
@@ -119,7 +126,7 @@ def blocks(page: str) -> list[Block]:
             if not piece.isspace():
                 nodes += 1
                 if links:
-                    link += len(piece)
+                    linked.append(piece)
         at = m.end()
         tag = m[3]
         if tag is None:
@@ -173,6 +180,11 @@ def path_scores(found: list[Block]) -> dict[str, float]:
     return {p: t * (1 + k) for p, t, k in zip(sums, smooth(text), smooth(marks))}
 
 
+def _container(b: Block) -> int:
+    """The innermost element around a block that is not one of text; 0 is the page."""
+    return next((e for e, name in zip(reversed(b.chain), reversed(b.path.split("/"))) if name not in TEXT_TAGS), 0)
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
@@ -182,24 +194,37 @@ def main_text(page: str | None) -> str:
     mean = sum(values) / len(values)
     deviation = (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
     threshold = min(mean, deviation) if deviation > 0 else mean
-    marked = [b for b in found if scores[b.path] >= threshold]
-    total = sum(len(b.text) for b in marked)
-    held: dict[int, list[int]] = {}  # element: marked text, blocks
+    held: dict[int, list[int]] = {}  # element: text, link text, blocks, marked text
+    own: dict[int, list[int]] = {}  # container: text, link text outside inner containers
     names: dict[int, str] = {}
     for b in found:
-        mark = len(b.text) if scores[b.path] >= threshold else 0
-        for element, name in zip(b.chain, b.path.split("/")):
-            sums = held.setdefault(element, [0, 0])
-            sums[0] += mark
-            sums[1] += 1
+        sums = own.setdefault(_container(b), [0, 0])
+        sums[0] += len(b.text)
+        sums[1] += b.link
+        for element, name in zip((0, *b.chain), ("", *b.path.split("/"))):
+            sums = held.setdefault(element, [0, 0, 0, 0])
+            sums[0] += len(b.text)
+            sums[1] += b.link
+            sums[2] += 1
             names[element] = name
+
+    def prose(b):
+        e = _container(b)
+        return names[e] in PAGE_WIDE or any(2 * link <= text for text, link in (held[e][:2], own[e]))
+
+    marked = [b for b in found if scores[b.path] >= threshold]
+    marked = [b for b in marked if prose(b)] or marked
+    total = sum(len(b.text) for b in marked)
+    for b in marked:
+        for element in (0, *b.chain):
+            held[element][3] += len(b.text)
     # elements are numbered in page order, so the last large enough one is the smallest;
     # an element of one block is a paragraph, not the article around it
-    large = [e for e, (n, k) in held.items() if n >= INSIDE * total and (k > 1 or len(found) == 1)]
+    large = [e for e, (_, _, k, n) in held.items() if n >= INSIDE * total and (k > 1 or len(found) == 1)]
     article = max((e for e in large if names[e] == "article"), default=0) or max(
-        (e for e in large if names[e] == "main"), default=0) or max(large, default=0)
+        (e for e in large if names[e] == "main"), default=0) or max((e for e in large if held[e][3] == total), default=0)
     inside = [b for b in found if not article or article in b.chain]
-    return " ".join(b.text for b in inside if 2 * b.link <= len(b.text))
+    return " ".join(b.text for b in inside if names[article] not in PAGE_WIDE or prose(b))
 
 
 EXTRACTED = T.StringType()

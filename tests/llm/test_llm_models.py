@@ -289,6 +289,30 @@ def test_ids_of_headings_and_paragraphs():
     assert html_text.main_text(page) == "Search On the method, first. Item."
 
 
+def test_linked_blocks_of_the_article_stay():
+    body = '<h1><a href="/x">The linked title</a></h1><p>First, a paragraph of text.</p><ol><li><a href="1">Source one</a><li><a href="2">Source two</a></ol>'
+    want = "The linked title First, a paragraph of text. Source one Source two"
+    for wrap in ("article", "main", "div"):
+        assert html_text.main_text(f"<body><{wrap}>{body}</{wrap}></body>") == want
+
+
+def test_menus_outside_an_article_element_go():
+    page = '<body><h1><a href="/x">Title, linked</a></h1><ul><li><a href="/">Home, start</a><li><a href="/b">Blog, all</a></ul><p>One, two.</p><p>Three, four.</p></body>'
+    assert html_text.main_text(page) == "Title, linked One, two. Three, four."
+
+
+def test_links_are_counted_decoded():
+    links = [b.link for b in html_text.blocks("<p><a>&amp;&amp;\n      &amp;&amp;</a> and text</p>")]
+    assert links == [5]
+
+
+def test_sections_beside_the_largest_stay():
+    long = "".join(f"<p>Paragraph {i}, of the long section, with text.</p>" for i in range(40))
+    page = f"<body><div><div>{long}</div><div><p>Epilogue, the last words.</p><p>The end, at last.</p></div></div><ul><li><a href='/'>Home</a></ul></body>"
+    out = html_text.main_text(page)
+    assert out.startswith("Paragraph 0,") and out.endswith("with text. Epilogue, the last words. The end, at last.")
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "v", "<p>" + "word " * 50000 + "</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("mine")).withColumn("n_chars", F.lit("x"))
