@@ -14,7 +14,7 @@ from ridelake.llm.common import stored, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the network recognises."""
-    return langid.recognised(docs, langid.train(docs))
+    return langid.recognised(docs, langid.train_filter(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

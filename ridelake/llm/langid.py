@@ -11,6 +11,14 @@ chosen by hash among the rows that may be learned from, one window of
 ``WINDOW`` characters each, for at most ``MAX_LANGS`` languages.  Prediction
 covers every byte of every text.
 
+The filter rejects what the network has not learned.  A fifth of the labelled
+rows, by text hash, is kept from learning; on documents of these that are
+predicted rightly, a sure score of each language is set, and the least
+familiarity: the mean log probability of a text's letter pairs, as bytes, in
+the learned languages together.  The limits lie well below nearly all of
+these documents; texts below the sure score, as mixed and short ones are, must
+be the more familiar to stay.
+
 Edge cases: NULL text and text without a letter give ``und`` with score 0;
 rows without a language are never learned from; without any labelled row
 every document is ``und``; an empty table gives an empty result; extra
@@ -38,7 +46,11 @@ PER_LANG = 300
 MAX_LANGS = 200
 WINDOW = 400
 STEPS, BATCH, LENGTH = 260, 192, 64
-MIN_SCORE = 0.0  # the filter rejects what is below; by default only texts without letters
+MIN_SCORE = 0.0  # besides the calibrated limits, the filter rejects what is below
+CALIBRATE = 200  # windows of each language
+NEARLY_ALL, ENOUGH = 0.995, 50  # fewer windows than ENOUGH: the limit of all languages together
+SCORE_SLACK, UNSURE_SLACK, SURE_SLACK = 1, 2.5, 5  # how far below, in distances from the median to the NEARLY_ALL point
+UNSEEN, SHORT = 1e-7, 20  # weight of a pair not seen; pairs at the median added to every text
 
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 _IS_LETTER = np.zeros(256, np.float32)
@@ -66,6 +78,8 @@ class BiGru:
             self.p["U" + d] = rng.normal(0, 1 / np.sqrt(hidden), (hidden, 3 * hidden)).astype(np.float32)
         self.p["W"] = rng.normal(0, 0.3, (2 * hidden, len(langs))).astype(np.float32)
         self.p["b"] = np.zeros(len(langs), np.float32)
+        self.pairs: np.ndarray | None = None  # log probabilities of byte pairs, once calibrated
+        self.typical, self.familiar, self.sure = 0.0, (-np.inf, -np.inf), np.zeros(len(langs))
 
     def states(self, codes: np.ndarray, active: np.ndarray, d: str, tape: list | None = None) -> np.ndarray:
         """Hidden states (T x B x H).  ``codes`` T x B; ``active[t]`` sequences have a byte t."""
@@ -191,9 +205,69 @@ class BiGru:
         return total / np.maximum(weight, 1)[:, None]
 
 
-def sample(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> dict[str, list[bytes]]:
-    """At most ``per_lang`` windows of each language, chosen by record hash."""
+    def familiarity(self, raws: list[bytes]) -> np.ndarray:
+        """Mean log probability of each document's letter pairs, case ignored."""
+        out = np.empty(len(raws))
+        for i, raw in enumerate(raws):
+            at = _pairs(raw)
+            out[i] = (self.pairs[at].sum() + SHORT * self.typical) / (len(at) + SHORT)
+        return out
+
+    def known(self, raws: list[bytes], prob: np.ndarray) -> np.ndarray:
+        """Whether each document, of probabilities ``prob``, is in a learned language."""
+        if self.pairs is None:
+            return np.ones(len(raws), bool)
+        sure = prob.max(axis=1) >= self.sure[prob.argmax(axis=1)]
+        return self.familiarity(raws) >= np.where(sure, self.familiar[1], self.familiar[0])
+
+    def calibrate(self, learned: dict[str, list[bytes]], spare: dict[str, list[bytes]]) -> None:
+        """Set the limits of ``known`` by documents the network did not learn from."""
+        held = [(i, raw) for i, lang in enumerate(self.langs) for raw in spare.get(lang, [])]
+        if not held:
+            return
+        labels, raws = np.array([i for i, _ in held]), [raw for _, raw in held]
+        prob = self.documents(raws)
+        right = prob.argmax(axis=1) == labels
+        if not right.any():
+            return
+        seen = np.zeros(1 << 16)
+        for texts in learned.values():
+            counts = sum(np.bincount(_pairs(t), minlength=1 << 16) for t in texts)
+            seen += counts / max(counts.sum(), 1) / len(learned)
+        seen = seen.reshape(256, 256) + UNSEEN
+        self.pairs = np.log(seen / seen.sum(axis=1, keepdims=True)).ravel().astype(np.float32)
+        raws = [raw for raw, ok in zip(raws, right) if ok]
+        self.typical = float(np.median([self.pairs[_pairs(raw)].mean() for raw in raws]))
+        like = self.familiarity(raws)
+        self.familiar = (_limit(like, UNSURE_SLACK), _limit(like, SURE_SLACK))
+        best, labels = prob.max(axis=1)[right], labels[right]
+        of = [best[labels == i] for i in range(len(self.langs))]
+        self.sure = np.array([_limit(x if len(x) >= ENOUGH else best, SCORE_SLACK) for x in of])
+
+
+def _pairs(raw: bytes) -> np.ndarray:
+    """Numbers of the byte pairs of a text that hold a letter; other bytes count as a space."""
+    codes = np.frombuffer(raw.decode("utf-8", "surrogatepass").lower().encode("utf-8", "surrogatepass"), np.uint8)
+    codes = np.concatenate(([0x20], np.where(_IS_LETTER[codes] > 0, codes, 0x20), [0x20]))
+    at = codes[:-1] * 256 + codes[1:]
+    return at[at != 0x2020]
+
+
+def _limit(values: np.ndarray, slack: float) -> float:
+    """A value well below nearly all of ``values``."""
+    low = np.quantile(values, 1 - NEARLY_ALL, method="lower")
+    return float(low - slack * (np.median(values) - low))
+
+
+def sample(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, spare: bool | None = None) -> dict[str, list[bytes]]:
+    """At most ``per_lang`` windows of each language, chosen by record hash.
+
+    ``spare``: only of the rows kept for calibration (True), or of the others (False).
+    """
     rows = docs.where(F.col("lang").isNotNull() & learnable())
+    if spare is not None:
+        kept = F.coalesce(F.pmod(F.xxhash64("text", F.lit("spare")), F.lit(5)) == 0, F.lit(False))
+        rows = rows.where(kept if spare else ~kept)
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not counts:
         return {}
@@ -219,11 +293,25 @@ def train(docs: DataFrame, **params) -> BiGru | None:
     return net
 
 
-PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+def train_filter(docs: DataFrame, **params) -> BiGru | None:
+    """A network with calibrated limits, for ``recognised``."""
+    texts, spare = sample(docs, spare=False), sample(docs, CALIBRATE, spare=True)
+    for lang in set(spare) - set(texts):  # too few rows to keep any from learning
+        texts[lang] = spare.pop(lang)
+    if not texts:
+        return None
+    net = BiGru(sorted(texts))
+    net.fit(texts, **params)
+    net.calibrate(texts, spare)
+    return net
+
+
+PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                          T.StructField("known", T.BooleanType())])
 
 
 def predictor(spark: SparkSession, net: BiGru | None):
-    """A column function text -> (lang_pred, score)."""
+    """A column function text -> (lang_pred, score, known)."""
     shared = spark.sparkContext.broadcast(net)
 
     @F.pandas_udf(PREDICTED)
@@ -232,29 +320,35 @@ def predictor(spark: SparkSession, net: BiGru | None):
         for batch in texts:
             batch = strings(batch)
             use = [i for i, t in enumerate(batch) if net is not None and t and _HAS_LETTER.search(t)]
-            pred, score = [UND] * len(batch), np.zeros(len(batch))
+            pred, score, known = [UND] * len(batch), np.zeros(len(batch)), np.zeros(len(batch), bool)
             if use:
-                prob = net.documents([batch[i].encode("utf-8", "surrogatepass") for i in use])
+                raws = [batch[i].encode("utf-8", "surrogatepass") for i in use]
+                prob = net.documents(raws)
+                known[use] = net.known(raws, prob)
                 best = prob.argmax(axis=1)
                 for i, b, row in zip(use, best, prob):
                     pred[i], score[i] = net.langs[b], min(float(row[b]), 1.0)
-            yield pd.DataFrame({"lang_pred": pred, "score": score})
+            yield pd.DataFrame({"lang_pred": pred, "score": score, "known": known})
 
     return predict
 
 
-def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
-    """``docs`` with lang_pred and score."""
+def _predicted(docs: DataFrame, net: BiGru | None) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
-    out = docs.withColumn("_lang", predictor(spark, net)("text"))
+    return docs.withColumn("_lang", predictor(spark, net)("text"))
+
+
+def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
+    """``docs`` with lang_pred and score."""
+    out = _predicted(docs, net)
     return out.withColumns({"lang_pred": F.col("_lang.lang_pred"), "score": F.col("_lang.score")}).drop("_lang")
 
 
 def recognised(docs: DataFrame, net: BiGru | None, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` in a recognised language: not ``und``, and at least ``min_score`` sure."""
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return identify(whole, net).where((F.col("lang_pred") != UND) & (F.col("score") >= min_score)).select("_row.*")
+    """The rows of ``docs`` in a language ``net`` knows: within its limits, and at least ``min_score`` sure."""
+    whole = _predicted(docs.select(F.struct(*docs.columns).alias("_row"), "text"), net)
+    return whole.where(F.col("_lang.known") & (F.col("_lang.score") >= min_score)).select("_row.*")
 
 
 def op1_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:

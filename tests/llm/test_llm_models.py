@@ -80,6 +80,27 @@ def test_language_sample_is_bounded(spark, docs):
     assert langid.sample(docs, per_lang=5) == got
 
 
+def test_foreign_and_noise_documents_are_rejected(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randint(20, 120), "de" if i % 2 else "en"), "de" if i % 2 else "en", "s", 0) for i in range(500)]
+    unsure = [prose(rng, 30, "en") + "\n" + prose(rng, 30, "de"), prose(rng, 3, "en"), prose(rng, 2, "de").upper(), "water " * 500, prose(rng, 10, "de") + " 12 ### 34" * 20]
+    polish = "że się nie jest jak przez tylko ale już być może bardzo kiedy więc dlaczego wszystko człowiek życie zawsze miasto".split()
+    russian = "и в не на я что он с как это все она так его но да ты к у же вы за бы по только человек город время".split()
+    planted = [" ".join(rng.choice(v) for _ in range(80)) for v in (polish, russian) for _ in range(5)]
+    planted += ["".join(rng.choice("bcdfghjklmnpqrstvwxz  ") for _ in range(500)) for _ in range(5)]
+    rows += [(1000 + i, t, None, "s", 0) for i, t in enumerate(unsure)] + [(2000 + i, t, None, "s", 0) for i, t in enumerate(planted)]
+    docs = frame(spark, rows)
+    net = langid.train_filter(docs, steps=60, batch=64, length=32)
+    kept = {r.doc_id for r in langid.recognised(docs, net).collect()}
+    assert kept == set(range(500)) | {1000 + i for i in range(len(unsure))}
+    assert all(0 < x < 1 for x in net.sure)
+
+
+def test_rows_for_calibration_are_not_learned_from(spark, docs):
+    learned, spare = langid.sample(docs, spare=False), langid.sample(docs, spare=True)
+    assert all(spare.values()) and set(learned) == {"de", "en"} and not set().union(*learned.values()) & set().union(*spare.values())
+
+
 # ---- quality
 
 def quality_rows(n=1200):
