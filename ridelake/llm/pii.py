@@ -303,9 +303,10 @@ def select(found: DataFrame, trees: Trees) -> DataFrame:
     picked = F.transform(F.filter("proposals", lambda c: chosen(c)), lambda c: F.struct(
         c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     rows = found.withColumn("_added", F.sort_array(picked))
-    # of proposals that overlap each other the first stays
-    first = F.filter("_added", lambda c: ~F.exists("_added", lambda o: (
-        (o["start"] < c["end"]) & (c["start"] < o["end"]) & (o < c))))
+    # in order of their starts, each stays that begins behind the last one that stayed
+    none = F.filter("_added", lambda c: F.lit(False))
+    first = F.aggregate("_added", none, lambda kept, c: F.when(
+        (F.size(kept) == 0) | (F.get(kept, F.size(kept) - 1)["end"] <= c["start"]), F.concat(kept, F.array(c))).otherwise(kept))
     return rows.withColumn("spans", F.sort_array(F.concat("base", first))).drop("_added")
 
 

@@ -272,6 +272,18 @@ def test_spans_keep_the_base_and_redact(spark):
     assert out[500].text == "server [IP] and [EMAIL]" and out[501].text is None
 
 
+def test_overlap_chains_keep_every_other_span(spark):
+    trees = pii.Trees()
+    trees.thresholds = {3: 0.0}
+    fields = ", ".join(f"{f}: int" for f in pii.FEATURES)
+    spans = [(0, 10), (8, 20), (18, 30), (30, 35), (34, 36), (40, 41)]
+    proposals = [(a, b, *[3 if f == "kind" else 0 for f in pii.FEATURES], False) for a, b in spans]
+    found = spark.createDataFrame([([], proposals), ([], [])], "base: array<struct<start: bigint, kind: int, end: bigint>>, "
+                                  f"proposals: array<struct<start: bigint, end: bigint, {fields}, label: boolean>>")
+    got = [[(s.start, s.end) for s in r.spans] for r in pii.select(found, trees).collect()]
+    assert sorted(got) == [[], [(0, 10), (18, 30), (30, 35), (40, 41)]]
+
+
 def test_trees_learn_a_rule():
     cells = []
     for check in range(3):
