@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, host_rules, html_text, langid, line_chunks, mixing, near_dup, pii, quality_pu, sharding
+from . import bit_sliced, decontaminate, host_rules, html_text, langid, line_chunks, mixing, near_dup, pii, quality_pu, sharding
 
 QUERIES = {
     "op1_bigru": langid.op1_bigru,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_tag_paths": html_text.op8_tag_paths,
     "op9_mix": mixing.op9_mix,
     "op10_odd_sketch": near_dup.op10_odd_sketch,
+    "op13_bit_sliced": bit_sliced.op13_bit_sliced,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op7_line_chunks": line_chunks.OP7_SQL,
     "op9_mix": mixing.OP9_SQL,
     "op10_odd_sketch": near_dup.OP10_SQL,
+    "op13_bit_sliced": bit_sliced.OP13_SQL,
 }
