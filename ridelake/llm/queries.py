@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bit_sliced, decontaminate, host_rules, html_text, langid, line_chunks, mixing, near_dup, pii, quality_pu, sharding
+from . import bit_sliced, decontaminate, host_rules, html_text, langid, line_chunks, mixing, near_dup, pii, quality_pu, sharding, token_align
 
 QUERIES = {
     "op1_bigru": langid.op1_bigru,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_tag_paths": html_text.op8_tag_paths,
     "op9_mix": mixing.op9_mix,
     "op10_odd_sketch": near_dup.op10_odd_sketch,
+    "op11_diagonal_runs": token_align.op11_diagonal_runs,
     "op13_bit_sliced": bit_sliced.op13_bit_sliced,
 }
 
