@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bit_sliced, decontaminate, host_rules, html_text, langid, line_chunks, mixing, near_dup, pii, quality_pu, sharding, token_align
+from . import bit_sliced, conversation_repair, decontaminate, host_rules, html_text, langid, line_chunks, mixing, near_dup, pii, quality_pu, sharding, token_align
 
 QUERIES = {
     "op1_bigru": langid.op1_bigru,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mix": mixing.op9_mix,
     "op10_odd_sketch": near_dup.op10_odd_sketch,
     "op11_diagonal_runs": token_align.op11_diagonal_runs,
+    "op12_iterative_deepening": conversation_repair.op12_iterative_deepening,
     "op13_bit_sliced": bit_sliced.op13_bit_sliced,
 }
 
