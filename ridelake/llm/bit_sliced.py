@@ -260,7 +260,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_i
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
 
     left = rows.select("row", "vec_id", "x", dealt("slot", slots), every("cell", cells))
-    right = rows.where("is_query").select("row", "vec_id", "x", dealt("cell", cells), every("slot", slots)).select(*left.columns)
+    # names of its own: Spark would take the right side's columns for the left's, and drop them when the result is only counted
+    own = [F.col(c).alias(c) for c in ("row", "vec_id", "x")]
+    right = rows.where("is_query").select(*own, dealt("cell", cells), every("slot", slots)).select(*left.columns)
     left, right = (side.repartition(parts, "slot", "cell").groupBy("slot", "cell") for side in (left, right))
     kind = rows.schema["vec_id"].dataType.simpleString()
     found = left.cogroup(right).applyInArrow(best_of_slot(k), f"query_row long, query_id {kind}, vec_id {kind}, score long")

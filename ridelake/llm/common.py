@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,16 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def shipped(spark: SparkSession, value) -> Broadcast:
+    """``value`` for tasks, with its class: a plain broadcast would ask executors to import this package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def unpacked(shared: Broadcast):
+    """What ``shipped`` sent, in a task."""
+    return pickle.loads(shared.value)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches small enough that a Python task holds few long texts at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

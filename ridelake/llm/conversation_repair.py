@@ -35,7 +35,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -161,7 +160,6 @@ def search(symbols: str, enter: int, accept: tuple) -> tuple[int, str, int]:
         limit = failed[0, enter]
 
 
-@lru_cache(maxsize=1 << 16)
 def segment_paths(symbols: str, first: bool, last: bool) -> list[tuple[int, int, int, str]]:
     """(enter, leave, cost, edits) of a segment, for every pair of states it may join."""
     out = []
@@ -226,7 +224,11 @@ def _paths():
     @F.pandas_udf(PATHS)
     def paths(symbols: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
         names = ("enter", "leave", "cost", "edits")
-        return pd.Series([[dict(zip(names, p)) for p in segment_paths(*s)] for s in zip(symbols, first, last)])
+        known: dict[tuple, list] = {}  # a batch repeats few kinds of segments
+        for s in zip(symbols, first, last):
+            if s not in known:
+                known[s] = [dict(zip(names, p)) for p in segment_paths(*s)]
+        return pd.Series([known[s] for s in zip(symbols, first, last)])
 
     return paths
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, learnable, small_batches, strings, table
+from .common import held_out, learnable, shipped, small_batches, strings, table, unpacked
 
 UND = "und"
 HIDDEN = 8  # per direction
@@ -312,11 +312,11 @@ PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructFi
 
 def predictor(spark: SparkSession, net: BiGru | None):
     """A column function text -> (lang_pred, score, known)."""
-    shared = spark.sparkContext.broadcast(net)
+    shared = shipped(spark, net)
 
     @F.pandas_udf(PREDICTED)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        net = shared.value
+        net = unpacked(shared)
         for batch in texts:
             batch = strings(batch)
             use = [i for i, t in enumerate(batch) if net is not None and t and _HAS_LETTER.search(t)]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, learnable, small_batches, strings, table
+from .common import held_out, learnable, shipped, small_batches, strings, table, unpacked
 
 THRESHOLD = 0.7
 SAMPLE = 3000
@@ -209,11 +209,11 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Net | None:
 
 
 def scorer(spark: SparkSession, net: Net | None):
-    shared = spark.sparkContext.broadcast(net)
+    shared = shipped(spark, net)
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        net = shared.value
+        net = unpacked(shared)
         for batch in texts:
             batch = strings(batch)
             yield pd.Series(net.scores(np.array([features(t) for t in batch]).reshape(-1, FEATURES)) if net else np.full(len(batch), 0.5))

@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,9 +93,11 @@ class Encoders:
             yield (x, y) if same else ([], [])
 
 
-@lru_cache(maxsize=1)
-def encoders(byte_bpe: bytes, piece_bpe: bytes) -> Encoders:
-    return Encoders(byte_bpe, piece_bpe)
+def encoders(files) -> Encoders:
+    """Both tokenizers from their broadcast files, kept beside the broadcast for a worker's later tasks."""
+    if getattr(files, "encoders", None) is None:
+        files.encoders = Encoders(*files.value)
+    return files.encoders
 
 
 # ---- alignment
@@ -204,7 +205,7 @@ def aligner(files, digest: bool, chunk_bytes: int):
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        both = encoders(*files.value)
+        both = encoders(files)
         number = TaskContext.get().partitionId() << 32
         docs, size, kind = [], 0, None
         for batch in batches:

@@ -66,6 +66,7 @@ def test_matches_brute_force(spark, both, chunk_bytes):
     got = sorted((str((r.doc_id, r.text)), *[r[n] for n in NAMES]) for r in out.collect())
     want = sorted((str((r[0], r[1])), *v) for r, v in zip(rows, brute(both, [r[1] for r in rows])))
     assert got == want
+    assert out.count() == len(rows) and out.select("n_a").agg(F.sum("n_a")).first()[0] == sum(w[1] for w in want)
     assert any(w[1] == 0 and "▁" in w[0] for w in want) and sum(w[1] > 0 for w in want) > 30
 
 

@@ -53,7 +53,7 @@ def test_matches_brute_force(spark, slot_rows, cell_queries):
     got = top(spark, rows, slot_rows=slot_rows, cell_queries=cell_queries)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert dict(got.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"}
-    assert found(got) == brute(rows)
+    assert found(got) == brute(rows) and got.count() == len(brute(rows)) and got.select("rank").agg(F.max("rank")).first()[0] == 5
 
 
 def test_a_third_of_all_rows_share_one_vector(spark):
