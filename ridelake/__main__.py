@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--warehouse", required=True, help="root folder of the raw table and the models")
     p.add_argument("--files", nargs="*", help="CSV files to load")
     p.add_argument("--dir", help="folder of CSV or zipped CSV files to load; names are paths below it")
-    p.add_argument("--pattern", default="*.csv", help="file name glob within --dir")
+    p.add_argument("--pattern", default="*.{csv,csv.gz,zip}", help="file name glob within --dir")
     p.add_argument("--loaded-at", help="load timestamp (default: now)")
     p.add_argument("--reload", action="store_true", help="load files even if already committed")
     p.add_argument("--strict", action="store_true", help="treat empty text as missing")

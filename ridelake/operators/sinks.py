@@ -2,24 +2,31 @@
 full-rebuild marts and key-partitioned incremental upserts.
 
 Layout of the raw table:  <root>/year_month=YYYYMM/source_file=<name>/*.parquet
-Every source file owns its own leaves.  A load clears the leaves its files
-have, then writes them anew, so a retry can neither lose nor duplicate rows
-and a reloaded file keeps no row it no longer has.  A ledger row per file is
-appended only after its data is committed, so a crashed load is simply
-re-run; a reload first marks its files as unfinished.  A file is known by its
-decoded path below the landing folder (its base name when none is given).
+Every source file owns its own leaves.  A load first marks its files as
+begun in the ledger; files marked before may have leaves, which are cleared.
+Then the leaves are written anew, so a retry can neither lose nor duplicate
+rows and a reloaded file keeps no row it no longer has.  The row that commits
+a file is appended only after its data is written, so a crashed load is
+simply re-run.  A file is known by its decoded path below the landing folder
+(its base name when none is given).  What a load reads of the table follows
+its files, not the history (see ``versions``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import year_month
 from ..schema import RAW_COLUMNS, RAW_SCHEMA
+from .versions import index_load, indexed, months_of_rides, name_list, raw_months, rows_of_files
 
 RAW_PARTITIONS = ["year_month", "source_file"]
 RAW_SORT = ["ride_date", "member_casual", "rideable_type", "ride_id"]
@@ -66,8 +73,9 @@ def between_dates(df: DataFrame, lo: str, hi: str, ts: str = "started_at") -> Da
 # --- file ledger ----------------------------------------------------------------
 
 # months: months whose models a reload changes beyond those of the file's rows
+# indexed: the file's rows are entered in the version index
 LEDGER_SCHEMA = ("source_file string, path string, rows long, batch string, months array<int>, "
-                 "done boolean, committed_at timestamp_ntz")
+                 "done boolean, indexed boolean, committed_at timestamp_ntz")
 
 
 def ledger(spark: SparkSession, root: str) -> DataFrame:
@@ -76,13 +84,13 @@ def ledger(spark: SparkSession, root: str) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     rows = spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    newest = rows.groupBy("source_file").agg(F.max(F.struct("committed_at", "done", "path", "rows", "batch", "months")).alias("r"))
+    newest = rows.groupBy("source_file").agg(F.max(F.struct("committed_at", "done", "indexed", "path", "rows", "batch", "months")).alias("r"))
     return newest.select("source_file", "r.*")
 
 
 def committed_files(spark: SparkSession, root: str) -> DataFrame:
-    """(source_file, rows, committed_at, path, batch, months) of every completed load."""
-    return ledger(spark, root).where("done").select("source_file", "rows", "committed_at", "path", "batch", "months")
+    """(source_file, rows, committed_at, path, batch, months, indexed) of every completed load."""
+    return ledger(spark, root).where("done").select("source_file", "rows", "committed_at", "path", "batch", "months", "indexed")
 
 
 def pending(files: DataFrame, done: DataFrame, name_col: str = "name") -> DataFrame:
@@ -90,24 +98,35 @@ def pending(files: DataFrame, done: DataFrame, name_col: str = "name") -> DataFr
     return files.join(done.select(F.col("source_file").alias(name_col)), name_col, "left_anti")
 
 
-def _append_ledger(rows: DataFrame, root: str, batch: str, months: Sequence[int], done: bool) -> None:
+def _append_ledger(rows: DataFrame, root: str, batch: Column, months: Column, done: bool, indexed: bool) -> None:
     """Add ledger rows; ``rows``: source_file, path, rows."""
-    (rows.select("source_file", "path", "rows", F.lit(batch).alias("batch"),
-                 F.array(*[F.lit(m) for m in months]).cast("array<int>").alias("months"),
-                 F.lit(done).alias("done"), F.localtimestamp().alias("committed_at"))
+    (rows.select("source_file", "path", "rows", batch.alias("batch"), months.cast("array<int>").alias("months"),
+                 F.lit(done).alias("done"), F.lit(indexed).alias("indexed"), F.localtimestamp().alias("committed_at"))
      .write.mode("append").parquet(f"{root}/{LEDGER_DIR}"))
 
 
-def commit_files(spark: SparkSession, root: str, files: dict[str, str], batch: str = "", months: Sequence[int] = ()) -> None:
+def _literals(values: Sequence[int]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def commit_files(spark: SparkSession, root: str, files: dict[str, str], batch: str = "", months: Sequence[int] = (),
+                 indexed: bool = False) -> None:
     """Append ledger rows for files (name: path) whose leaves are now written."""
     if not files:
         return
     listed = spark.createDataFrame(sorted(files.items()), "source_file string, path string")
-    counts = (read_raw(spark, root).join(listed.select("source_file"), "source_file", "left_semi")
+    counts = (rows_of_files(read_raw(spark, root), name_list(spark, files))
               .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
     # every committed file gets a row, also one whose rows were all rejected
     rows = listed.join(counts, "source_file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
-    _append_ledger(rows, root, batch, months, True)
+    _append_ledger(rows, root, F.lit(batch), _literals(months), True, indexed)
+
+
+def mark_indexed(spark: SparkSession, root: str) -> None:
+    """Ledger rows that say of every committed file that its rows are in the version index."""
+    if path_exists(spark, f"{root}/{LEDGER_DIR}"):
+        rows = committed_files(spark, root).where("NOT coalesce(indexed, false)")
+        _append_ledger(rows, root, F.col("batch"), F.col("months"), True, True)
 
 
 def _drop_leaves(spark: SparkSession, root: str, leaves: Sequence) -> None:
@@ -119,44 +138,65 @@ def _drop_leaves(spark: SparkSession, root: str, leaves: Sequence) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def _begin_reload(spark: SparkSession, root: str, files: DataFrame, batch: str) -> list[int]:
-    """Clear the leaves that the given files have; returns the months to refresh besides their new rows'.
+def _begin_load(spark: SparkSession, root: str, files: dict[str, str], batch: str) -> list[int]:
+    """Mark the files as begun and clear the leaves they have; returns the
+    months to refresh besides their new rows'.
 
-    The files are marked unfinished first, with the months of all versions of
-    the rides they held, so a crash from here on costs a reload and nothing else.
+    Only files that an earlier load has begun (or, without a ledger, all) can
+    have leaves, so no other file's rows are looked for.  The mark holds the
+    months of all versions of the rides in these leaves, so a crash from here
+    on costs a load and nothing else.
     """
-    raw = read_raw(spark, root)
-    leaves = raw.join(files, "source_file", "left_semi").select("year_month", "source_file").distinct().collect()
-    if leaves:  # these folders are deleted one by one
-        ids = raw.join(files, "source_file", "left_semi").select("ride_id").distinct()
-        months = sorted(r[0] for r in raw.join(ids, "ride_id", "left_semi").select("year_month").distinct().collect())
-        held = spark.createDataFrame([(n, None, None) for n in sorted({r.source_file for r in leaves})],
-                                     "source_file string, path string, rows long")
-        _append_ledger(held, root, batch, months, False)
-        _drop_leaves(spark, root, leaves)
-    unfinished = ledger(spark, root).where("NOT done").join(files, "source_file", "left_semi")
-    return sorted(r[0] for r in unfinished.select(F.explode("months")).distinct().collect())  # bounded by the calendar
+    held, months = set(files), set()
+    if path_exists(spark, f"{root}/{LEDGER_DIR}"):
+        begun = ledger(spark, root).join(F.broadcast(name_list(spark, files)), "source_file", "left_semi")
+        begun = begun.select("source_file", "done", "months").collect()  # files of this load
+        held = {r.source_file for r in begun}
+        months = {m for r in begun if not r.done for m in r.months or ()}
+    leaves = []
+    if held and path_exists(spark, root):
+        rows = rows_of_files(read_raw(spark, root), name_list(spark, held))
+        leaves = rows.select("year_month", "source_file").distinct().collect()  # these folders are deleted one by one
+        if leaves and indexed(spark, root):
+            months |= set(months_of_rides(spark, root, rows))
+        elif leaves:
+            ids = rows.select("ride_id").distinct()
+            months |= {r[0] for r in read_raw(spark, root).join(ids, "ride_id", "left_semi").select("year_month").distinct().collect()}
+    marks = spark.createDataFrame([(n, p, None) for n, p in sorted(files.items())], "source_file string, path string, rows long")
+    _append_ledger(marks, root, F.lit(batch), _literals(sorted(months)), False, False)
+    _drop_leaves(spark, root, leaves)
+    return sorted(months)
+
+
+def _broken_file(error: Exception, paths: Sequence[str]) -> str | None:
+    """The file of ``paths`` that a failed job could not read, if one is named."""
+    from ..sources.files import plain_path
+
+    named = re.findall(r"FAILED_READ_FILE[^\]]*\] Encountered error while reading file (\S+?)\.?\s", str(error))
+    named = {plain_path(unquote(n)) for n in named}
+    return next((p for p in paths if plain_path(p) in named), None)
 
 
 def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded_at: str | None = None,
                     skip_committed: bool = True, empty_as_missing: bool = False, landing: str | None = None,
                     multiline: bool = False) -> dict:
-    """Clean-and-load CSV files, plain or zipped, into the raw table, exactly once per file.
+    """Clean-and-load CSV files, plain, gzipped or zipped, into the raw table, exactly once per file.
 
     Returns {"loaded": [names], "skipped": [names], "rejected": [paths],
-    "rows": {input_rows, dropped_malformed, dropped_missing, dropped_order,
-    dropped_bounds, kept_rows}}; the row counts are observed while the load
-    writes (no extra pass over the data).  Unreadable files and files that
-    lack a required column are rejected, the rest load.  ``ValueError`` if
-    two paths share a name, or a committed name comes from another path:
-    give ``landing``, so that names are paths below it.
+    "reasons": {path: why}, "rows": {input_rows, dropped_malformed,
+    dropped_missing, dropped_order, dropped_bounds, kept_rows}}; the row
+    counts are observed while the load writes (no extra pass over the data).
+    Unreadable files and files that lack a required column are rejected, the
+    rest load; a file that breaks behind its header is rejected whole, and
+    the load starts again without it (no leaf is written before all are
+    read).  ``ValueError`` if two paths share a name, or a committed name
+    comes from another path: give ``landing``, so that names are paths below
+    it.
     """
-    import uuid
-
+    from pyspark.errors import PySparkException
     from pyspark.sql import Observation
 
-    from ..schema import require_columns
-    from ..sources.files import plain_path, read_trip_files, source_id
+    from ..sources.files import Rejected, plain_path, read_trip_files, source_id
     from .clean import clean_strings, clean_types, drop_reason
 
     names: dict[str, str] = {}
@@ -174,25 +214,40 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
         todo = {r[0] for r in pending(listed, known).select("name").collect()}
         skipped = sorted(n for n in names if n not in todo)
     todo = {n: p for n, p in sorted(names.items()) if n not in set(skipped)}
-    text, rejected = read_trip_files(spark, list(todo.values()), landing, multiline) if todo else (None, [])
+    rejected = Rejected()
+    text = read_trip_files(spark, list(todo.values()), landing, multiline, rejected) if todo else None
     if text is None:
-        return {"loaded": [], "skipped": skipped, "rejected": rejected, "rows": {}}
-    require_columns(text)
-    loading = {n: plain_path(p) for n, p in todo.items() if p not in set(rejected)}
+        return {"loaded": [], "skipped": skipped, "rejected": list(rejected), "reasons": dict(rejected), "rows": {}}
+    loading = {n: plain_path(p) for n, p in todo.items() if p not in rejected}
     batch = uuid.uuid4().hex
-    files = spark.createDataFrame([(n,) for n in loading], "source_file string")
-    months = _begin_reload(spark, root, files, batch) if path_exists(spark, root) else []
+    before = raw_months(spark, root)
+    was_indexed = not before or indexed(spark, root)
+    months = _begin_load(spark, root, loading, batch)
     stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
-    typed = clean_types(clean_strings(text.withColumn("loaded_at", stamp)))
-    reason = F.when(F.col("_malformed"), F.lit("malformed")).otherwise(drop_reason(typed, empty_as_missing))
-    obs = Observation("load")
-    observed = typed.withColumn("_reason", reason).observe(
-        obs, F.count(F.lit(1)).alias("input_rows"),
-        *[F.count_if(F.col("_reason") == r).alias(f"dropped_{r}") for r in ("malformed", "missing", "order", "bounds")],
-        F.count_if(F.col("_reason").isNull()).alias("kept_rows"))
-    write_raw(observed.filter(F.col("_reason").isNull()), root)
-    commit_files(spark, root, loading, batch, months)
-    return {"loaded": sorted(loading), "skipped": skipped, "rejected": rejected, "rows": dict(obs.get)}
+    while True:
+        typed = clean_types(clean_strings(text.withColumn("loaded_at", stamp)))
+        reason = F.when(F.col("_malformed"), F.lit("malformed")).otherwise(drop_reason(typed, empty_as_missing))
+        obs = Observation(f"load-{len(rejected)}")
+        observed = typed.withColumn("_reason", reason).observe(
+            obs, F.count(F.lit(1)).alias("input_rows"),
+            *[F.count_if(F.col("_reason") == r).alias(f"dropped_{r}") for r in ("malformed", "missing", "order", "bounds")],
+            F.count_if(F.col("_reason").isNull()).alias("kept_rows"))
+        try:
+            write_raw(observed.filter(F.col("_reason").isNull()), root)
+            break
+        except (PySparkException, Py4JJavaError) as e:
+            bad = _broken_file(e, [p for n, p in todo.items() if n in loading])
+            if bad is None:
+                raise
+            rejected[bad] = "unreadable behind its header"
+            loading = {n: p for n, p in loading.items() if p != plain_path(bad)}
+            text = read_trip_files(spark, [p for n, p in todo.items() if n in loading], landing, multiline, rejected) if loading else None
+            if text is None:
+                return {"loaded": [], "skipped": skipped, "rejected": list(rejected), "reasons": dict(rejected), "rows": {}}
+    if was_indexed:
+        index_load(spark, root, name_list(spark, loading), batch, before)
+    commit_files(spark, root, loading, batch, months, was_indexed)
+    return {"loaded": sorted(loading), "skipped": skipped, "rejected": list(rejected), "reasons": dict(rejected), "rows": dict(obs.get)}
 
 
 # --- marts ---------------------------------------------------------------------

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sinks import drop_keys, overwrite_keys, read_raw, touched_keys
+from ..operators.sinks import drop_keys, overwrite_keys, read_raw, touched_keys, write_table
+from ..operators.versions import indexed, months_of_rides, name_list, rows_of_files, versions_in_months
 from . import trips as M
 
 MART_KEY = "ride_date"
@@ -48,7 +49,8 @@ def build_daily(raw: DataFrame, mart_path: str) -> None:
 
 
 def build_daily_from_fct(fct: DataFrame, mart_path: str) -> None:
-    overwrite_keys(M.agg_daily(fct), mart_path, MART_KEY)
+    """Replaces the whole mart: dates of an earlier build that have no rides now go."""
+    write_table(M.agg_daily(fct), mart_path, partition_by=[MART_KEY])
 
 
 def refresh_daily(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, mart_path: str,
@@ -84,9 +86,12 @@ def read_daily(spark: SparkSession, mart_path: str) -> DataFrame:
 
 
 def refresh_from_raw_table(spark: SparkSession, raw_root: str, mart_path: str, new_files) -> list:
-    """Convenience: refresh after ``new_files`` were loaded into the raw table."""
+    """Refresh after ``new_files`` were loaded into the raw table: reads their
+    partitions and, by the version index, the months their rides touch."""
     raw = read_raw(spark, raw_root)
-    new_rows = raw.filter(F.col("source_file").isin(*new_files))
+    new_rows = rows_of_files(raw, name_list(spark, new_files))
+    if indexed(spark, raw_root):
+        raw = versions_in_months(spark, raw_root, months_of_rides(spark, raw_root, new_rows))
     return refresh_daily(spark, raw, new_rows, mart_path)
 
 
@@ -101,14 +106,15 @@ def _month(ts: str = "started_at"):
 
 
 def touched_months(raw: DataFrame, new_rows: DataFrame) -> list[int]:
-    """Months of ``new_rows`` and of earlier versions of the same rides (one
-    narrow scan of ride ids and months; the result is bounded by the calendar)."""
+    """Months of ``new_rows`` and of earlier versions of the same rides, by one
+    narrow scan of all ride ids and months: for raw tables without a version
+    index (the result is bounded by the calendar)."""
     return sorted(r[0] for r in touched_keys(new_rows, raw, "ride_id", F.col(MONTH)).collect())
 
 
 def rides_in_months(raw: DataFrame, months) -> DataFrame:
-    """All versions of every ride with a version in one of ``months`` (the
-    months themselves are read by partition)."""
+    """All versions of every ride with a version in one of ``months``, found by a
+    scan of all ride ids: for raw tables without a version index."""
     ids = raw.filter(F.col(MONTH).isin(list(months))).select("ride_id").distinct()
     return raw.join(ids, "ride_id", "left_semi")
 
@@ -131,12 +137,14 @@ def write_by_month(df: DataFrame, path: str, sort_by=(), full: bool = False) ->
     return set(obs.get["months"] or [])
 
 
-def refresh_months(spark: SparkSession, raw: DataFrame, months, path: str, build, sort_by=()) -> None:
+def refresh_months(spark: SparkSession, raw: DataFrame, months, path: str, build, sort_by=(), rides: DataFrame | None = None) -> None:
     """Recompute ``months`` of a month-partitioned trip model from only the
-    rides involved; months left without rows are removed.  ``build`` maps raw
-    rows to the model: keep-latest over all versions of the involved rides
-    picks the same winners as over the whole table."""
-    model = build(rides_in_months(raw, months)).filter(_month().isin(list(months)))
+    rides involved (``rides``: all their versions, where known); months left
+    without rows are removed.  ``build`` maps raw rows to the model:
+    keep-latest over all versions of the involved rides picks the same
+    winners as over the whole table."""
+    rides = rides_in_months(raw, months) if rides is None else rides
+    model = build(rides).filter(_month().isin(list(months)))
     written = write_by_month(model, path, sort_by)
     drop_keys(spark, path, MONTH, [m for m in months if m not in written])
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import TableChecks, suite
+from ..operators.versions import indexed, months_of_rides, name_list, rows_of_files, versions_in_months
 from ..operators.sinks import LEDGER_DIR, committed_files, drop_keys, load_trip_files, path_exists, read_raw, write_table
 from ..session import scratch_dir
 from . import trips as M
@@ -86,10 +87,11 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     """Build every model from the raw table; returns the written tables.
 
     Staged trips and the fact table are stored by month.  The first build
-    makes everything; later ones take the loads not consumed yet (or
-    ``new_files``) and recompute only the months these touch: months of
-    their rows, of earlier versions of the same rides, and of rides that a
-    reload moved or removed.  The touched months are found once; staged
+    makes everything; later ones take the loads not consumed yet (of these
+    only ``new_files``, where given) and recompute only the months these
+    touch: months of their rows, of earlier versions of the same rides, and
+    of rides that a reload moved or removed.  The touched months are found
+    once, by the version index, so no raw scan covers the history; staged
     trips come from the rides of these months, the fact table from the
     staged months, the daily mart, monthly partials and rollups from months
     by partition.
@@ -99,24 +101,30 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     parts_root, rollups = wh.table("fct_monthly_parts"), wh.table("rollups")
     built = all(path_exists(spark, p) for p in (stg_path, fct_path, daily_path, wh.table("agg_hourly_patterns")))
     work, loads, extra = None, None, []
-    if new_files is not None and built and not full:
-        work = spark.createDataFrame([(n,) for n in new_files], "source_file string")
-    elif path_exists(spark, f"{wh.raw}/{LEDGER_DIR}"):
+    if path_exists(spark, f"{wh.raw}/{LEDGER_DIR}"):
         loads = unconsumed(spark, wh) if built and not full else None
         path = scratch_dir(spark, "loads")  # the loads this build takes, whatever is loaded meanwhile
-        (committed_files(spark, wh.raw).select("source_file", "batch", "months") if loads is None else loads).write.parquet(path)
+        taken = committed_files(spark, wh.raw).select("source_file", "batch", "months") if loads is None else loads
+        if new_files is not None and loads is not None:
+            taken = taken.where(F.col("source_file").isin(list(new_files)))
+        taken.write.parquet(path)
         taken = spark.read.schema(CONSUMED_SCHEMA).parquet(path)
         if loads is not None:
             work = taken.select("source_file")
             extra = sorted(r[0] for r in taken.select(F.explode("months")).distinct().collect())  # bounded by the calendar
         loads = taken
+    elif new_files is not None and built and not full:
+        work = name_list(spark, new_files)
     if work is not None:
-        new_rows = raw.join(work, "source_file", "left_semi")
+        new_rows = rows_of_files(raw, work)
         own = sorted(r[0] for r in new_rows.select("year_month").distinct().collect())
-        months = sorted({*touched_months(raw, new_rows), *extra}) if own else extra
+        by_index = indexed(spark, wh.raw)
+        find = months_of_rides(spark, wh.raw, new_rows) if by_index and own else touched_months(raw, new_rows) if own else []
+        months = sorted({*find, *extra})
         raw_months = sorted({*own, *extra})
         if months:
-            refresh_months(spark, raw, months, stg_path, M.stg_trips, STG_ORDER)
+            rides = versions_in_months(spark, wh.raw, months) if by_index else None
+            refresh_months(spark, raw, months, stg_path, M.stg_trips, STG_ORDER, rides)
             stg_months = spark.read.schema(_stored(M.stg_trips(raw))).parquet(stg_path).filter(F.col("year_month").isin(months))
             written = write_by_month(M.fct_trips(M.trip_metrics(stg_months, speed_guard)), fct_path, FACT_ORDER)
             drop_keys(spark, fct_path, "year_month", [m for m in months if m not in written])

@@ -492,12 +492,12 @@ def q_distinct_exact(spark, sf):
                                           F.count_distinct("l_suppkey").alias("suppliers"))
 
 
-@register("customer_order_stats", """
+@register("document_label_stats", """
   WITH st AS (
     SELECT doc_id, count(*) AS n_labels, sum(quality) AS n_good FROM labels GROUP BY doc_id)
   SELECT d.doc_id, d.source, coalesce(st.n_labels, 0) AS n_labels, st.n_good::BIGINT AS n_good
   FROM documents d LEFT JOIN st ON d.doc_id = st.doc_id""")
-def q_customer_order_stats(spark, sf):
+def q_document_label_stats(spark, sf):
     """Left join of a dimension to aggregated facts: unmatched rows keep 0
     counts and NULL metrics (the station-dimension join, on native tables;
     only some documents have labels)."""
@@ -1110,3 +1110,7 @@ def q_rollup_member_incremental(spark, sf):
 def q_rollup_station_hour_incremental(spark, sf):
     from .rollups import read_station_hour_rollup
     return read_station_hour_rollup(spark, _incremental_rollups(spark, sf, "rollup-station"))
+
+
+# further queries, registered by import
+from . import registry_spans  # noqa: E402, F401

@@ -9,16 +9,19 @@ instead of silently shifting columns.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from ..schema import CSV_COLUMNS, REQUIRED_COLUMNS
+from ..schema import CSV_COLUMNS, REQUIRED_COLUMNS, missing_columns
 
 
 def plain_path(path: str) -> str:
@@ -75,49 +78,82 @@ def select_files(listing: DataFrame, prefix: str = "", suffix: str = "", start_f
     return df.limit(limit) if limit else df
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from one file's header line.
+def header_columns(line: str | None) -> tuple[str, ...]:
+    """Column names of a header line."""
+    line = (line or "").lstrip("\ufeff")
+    return tuple(c.strip().strip('"') for c in line.split(",")) if line else ()
 
-    Opens the file through the cluster's Hadoop file system and reads only
-    its first line (no Spark job, no data scan).  Without a JVM handle
-    (Spark Connect) it falls back to a one-row text read, which scans only
-    the start of the first split.
+
+def _first_lines():
+    """mapInArrow body: (path, line) of the first line of each file; a split behind a file's start is left at once."""
+    def lines(batches):
+        import pyarrow as pa
+
+        seen = None
+        for batch in batches:
+            paths, starts, values = (batch.column(c) for c in ("path", "start", "value"))
+            found = []
+            for i in range(batch.num_rows):
+                path = paths[i].as_py()
+                if path != seen:
+                    seen = path
+                    if starts[i].as_py() == 0:
+                        found.append((path, values[i].as_py()))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in (0, 1)], ["path", "line"])
+            return  # a partition holds one split: the rest of it is not read
+    return lines
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Header of every path, () where there is none to read.
+
+    The first lines are read by tasks, one split each, which stop after the
+    first rows; the driver opens no file and gets one line per file.
     """
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is None:
-        first = spark.read.text(path).first()
-        line = first[0] if first else ""
-    else:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine() or ""
-        finally:
-            stream.close()
-    return [c.strip().strip('"') for c in line.lstrip("\ufeff").split(",")] if line else []
+    from pyspark.errors import AnalysisException
 
+    _by_value()
+    width = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = "spark.sql.files.openCostInBytes"
+    was = spark.conf.get(cost)
 
-def group_by_header(spark: SparkSession, paths: Iterable[str], threads: int = 16) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by header; headers are fetched concurrently (one small
-    read per file of the batch).  A file that cannot be opened has an empty header."""
-    from concurrent.futures import ThreadPoolExecutor
+    def read(some: Sequence[str]) -> list:
+        text = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(list(some))
+        rows = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+        return rows.mapInArrow(_first_lines(), "path string, line string").collect()  # one line per file
 
-    def header(path: str) -> tuple[str, ...]:
+    if not paths:
+        return {}
+    spark.conf.set(cost, width)  # every split a partition of its own
+    try:
         try:
-            return tuple(read_header(spark, path))
-        except Exception:  # missing or unreadable: rejected with the files that lack columns
-            return ()
+            lines = read(paths)
+        except AnalysisException:  # a path that does not exist; the others count
+            lines = read(there) if (there := [p for p in paths if _exists(spark, p)]) else []
+    finally:
+        spark.conf.set(cost, was)
+    found = {plain_path(unquote(r.path)): header_columns(r.line) for r in lines}
+    return {p: found.get(plain_path(p), ()) for p in paths}
+
 
-    paths = list(paths)
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
-        headers = list(pool.map(header, paths))
+def group_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by header; a file that cannot be read has an empty one."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for h, p in zip(headers, paths):
-        groups[h].append(p)
+    for path, header in headers(spark, list(paths)).items():
+        groups[header].append(path)
     return dict(groups)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    from ..operators.sinks import path_exists
+    return path_exists(spark, path)
+
+
+class Rejected(dict):
+    """Paths that cannot be loaded, with the reason."""
+
+
 CORRUPT = "_corrupt_record"
 
 
@@ -134,10 +170,17 @@ def read_csv_by_name(spark: SparkSession, paths: Sequence[str], columns: Sequenc
     without it such a record is malformed.  ``with_malformed`` adds the flag
     ``_malformed``: the record has other fields than its header.
     """
-    frames, rejected = [], []
+    rejected = Rejected()
+    frame = _csv_frame(spark, paths, columns, required, with_file, landing, multiline, with_malformed, rejected)
+    return frame, list(rejected)
+
+
+def _csv_frame(spark, paths, columns, required, with_file, landing, multiline, with_malformed, rejected: Rejected) -> DataFrame | None:
+    frames = []
     for header, files in group_by_header(spark, paths).items():
-        if any(r not in header for r in required):
-            rejected.extend(files)
+        if missing := missing_columns(header, required):
+            why = f"missing columns: {', '.join(missing)}" if header else "no header can be read"
+            rejected.update(dict.fromkeys(files, why))
             continue
         schema = T.StructType([T.StructField(h, T.StringType(), True) for h in (*header, CORRUPT)])
         df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
@@ -149,25 +192,25 @@ def read_csv_by_name(spark: SparkSession, paths: Sequence[str], columns: Sequenc
         if with_malformed:
             cols.append(F.col(CORRUPT).isNotNull().alias("_malformed"))
         frames.append(df.select(*cols))
-    if not frames:
-        return None, rejected
-    return reduce(lambda a, b: a.unionByName(b), frames), rejected
+    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
 
 
 def read_trip_files(spark: SparkSession, paths: Sequence[str], landing: str | None = None, multiline: bool = False,
-                    ) -> tuple[DataFrame | None, list[str]]:
-    """Plain and zipped CSV files as one frame: the CSV columns, source_file, _malformed."""
+                    rejected: Rejected | None = None) -> DataFrame | None:
+    """Plain, gzipped and zipped CSV files as one frame: the CSV columns, source_file, _malformed.
+
+    Paths that cannot be loaded are entered in ``rejected``; None when no path is left."""
+    rejected = Rejected() if rejected is None else rejected
     zips = [p for p in paths if p.lower().endswith(".zip")]
-    text, rejected = read_csv_by_name(spark, [p for p in paths if p not in set(zips)], landing=landing,
-                                      multiline=multiline, with_malformed=True)
+    plain = [p for p in paths if p not in set(zips)]
+    text = _csv_frame(spark, plain, CSV_COLUMNS, REQUIRED_COLUMNS, True, landing, multiline, True, rejected) if plain else None
     if zips:
-        bad = rejected_archives(spark, zips)
-        rejected += bad
-        good = [p for p in zips if p not in set(bad)]
+        rejected.update(rejected_archives(spark, zips))
+        good = [p for p in zips if p not in rejected]
         if good:
             more = read_zipped_csv(spark, good, landing=landing)
             text = more if text is None else text.unionByName(more)
-    return text, rejected
+    return text
 
 
 def write_named_csv(df: DataFrame, out_dir: str, name_col: str = "source_file",
@@ -201,87 +244,175 @@ def write_named_csv(df: DataFrame, out_dir: str, name_col: str = "source_file",
 
 # --- zipped CSV -------------------------------------------------------------
 
-def _member(content: bytes):
-    """The first .csv member (not under __MACOSX) of an archive as a text stream, or None."""
+def _by_value() -> None:
+    # ship the task functions by value: executors need not have this package installed
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _opened(path: str):
+    """A seekable stream of a file on any file system Arrow knows (local, HDFS, object stores)."""
+    from pyarrow import fs
+
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):
+        system, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    else:
+        system = fs.LocalFileSystem()
+    return system.open_input_file(path)
+
+
+def _member(archive):
+    """The first .csv member (not under __MACOSX) of an archive as a text stream, decompressed as it is read."""
     import io
     import zipfile
 
-    try:
-        z = zipfile.ZipFile(io.BytesIO(content))
-    except zipfile.BadZipFile:
-        return None
+    z = zipfile.ZipFile(archive)
     members = [n for n in z.namelist() if n.endswith(".csv") and not n.startswith("__MACOSX")]
     return io.TextIOWrapper(z.open(members[0]), encoding="utf-8-sig", errors="replace", newline="") if members else None
 
 
-def _archive_rows(columns: Sequence[str]):
-    """mapInPandas body: each archive's records bound to ``columns`` by header name, in bounded batches."""
-    def rows(batches):
+class _ArchiveReader(DataSourceReader):
+    """One partition per archive; a task holds one piece of the member at a time."""
+
+    def __init__(self, schema: T.StructType, options: dict):
+        self.columns = [f.name for f in schema if f.name not in ("source_file", "_malformed")]
+        self.paths = json.loads(options["paths"])
+
+    def partitions(self):
+        return [InputPartition((path, name)) for path, name in self.paths]
+
+    def read(self, partition):
         import csv
 
-        import pandas as pd
+        import pyarrow as pa
 
-        names = [*columns, "source_file", "_malformed"]
-        for pdf in batches:
-            for name, content in zip(pdf["source_file"], pdf["content"]):
-                stream = _member(content)
-                if stream is None:
-                    continue
-                reader = csv.reader(stream)
-                header = [c.strip() for c in next(reader, [])]
-                at = [header.index(c) if c in header else -1 for c in columns]
-                buf = []
-                for rec in reader:
-                    if not rec:
-                        continue
-                    buf.append([(rec[i] or None) if 0 <= i < len(rec) else None for i in at] + [name, len(rec) != len(header)])
-                    if len(buf) >= 50_000:
-                        yield pd.DataFrame(buf, columns=names)
-                        buf = []
-                if buf:
-                    yield pd.DataFrame(buf, columns=names)
-    return rows
-
-
-def _lacking(required: Sequence[str]):
-    """mapInPandas body: the paths of archives without a CSV member that has the required columns."""
-    def paths(batches):
+        path, name = partition.value
+        with _opened(path) as archive:
+            stream = _member(archive)
+            reader = csv.reader(stream or ())
+            header = [c.strip() for c in next(reader, [])]
+            at = [header.index(c) if c in header else -1 for c in self.columns]
+
+            def piece(rows: list):
+                columns = [pa.array([(r[i] or None) if 0 <= i < len(r) else None for r in rows], pa.string()) for i in at]
+                columns += [pa.array([name] * len(rows), pa.string()), pa.array([len(r) != len(header) for r in rows], pa.bool_())]
+                return pa.RecordBatch.from_arrays(columns, [*self.columns, "source_file", "_malformed"])
+
+            rows = []
+            for record in reader:
+                if record:
+                    rows.append(record)
+                if len(rows) == ZIP_PIECE:
+                    yield piece(rows)
+                    rows = []
+            if rows:
+                yield piece(rows)
+
+
+class _ArchiveWriter(DataSourceWriter):
+    """One archive per task, written as rows come."""
+
+    def __init__(self, schema: T.StructType, options: dict):
+        self.columns, self.folder = [f.name for f in schema], options["path"]
+
+    def write(self, rows):
         import csv
+        import io
+        import zipfile
 
-        import pandas as pd
+        from pyarrow import fs
+        from pyspark import TaskContext
 
-        for pdf in batches:
-            bad = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                stream = _member(content)
-                header = [c.strip() for c in next(csv.reader(stream), [])] if stream else []
-                if any(c not in header for c in required):
-                    bad.append(path)
-            yield pd.DataFrame({"path": bad}, dtype=object)
-    return paths
+        rows = iter(rows)
+        first = next(rows, None)
+        if first is None:
+            return WriterCommitMessage()
+        context = TaskContext.get()
+        name = f"part-{context.partitionId():05d}"
+        system, folder = fs.FileSystem.from_uri(re.sub(r"^(file:)?/+", "file:///", self.folder))
+        system.create_dir(folder, recursive=True)
+        draft = f"{folder}/_{name}-{context.taskAttemptId()}"
+        with system.open_output_stream(draft) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, z.open(f"{name}.csv", "w") as member:
+            text = io.TextIOWrapper(member, encoding="utf-8", newline="")
+            writer = csv.writer(text)
+            writer.writerow(self.columns)
+            writer.writerow(first)
+            writer.writerows(rows)
+            text.flush()
+            text.detach()
+        system.move(draft, f"{folder}/{name}.zip")  # a repeated attempt replaces the same archive
+        return WriterCommitMessage()
 
 
-def _archives(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
-    # ship the task functions by value: executors need not have this package installed
-    import sys
+ZIP_PIECE = 20_000  # records held at a time
 
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load([paths] if isinstance(paths, str) else list(paths))
+
+class ZippedCsv(DataSource):
+    """Zipped CSV as a Spark format: ``spark.read.format("zipped_csv")`` through ``read_zipped_csv``,
+    ``df.write.format("zipped_csv").mode("append").save(folder)`` for one archive per task."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zipped_csv"
+
+    def schema(self) -> T.StructType:
+        columns = json.loads(self.options.get("columns", json.dumps(CSV_COLUMNS)))
+        return T.StructType([*[T.StructField(c, T.StringType()) for c in (*columns, "source_file")], T.StructField("_malformed", T.BooleanType())])
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _ArchiveReader(schema, self.options)
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
+        return _ArchiveWriter(schema, self.options)
 
 
-def rejected_archives(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = REQUIRED_COLUMNS) -> list[str]:
-    """Those of the given archives that cannot be loaded: unreadable, or without a required column."""
-    bad = _archives(spark, paths, "*").select("path", "content").mapInPandas(_lacking(list(required)), "path string")
-    plain = {plain_path(r[0]) for r in bad.collect()}
-    return [p for p in paths if plain_path(p) in plain]
+def register_zipped_csv(spark: SparkSession) -> None:
+    _by_value()
+    spark.dataSource.register(ZippedCsv)
+
+
+def _archive_headers():
+    """mapInPandas body: (path, header or NULL) of archives, reading only their directory and first line."""
+    def lines(batches):
+        import csv
+
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                try:
+                    with _opened(path) as archive:
+                        stream = _member(archive)
+                        out.append([c.strip() for c in next(csv.reader(stream), [])] if stream else [])
+                except Exception:  # any archive that cannot be opened is rejected
+                    out.append(None)
+            yield pdf.assign(header=out)
+    return lines
+
+
+def rejected_archives(spark: SparkSession, paths: Sequence[str], required: Sequence[str] = REQUIRED_COLUMNS) -> dict[str, str]:
+    """Those of the given archives that cannot be loaded: unreadable, or without a required column; with the reason."""
+    _by_value()
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 200))
+    found = listed.mapInPandas(_archive_headers(), "path string, header array<string>").collect()  # one row per archive
+    out = {}
+    for r in found:
+        if r.header is None:
+            out[r.path] = "no zip archive"
+        elif not r.header:
+            out[r.path] = "no CSV member with a header"
+        elif missing := missing_columns(r.header, required):
+            out[r.path] = f"missing columns: {', '.join(missing)}"
+    return out
 
 
 def read_zipped_csv(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.zip",
                     columns: Sequence[str] = CSV_COLUMNS, landing: str | None = None) -> DataFrame:
     """Zipped CSV archives (a folder or a list) as text columns bound by header
     name, one task per archive, read once; plus ``source_file`` and ``_malformed``."""
-    zips = _archives(spark, paths, pattern).select("content", source_file(landing).alias("source_file"))
-    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in (*columns, "source_file")],
-                           T.StructField("_malformed", T.BooleanType())])
-    return zips.mapInPandas(_archive_rows(list(columns)), schema)
+    if isinstance(paths, str):
+        paths = [unquote(r[0]) for r in list_files(spark, paths, pattern).select("path").collect()]
+    register_zipped_csv(spark)
+    return (spark.read.format("zipped_csv").option("columns", json.dumps(list(columns)))
+            .option("paths", json.dumps([(p, source_id(p, landing)) for p in paths])).load())

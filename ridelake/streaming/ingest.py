@@ -1,6 +1,7 @@
 """Structured Streaming file ingestion.
 
-``start_ingest`` turns a landing folder of trip CSV files into the raw
+``start_ingest`` turns a landing folder of trip CSV files (plain, gzipped
+or zipped) into the raw
 table exactly once per file: the file source's checkpoint records which
 files were seen, and each micro-batch loads its files through the same
 ledger as a batch load, so neither a retried batch nor a later batch load of
@@ -12,14 +13,16 @@ included).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sinks import load_trip_files, path_exists, read_raw
-from ..plans.incremental import build_daily, refresh_daily
+from ..plans.incremental import build_daily, refresh_from_raw_table
 
 
-def trip_stream(spark: SparkSession, landing: str, pattern: str = "*.csv",
+TRIP_FILES = "*.{csv,csv.gz,zip}"  # what a load reads
+
+
+def trip_stream(spark: SparkSession, landing: str, pattern: str = TRIP_FILES,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming text rows of the landing folder plus their file name.
 
@@ -47,9 +50,10 @@ def _load(batch: DataFrame, landing: str, raw_root: str, loaded_at: str | None)
 
 def start_ingest(spark: SparkSession, landing: str, raw_root: str, checkpoint: str,
                  loaded_at: str | None = None, max_files_per_trigger: int | None = None,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, names_below: str | None = None) -> StreamingQuery:
+    """Load files as they arrive; ``names_below``: the folder whose relative paths name them (``landing``)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _load(batch, landing, raw_root, loaded_at)
+        _load(batch, names_below or landing, raw_root, loaded_at)
 
     return _start(spark, landing, checkpoint, sink, max_files_per_trigger, available_now)
 
@@ -64,11 +68,9 @@ def start_daily(spark: SparkSession, landing: str, raw_root: str, mart_path: str
         if not files:
             return
         session = batch.sparkSession
-        raw = read_raw(session, raw_root)
         if path_exists(session, mart_path):
-            new = session.createDataFrame([(n,) for n in files], "source_file string")
-            refresh_daily(session, raw, raw.join(F.broadcast(new), "source_file", "left_semi"), mart_path)
+            refresh_from_raw_table(session, raw_root, mart_path, files)
         else:
-            build_daily(raw, mart_path)
+            build_daily(read_raw(session, raw_root), mart_path)
 
     return _start(spark, landing, checkpoint, sink, max_files_per_trigger, available_now)
