@@ -48,3 +48,22 @@ def latest_value(df: DataFrame, keys: Sequence[str], value: str, version: str,
     src = src.select(*keys, F.col(version).alias("_version"), F.col(value).alias("_value"))
     best = keep_latest(src, keys, ["-_version", "-_value"], tie_break=())
     return best.select(*keys, F.col("_value").alias(alias or value))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, order: Sequence[str] = ()) -> DataFrame:
+    """Store ``df`` as table ``table`` (files at ``path``) in buckets of ``key``, sorted within them.
+
+    One shuffle when it is written; keep-latest, joins and deletes by
+    ``key`` with tables of as many buckets then need none.  Each bucket is
+    one file (the rows are dealt to buckets first), and a hot key makes its
+    bucket large: bucket what is unique per key, or nearly.
+    """
+    spark = df.sparkSession
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path).option("compression", "zstd")
+     .bucketBy(buckets, key).sortBy(key, *order).saveAsTable(table))
+    return spark.table(table)
+
+
+def upsert_bucketed(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of ``target`` without the keys of ``new``, and those of ``new``: by bucket, without a shuffle of either."""
+    return target.join(new.select(key), key, "left_anti").unionByName(new)

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def not_null_failures(df: DataFrame, column: str) -> DataFrame:
@@ -70,6 +71,47 @@ def suite(tables: Iterable[TableChecks]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+QUARANTINED = "_quarantined"
+
+
+def write_checked(df: DataFrame, path: str, not_null: list[str] = (), accepted: dict[str, list] | None = None,
+                  name: str = "table") -> DataFrame:
+    """Write ``df`` with its row checks made on the way: the failing rows go to quarantine.
+
+    One pass: the failures are observed while the rows are written, and the
+    flag that tells good rows from failing ones is the folder they are
+    written to (``read_checked``, ``read_quarantine``).  Returns one row per
+    check as ``suite`` does; no second scan.
+    """
+    from pyspark.sql import Observation
+
+    fails = {(c, "not_null"): F.col(c).isNull() for c in not_null}
+    fails |= {(c, "accepted_values"): F.coalesce(~F.col(c).isin(*values), F.lit(False)) for c, values in (accepted or {}).items()}
+    bad = reduce(lambda a, b: a | b, fails.values(), F.lit(False))
+    obs = Observation(f"checks-{name}")
+    counts = [F.count_if(f).alias(f"c{i}") for i, f in enumerate(fails.values())] or [F.count(F.lit(1)).alias("n")]
+    (df.observe(obs, *counts).withColumn(QUARANTINED, bad).write.mode("overwrite").option("compression", "zstd")
+     .partitionBy(QUARANTINED).parquet(path))
+    rows = [(name, column, check, obs.get[f"c{i}"]) for i, (column, check) in enumerate(fails)]
+    return df.sparkSession.createDataFrame(rows, "table_name string, column_name string, check_name string, failures long")
+
+
+def _checked(df: DataFrame, path: str, bad: bool) -> DataFrame:
+    spark = df.sparkSession
+    schema = T.StructType([*df.schema.fields, T.StructField(QUARANTINED, T.BooleanType())])
+    return spark.read.schema(schema).parquet(path).where(F.col(QUARANTINED) == bad).drop(QUARANTINED)
+
+
+def read_checked(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``write_checked`` that passed; ``df`` gives their schema."""
+    return _checked(df, path, False)
+
+
+def read_quarantine(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``write_checked`` that failed a check."""
+    return _checked(df, path, True)
+
+
 def failed(results: DataFrame) -> DataFrame:
     return results.filter(F.col("failures") > 0)
 

@@ -100,7 +100,7 @@ def pending(files: DataFrame, done: DataFrame, name_col: str = "name") -> DataFr
 
 def _append_ledger(rows: DataFrame, root: str, batch: Column, months: Column, done: bool, indexed: bool) -> None:
     """Add ledger rows; ``rows``: source_file, path, rows."""
-    (rows.select("source_file", "path", "rows", batch.alias("batch"), months.cast("array<int>").alias("months"),
+    (rows.coalesce(1).select("source_file", "path", "rows", batch.alias("batch"), months.cast("array<int>").alias("months"),
                  F.lit(done).alias("done"), F.lit(indexed).alias("indexed"), F.localtimestamp().alias("committed_at"))
      .write.mode("append").parquet(f"{root}/{LEDGER_DIR}"))
 
@@ -110,12 +110,12 @@ def _literals(values: Sequence[int]) -> Column:
 
 
 def commit_files(spark: SparkSession, root: str, files: dict[str, str], batch: str = "", months: Sequence[int] = (),
-                 indexed: bool = False) -> None:
-    """Append ledger rows for files (name: path) whose leaves are now written."""
+                 indexed: bool = False, names: DataFrame | None = None) -> None:
+    """Append ledger rows for files (name: path) whose leaves are now written; ``names``: their ``name_list``."""
     if not files:
         return
     listed = spark.createDataFrame(sorted(files.items()), "source_file string, path string")
-    counts = (rows_of_files(read_raw(spark, root), name_list(spark, files))
+    counts = (rows_of_files(read_raw(spark, root), name_list(spark, files) if names is None else names)
               .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
     # every committed file gets a row, also one whose rows were all rejected
     rows = listed.join(counts, "source_file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
@@ -138,7 +138,7 @@ def _drop_leaves(spark: SparkSession, root: str, leaves: Sequence) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def _begin_load(spark: SparkSession, root: str, files: dict[str, str], batch: str) -> list[int]:
+def _begin_load(spark: SparkSession, root: str, files: dict[str, str], names: DataFrame, batch: str) -> list[int]:
     """Mark the files as begun and clear the leaves they have; returns the
     months to refresh besides their new rows'.
 
@@ -149,7 +149,7 @@ def _begin_load(spark: SparkSession, root: str, files: dict[str, str], batch: st
     """
     held, months = set(files), set()
     if path_exists(spark, f"{root}/{LEDGER_DIR}"):
-        begun = ledger(spark, root).join(F.broadcast(name_list(spark, files)), "source_file", "left_semi")
+        begun = ledger(spark, root).join(F.broadcast(names), "source_file", "left_semi")
         begun = begun.select("source_file", "done", "months").collect()  # files of this load
         held = {r.source_file for r in begun}
         months = {m for r in begun if not r.done for m in r.months or ()}
@@ -197,6 +197,7 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
     from pyspark.sql import Observation
 
     from ..sources.files import Rejected, plain_path, read_trip_files, source_id
+    from .compact import recover
     from .clean import clean_strings, clean_types, drop_reason
 
     names: dict[str, str] = {}
@@ -219,10 +220,12 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
     if text is None:
         return {"loaded": [], "skipped": skipped, "rejected": list(rejected), "reasons": dict(rejected), "rows": {}}
     loading = {n: plain_path(p) for n, p in todo.items() if p not in rejected}
+    recover(spark, root)
     batch = uuid.uuid4().hex
     before = raw_months(spark, root)
     was_indexed = not before or indexed(spark, root)
-    months = _begin_load(spark, root, loading, batch)
+    listed = name_list(spark, loading)
+    months = _begin_load(spark, root, loading, listed, batch)
     stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
     while True:
         typed = clean_types(clean_strings(text.withColumn("loaded_at", stamp)))
@@ -245,8 +248,8 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
             if text is None:
                 return {"loaded": [], "skipped": skipped, "rejected": list(rejected), "reasons": dict(rejected), "rows": {}}
     if was_indexed:
-        index_load(spark, root, name_list(spark, loading), batch, before)
-    commit_files(spark, root, loading, batch, months, was_indexed)
+        index_load(spark, root, listed, batch, before)
+    commit_files(spark, root, loading, batch, months, was_indexed, listed)
     return {"loaded": sorted(loading), "skipped": skipped, "rejected": list(rejected), "reasons": dict(rejected), "rows": dict(obs.get)}
 
 

@@ -97,11 +97,9 @@ def _write_filters(sets: DataFrame, root: str, mode: str) -> None:
      .partitionBy(MONTH).parquet(f"{root}/{MEMBERS_DIR}"))
 
 
-def may_hold(ids: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct (ride_id, year_month) where the month's filters do not exclude the id."""
-    sizes = sorted(r[0] for r in sets.select("blocks").distinct().collect())  # powers of two
-    if not sizes:
-        return ids.select("ride_id", F.lit(0).alias(MONTH)).limit(0)
+def may_hold(ids: DataFrame, sets: DataFrame, sizes: list[int]) -> DataFrame:
+    """Distinct (ride_id, year_month) where the month's filters do not exclude
+    the id; ``sizes``: the numbers of blocks that occur in ``sets``."""
     probes = ids.select("ride_id").distinct().select("ride_id", F.explode(F.array(*[F.lit(s) for s in sizes])).alias("blocks"))
     probes = probes.withColumn("block", _block(F.col("blocks")))
     hit = F.lit(True)
@@ -118,6 +116,11 @@ def read_filters(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MEMBERS_SCHEMA).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], MEMBERS_SCHEMA)
 
 
+def filter_sets(sets: DataFrame) -> list:
+    """(year_month, blocks, batch) of the filters: at most ``MAX_SETS`` + 1 per month."""
+    return sets.select(MONTH, "blocks", "batch").distinct().collect()
+
+
 def read_moved(spark: SparkSession, root: str) -> DataFrame:
     from .sinks import path_exists
     path = f"{root}/{MOVED_DIR}"
@@ -147,20 +150,28 @@ def index_load(spark: SparkSession, root: str, files: DataFrame, batch: str, bef
     if not counts:
         return
     sets = read_filters(spark, root)
-    known = _months(sets)
-    maybe = may_hold(ids, sets.where(F.col(MONTH).isin(before)))
-    unknown = [m for m in before if m not in known]
-    if unknown:
-        maybe = maybe.unionByName(ids.select("ride_id").distinct().select("ride_id", F.explode(F.array(*[F.lit(m) for m in unknown])).alias(MONTH)))
-    maybe = _kept(maybe.join(ids, ["ride_id", MONTH], "left_anti"), "maybe")
-    pairs = ids
-    if months := _months(maybe):
+    present = filter_sets(sets)
+    old = [r for r in present if r[MONTH] in before]
+    maybe = None
+    if old:
+        maybe = may_hold(ids, sets.where(F.col(MONTH).isin(before)), sorted({r.blocks for r in old}))
+    if unknown := sorted(set(before) - {r[MONTH] for r in old}):
+        every = ids.select("ride_id").distinct().select("ride_id", F.explode(F.array(*[F.lit(m) for m in unknown])).alias(MONTH))
+        maybe = maybe.unionByName(every) if maybe is not None else every
+    pairs, months = ids, []
+    if maybe is not None:
+        maybe = _kept(maybe.join(ids, ["ride_id", MONTH], "left_anti"), "maybe")
+        months = _months(maybe)
+    if months:
         found = read_raw(spark, root, months).join(maybe, ["ride_id", MONTH], "left_semi")
         pairs = pairs.unionByName(found.select("ride_id", MONTH).distinct())
-    _several_months(pairs).write.mode("append").parquet(f"{root}/{MOVED_DIR}")
+    if len({*counts, *months}) > 1:
+        _several_months(pairs).write.mode("append").parquet(f"{root}/{MOVED_DIR}")
     _write_filters(filter_rows(ids, counts, batch), root, "append")
-    many = read_filters(spark, root).groupBy(MONTH).agg(F.count_distinct("batch").alias("n")).where(F.col("n") > MAX_SETS)
-    if full := _months(many):
+    batches = {m: {batch} for m in counts}
+    for r in present:
+        batches.setdefault(r[MONTH], set()).add(r.batch)
+    if full := sorted(m for m, some in batches.items() if len(some) > MAX_SETS):
         ids, counts = _ids(read_raw(spark, root, full))
         _write_filters(filter_rows(ids, counts, batch), root, "overwrite")
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import TableChecks, suite
+from ..operators.compact import recover
 from ..operators.versions import indexed, months_of_rides, name_list, rows_of_files, versions_in_months
 from ..operators.sinks import LEDGER_DIR, committed_files, drop_keys, load_trip_files, path_exists, read_raw, write_table
 from ..session import scratch_dir
@@ -96,6 +97,7 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
     staged months, the daily mart, monthly partials and rollups from months
     by partition.
     """
+    recover(spark, wh.raw)
     raw = read_raw(spark, wh.raw)
     stg_path, fct_path, daily_path = wh.table("stg_rides"), wh.table("fct_rides"), wh.table("agg_daily_rides")
     parts_root, rollups = wh.table("fct_monthly_parts"), wh.table("rollups")

@@ -209,3 +209,58 @@ def q_name_difference(spark, sf):
     work, paths = _stage(spark, sf, "names")
     load_trip_files(spark, paths[:1], f"{work}/raw", loaded_at=BATCH1)
     return pending(list_files(spark, f"{work}/in").select("name"), committed_files(spark, f"{work}/raw"))
+
+
+# ---- F1, D1, D4: co-located storage -----------------------------------------------
+
+@register("dedupe_bucketed", O.with_ctes("stg") + "SELECT * FROM stg")
+def q_dedupe_bucketed(spark, sf):
+    """Staged trips from raw trips stored in buckets of ride_id: the keep-latest needs no exchange."""
+    import uuid
+
+    from ..operators.dedupe import write_bucketed
+    name = f"raw_bucketed_{uuid.uuid4().hex[:12]}"
+    stored = write_bucketed(raw_trips(spark, sf), name, scratch_dir(spark, "bucketed"), "ride_id", 16, ["loaded_at"])
+    return M.stg_trips(stored)
+
+
+# ---- K1, K3: checks made while writing ----------------------------------------------
+
+@register("dq_observed", O.with_ctes("raw", extra={"typed": O.CLEAN_TYPED}) + """
+  SELECT 'typed' AS table_name, 'started_at' AS column_name, 'not_null' AS check_name, count(*) AS failures,
+    (SELECT count(*) FROM typed WHERE started_at IS NULL OR member_casual NOT IN ('member', 'casual')) AS quarantined,
+    (SELECT count(*) FROM typed) AS total
+  FROM typed WHERE started_at IS NULL
+  UNION ALL SELECT 'typed', 'member_casual', 'accepted_values', count(*),
+    (SELECT count(*) FROM typed WHERE started_at IS NULL OR member_casual NOT IN ('member', 'casual')), (SELECT count(*) FROM typed)
+  FROM typed WHERE member_casual NOT IN ('member', 'casual')""")
+def q_dq_observed(spark, sf):
+    """Checks of the typed load counted while it is written, failing rows in quarantine."""
+    from ..operators.clean import clean_strings, clean_types
+    from ..operators.quality import read_checked, read_quarantine, write_checked
+    from ..schema import MEMBER_VALUES
+    typed = clean_types(clean_strings(_text(spark, sf)))
+    path = scratch_dir(spark, "checked")
+    checks = write_checked(typed, path, ["started_at"], {"member_casual": MEMBER_VALUES}, "typed")
+    bad = read_quarantine(typed, path).agg(F.count(F.lit(1)).alias("quarantined"))
+    good = read_checked(typed, path).agg(F.count(F.lit(1)).alias("_good"))
+    sizes = bad.join(good, F.lit(True)).select("quarantined", (F.col("quarantined") + F.col("_good")).alias("total"))
+    return checks.join(sizes, F.lit(True))
+
+
+# ---- B3, A9: compaction ----------------------------------------------------------------
+
+@register("compact_months", O.with_ctes("raw") + f"SELECT {O.RAW_COLS} FROM raw")
+def q_compact_months(spark, sf):
+    """Raw rows unchanged by packing the files of many small appends, one file per leaf."""
+    from ..operators.compact import compact, leaf_files
+    from ..operators.sinks import read_raw, write_raw
+    root = scratch_dir(spark, "compact") + "/raw"
+    rows = raw_trips(spark, sf)
+    for k in range(4):
+        write_raw(rows.where(F.pmod(F.xxhash64("ride_id", "loaded_at"), F.lit(4)) == k).repartition(4), root, mode="append")
+    most = F.max("files").alias("most")
+    before = leaf_files(spark, root).agg(most).first().most
+    compact(spark, root)
+    assert before >= 4 and leaf_files(spark, root).agg(most).first().most == 1, before
+    return _raw_cols(read_raw(spark, root))

@@ -116,11 +116,16 @@ def test_increments_equal_a_full_build_when_rides_move(spark, d, monkeypatch):
 def test_filters_miss_no_ride_and_name_few_others(spark):
     ids = spark.range(3000).select(F.concat(F.lit("r"), "id").alias("ride_id"), (F.col("id") % 3 + 202401).cast("int").alias("year_month"))
     sets = versions.filter_rows(ids, {202401: 1000, 202402: 1000, 202403: 1000}, "b")
-    own = versions.may_hold(ids, sets).join(ids, ["ride_id", "year_month"], "left_semi")
+    sizes = sorted({r.blocks for r in versions.filter_sets(sets)})
+    assert sizes == [1]
+    own = versions.may_hold(ids, sets, sizes).join(ids, ["ride_id", "year_month"], "left_semi")
     assert own.count() == 3000
     others = spark.range(3000, 9000).select(F.concat(F.lit("r"), "id").alias("ride_id"))
-    assert versions.may_hold(others, sets).count() <= 5
-    assert versions.may_hold(ids, sets.limit(0)).count() == 0
+    assert versions.may_hold(others, sets, sizes).count() <= 5
+    large = versions.filter_rows(ids, {202401: 1000, 202402: 5000, 202403: 100000}, "c")  # months of different sizes
+    sizes = sorted({r.blocks for r in versions.filter_sets(large)})
+    assert sizes == [1, 8, 128]
+    assert versions.may_hold(ids, large, sizes).join(ids, ["ride_id", "year_month"], "left_semi").count() == 3000
 
 
 def test_tables_without_the_index_are_scanned_until_it_is_made(spark, d):
