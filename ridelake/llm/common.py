@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pickle
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +32,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apart(*read: str) -> Callable:
+    """For operators on rows: an input's columns beyond ``read`` are carried as one struct and
+    put back at the end, so that none can clash with a column the operator makes on the way.
+    A column named like one of its results is replaced."""
+    def deco(operator):
+        @wraps(operator)
+        def run(rows: DataFrame, *args, **params) -> DataFrame:
+            others = [c for c in rows.columns if c not in read]
+            if not others:
+                return operator(rows, *args, **params)
+            here = [c for c in rows.columns if c in read]
+            out = operator(rows.select(*here, F.struct(*others).alias("_others_")), *args, **params)
+            new = [c for c in out.columns if c not in (*here, "_others_")]
+            old = [F.col(c) if c in here else F.col("_others_").getField(c).alias(c)
+                   for c in rows.columns if c not in new and (c in others or c in out.columns)]
+            return out.select(*old, *new)
+        return run
+    return deco
+
+
 def fold(doc_id="doc_id") -> Column:
     """crc32 of the id as text, mod 4; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4

@@ -8,7 +8,8 @@ once.  Hits are mapped back to code point offsets of the original text.
 
 The automaton is built inside the tasks from broadcast item texts.  Items
 are dealt into blocks of about ``BLOCK_BYTES`` of text by hash, and one
-automaton holds one block, so neither a broadcast nor a task grows with the
+automaton holds one block.  The driver reads a block, and broadcasts it, at
+a time (the next one is at hand), so neither it nor a task grows with the
 benchmark: a benchmark above the bound takes one more scan per block.
 
 Edge cases: NULL or empty documents and items have no words; an item that
@@ -23,11 +24,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, stored, strings, table
+from ..session import scratch_dir
+from .common import apart, small_batches, stored, strings, table
 
 WINDOW = 13
 SHARE = 20  # contaminated when 1/SHARE of the words are hit
@@ -99,18 +102,25 @@ class Windows:
         return len(words), ranges, spans, sorted(who)
 
 
-def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, str]]]:
-    """The items, dealt by hash into blocks of about ``block_bytes`` of text."""
+def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
+    """The items, dealt by hash into blocks of about ``block_bytes`` of text; one block at a time is held.
+
+    More than one block is written to the shared folder first, by block, so that each is read once.
+    """
     rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total) // block_bytes + 1
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[(r.item, r.text) for r in rows.where(block == b).collect()] for b in range(n)]
-
+    if n > 1:
+        path = scratch_dir(items.sparkSession, "items")
+        block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
+        rows.withColumn("block", block).repartition("block").write.partitionBy("block").parquet(path)
+        rows = items.sparkSession.read.schema("item string, text string, block long").parquet(path)
+    for b in range(n):
+        part = rows.where(F.col("block") == b) if n > 1 else rows
+        yield [(r.item, r.text) for r in part.select("item", "text").collect()]
 
-def _scanner(spark: SparkSession, block: list[tuple[str, str]], window: int):
-    shared = spark.sparkContext.broadcast(block)
 
+def _scanner(shared: Broadcast, window: int):
     @F.pandas_udf(HITS)
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         windows = Windows(shared.value, window)
@@ -120,20 +130,26 @@ def _scanner(spark: SparkSession, block: list[tuple[str, str]], window: int):
     return scan
 
 
+@apart("doc_id", "text")
 def find(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with n_words, n_hit, hit_spans, items, n_items, items_sha256, contaminated."""
     spark = docs.sparkSession
     small_batches(spark)
     none = F.array().cast("array<array<int>>")
     out = docs.withColumns({"_ranges": none, "hit_spans": none, "items": F.array().cast("array<string>"), "n_words": F.lit(0).cast("long")})
-    blocks = item_blocks(items, block_bytes)
-    for block in blocks:
-        out = out.withColumn("_hit", _scanner(spark, block, window)("text"))
+    blocks, several = item_blocks(items, block_bytes), False
+    block, more = next(blocks), next(blocks, None)
+    while block is not None:
+        shared = spark.sparkContext.broadcast(block)
+        several = several or more is not None
+        out = out.withColumn("_hit", _scanner(shared, window)("text"))
         out = out.withColumns({
             "_ranges": F.concat("_ranges", "_hit.ranges"), "hit_spans": F.concat("hit_spans", "_hit.spans"),
             "items": F.concat("items", "_hit.items"), "n_words": F.col("_hit.n_words")}).drop("_hit")
-        if len(blocks) > 1:  # one automaton at a time in memory
+        if several:  # one block's broadcast and automaton at a time
             out = stored(out, "scan")
+            shared.unpersist()
+        block, more = more, next(blocks, None)
     hit = F.array_distinct(F.flatten(F.transform("_ranges", lambda r: F.sequence(r[0], r[1]))))
     out = out.withColumn("items", F.sort_array(F.array_distinct("items")))
     out = out.withColumns({

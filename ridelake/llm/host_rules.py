@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WS, stored, table, words
+from .common import WS, apart, stored, table, words
 
 MIN_WORDS = 50
 MAX_RATE = 0.5
@@ -51,6 +51,7 @@ def with_repeat_words(rows: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).drop("_h", "_at", "_eq", "_hit")
 
 
+@apart("doc_id", "text", "source")
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with the counts and row-rule failures of each text."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -102,9 +103,13 @@ def verdicts(rates: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
 
 def apply_verdicts(rows: DataFrame, hosts: DataFrame, host: str = "source") -> DataFrame:
     """Measured rows with ``host_rejected`` and ``kept``."""
-    flags = hosts.select(F.col("host").alias("_host"), F.col("host_rejected"))
-    out = rows.drop("host_rejected", "kept").join(flags, rows[host].eqNullSafe(F.col("_host")), "left").drop("_host")
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False)))
+    @apart(host, "base_failed")
+    def judged(rows: DataFrame) -> DataFrame:
+        flags = hosts.select(F.col("host").alias("_host"), F.col("host_rejected"))
+        out = rows.join(flags, rows[host].eqNullSafe(F.col("_host")), "left").drop("_host")
+        return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False)))
+
+    return judged(rows)
 
 
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

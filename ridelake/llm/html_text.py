@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, strings, table
+from .common import apart, small_batches, strings, table
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
@@ -236,6 +236,7 @@ def _extract(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([main_text(p) for p in strings(batch)], dtype=object)
 
 
+@apart("page_id", "url", "html")
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with text and n_chars in place of html."""
     small_batches(pages.sparkSession)

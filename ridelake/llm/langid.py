@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, learnable, shipped, small_batches, strings, table, unpacked
+from .common import apart, held_out, learnable, shipped, small_batches, strings, table, unpacked
 
 UND = "und"
 HIDDEN = 8  # per direction
@@ -339,6 +339,7 @@ def _predicted(docs: DataFrame, net: BiGru | None) -> DataFrame:
     return docs.withColumn("_lang", predictor(spark, net)("text"))
 
 
+@apart("doc_id", "text")
 def identify(docs: DataFrame, net: BiGru | None) -> DataFrame:
     """``docs`` with lang_pred and score."""
     out = _predicted(docs, net)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import marked, marks, stored, table
+from .common import apart, marked, marks, stored, table
 
 ROLL = 3
 MEAN_LINES = 4  # a power of two up to 16: the mean length of a chunk in lines
@@ -95,6 +95,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return stored(gone, "line-removed")
 
 
+@apart("doc_id", "text")
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with n_lines, n_removed_lines and ``text`` without repeated chunks."""
     gone = repeated_chunks(docs)

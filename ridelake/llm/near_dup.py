@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, stored, strings, table
+from .common import apart, small_batches, stored, strings, table
 
 SHINGLE = 5
 BANDS, ROWS = 40, 7
@@ -325,6 +325,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+@apart("doc_id", "text")
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document stands for its group; one row per id."""
     dropped = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d")).distinct()

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, stored, table
+from .common import apart, fold, stored, table
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -316,6 +316,7 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+@apart("doc_id", "text")
 def detect(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
     """``docs`` with ``base`` and ``spans``, arrays of (start, kind, end)."""
     found = spans_and_proposals(docs)
@@ -325,6 +326,7 @@ def detect(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
     return select(found, trees).drop("proposals")
 
 
+@apart("doc_id", "text")
 def redact(docs: DataFrame, trees: Trees | None = None) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets."""
     rows = detect(docs, trees)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, learnable, shipped, small_batches, strings, table, unpacked
+from .common import apart, held_out, learnable, shipped, small_batches, strings, table, unpacked
 
 THRESHOLD = 0.7
 SAMPLE = 3000
@@ -221,6 +221,7 @@ def scorer(spark: SparkSession, net: Net | None):
     return score
 
 
+@apart("doc_id", "text")
 def score_quality(docs: DataFrame, net: Net | None, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score and predicted."""
     spark = docs.sparkSession

@@ -1,10 +1,11 @@
 """Sharding through fixed virtual slots.
 
 Every record hashes into one of ``slots`` virtual slots.  Bytes are summed
-per slot, and a small table maps slots to shards.  The map is versioned:
-version 1 places the slots by size, a rebalance edits the previous version
-by moving as few slots as it needs, and records move only when their slot
-does.  The law held is ``bytes``: shard sizes are near equal.
+per slot, and a small stored table maps slots to shards.  The map is
+versioned: version 1 deals the slots evenly; a rebalance reads the latest
+version, moves as few slots as it needs, and stores the next one.  Records
+move only when their slot does.  The law held is ``bytes``: shard sizes are
+near equal.
 
 Edge cases: a NULL or empty text weighs 1; NULL ids and repeated rows hash
 like any other value; an empty table gives an empty result (all slots still
@@ -19,11 +20,14 @@ import heapq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from ..session import scratch_dir
+from .common import apart, stored, table
 
 SLOTS = 4096
 CELLS = 32  # parts of a slot in which rows are numbered
 SHARDS = 16
+SLACK = 0.01  # a shard may differ from the mean by so much before slots move
+CLOSE = 0.0005  # the same for a map made and edited in one run
 
 
 def size_of(text: Column) -> Column:
@@ -50,7 +54,7 @@ def place(sizes: dict[int, int], shards: int, slots: int = SLOTS) -> list[int]:
     return out
 
 
-def rebalance(old: list[int], sizes: dict[int, int], shards: int, slack: float = 0.01) -> list[int]:
+def rebalance(old: list[int], sizes: dict[int, int], shards: int, slack: float = SLACK) -> list[int]:
     """Edit a map: move slots off the heaviest shard while that narrows the gap.
 
     Stops when every shard is within ``slack`` of the mean or no single move
@@ -114,7 +118,8 @@ def slot_list(slot_map: DataFrame) -> list[int]:
     return [r.shard for r in slot_map.orderBy("virtual_slot").select("shard").collect()]
 
 
-def build_map(sized: DataFrame, shards: int = SHARDS, slots: int = SLOTS, previous: DataFrame | None = None) -> DataFrame:
+def build_map(sized: DataFrame, shards: int = SHARDS, slots: int = SLOTS, previous: DataFrame | None = None,
+              slack: float = SLACK) -> DataFrame:
     """The next map version for rows with ``virtual_slot`` and ``size``.
 
     Only the per-slot totals (``slots`` rows) reach the driver.
@@ -123,7 +128,7 @@ def build_map(sized: DataFrame, shards: int = SHARDS, slots: int = SLOTS, previo
     if previous is None:
         return map_table(sized.sparkSession, place(sizes, shards, slots), 1)
     version = previous.first().map_version + 1
-    return map_table(sized.sparkSession, rebalance(slot_list(previous), sizes, shards), version)
+    return map_table(sized.sparkSession, rebalance(slot_list(previous), sizes, shards, slack), version)
 
 
 def apply_map(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
@@ -131,15 +136,23 @@ def apply_map(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     return rows.drop("shard", "map_version").join(F.broadcast(slot_map), "virtual_slot")
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, previous: DataFrame | None = None) -> DataFrame:
+@apart("doc_id", "text")
+def assign(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, previous: DataFrame | None = None,
+           path: str | None = None) -> DataFrame:
     """``docs`` with virtual_slot, shard and map_version; no shuffle of the documents.
 
+    The map is the stored one at ``path`` (a fresh folder by default), edited
+    for these rows and stored again, or the next version of ``previous``.
+
     The record hash takes the id and the text, so rows that share one id, or
     have none, still spread over the slots.
     """
     slotted = docs.withColumn("virtual_slot", slot_of([F.col("doc_id"), F.col("text")], slots))
     sized = slotted.select("virtual_slot", size_of(F.col("text")).alias("size"))
-    return apply_map(slotted, build_map(sized, shards, slots, previous))
+    if previous is not None:
+        return apply_map(slotted, build_map(sized, shards, slots, previous))
+    path = path or scratch_dir(docs.sparkSession, "slot-map")
+    return apply_map(slotted, keep_map(sized, path, shards, slots, CLOSE))
 
 
 def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -164,6 +177,32 @@ def numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
     return placed.withColumn("slot", F.explode(F.sequence(at0, at0 + F.col("n") - 1))).drop("n", "cell", "start", "first")
 
 
+def keep_map(sized: DataFrame, path: str, shards: int = SHARDS, slots: int = SLOTS, slack: float = SLACK) -> DataFrame:
+    """The stored map at ``path``, edited for rows with ``virtual_slot`` and ``size``.
+
+    Where none is stored, one is first: slots dealt to shards evenly, in
+    turn, as for rows not yet seen.  The latest version is read, rebalanced
+    against the totals of the slots (only as many slots move as the slack
+    asks for) and stored as the next one, unless no slot moves.
+    """
+    spark = sized.sparkSession
+    if not _stored_map(spark, path):
+        store_map(map_table(spark, [s % shards for s in range(slots)], 1), path)
+    previous = load_map(spark, path)
+    edited = build_map(sized, shards, slots, previous, slack)
+    if slot_list(edited) != slot_list(previous):
+        store_map(edited, path)
+    return load_map(spark, path)
+
+
+def _stored_map(spark: SparkSession, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+    try:
+        return "map_version" in spark.read.parquet(path).columns
+    except AnalysisException:  # no such folder yet
+        return False
+
+
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 16 shards of near equal bytes."""
     docs = table(spark, sf_dir, "documents")
@@ -173,6 +212,7 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         slot_of([F.col("doc_id"), text]).alias("virtual_slot"))
     rows = stored(rows, "shard-digest")
-    out = numbered(apply_map(rows, build_map(rows)), ["doc_id", "size", "text_crc32"])
+    slot_map = keep_map(rows, scratch_dir(spark, "slot-map"), slack=CLOSE)
+    out = numbered(apply_map(rows, slot_map), ["doc_id", "size", "text_crc32"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")

@@ -40,5 +40,7 @@ def clash(df):
     """The same documents with extra columns named like those an operator adds."""
     from pyspark.sql import functions as F
     names = ("score", "shard", "slot", "virtual_slot", "kept", "spans", "base", "items", "n_words", "size", "x", "bin", "part",
-             "extra", "taken", "times", "target", "lang_pred", "predicted", "n_hit", "removed", "class", "bands", "_s", "checksum")
+             "extra", "taken", "times", "target", "lang_pred", "predicted", "n_hit", "removed", "class", "bands", "_s", "checksum",
+             "_d", "_t", "_host", "_sum", "_at", "_words", "_lang", "_hit", "_text", "_row", "_marked", "_chunks", "_lines", "_removed",
+             "_cut", "_chars", "_ends", "_ranges", "_copy", "bucket", "bitmap", "key", "host", "source_size", "proposals", "virtual_slot", "base_failed")
     return df.withColumns({n: F.lit("mine") for n in names})

@@ -93,6 +93,51 @@ def counts(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit))
 
 
+def test_query_stores_edits_and_applies_the_map(spark, tmp_path):
+    import zlib
+    rows = [r for r in corpus(300, seed=6)]
+    path = str(tmp_path)
+    frame(spark, rows).write.parquet(f"{path}/documents.parquet")
+    out = sharding.op4_virtual_slots(spark, path).collect()
+    # every column from the rows alone, but for the map
+    def slot(doc_id, text):
+        return spark.sql("SELECT pmod(xxhash64(cast(:d as bigint), cast(:t as string)), 4096)", args={"d": doc_id, "t": text}).first()[0]
+    def key(r):
+        return str((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())))
+    assert sorted(str((r.doc_id, r["size"], r.text_crc32)) for r in out) == sorted(map(key, rows))
+    some = rows[::40]
+    got = {str((r.doc_id, r["size"], r.text_crc32)): r.virtual_slot for r in out}
+    assert [got[key(r)] for r in some] == [slot(r[0], r[1]) for r in some]
+    per_slot = {}
+    for r in out:
+        assert r.map_version == 2 and per_slot.setdefault(r.virtual_slot, r.shard) == r.shard
+    shards = {}
+    for r in out:
+        shards.setdefault(r.shard, []).append(r)
+    for part in shards.values():
+        assert sorted(r.slot for r in part) == list(range(len(part)))
+    moved = sum(shard != s % 16 for s, shard in per_slot.items())
+    assert 0 < moved < len(per_slot)  # edited, not made anew
+    again = sharding.op4_virtual_slots(spark, path).collect()
+    assert sorted(map(str, again)) == sorted(map(str, out))
+
+
+def test_stored_map_moves_few_slots(spark, tmp_path):
+    path = str(tmp_path / "map")
+    sized = spark.range(20000).select(F.pmod(F.xxhash64("id"), F.lit(512)).cast("int").alias("virtual_slot"), F.lit(100).cast("long").alias("size"))
+    one = sharding.slot_list(sharding.keep_map(sized, path, 8, 512))
+    assert sharding.load_map(spark, path, 1).count() == 512
+    more = sized.unionByName(sized.where("virtual_slot < 20"))
+    two = sharding.keep_map(more, path, 8, 512)
+    moved = sum(a != b for a, b in zip(one, sharding.slot_list(two)))
+    assert 0 < moved < 60
+    load = {r.shard: r.n for r in sharding.apply_map(more, two).groupBy("shard").agg(F.sum("size").alias("n")).collect()}
+    mean = sum(load.values()) / 8
+    assert all(abs(n - mean) <= 0.011 * mean for n in load.values())
+    version = two.first().map_version
+    assert sharding.keep_map(more, path, 8, 512).first().map_version == version  # nothing to move: no new version
+
+
 def test_host_rule_counts_match_brute_force(spark, docs):
     extra = frame(spark, [(1, "a b c x a b c a b c", None, None, 0), (2, "a a a a", "en", "s", 0), (3, "a b c d a b c d", "en", "s", 0)])
     for r in host_rules.measured(docs.unionByName(extra)).collect():
