@@ -34,6 +34,12 @@ TOKEN = re.compile(
     r"|<(script|style|textarea|title|noscript|iframe|template|svg)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>",
     re.S | re.I)
+# what a tag looks like where quotes do not count
+PLAIN_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
+    r"|<(script|style|textarea|title|noscript|iframe|template|svg)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S | re.I)
+_TAG_START = re.compile(r"</?[a-zA-Z]")
 # attributes in order, values consumed whole, so that no value is taken for a name
 ATTR = re.compile(r"([^\s/=][^\s/=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?+|'([^']*+)'?+|(\S*+)))?+")
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt s samp small span "
@@ -82,20 +88,78 @@ def _leave(tag: str, attrs: str) -> bool:
     return False
 
 
-class Block:
-    __slots__ = ("chain", "link", "nodes", "path", "text")
+class Page:
+    """A page's elements, numbered in page order (0: the page itself), and its text blocks.
+
+    Parents have smaller numbers than their children, so sums over elements
+    are made in one pass from the last to the first, and an element's
+    descendants are a range of numbers.
+    """
+
+    def __init__(self):
+        self.tag, self.parent, self.path, self.container = [""], [0], [0], [0]
+        self.paths: dict[tuple[int, str], int] = {}  # (path of the parent, tag) -> path
+        self.blocks: list[Block] = []
+
+    def open(self, tag: str, parent: int) -> int:
+        element = len(self.tag)
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.path.append(self.paths.setdefault((self.path[parent], tag), len(self.paths) + 1))
+        self.container.append(self.container[parent] if tag in TEXT_TAGS else element)
+        return element
+
+    def summed(self, values: list) -> list:
+        """Per element, the sum of ``values`` over itself and its descendants."""
+        out = list(values)
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
 
-    def __init__(self, path, chain, text, nodes, link):
-        self.path, self.chain, self.text, self.nodes, self.link = path, chain, text, nodes, link
+    def last(self) -> list[int]:
+        """Per element, its last descendant."""
+        out = list(range(len(self.tag)))
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] = max(out[self.parent[e]], out[e])
+        return out
 
 
-def blocks(page: str) -> list[Block]:
-    """Text blocks outside left-out elements, in page order."""
+class Block:
+    __slots__ = ("element", "link", "nodes", "path", "text")
+
+    def __init__(self, path, element, text, nodes, link):
+        self.path, self.element, self.text, self.nodes, self.link = path, element, text, nodes, link
+
+
+def tokens(page: str) -> Iterator[re.Match]:
+    """Tags, comments and raw elements in order, each character looked at a bounded number of times.
+
+    Behind the last ``>`` no tag can end.  Where a tag's quotes swallow all
+    that is left, it and all later tags end at their first ``>``.
+    """
+    final, rule, at = page.rfind(">"), TOKEN, 0
+    while (at := page.find("<", at)) >= 0:
+        if at > final and not page.startswith("<!--", at):
+            return
+        m = rule.match(page, at)
+        if m is None and rule is TOKEN and _TAG_START.match(page, at):
+            rule = PLAIN_TOKEN
+            m = rule.match(page, at)
+        if m is None:
+            at += 1
+        else:
+            yield m
+            at = m.end()
+
+
+def read_page(page: str) -> Page:
+    """The page's elements, and its text blocks outside left-out elements, in page order."""
+    out = Page()
     stack: list[tuple[str, bool, int]] = []  # tag, left out, element number
-    out: list[Block] = []
+    opened: dict[str, int] = {}  # tags in the stack
     parts: list[str] = []
     linked: list[str] = []  # the parts inside links
-    nodes = links = count = 0
+    nodes = links = 0
 
     def plain(pieces):
         return " ".join(html.unescape("".join(pieces)).split())
@@ -105,21 +169,26 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = plain(parts)
             if text and not (stack and stack[-1][1]):
-                out.append(Block("/".join(s[0] for s in stack), tuple(s[2] for s in stack), text, nodes, len(plain(linked))))
+                element = stack[-1][2] if stack else 0
+                out.blocks.append(Block(out.path[element], element, text, nodes, len(plain(linked))))
             parts.clear()
             linked.clear()
         nodes = 0
 
     def pop_to(tags, stop):
+        if not any(opened.get(t) for t in tags):
+            return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in tags:
+                for tag, _, _ in stack[k:]:
+                    opened[tag] -= 1
                 del stack[k:]
                 return
             if stack[k][0] in stop:
                 return
 
     at = 0
-    for m in TOKEN.finditer(page):
+    for m in tokens(page):
         if m.start() > at:
             piece = page[at:m.start()]
             parts.append(piece)
@@ -141,7 +210,7 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         if m[2]:
-            if any(s[0] == tag for s in stack):
+            if opened.get(tag):
                 pop_to((tag,), ())
             links = 0
             continue
@@ -151,10 +220,10 @@ def blocks(page: str) -> list[Block]:
             pop_to(("p",), SCOPE)
         if tag in CLOSES:
             pop_to(CLOSES[tag].split(), SCOPE)
-        count += 1
         left = bool(stack and stack[-1][1]) or _leave(tag, m[4])
         if not m[4].endswith("/"):
-            stack.append((tag, left, count))
+            stack.append((tag, left, out.open(tag, stack[-1][2] if stack else 0)))
+            opened[tag] = opened.get(tag, 0) + 1
     if at < len(page):
         parts.append(page[at:])
         nodes += 1
@@ -162,9 +231,9 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def path_scores(found: list[Block]) -> dict[str, float]:
+def path_scores(found: list[Block]) -> dict[int, float]:
     """Smoothed and fused text and punctuation ratios of each path."""
-    sums: dict[str, list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for b in found:
         s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
         s[0] += max(len(b.text) - b.link, 0)
@@ -180,13 +249,9 @@ def path_scores(found: list[Block]) -> dict[str, float]:
     return {p: t * (1 + k) for p, t, k in zip(sums, smooth(text), smooth(marks))}
 
 
-def _container(b: Block) -> int:
-    """The innermost element around a block that is not one of text; 0 is the page."""
-    return next((e for e, name in zip(reversed(b.chain), reversed(b.path.split("/"))) if name not in TEXT_TAGS), 0)
-
-
-def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+def main_text(html_text: str | None) -> str:
+    page = read_page(html_text or "")
+    found, names = page.blocks, page.tag
     if not found:
         return ""
     scores = path_scores(found)
@@ -194,36 +259,36 @@ def main_text(page: str | None) -> str:
     mean = sum(values) / len(values)
     deviation = (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
     threshold = min(mean, deviation) if deviation > 0 else mean
-    held: dict[int, list[int]] = {}  # element: text, link text, blocks, marked text
-    own: dict[int, list[int]] = {}  # container: text, link text outside inner containers
-    names: dict[int, str] = {}
-    for b in found:
-        sums = own.setdefault(_container(b), [0, 0])
-        sums[0] += len(b.text)
-        sums[1] += b.link
-        for element, name in zip((0, *b.chain), ("", *b.path.split("/"))):
-            sums = held.setdefault(element, [0, 0, 0, 0])
-            sums[0] += len(b.text)
-            sums[1] += b.link
-            sums[2] += 1
-            names[element] = name
+
+    def over(blocks, value, at=lambda b: b.element):
+        out = [0] * len(names)
+        for b in blocks:
+            out[at(b)] += value(b)
+        return out
+
+    def container(b):  # the innermost element around a block that is not one of text
+        return page.container[b.element]
+
+    text = page.summed(over(found, lambda b: len(b.text)))
+    link = page.summed(over(found, lambda b: b.link))
+    count = page.summed(over(found, lambda b: 1))
+    own_text, own_link = over(found, lambda b: len(b.text), container), over(found, lambda b: b.link, container)
 
     def prose(b):
-        e = _container(b)
-        return names[e] in PAGE_WIDE or any(2 * link <= text for text, link in (held[e][:2], own[e]))
+        e = container(b)
+        return names[e] in PAGE_WIDE or 2 * link[e] <= text[e] or 2 * own_link[e] <= own_text[e]
 
     marked = [b for b in found if scores[b.path] >= threshold]
     marked = [b for b in marked if prose(b)] or marked
     total = sum(len(b.text) for b in marked)
-    for b in marked:
-        for element in (0, *b.chain):
-            held[element][3] += len(b.text)
+    held = page.summed(over(marked, lambda b: len(b.text)))
     # elements are numbered in page order, so the last large enough one is the smallest;
     # an element of one block is a paragraph, not the article around it
-    large = [e for e, (_, _, k, n) in held.items() if n >= INSIDE * total and (k > 1 or len(found) == 1)]
+    large = [e for e, (n, k) in enumerate(zip(held, count)) if k and n >= INSIDE * total and (k > 1 or len(found) == 1)]
     article = max((e for e in large if names[e] == "article"), default=0) or max(
-        (e for e in large if names[e] == "main"), default=0) or max((e for e in large if held[e][3] == total), default=0)
-    inside = [b for b in found if not article or article in b.chain]
+        (e for e in large if names[e] == "main"), default=0) or max((e for e in large if held[e] == total), default=0)
+    end = page.last()[article]
+    inside = [b for b in found if article <= b.element <= end]
     return " ".join(b.text for b in inside if names[article] not in PAGE_WIDE or prose(b))
 
 

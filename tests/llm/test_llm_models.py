@@ -340,3 +340,23 @@ def test_extract_rows(spark):
     out = html_text.extract(pages).collect()
     assert len(out) == 4 and all(r.n_chars == len(r.text) for r in out)
     assert html_text.extract(pages.where("false")).count() == 0
+
+
+# ---- pages that are large and broken
+
+@pytest.mark.parametrize("piece,times", [('<p x="', 100000), ("<a ", 200000), ("<div><p>a", 50000), ("<!x", 200000), ("<h1>a", 100000),
+                                         ("<x>", 150000), ("</x>", 150000), ("<script>", 80000), ("<!--", 150000), ("<li><b>a</li>", 50000)])
+def test_broken_pages_take_time_in_proportion(piece, times):
+    import time
+    took = []
+    for n in (times // 4, times):
+        start = time.process_time()
+        html_text.main_text(piece * n)
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0] + 0.5  # sixteen times, were it quadratic
+
+
+def test_tags_whose_quotes_swallow_the_rest_end_at_their_first_bracket():
+    page = '<article><p>One good sentence, here.</p><p class="broken>Two follows, of course.</p><p>Three ends it, surely.</p></article>'
+    assert html_text.main_text(page) == "One good sentence, here. Two follows, of course. Three ends it, surely."
+    assert html_text.main_text("a < b and c > d, it says.") == "a < b and c > d, it says."
