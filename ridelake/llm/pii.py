@@ -4,12 +4,15 @@ Base rules find emails, IP addresses, card and phone numbers.  Beside them
 wide generators propose further, overlapping spans (obfuscated emails,
 numbers without a plus sign, other separators).  Each proposal is described
 by a few small format and context features.  Gradient boosted trees learn
-from the corpus itself: a proposal that overlaps a valid base span of its
-kind is a positive, any other a negative.  All proposals of the learning
-folds are counted by feature values, and the trees are fitted to these
-counts, at most one row per combination of values.  Per kind, the lowest
-score at which the calibration fold reaches ``PRECISION`` becomes the
-threshold; proposals above it that touch no base span are added.
+from the corpus itself: a proposal that overlaps a base span of its kind is
+labelled, any other unlabelled, whatever it is.  The trees see shape and
+context, not the marks that the base rules ask for, so other forms of the
+same data score like it.  All proposals of the learning folds are counted by
+feature values, and the trees are fitted to these counts, at most one row
+per combination of values.  Per kind, the calibration fold tells how often
+personal data is labelled, and so the score at which an unlabelled proposal
+is personal data more likely than not (``POSTERIOR``); proposals above it
+that touch no base span are added.
 
 Spans are in code points, end exclusive.  All patterns are possessive or
 anchored behind their own characters, so a long run of digits or letters
@@ -56,8 +59,11 @@ CONTEXT = {
     "phone": r"phone|call|tel\b|fax|mobile|telefon|anruf",
 }
 FEATURES = ("kind", "check", "separator", "prefix", "tail", "left", "right", "context")
+# what the trees see: not what the base rules ask for (a plus, an at sign, certain separators), or every other form
+# would be told from the base spans by that alone
+LEARNED = ("kind", "check", "tail", "left", "right", "context")
 ROUNDS, RATE, MIN_WEIGHT = 30, 0.4, 1.0
-PRECISION = 0.95
+POSTERIOR = 0.5  # least probability that a proposal is personal data
 CHUNK = 256
 
 
@@ -221,7 +227,7 @@ def _best_split(cells, grad, hess):
 
     rows = range(len(cells))
     best = None
-    for f in FEATURES:
+    for f in LEARNED:
         for v in sorted({cells[i][f] for i in rows})[:-1]:
             low, high = [i for i in rows if cells[i][f] <= v], [i for i in rows if cells[i][f] > v]
             (a, ga), (b, gb) = leaf(low), leaf(high)
@@ -229,7 +235,7 @@ def _best_split(cells, grad, hess):
                 best = (ga + gb, f, v, a, b)
     if best is None:
         a, _ = leaf(rows)
-        return FEATURES[0], 1 << 30, a, a
+        return LEARNED[0], 1 << 30, a, a
     return best[1:]
 
 
@@ -261,18 +267,24 @@ def fit_trees(cells: list[dict]) -> Trees:
     return out
 
 
-def calibrated(trees: Trees, cells: list[dict], precision: float = PRECISION) -> dict[int, float]:
-    """Per kind the lowest score from which on the proposals are precise enough."""
+def calibrated(trees: Trees, cells: list[dict], posterior: float = POSTERIOR) -> dict[int, float]:
+    """Per kind the score from which on a proposal is personal data with probability ``posterior``.
+
+    The trees give the probability that a base rule labels a proposal; the
+    mean of it over labelled proposals of the calibration cells estimates how
+    often personal data is labelled at all, and the quotient of both is the
+    probability of personal data (as in learning from positive and
+    unlabelled cases).  A kind without labelled proposals adds none.
+    """
     out = {}
     for kind in range(len(KINDS)):
-        scored = sorted(((trees.score(c), c) for c in cells if c["kind"] == kind), key=lambda x: -x[0])
-        right = seen = 0
-        best = math.inf
-        for i, (s, c) in enumerate(scored):
-            right, seen = right + c["n_pos"], seen + c["n_pos"] + c["n_neg"]
-            if (i + 1 == len(scored) or scored[i + 1][0] < s) and seen and right >= precision * seen:
-                best = s
-        out[kind] = best
+        labelled = [(1 / (1 + math.exp(-trees.score(c))), c["n_pos"]) for c in cells if c["kind"] == kind and c["n_pos"]]
+        if not labelled:
+            out[kind] = math.inf
+            continue
+        often = sum(p * n for p, n in labelled) / sum(n for _, n in labelled)
+        least = min(max(posterior * often, 1e-6), 1 - 1e-6)
+        out[kind] = math.log(least / (1 - least))
     return out
 
 
