@@ -19,12 +19,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from ridelake.operators.sinks import read_raw, write_raw  # noqa: E402
+from ridelake.operators.sinks import load_trip_files, read_raw, write_raw  # noqa: E402
+from ridelake.operators.versions import index_table  # noqa: E402
 from ridelake.plans.pipeline import Warehouse, build_models  # noqa: E402
 from ridelake.plans import trips as M  # noqa: E402
 from ridelake.plans.rollups import read_member_rollup, refresh_rollups  # noqa: E402
+from ridelake.schema import CSV_COLUMNS  # noqa: E402
 from ridelake.session import build_session, scratch_dir  # noqa: E402
 from ridelake.sources.adapter import raw_trips  # noqa: E402
+from ridelake.sources.files import write_named_csv  # noqa: E402
 
 
 def run(df) -> None:
@@ -77,14 +80,24 @@ def main() -> None:
     # (staged trips, stations, fact, dimension, daily, hourly), each read back
     q["pipeline"] = timed(lambda: build_models(spark, wh), repeat=1)
 
-    # one more file on top of the built models: its rows are a fifth of the
-    # trips of the last days, half of them corrections of earlier rides
+    # a year: the trips of the month repeated over twelve months.  The full
+    # build, then one more file (its rows are a fifth of the trips of the last
+    # days, half of them corrections of earlier rides): load and build
+    year = Warehouse(f"{work}/year")
+    shifted = raw_trips(spark, sf_dir).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    moved = {c: F.expr(f"CAST(CAST({c} AS TIMESTAMP) + make_interval(0, k) AS TIMESTAMP_NTZ)") for c in ("started_at", "ended_at")}
+    write_raw(shifted.withColumns({**moved, "ride_id": F.expr("concat(ride_id, '-', k)")}).drop("k"), year.raw)
+    year_rows = read_raw(spark, year.raw).count()
+    q["year_index"] = timed(lambda: index_table(spark, year.raw), repeat=1)
+    q["year_pipeline"] = timed(lambda: build_models(spark, year), repeat=1)
     extra = (raw_trips(spark, sf_dir).filter("started_at >= '2024-01-25' AND pmod(xxhash64(ride_id), 5) = 0")
-             .withColumn("source_file", F.lit("late.csv")).withColumn("loaded_at", F.lit("2024-06-01 00:00:00").cast("timestamp_ntz"))
-             .withColumn("ride_id", F.expr("if(pmod(xxhash64(ride_id), 10) = 0, ride_id, concat(ride_id, 'x'))")))
-    write_raw(extra, raw_root)
-    extra_rows = read_raw(spark, raw_root).filter("source_file = 'late.csv'").count()
-    q["incremental"] = timed(lambda: build_models(spark, wh, new_files=["late.csv"]), repeat=1)
+             .withColumn("ride_id", F.expr("concat(ride_id, if(pmod(xxhash64(ride_id), 10) = 0, '-0', '-x'))"))
+             .select(*CSV_COLUMNS, F.lit("late.csv").alias("source_file")))
+    paths = write_named_csv(extra, f"{work}/in")
+    report = {}
+    q["year_increment_load"] = timed(lambda: report.update(load_trip_files(spark, paths, year.raw, loaded_at="2025-06-01 00:00:00")), repeat=1)
+    q["year_increment_build"] = timed(lambda: build_models(spark, year), repeat=1)
+    q["year_increment"] = round(q["year_increment_load"] + q["year_increment_build"], 3)
 
     # pre-aggregated rollups (kept per month): build once, then answer the
     # member x bike x date question from the rollup vs from the raw table
@@ -101,7 +114,8 @@ def main() -> None:
         "queries": q,
         "sf": float(m.group(1)) if m else sf_dir,
         "raw_rows": raw_rows,
-        "incremental_rows": extra_rows,
+        "year_rows": year_rows,
+        "increment_rows": report["rows"]["kept_rows"],
     }))
     spark.stop()
 

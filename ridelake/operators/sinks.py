@@ -123,10 +123,13 @@ def commit_files(spark: SparkSession, root: str, files: dict[str, str], batch: s
 
 
 def mark_indexed(spark: SparkSession, root: str) -> None:
-    """Ledger rows that say of every committed file that its rows are in the version index."""
+    """Ledger rows that say of every committed file that its rows are in the
+    version index (an empty ledger for a table written without loads)."""
     if path_exists(spark, f"{root}/{LEDGER_DIR}"):
         rows = committed_files(spark, root).where("NOT coalesce(indexed, false)")
         _append_ledger(rows, root, F.col("batch"), F.col("months"), True, True)
+    else:
+        spark.createDataFrame([], LEDGER_SCHEMA).coalesce(1).write.parquet(f"{root}/{LEDGER_DIR}")
 
 
 def _drop_leaves(spark: SparkSession, root: str, leaves: Sequence) -> None:
@@ -138,21 +141,28 @@ def _drop_leaves(spark: SparkSession, root: str, leaves: Sequence) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def _begin_load(spark: SparkSession, root: str, files: dict[str, str], names: DataFrame, batch: str) -> list[int]:
+def _entries(spark: SparkSession, root: str, names: Sequence[str]) -> dict:
+    """The newest ledger rows of the named files: name -> (path, done, months)."""
+    if not names or not path_exists(spark, f"{root}/{LEDGER_DIR}"):
+        return {}
+    listed = spark.createDataFrame([(n,) for n in sorted(names)], "source_file string")
+    rows = ledger(spark, root).join(F.broadcast(listed), "source_file", "left_semi").select("source_file", "path", "done", "months")
+    return {r.source_file: r for r in rows.collect()}  # files of one load
+
+
+def _begin_load(spark: SparkSession, root: str, files: dict[str, str], entries: dict, batch: str) -> list[int]:
     """Mark the files as begun and clear the leaves they have; returns the
     months to refresh besides their new rows'.
 
-    Only files that an earlier load has begun (or, without a ledger, all) can
-    have leaves, so no other file's rows are looked for.  The mark holds the
-    months of all versions of the rides in these leaves, so a crash from here
-    on costs a load and nothing else.
+    Only files that an earlier load has begun (``entries``; or, without a
+    ledger, all) can have leaves, so no other file's rows are looked for.
+    The mark holds the months of all versions of the rides in these leaves,
+    so a crash from here on costs a load and nothing else.
     """
     held, months = set(files), set()
     if path_exists(spark, f"{root}/{LEDGER_DIR}"):
-        begun = ledger(spark, root).join(F.broadcast(names), "source_file", "left_semi")
-        begun = begun.select("source_file", "done", "months").collect()  # files of this load
-        held = {r.source_file for r in begun}
-        months = {m for r in begun if not r.done for m in r.months or ()}
+        held = {n for n in files if n in entries}
+        months = {m for n in held if not entries[n].done for m in entries[n].months or ()}
     leaves = []
     if held and path_exists(spark, root):
         rows = rows_of_files(read_raw(spark, root), name_list(spark, held))
@@ -173,7 +183,7 @@ def _broken_file(error: Exception, paths: Sequence[str]) -> str | None:
     from ..sources.files import plain_path
 
     named = re.findall(r"FAILED_READ_FILE[^\]]*\] Encountered error while reading file (\S+?)\.?\s", str(error))
-    named = {plain_path(unquote(n)) for n in named}
+    named = {plain_path(form) for n in named for form in (n, unquote(n))}
     return next((p for p in paths if plain_path(p) in named), None)
 
 
@@ -205,15 +215,13 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
         n = source_id(p, landing)
         if plain_path(names.setdefault(n, p)) != plain_path(p):
             raise ValueError(f"two files named {n!r}: {names[n]!r} and {p!r}")
+    entries = _entries(spark, root, list(names))
     skipped: list[str] = []
-    if names and skip_committed:
-        listed = spark.createDataFrame([(n, plain_path(p)) for n, p in sorted(names.items())], "name string, path string")
-        known = committed_files(spark, root)
-        was = known.select(F.col("source_file").alias("name"), F.col("path").alias("was"))
-        if (row := listed.join(was, "name").where("path <> was").first()) is not None:
-            raise ValueError(f"file {row['name']!r} was loaded from {row['was']!r}, not from {row['path']!r}")
-        todo = {r[0] for r in pending(listed, known).select("name").collect()}
-        skipped = sorted(n for n in names if n not in todo)
+    if skip_committed:
+        skipped = sorted(n for n, e in entries.items() if e.done)
+        for n in skipped:
+            if entries[n].path != plain_path(names[n]):
+                raise ValueError(f"file {n!r} was loaded from {entries[n].path!r}, not from {plain_path(names[n])!r}")
     todo = {n: p for n, p in sorted(names.items()) if n not in set(skipped)}
     rejected = Rejected()
     text = read_trip_files(spark, list(todo.values()), landing, multiline, rejected) if todo else None
@@ -224,8 +232,7 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
     batch = uuid.uuid4().hex
     before = raw_months(spark, root)
     was_indexed = not before or indexed(spark, root)
-    listed = name_list(spark, loading)
-    months = _begin_load(spark, root, loading, listed, batch)
+    months = _begin_load(spark, root, loading, entries, batch)
     stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at else F.localtimestamp()
     while True:
         typed = clean_types(clean_strings(text.withColumn("loaded_at", stamp)))
@@ -247,6 +254,7 @@ def load_trip_files(spark: SparkSession, paths: Sequence[str], root: str, loaded
             text = read_trip_files(spark, [p for n, p in todo.items() if n in loading], landing, multiline, rejected) if loading else None
             if text is None:
                 return {"loaded": [], "skipped": skipped, "rejected": list(rejected), "reasons": dict(rejected), "rows": {}}
+    listed = name_list(spark, loading)
     if was_indexed:
         index_load(spark, root, listed, batch, before)
     commit_files(spark, root, loading, batch, months, was_indexed, listed)

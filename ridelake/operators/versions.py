@@ -56,13 +56,13 @@ def _months(df: DataFrame) -> list[int]:
 
 
 def raw_months(spark: SparkSession, root: str) -> list[int]:
-    """Months that the raw table has folders for."""
+    """Months that the raw table (or another table by month) has folders for."""
     from .sinks import path_exists, read_raw
     if not path_exists(spark, root):
         return []
     jvm = getattr(spark, "_jvm", None)
     if jvm is None:
-        return _months(read_raw(spark, root))
+        return _months(read_filters(spark, root[:-len(MEMBERS_DIR) - 1]) if root.endswith(MEMBERS_DIR) else read_raw(spark, root))
     path = jvm.org.apache.hadoop.fs.Path(root)
     names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
     return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{MONTH}=") and n.split("=")[1].isdigit())
@@ -130,8 +130,15 @@ def read_moved(spark: SparkSession, root: str) -> DataFrame:
 # --- kept up by loads ---------------------------------------------------------
 
 def _ids(rows: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    ids = _kept(rows.select("ride_id", MONTH).distinct(), "ids")
-    return ids, {r[0]: r["count"] for r in ids.groupBy(MONTH).count().collect()}  # bounded by the calendar
+    from pyspark.sql import Observation
+
+    obs = Observation("ids")
+    months = F.collect_set(MONTH)  # bounded by the calendar
+    ids = _kept(rows.select("ride_id", MONTH).distinct().observe(obs, F.count(F.lit(1)).alias("n"), months.alias("months")), "ids")
+    found = obs.get["months"] or []
+    if len(found) < 2:
+        return ids, {m: obs.get["n"] for m in found}
+    return ids, {r[0]: r["count"] for r in ids.groupBy(MONTH).count().collect()}
 
 
 def _several_months(pairs: DataFrame) -> DataFrame:
@@ -194,7 +201,7 @@ def indexed(spark: SparkSession, root: str) -> bool:
         return False
     if committed_files(spark, root).where("NOT coalesce(indexed, false)").limit(1).count():
         return False
-    return set(raw_months(spark, root)) <= set(_months(read_filters(spark, root)))
+    return set(raw_months(spark, root)) <= set(raw_months(spark, f"{root}/{MEMBERS_DIR}"))
 
 
 # --- asked by builds ----------------------------------------------------------

@@ -23,7 +23,7 @@ from ..operators.quality import TableChecks, suite
 from ..operators.compact import recover
 from ..operators.versions import indexed, months_of_rides, name_list, rows_of_files, versions_in_months
 from ..operators.sinks import LEDGER_DIR, committed_files, drop_keys, load_trip_files, path_exists, read_raw, write_table
-from ..session import scratch_dir
+from ..session import concurrently, scratch_dir
 from . import trips as M
 from .incremental import (build_daily_from_fct, read_daily, refresh_daily_months, refresh_months, touched_months,
                           write_by_month)
@@ -137,23 +137,37 @@ def build_models(spark: SparkSession, wh: Warehouse, empty_as_missing: bool = Fa
         write_by_month(M.fct_trips(M.trip_metrics(stg_table, speed_guard)), fct_path, FACT_ORDER, full=True)
     stg = spark.read.schema(_stored(M.stg_trips(raw))).parquet(stg_path)
     fct = spark.read.schema(_stored(M.fct_from_raw(raw))).parquet(fct_path)
-    # monthly partials of the fact table: only the touched months are rescanned
-    if months is None or months:
-        refresh_parts(spark, fct, parts_root, months, empty_as_missing)
-    # station tuples and rollups per month of the raw rows
-    if raw_months is None or raw_months:
-        refresh_station_tuples(spark, raw, parts_root, raw_months, empty_as_missing)
-        refresh_rollups(spark, wh.raw, rollups, raw_months)
-    write_table(stations_from_parts(spark, parts_root), wh.table("stg_stations"), sort_by=["station_id"])
+
+    def parts():  # monthly partials of the fact table: only the touched months are rescanned
+        if months is None or months:
+            refresh_parts(spark, fct, parts_root, months, empty_as_missing)
+
+    def stations_by_month():  # station tuples per month of the raw rows
+        if raw_months is None or raw_months:
+            refresh_station_tuples(spark, raw, parts_root, raw_months, empty_as_missing)
+        write_table(stations_from_parts(spark, parts_root), wh.table("stg_stations"), sort_by=["station_id"])
+
+    def rollups_by_month():
+        if raw_months is None or raw_months:
+            refresh_rollups(spark, wh.raw, rollups, raw_months)
+
+    def daily():
+        if months is None:
+            build_daily_from_fct(fct, daily_path)
+        elif months:
+            refresh_daily_months(spark, fct, months, daily_path)
+
+    concurrently(spark, parts, stations_by_month, rollups_by_month, daily)
     stations = spark.read.parquet(wh.table("stg_stations"))
-    write_table(M.dim_from_stats(stations, station_stats_from_parts(spark, parts_root)),
-                wh.table("dim_stations"), sort_by=["station_id"])
-    if months is None:
-        build_daily_from_fct(fct, daily_path)
-    elif months:
-        refresh_daily_months(spark, fct, months, daily_path)
-    write_table(hourly_from_parts(spark, parts_root), wh.table("agg_hourly_patterns"),
-                sort_by=["is_weekend", "ride_hour"])
+
+    def dimension():
+        write_table(M.dim_from_stats(stations, station_stats_from_parts(spark, parts_root)),
+                    wh.table("dim_stations"), sort_by=["station_id"])
+
+    def hourly():
+        write_table(hourly_from_parts(spark, parts_root), wh.table("agg_hourly_patterns"), sort_by=["is_weekend", "ride_hour"])
+
+    concurrently(spark, dimension, hourly)
     if loads is not None:
         loads.write.mode("append").parquet(wh.consumed)
     return {

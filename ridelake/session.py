@@ -71,3 +71,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/ridelake/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def concurrently(spark: SparkSession, *steps, width: int = 4) -> list:
+    """Run independent steps (each of a few jobs) at the same time; their results, or the first error.
+
+    Many steps of an increment are too small to fill a cluster one after the other.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    wrap = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=width) as pool:
+        running = [pool.submit(wrap(step)) for step in steps]
+        return [r.result() for r in running]
