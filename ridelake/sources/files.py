@@ -13,7 +13,7 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from ..schema import CSV_COLUMNS, REQUIRED_COLUMNS, missing_columns
+from ..session import concurrently
 
 
 def plain_path(path: str) -> str:
@@ -219,27 +220,64 @@ def write_named_csv(df: DataFrame, out_dir: str, name_col: str = "source_file",
     (e.g. trip files named like their source).  ``header_order`` may give a
     per-file column list (reordered or missing columns).  Returns the paths.
 
-    Used to stage test inputs from the driver tables; the write itself is a
-    distributed Spark write, only the final rename is a metadata operation.
+    Used to stage test inputs from the driver tables.  All tasks of the scan
+    write parts of a file; one task per file then only copies their bytes, in
+    part order, and the rename is a metadata operation.
     """
     spark = df.sparkSession
-    names = [r[0] for r in df.select(name_col).distinct().collect()]  # one per file
+    names = sorted(r[0] for r in df.select(name_col).distinct().collect())  # one per file
+    if not names:
+        return []
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
-    out = []
-    for name in sorted(names):
+
+    def folder(name: str):
+        path = jvm.org.apache.hadoop.fs.Path(f"{out_dir}/_tmp_{name}")
+        return path, path.getFileSystem(conf)
+
+    def write(name: str) -> tuple[str, str, list[str]]:
         cols = list((header_order or {}).get(name, [c for c in df.columns if c != name_col]))
         tmp = f"{out_dir}/_tmp_{name}"
-        (df.filter(F.col(name_col) == name).select(*cols).coalesce(1)
-         .write.mode("overwrite").option("header", True).option("escape", '"').csv(tmp))
-        path = jvm.org.apache.hadoop.fs.Path(tmp)
-        fs = path.getFileSystem(conf)
-        part = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")][0]
-        dest = jvm.org.apache.hadoop.fs.Path(f"{out_dir}/{name}")
-        fs.rename(part, dest)
+        df.filter(F.col(name_col) == name).select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').csv(tmp)
+        path, fs = folder(name)
+        return name, tmp, sorted(n for s in fs.listStatus(path) if (n := s.getPath().getName()).startswith("part-"))
+
+    _by_value()
+    written = concurrently(spark, *[partial(write, n) for n in names])
+    listed = spark.createDataFrame(written, "name string, folder string, parts array<string>").repartitionByRange(len(names), "name")
+    out = []
+    for r in listed.mapInArrow(_joined_parts(), "name string, joined string").collect():  # one row per file
+        path, fs = folder(r.name)
+        fs.rename(jvm.org.apache.hadoop.fs.Path(path, r.joined), jvm.org.apache.hadoop.fs.Path(f"{out_dir}/{r.name}"))
         fs.delete(path, True)
-        out.append(f"{out_dir}/{name}")
-    return out
+        out.append(f"{out_dir}/{r.name}")
+    return sorted(out)
+
+
+def _joined_parts():
+    """mapInArrow body: the parts of a CSV file as one, with the first one's header; (name, joined file in the folder)."""
+    def join(batches):
+        import io
+        import shutil
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        for batch in batches:
+            for name, folder, parts in zip(*(batch.column(c).to_pylist() for c in ("name", "folder", "parts"))):
+                draft = f"_joined-{TaskContext.get().taskAttemptId()}"  # of this attempt alone
+                system, path = _system(folder)
+                with system.open_output_stream(f"{path}/{draft}") as out:
+                    headed = False
+                    for part in parts:
+                        with io.BufferedReader(system.open_input_stream(f"{path}/{part}"), 8 << 20) as source:
+                            header = source.readline()
+                            if not headed:
+                                out.write(header)
+                            headed = headed or bool(header)
+                            shutil.copyfileobj(source, out, 8 << 20)
+                yield pa.RecordBatch.from_pylist([{"name": name, "joined": draft}])
+    return join
 
 
 # --- zipped CSV -------------------------------------------------------------
@@ -252,14 +290,18 @@ def _by_value() -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _opened(path: str):
-    """A seekable stream of a file on any file system Arrow knows (local, HDFS, object stores)."""
+def _system(path: str):
+    """The file system of a path, any that Arrow knows (local, HDFS, object stores), and the path in it."""
     from pyarrow import fs
 
     if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path):
-        system, path = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-    else:
-        system = fs.LocalFileSystem()
+        return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    return fs.LocalFileSystem(), path
+
+
+def _opened(path: str):
+    """A seekable stream of a file."""
+    system, path = _system(path)
     return system.open_input_file(path)
 
 

@@ -3,6 +3,7 @@ import os
 import tempfile
 import zipfile
 
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ridelake.operators.reports import file_report
@@ -65,3 +66,28 @@ def test_file_report_and_partition_pruning(spark):
     # replaying a file rewrites its leaves only
     write_raw(raw.filter(F.col("source_file") == "b.csv"), root)
     assert read_raw(spark, root).count() == 3
+
+
+def test_named_csv_is_written_by_all_tasks(spark):
+    """Each file's rows are formatted by the tasks that read them: one file, one header, rows in the order of the input."""
+    from ridelake.sources.files import write_named_csv
+    d = tempfile.mkdtemp(prefix="ridelake-named-")
+    note = F.when(F.col("id") % 5 == 0, F.lit('a "q", b')).when(F.col("id") % 7 == 0, F.lit("")).otherwise(F.lit("ä"))
+    rows = spark.range(0, 1000, 1, 6).select("id", F.when(F.col("id") % 3 > 0, note).alias("note"),
+                                             F.concat(F.lit("f"), (F.col("id") % 2).cast("string"), F.lit(".csv")).alias("source_file"))
+    # a name whose rows lie in the last partition only
+    rows = rows.withColumn("source_file", F.when(F.col("id") > 990, "late.csv").otherwise(F.col("source_file")))
+    seen = spark.sparkContext.accumulator(0)  # sum of the numbers of the tasks that made rows
+    counted = rows.rdd.mapPartitions(lambda it: (seen.add(TaskContext.get().partitionId()), it)[1]).toDF(rows.schema)
+    paths = write_named_csv(counted, d, header_order={"f1.csv": ["note", "id"]})
+    assert [os.path.basename(p) for p in paths] == ["f0.csv", "f1.csv", "late.csv"] and sorted(f for f in os.listdir(d) if f[0] != ".") == ["f0.csv", "f1.csv", "late.csv"]
+    assert seen.value == sum(range(6)) * (1 + 3)  # names once, then each file by all tasks
+    whole = tempfile.mkdtemp(prefix="ridelake-whole-")
+    for name, cols in (("f0.csv", ["id", "note"]), ("f1.csv", ["note", "id"]), ("late.csv", ["id", "note"])):
+        one = rows.where(F.col("source_file") == name).select(*cols)
+        one.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{whole}/{name}")
+        part = next(p for p in os.listdir(f"{whole}/{name}") if p.startswith("part-"))
+        with open(f"{whole}/{name}/{part}", "rb") as a, open(f"{d}/{name}", "rb") as b:
+            assert a.read() == b.read()
+        parts = spark.read.option("header", True).option("escape", '"').csv(f"{d}/{name}")
+        assert parts.count() == one.count()
