@@ -28,6 +28,7 @@ MEMBERS_DIR, MOVED_DIR = "_members", "_moved"
 BLOCK_BITS = 1 << 15  # of one bitmap: fixed by Spark's bitmap functions
 BITS_PER_ID, PROBES = 32, 12  # about one false month in a million ids
 MAX_SETS = 8  # filter sets of a month before they are made one
+TASK_BLOCKS, FILE_BLOCKS = 64, 512  # bitmaps made at a time, and by a task
 
 MEMBERS_SCHEMA = "batch string, blocks int, block int, bitmap binary, year_month int"
 MOVED_SCHEMA = "ride_id string, year_month int"
@@ -84,12 +85,19 @@ def _blocks_for(n: int) -> int:
 
 
 def filter_rows(ids: DataFrame, counts: dict[int, int], batch: str) -> DataFrame:
-    """A filter set of distinct (ride_id, year_month) rows; ``counts``: ids per month."""
-    blocks = F.create_map(*[F.lit(x) for m, n in sorted(counts.items()) for x in (m, _blocks_for(n))])[F.col(MONTH)]
-    bits = ids.select(MONTH, blocks.alias("blocks"), "ride_id").select(
-        MONTH, "blocks", _block(F.col("blocks")).alias("block"), F.explode(F.array(*[_probe(i) for i in range(PROBES)])).alias("bit"))
+    """A filter set of distinct (ride_id, year_month) rows; ``counts``: ids per month.
+
+    The ids go to the task that makes their bitmap, so that what is shuffled
+    follows the ids (bitmaps made by every task would be shuffled as often as
+    there are tasks), and few bitmaps at a time keep the sort behind it small.
+    """
+    sizes = {m: _blocks_for(n) for m, n in sorted(counts.items())}
+    blocks = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col(MONTH)]
+    placed = ids.select(MONTH, blocks.alias("blocks"), "ride_id").withColumn("block", _block(F.col("blocks")))
+    placed = placed.repartition(-(-sum(sizes.values()) // TASK_BLOCKS), MONTH, "blocks", "block")
+    bits = placed.select(MONTH, "blocks", "block", F.explode(F.array(*[_probe(i) for i in range(PROBES)])).alias("bit"))
     sets = bits.groupBy(MONTH, "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-    return sets.select(F.lit(batch).alias("batch"), "blocks", "block", "bitmap", MONTH)
+    return sets.coalesce(-(-sum(sizes.values()) // FILE_BLOCKS)).select(F.lit(batch).alias("batch"), "blocks", "block", "bitmap", MONTH)
 
 
 def _write_filters(sets: DataFrame, root: str, mode: str) -> None:
@@ -97,12 +105,16 @@ def _write_filters(sets: DataFrame, root: str, mode: str) -> None:
      .partitionBy(MONTH).parquet(f"{root}/{MEMBERS_DIR}"))
 
 
-def may_hold(ids: DataFrame, sets: DataFrame, sizes: list[int]) -> DataFrame:
+def may_hold(ids: DataFrame, sets: DataFrame, sizes: list[int], besides: bool = False) -> DataFrame:
     """Distinct (ride_id, year_month) where the month's filters do not exclude
-    the id; ``sizes``: the numbers of blocks that occur in ``sets``."""
-    probes = ids.select("ride_id").distinct().select("ride_id", F.explode(F.array(*[F.lit(s) for s in sizes])).alias("blocks"))
+    the id; ``sizes``: the numbers of blocks that occur in ``sets``; ``besides``:
+    months that ``ids`` has for the id are not asked about."""
+    if besides:
+        probes, hit = ids.groupBy("ride_id").agg(F.collect_set(MONTH).alias("known")), ~F.array_contains("known", F.col(MONTH))
+    else:
+        probes, hit = ids.select("ride_id").distinct(), F.lit(True)
+    probes = probes.withColumn("blocks", F.explode(F.array(*[F.lit(s) for s in sizes])))
     probes = probes.withColumn("block", _block(F.col("blocks")))
-    hit = F.lit(True)
     for i in range(PROBES):
         bit = _probe(i)
         byte = F.conv(F.hex(F.substr("bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
@@ -160,9 +172,10 @@ def index_load(spark: SparkSession, root: str, files: DataFrame, batch: str, bef
     present = filter_sets(sets)
     old = [r for r in present if r[MONTH] in before]
     maybe = None
-    if old:
-        maybe = may_hold(ids, sets.where(F.col(MONTH).isin(before)), sorted({r.blocks for r in old}))
-    if unknown := sorted(set(before) - {r[MONTH] for r in old}):
+    asked = set(before) - (set(counts) if len(counts) == 1 else set())  # the only month of all ids is known
+    if sizes := sorted({r.blocks for r in old if r[MONTH] in asked}):
+        maybe = may_hold(ids, sets.where(F.col(MONTH).isin(sorted(asked))), sizes, besides=True)
+    if unknown := sorted(asked - {r[MONTH] for r in old}):
         every = ids.select("ride_id").distinct().select("ride_id", F.explode(F.array(*[F.lit(m) for m in unknown])).alias(MONTH))
         maybe = maybe.unionByName(every) if maybe is not None else every
     pairs, months = ids, []

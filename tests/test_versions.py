@@ -191,3 +191,25 @@ def test_zipped_csv_is_written_and_read_in_pieces(spark, d, monkeypatch):
     bad = files.rejected_archives(spark, [f"{d}/zips/broken.zip", f"{d}/zips/part-00000.zip"])
     assert bad == {f"{d}/zips/broken.zip": "no zip archive",
                    f"{d}/zips/part-00000.zip": "missing columns: rideable_type, started_at, ended_at"}
+
+
+def test_filters_shuffle_ids_not_bitmaps(spark, monkeypatch):
+    """What making filters moves follows the ids, however many tasks read them."""
+    ids = spark.range(0, 50000, 1, 16).select(F.concat(F.lit("r"), "id").alias("ride_id"), (F.col("id") % 1 + 202401).cast("int").alias("year_month"))
+    sets = versions.filter_rows(ids, {202401: 50000}, "b")
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") > plan.index("Generate"), plan  # below it
+    monkeypatch.setattr(versions, "TASK_BLOCKS", 1)
+    monkeypatch.setattr(versions, "FILE_BLOCKS", 3)
+    parts = versions.filter_rows(ids, {202401: 50000}, "b")
+    assert parts.rdd.getNumPartitions() == -(-64 // 3)
+    assert rows(parts) == rows(sets) and sets.count() == 64
+    moved = spark.createDataFrame([("r1", 202401), ("r2", 202402)], "ride_id string, year_month int")
+    assert rows(versions.may_hold(moved, sets, [64], besides=True)) == ["Row(ride_id='r2', year_month=202401)"]
+
+
+def test_a_load_asks_no_filter_of_its_only_month(spark, d, monkeypatch):
+    load_trip_files(spark, [month_file(d, 1, ["a", "b"])], f"{d}/raw")
+    monkeypatch.setattr(versions, "may_hold", None)  # not called
+    load_trip_files(spark, [month_file(d, 1, ["b", "c"], "more")], f"{d}/raw")
+    assert versions.indexed(spark, f"{d}/raw") and versions.read_moved(spark, f"{d}/raw").count() == 0
