@@ -14,12 +14,14 @@ import re
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import partial, reduce
+from itertools import chain
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition,
+                                    WriterCommitMessage)
 
 from ..schema import CSV_COLUMNS, REQUIRED_COLUMNS, missing_columns
 from ..session import concurrently
@@ -353,13 +355,13 @@ class _ArchiveReader(DataSourceReader):
                 yield piece(rows)
 
 
-class _ArchiveWriter(DataSourceWriter):
-    """One archive per task, written as rows come."""
+class _ArchiveWriter(DataSourceArrowWriter):
+    """One archive per task, written batch by batch as rows come."""
 
     def __init__(self, schema: T.StructType, options: dict):
         self.columns, self.folder = [f.name for f in schema], options["path"]
 
-    def write(self, rows):
+    def write(self, batches):
         import csv
         import io
         import zipfile
@@ -367,8 +369,8 @@ class _ArchiveWriter(DataSourceWriter):
         from pyarrow import fs
         from pyspark import TaskContext
 
-        rows = iter(rows)
-        first = next(rows, None)
+        batches = (b for b in batches if b.num_rows)
+        first = next(batches, None)
         if first is None:
             return WriterCommitMessage()
         context = TaskContext.get()
@@ -380,8 +382,8 @@ class _ArchiveWriter(DataSourceWriter):
             text = io.TextIOWrapper(member, encoding="utf-8", newline="")
             writer = csv.writer(text)
             writer.writerow(self.columns)
-            writer.writerow(first)
-            writer.writerows(rows)
+            for batch in chain([first], batches):
+                writer.writerows(zip(*(column.to_pylist() for column in batch.columns)))
             text.flush()
             text.detach()
         system.move(draft, f"{folder}/{name}.zip")  # a repeated attempt replaces the same archive

@@ -91,3 +91,19 @@ def test_named_csv_is_written_by_all_tasks(spark):
             assert a.read() == b.read()
         parts = spark.read.option("header", True).option("escape", '"').csv(f"{d}/{name}")
         assert parts.count() == one.count()
+
+
+def test_zip_scan_has_more_archives_for_more_rows(spark, monkeypatch):
+    """An archive is written by one task and read by one, so their number follows the rows."""
+    from ridelake.operators import sinks
+    from ridelake.plans import registry, registry_spans
+    from conftest import SF_SMOKE
+    reports = []
+    load = sinks.load_trip_files
+    monkeypatch.setattr(sinks, "load_trip_files", lambda *a, **k: (reports.append(load(*a, **k)), reports[-1])[1])
+    monkeypatch.setattr(registry_spans, "ARCHIVE_ROWS", 70)  # 334 and 333 rows a source file
+    few = registry.QUERIES["zip_scan"](spark, SF_SMOKE)
+    assert len(reports[0]["loaded"]) == 2 * 5
+    monkeypatch.undo()
+    whole = registry.QUERIES["zip_scan"](spark, SF_SMOKE)
+    assert sorted(map(str, few.collect())) == sorted(map(str, whole.collect()))
