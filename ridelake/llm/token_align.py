@@ -31,7 +31,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,7 @@ SHIFT = 32  # a pair is a << SHIFT | b
 # are encoded by merge ranks (the same tokens, in a fraction of the time), all others by the tokenizer itself.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PLAIN = re.compile(r"[\t-\r -~¡-ɏ]*")
+WORD_CHARS = 8 << 20  # characters of the words whose pieces a worker keeps
 
 
 # ---- tokenizers
@@ -80,6 +81,9 @@ class Encoders:
             self.a_bytes.append(bytes(to_byte[c] for c in token) if known else token.encode())
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.fast = self._ranks(byte_bpe)
+        self.by_word = self._by_word(piece_bpe)
+        self.words, self.word_chars = {}, 0
+        self.first = {i for i in range(len(self.b_bytes)) if self.b_bytes[i].startswith(b" ")}  # pieces that begin a word
         self.a_size = [len(t) for t in self.a_bytes]
         self.b_size = [len(t) for t in self.b_bytes]
 
@@ -112,15 +116,42 @@ class Encoders:
         ids = self.a.encode(text, add_special_tokens=False).ids
         return ids if b"".join([self.a_bytes[i] for i in ids]) == text.encode() else None
 
+    def _by_word(self, piece_bpe: bytes) -> bool:
+        """Whether B can encode word by word: merges of a BPE model none of whose
+        pieces has a space behind another character never cross from a word to the next."""
+        from sentencepiece import sentencepiece_model_pb2
+
+        model = sentencepiece_model_pb2.ModelProto.FromString(piece_bpe)
+        plain = not any(p.type == p.USER_DEFINED or "▁" in p.piece.lstrip("▁") for p in model.pieces)
+        return plain and model.trainer_spec.model_type == model.trainer_spec.BPE and not model.trainer_spec.treat_whitespace_as_suffix
+
+    def _learn(self, words: list) -> bool:
+        """Keep the pieces of words, encoded as one text; False where that does not give their bytes."""
+        ids = tuple(self.b.encode(" ".join(words)))
+        at = [k for k, i in enumerate(ids) if i in self.first]
+        if len(at) != len(words) or b"".join(map(self.b_bytes.__getitem__, ids)) != (" " + " ".join(words)).encode():
+            return False
+        self.words.update(zip(words, map(ids.__getitem__, map(slice, at, [*at[1:], len(ids)]))))
+        self.word_chars += sum(map(len, words)) + 16 * len(words)
+        return True
+
+    def encode_b(self, text: str) -> list | None:
+        """Token ids of B, None unless they give the bytes of space + text."""
+        if self.by_word and _PLAIN.fullmatch(text):
+            words = text.split(" ")
+            if self.word_chars > WORD_CHARS:
+                self.words, self.word_chars = {}, 0
+            new = set(words).difference(self.words)
+            if "" not in new and (not new or self._learn(list(new))):
+                return list(chain.from_iterable(map(self.words.__getitem__, words)))
+        ids = self.b.encode(text)
+        return ids if b"".join([self.b_bytes[i] for i in ids]) == b" " + text.encode() else None
+
     def encode(self, texts: list) -> Iterator[tuple[list, list]]:
         """Token ids of both tokenizers, empty where they do not give the bytes of space + text."""
-        b = iter(self.b.encode([t for t in texts if t], num_threads=1))
         for t in texts:
-            x = y = None
-            if t:
-                y = next(b)
-                if b"".join([self.b_bytes[i] for i in y]) == b" " + t.encode():
-                    x = self.encode_a(" " + t)
+            y = self.encode_b(t) if t else None
+            x = self.encode_a(" " + t) if y else None
             yield (x, y) if x else ([], [])
 
 
@@ -171,20 +202,21 @@ def runs(a: list, b: list) -> Iterator[tuple[int, int, int, int]]:
 
 
 NUMERALS = [str(i) for i in range(1 << 16)]
+LEFT, RIGHT = [n + "|" for n in NUMERALS], [n + ";" for n in NUMERALS]
 
 
 def links(a: list, b: list, ends_a: list, ends_b: list) -> tuple[list, list, str]:
     """Linked A and B ids in order of their bytes, and the groups as text."""
     left, right, text = [], [], []
-    digits = NUMERALS.__getitem__
-    names_a, names_b = list(map(digits, a)), list(map(digits, b))
+    digits, of_a, of_b = NUMERALS.__getitem__, LEFT.__getitem__, RIGHT.__getitem__
     for i, end_i, j, end_j in runs(ends_a, ends_b):
+        some_a, some_b = a[i:end_i], b[j:end_j]
         if ends_a[i] == ends_b[j]:
-            left += a[i:end_i]
-            right += b[j:end_j]
-            text += map("|".join, zip(names_a[i:end_i], names_b[j:end_j]))
+            left += some_a
+            right += some_b
+            text += chain.from_iterable(zip(map(of_a, some_a), map(of_b, some_b)))
             continue
-        text.append(",".join(names_a[i:end_i]) + "|" + ",".join(names_b[j:end_j]))
+        text.append(",".join(map(digits, some_a)) + "|" + ",".join(map(digits, some_b)) + ";")
         x, y = ends_a[i], ends_b[j]
         last = ends_a[end_i - 1]
         while True:  # the token that ends first gives way to its successor
@@ -198,7 +230,7 @@ def links(a: list, b: list, ends_a: list, ends_b: list) -> tuple[list, list, str
                 y = ends_b[j]
             else:
                 break
-    return left, right, ";".join(text)
+    return left, right, "".join(text)[:-1]
 
 
 # ---- tasks

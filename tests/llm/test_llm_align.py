@@ -119,3 +119,22 @@ def test_long_equal_stretches_take_few_probes():
     a = Counting(range(1, 100001))
     assert list(token_align.runs(a, list(a))) == [(0, 100000, 0, 100000)]
     assert Counting.probes < 40
+
+
+def test_pieces_of_known_words_are_not_made_again(both, monkeypatch):
+    """B is encoded word by word: the same ids as the whole text's, known words from memory."""
+    fresh = token_align.Encoders(*[open(f, "rb").read() for f in FILES])
+    assert fresh.by_word
+    rng = random.Random(11)
+    words = ["the", "straße", "x.\ny", "\tä", "1,234", "<s>", "</s>", "<0x41>", "q" * 300, "don't", "½ſ", "\x0b"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 9))) for _ in range(200)]
+    texts += [t + rng.choice(["", " ", "  x", "\x00", "▁", "日本"]) for t in texts] + [" " + t for t in texts[:50]]
+    monkeypatch.setattr(token_align, "WORD_CHARS", 2000)  # forgotten on the way
+    for t in texts:
+        ids = fresh.b.encode(t)
+        same = b"".join(fresh.b_bytes[i] for i in ids) == b" " + t.encode()
+        assert fresh.encode_b(t) == (ids if same else None), t
+    known = " ".join(words)
+    want = fresh.encode_b(known)
+    monkeypatch.setattr(fresh, "b", None)  # not asked
+    assert fresh.encode_b(known) == want
