@@ -333,20 +333,20 @@ def touched_keys(new_rows: DataFrame, all_rows: DataFrame, id_col: str, key_expr
     """Keys affected by ``new_rows``: their own keys plus the keys of earlier
     versions of the same ids (a corrected row can move between keys).
 
-    The id lookup is a semi join: AQE broadcasts the new ids when their
-    measured size allows, else both sides shuffle on the id.  ``prune_col``
-    (e.g. ``year_month``) is the caller's assertion that earlier versions
-    share that partition value with the new row: the lookup then reads only
-    those partitions (dynamic partition pruning from the new rows' values).
+    Only rows with another key than the new rows' own are looked up, for the
+    rest can add none.  The own keys are broadcast: they are dates or months,
+    bounded by the calendar.  The id lookup is a semi join: AQE broadcasts
+    the new ids when their measured size allows, else both sides shuffle on
+    the id.  ``prune_col`` (e.g. ``year_month``) is the caller's assertion
+    that earlier versions share that partition value with the new row: the
+    lookup then reads only those partitions (dynamic partition pruning from
+    the new rows' values).
     """
-    own = new_rows.select(key_expr.alias("key"))
-    if prune_col is None:
-        ids = new_rows.select(id_col).distinct()
-        earlier = all_rows.join(ids, id_col, "left_semi")
-    else:
-        ids = new_rows.select(id_col, prune_col).distinct()
-        earlier = all_rows.join(ids, [id_col, prune_col], "left_semi")
-    return own.unionByName(earlier.select(key_expr.alias("key"))).distinct()
+    own = new_rows.select(key_expr.alias("key")).distinct()
+    on = [id_col] if prune_col is None else [id_col, prune_col]
+    others = all_rows.select(*on, key_expr.alias("_key")).join(F.broadcast(own), F.col("_key").eqNullSafe(F.col("key")), "left_anti")
+    earlier = others.join(new_rows.select(*on).distinct(), on, "left_semi")
+    return own.unionByName(earlier.select(F.col("_key").alias("key"))).distinct()
 
 
 def empty_raw(spark: SparkSession) -> DataFrame:

@@ -30,11 +30,13 @@ def raw_for_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
     """All versions of every ride that has a version on one of ``dates``.
 
     Keep-latest over this subset gives the same winner as over the whole
-    table for those rides, while reading only the rides that matter.
+    table for those rides, while reading only the rides that matter.  Rows on
+    ``dates`` are taken as they are; only those off them are looked up by ride.
     """
-    on_dates = raw.join(calendar_keys(dates, "_d"), F.to_date("started_at") == F.col("_d"), "left_semi")
+    day, touched = F.to_date("started_at") == F.col("_d"), calendar_keys(dates, "_d")
+    on_dates = raw.join(touched, day, "left_semi")
     ids = on_dates.select("ride_id").distinct()
-    return raw.join(ids, "ride_id", "left_semi")
+    return on_dates.unionByName(raw.join(touched, day, "left_anti").join(ids, "ride_id", "left_semi"))
 
 
 def daily_for_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
@@ -63,20 +65,21 @@ def refresh_daily(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, mart
     (their partitions are dropped).  The touched-date list is collected: it
     is bounded by the calendar (days), not by the data.
     """
-    dates = touched_keys(new_rows, raw, "ride_id", F.to_date("started_at")).persist()
+    from pyspark.sql import Observation
+
+    dates = touched_keys(new_rows, raw, "ride_id", F.to_date("started_at")).coalesce(1).persist()
     if fct is None:
         daily = daily_for_dates(raw, dates)
     else:
         daily = M.agg_daily(fct.join(calendar_keys(dates, MART_KEY), MART_KEY, "left_semi"))
-    daily = daily.persist()  # one row per touched date
     try:
-        overwrite_keys(daily, mart_path, MART_KEY)
-        kept = {r[0] for r in daily.select(MART_KEY).collect()}
+        obs = Observation("dates")
+        overwrite_keys(daily.observe(obs, F.collect_set(MART_KEY).alias("dates")), mart_path, MART_KEY)
+        kept = set(obs.get["dates"] or [])
         empty = sorted(d for d in (r[0] for r in dates.collect()) if d not in kept)
         drop_keys(spark, mart_path, MART_KEY, [d.isoformat() for d in empty])
         return empty
     finally:
-        daily.unpersist()
         dates.unpersist()
 
 

@@ -87,57 +87,25 @@ def header_columns(line: str | None) -> tuple[str, ...]:
     return tuple(c.strip().strip('"') for c in line.split(",")) if line else ()
 
 
-def _first_lines():
-    """mapInArrow body: (path, line) of the first line of each file; a split behind a file's start is left at once."""
-    def lines(batches):
-        import pyarrow as pa
-
-        seen = None
-        for batch in batches:
-            paths, starts, values = (batch.column(c) for c in ("path", "start", "value"))
-            found = []
-            for i in range(batch.num_rows):
-                path = paths[i].as_py()
-                if path != seen:
-                    seen = path
-                    if starts[i].as_py() == 0:
-                        found.append((path, values[i].as_py()))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in (0, 1)], ["path", "line"])
-            return  # a partition holds one split: the rest of it is not read
-    return lines
-
-
 def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
     """Header of every path, () where there is none to read.
 
-    The first lines are read by tasks, one split each, which stop after the
-    first rows; the driver opens no file and gets one line per file.
+    The first line of a file is read by a task of its own, by a limit, which
+    ends the scan there; the driver opens no file and gets one line per file.
+    (A Python function that returns early does not end it: Spark reads on.)
     """
     from pyspark.errors import AnalysisException
 
-    _by_value()
-    width = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    cost = "spark.sql.files.openCostInBytes"
-    was = spark.conf.get(cost)
-
-    def read(some: Sequence[str]) -> list:
-        text = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(list(some))
-        rows = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
-        return rows.mapInArrow(_first_lines(), "path string, line string").collect()  # one line per file
-
-    if not paths:
-        return {}
-    spark.conf.set(cost, width)  # every split a partition of its own
-    try:
+    def read(path: str) -> tuple[str, ...]:
+        text = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
         try:
-            lines = read(paths)
-        except AnalysisException:  # a path that does not exist; the others count
-            lines = read(there) if (there := [p for p in paths if _exists(spark, p)]) else []
-    finally:
-        spark.conf.set(cost, was)
-    found = {plain_path(unquote(r.path)): header_columns(r.line) for r in lines}
-    return {p: found.get(plain_path(p), ()) for p in paths}
+            lines = text.text(path).where("_metadata.file_block_start = 0").select("value").limit(1).collect()
+        except AnalysisException:  # the path does not exist
+            return ()
+        return header_columns(lines[0][0]) if lines else ()
+
+    paths = list(dict.fromkeys(paths))
+    return dict(zip(paths, concurrently(spark, *[partial(read, p) for p in paths], width=8)))
 
 
 def group_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
@@ -148,11 +116,6 @@ def group_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str
     return dict(groups)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from ..operators.sinks import path_exists
-    return path_exists(spark, path)
-
-
 class Rejected(dict):
     """Paths that cannot be loaded, with the reason."""
 

@@ -112,3 +112,45 @@ def test_pipeline_incremental_months_equal_full_build(spark):
     # January lost its only ride (moved to February); March was not rewritten
     assert not os.path.exists(inc.table("fct_rides") + "/year_month=202401")
     assert sorted(glob.glob(inc.table("fct_rides") + "/year_month=202403/*.parquet")) == march_files
+
+
+def _rows_shuffled(df, group):
+    """Rows that the stages of collecting ``df`` shuffle."""
+    sc = df.sparkSession.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        df.collect()
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            sc.setLocalProperty(key, None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker = sc.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    return sum(sc._jsc.sc().statusStore().lastStageAttempt(s).shuffleWriteRecords() for s in stages)
+
+
+def test_rows_of_touched_dates_are_not_looked_up_by_ride(spark):
+    from ridelake.operators.sinks import touched_keys
+    from ridelake.plans.incremental import raw_for_dates
+    raw = raw_rows(spark, [
+        dict(ride_id=f"{r}", started_at=ts(f"2024-01-0{d} 10:00:00"), ended_at=ts(f"2024-01-0{d} 10:20:00"), source_file=f)
+        for r, d, f in [("A", 1, "f1"), ("A", 3, "f2"), ("B", 2, "f1"), ("B", 4, "f1"), ("C", 3, "f1"), ("D", 4, "f1"), ("E", 5, "f2"), ("E", 5, "f1")]])
+    day = F.to_date("started_at")
+    new = raw.filter("source_file = 'f2'")
+    dates = touched_keys(new, raw, "ride_id", day)
+    assert sorted(str(r[0]) for r in dates.collect()) == ["2024-01-01", "2024-01-03", "2024-01-05"]
+    got = sorted((r.ride_id, r.started_at.day, r.source_file) for r in raw_for_dates(raw, dates).collect())
+    assert got == [("A", 1, "f1"), ("A", 3, "f2"), ("C", 3, "f1"), ("E", 5, "f1"), ("E", 5, "f2")]
+    one = raw.filter(day == F.lit("2024-01-02").cast("date")).select(day.alias("key"))  # a ride of it is on the 4th, too
+    assert sorted((r.ride_id, r.started_at.day) for r in raw_for_dates(raw, one).collect()) == [("B", 2), ("B", 4)]
+
+
+def test_rows_on_touched_dates_are_not_shuffled_to_be_found(spark):
+    from ridelake.operators.sinks import touched_keys
+    from ridelake.plans.incremental import raw_for_dates
+    raw = raw_rows(spark, [
+        dict(ride_id=f"R{i}", started_at=ts(f"2024-01-0{1 + i % 5} 10:00:00"), ended_at=ts(f"2024-01-0{1 + i % 5} 10:20:00"),
+             source_file="f2" if i < 5 else "f1") for i in range(400)])
+    day = F.to_date("started_at")
+    assert _rows_shuffled(touched_keys(raw.filter("source_file = 'f2'"), raw, "ride_id", day), "touched") < 100
+    assert _rows_shuffled(raw_for_dates(raw, raw.select(day.alias("key")).distinct()), "rides") < 600  # the ids alone

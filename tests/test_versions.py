@@ -213,3 +213,19 @@ def test_a_load_asks_no_filter_of_its_only_month(spark, d, monkeypatch):
     monkeypatch.setattr(versions, "may_hold", None)  # not called
     load_trip_files(spark, [month_file(d, 1, ["b", "c"], "more")], f"{d}/raw")
     assert versions.indexed(spark, f"{d}/raw") and versions.read_moved(spark, f"{d}/raw").count() == 0
+
+
+def test_headers_leave_the_rest_of_a_file_unread(spark, d):
+    long = put(f"{d}/long.csv", [record(f"r{i}", "2024-01-01 10:00:00") for i in range(200_000)])
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    try:
+        assert files.headers(spark, [long]) == {long: tuple(CSV_COLUMNS)}
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            sc.setLocalProperty(key, None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker = sc.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("headers") for s in tracker.getJobInfo(job).stageIds]
+    read = sum(sc._jsc.sc().statusStore().lastStageAttempt(s).inputRecords() for s in stages)
+    assert 1 <= read < 1000, read
