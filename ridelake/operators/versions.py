@@ -90,13 +90,16 @@ def filter_rows(ids: DataFrame, counts: dict[int, int], batch: str) -> DataFrame
     The ids go to the task that makes their bitmap, so that what is shuffled
     follows the ids (bitmaps made by every task would be shuffled as often as
     there are tasks), and few bitmaps at a time keep the sort behind it small.
+    A bitmap per probe spares a row per id and probe in that sort.
     """
     sizes = {m: _blocks_for(n) for m, n in sorted(counts.items())}
     blocks = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col(MONTH)]
     placed = ids.select(MONTH, blocks.alias("blocks"), "ride_id").withColumn("block", _block(F.col("blocks")))
     placed = placed.repartition(-(-sum(sizes.values()) // TASK_BLOCKS), MONTH, "blocks", "block")
-    bits = placed.select(MONTH, "blocks", "block", F.explode(F.array(*[_probe(i) for i in range(PROBES)])).alias("bit"))
-    sets = bits.groupBy(MONTH, "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    keys = [MONTH, "blocks", "block"]
+    by_probe = placed.groupBy(*keys).agg(*[F.bitmap_construct_agg(_probe(i)).alias(f"bits{i}") for i in range(PROBES)])
+    bitmaps = by_probe.select(*keys, F.explode(F.array(*[f"bits{i}" for i in range(PROBES)])).alias("bits"))
+    sets = bitmaps.groupBy(*keys).agg(F.bitmap_or_agg("bits").alias("bitmap"))
     return sets.coalesce(-(-sum(sizes.values()) // FILE_BLOCKS)).select(F.lit(batch).alias("batch"), "blocks", "block", "bitmap", MONTH)
 
 

@@ -17,6 +17,7 @@ from ..operators.versions import indexed, months_of_rides, name_list, rows_of_fi
 from . import trips as M
 
 MART_KEY = "ride_date"
+_DAY = "to_date(started_at) = _d"
 
 
 def calendar_keys(keys: DataFrame, name: str) -> DataFrame:
@@ -33,14 +34,18 @@ def raw_for_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
     table for those rides, while reading only the rides that matter.  Rows on
     ``dates`` are taken as they are; only those off them are looked up by ride.
     """
-    day, touched = F.to_date("started_at") == F.col("_d"), calendar_keys(dates, "_d")
-    on_dates = raw.join(touched, day, "left_semi")
+    on_dates = raw.join(calendar_keys(dates, "_d"), F.expr(_DAY), "left_semi")
     ids = on_dates.select("ride_id").distinct()
-    return on_dates.unionByName(raw.join(touched, day, "left_anti").join(ids, "ride_id", "left_semi"))
+    return on_dates.unionByName(rows_off_dates(raw, dates).join(ids, "ride_id", "left_semi"))
 
 
-def daily_for_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
-    fct = M.fct_from_raw(raw_for_dates(raw, dates))
+def rows_off_dates(raw: DataFrame, dates: DataFrame) -> DataFrame:
+    return raw.join(calendar_keys(dates, "_d"), F.expr(_DAY), "left_anti")
+
+
+def daily_for_dates(raw: DataFrame, dates: DataFrame, every: bool = False) -> DataFrame:
+    """The mart's rows of ``dates``; ``every``: no raw row lies off them, so there is none to look up."""
+    fct = M.fct_from_raw(raw if every else raw_for_dates(raw, dates))
     fct = fct.join(calendar_keys(dates, MART_KEY), MART_KEY, "left_semi")
     return M.agg_daily(fct)
 
@@ -69,7 +74,7 @@ def refresh_daily(spark: SparkSession, raw: DataFrame, new_rows: DataFrame, mart
 
     dates = touched_keys(new_rows, raw, "ride_id", F.to_date("started_at")).coalesce(1).persist()
     if fct is None:
-        daily = daily_for_dates(raw, dates)
+        daily = daily_for_dates(raw, dates, every=rows_off_dates(raw, dates).isEmpty())
     else:
         daily = M.agg_daily(fct.join(calendar_keys(dates, MART_KEY), MART_KEY, "left_semi"))
     try:

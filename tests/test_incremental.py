@@ -154,3 +154,21 @@ def test_rows_on_touched_dates_are_not_shuffled_to_be_found(spark):
     day = F.to_date("started_at")
     assert _rows_shuffled(touched_keys(raw.filter("source_file = 'f2'"), raw, "ride_id", day), "touched") < 100
     assert _rows_shuffled(raw_for_dates(raw, raw.select(day.alias("key")).distinct()), "rides") < 600  # the ids alone
+
+
+def test_a_refresh_of_every_date_reads_no_ride_ids_apart(spark, monkeypatch):
+    from ridelake.plans import incremental
+    work = tempfile.mkdtemp(prefix="ridelake-incr-")
+    raw = raw_rows(spark, [
+        dict(ride_id=r, started_at=ts(f"2024-01-0{d} 10:00:00"), ended_at=ts(f"2024-01-0{d} 10:20:00"), source_file=f)
+        for r, d, f in [("A", 1, "f1"), ("A", 2, "f2"), ("B", 1, "f1"), ("C", 2, "f1"), ("D", 3, "f1")]])
+    looked_up = []
+    real = incremental.raw_for_dates
+    monkeypatch.setattr(incremental, "raw_for_dates", lambda *a: looked_up.append(1) or real(*a))
+    for part, times in ((raw.filter("ride_id != 'D'"), 0), (raw, 1)):
+        mart = f"{work}/daily-{times}"
+        build_daily(part.filter("source_file = 'f1'"), mart)
+        assert refresh_daily(spark, part, part.filter("source_file = 'f2'"), mart) == []
+        got = {str(r.ride_date): r.total_rides for r in read_daily(spark, mart).collect()}
+        assert got == {str(r.ride_date): r.total_rides for r in M.agg_daily(M.fct_from_raw(part)).collect()}
+        assert len(looked_up) == times

@@ -229,3 +229,14 @@ def test_headers_leave_the_rest_of_a_file_unread(spark, d):
     stages = [s for job in tracker.getJobIdsForGroup("headers") for s in tracker.getJobInfo(job).stageIds]
     read = sum(sc._jsc.sc().statusStore().lastStageAttempt(s).inputRecords() for s in stages)
     assert 1 <= read < 1000, read
+
+
+def test_filters_sort_ids_once_not_per_probe(spark):
+    ids = spark.range(3000).selectExpr("concat('r', id) AS ride_id", "202401 AS year_month")
+    sets = versions.filter_rows(ids, {202401: 3000}, "b")
+    per_probe = ids.withColumn("blocks", F.lit(4)).withColumn("block", versions._block(F.col("blocks"))).select(
+        "block", F.explode(F.array(*[versions._probe(i) for i in range(versions.PROBES)])).alias("bit"))
+    want = per_probe.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    assert sorted((r.block, bytes(r.bitmap)) for r in sets.collect()) == sorted((r.block, bytes(r.bitmap)) for r in want.collect())
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan.split("bitmap_construct_agg")[-1], plan  # no row per probe below the bitmaps
